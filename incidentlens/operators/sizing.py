@@ -1,0 +1,34 @@
+"""Broadcast only behind a checked size bound.
+
+Lookup tables (code tables, terms, schools) are small by nature, but "small by nature" is not
+a bound. ``bounded`` counts at most ``max_rows + 1`` rows of a one-column projection with an
+incremental ``take`` (it stops scanning once the bound is passed, so probing a huge table
+costs a few partitions, not a full scan) and only then marks the frame for broadcast. Beyond
+the bound the frame is returned as is and the join stays a shuffle join that AQE may still
+turn into a broadcast from runtime statistics.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Row bounds for explicit broadcasts.
+CODE_TABLE_MAX_ROWS = 100_000   # incident_lu_code, incident_lu_sub_code, codeset
+TERMS_MAX_ROWS = 100_000        # full-year district terms: one per school year
+SCHOOLS_MAX_ROWS = 100_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+
+
+def bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows, else ``(df, False)``."""
+    if has_at_most(df, max_rows):
+        return F.broadcast(df), True
+    return df, False
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = CODE_TABLE_MAX_ROWS) -> DataFrame:
+    return bounded(df, max_rows)[0]
