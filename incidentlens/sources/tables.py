@@ -93,7 +93,7 @@ class SisTables:
     def from_parquet_dir(cls, spark: SparkSession, path: str, names: list[str] | None = None) -> "SisTables":
         """One Parquet dataset per table under ``path`` (``path/incident``, ``path/students``, ...)."""
         names = names or list(SCHEMAS)
-        return cls.from_frames({n: spark.read.parquet(f"{path}/{n}") for n in names})
+        return cls.from_frames({n: spark.read.schema(SCHEMAS[n]).parquet(f"{path}/{n}") for n in names})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None, ps_database: str = "ps",
