@@ -31,12 +31,12 @@ PLAN_FIELDS = ("action_plan_begin_dt", "action_plan_end_dt", "duration_assigned"
 def incidents_in_window(t: SisTables, window: DateWindow) -> DataFrame:
     """Incidents in the run's date range and inside a full-year district term."""
     inc = t.incident.where(window.contains(F.col("incident_ts")))
-    return within_terms(inc, "incident_ts", year_terms(t.terms))
+    return within_terms(inc, "incident_ts", year_terms(t.terms), source=t.terms)
 
 
 def type_codes(t: SisTables) -> DataFrame:
     return bounded_broadcast(t.incident_lu_code.where(F.col("code_type") == codes.INCIDENT_TYPE_CODE)
-                             .select("lu_code_id", "incident_category"))
+                             .select("lu_code_id", "incident_category"), source=t.incident_lu_code)
 
 
 def incident_categories(t: SisTables) -> DataFrame:
@@ -54,7 +54,7 @@ def action_detail_codes(t: SisTables) -> DataFrame:
     whose description is NULL, cannot win a ``max`` and are dropped before the shuffle.
     """
     sub = bounded_broadcast(t.incident_lu_sub_code.where(F.col("short_desc").isNotNull())
-                            .select("lu_sub_code_id", "short_desc"))
+                            .select("lu_sub_code_id", "short_desc"), source=t.incident_lu_sub_code)
     return (t.incident_detail.where(F.col("lu_sub_code_id").isNotNull())
             .select("incident_detail_id", "lu_sub_code_id")
             .join(sub, "lu_sub_code_id")
@@ -80,7 +80,7 @@ def action_summary(t: SisTables) -> DataFrame:
 
 def school_names(t: SisTables) -> DataFrame:
     return bounded_broadcast(t.schools.select("school_number", F.col("abbreviation").alias("school_abbreviation")),
-                             SCHOOLS_MAX_ROWS)
+                             SCHOOLS_MAX_ROWS, source=t.schools)
 
 
 def staff_names(t: SisTables) -> DataFrame:

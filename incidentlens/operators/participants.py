@@ -26,7 +26,8 @@ TIE_BREAK = ("person_role", "sped_code", "english_learner_code", "dcid")
 
 def role_lookup(t: SisTables) -> DataFrame:
     """Role detail id -> role name (any code type, as in the source)."""
-    names = bounded_broadcast(t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role")))
+    names = bounded_broadcast(t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role")),
+                              source=t.incident_lu_code)
     return (t.incident_detail.select(F.col("incident_detail_id").alias("role_incident_detail_id"), "lu_code_id")
             .join(names, "lu_code_id")
             .select("role_incident_detail_id", "person_role"))

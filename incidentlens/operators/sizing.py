@@ -1,34 +1,50 @@
 """Broadcast only behind a checked size bound.
 
 Lookup tables (code tables, terms, schools) are small by nature, but "small by nature" is not
-a bound. ``bounded`` counts at most ``max_rows + 1`` rows of a one-column projection with an
-incremental ``take`` (it stops scanning once the bound is passed, so probing a huge table
-costs a few partitions, not a full scan) and only then marks the frame for broadcast. Beyond
-the bound the frame is returned as is and the join stays a shuffle join that AQE may still
-turn into a broadcast from runtime statistics.
+a bound. ``has_at_most`` counts at most ``max_rows + 1`` rows of a one-column projection with
+an incremental ``take`` (it stops scanning once the bound is passed, so probing a huge table
+costs a few partitions, not a full scan). Only a frame that passed is marked for broadcast;
+beyond the bound the frame is returned as is and the join stays a shuffle join that AQE may
+still turn into a broadcast from runtime statistics.
+
+A probe is remembered for the DataFrame object it ran on (one snapshot of one table), and a
+frame derived from a table by filters and projections may be checked against that table:
+filtering cannot make it larger.
 """
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Row bounds for explicit broadcasts.
 CODE_TABLE_MAX_ROWS = 100_000   # incident_lu_code, incident_lu_sub_code, codeset
-TERMS_MAX_ROWS = 100_000        # full-year district terms: one per school year
+TERMS_MAX_ROWS = 100_000        # terms: a few rows per school and year
 SCHOOLS_MAX_ROWS = 100_000
 
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+_probed: dict[int, tuple[weakref.ref, int, bool]] = {}
 
 
-def bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows, else ``(df, False)``."""
-    if has_at_most(df, max_rows):
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    key = id(df)
+    hit = _probed.get(key)
+    if hit is not None and hit[0]() is df and hit[1] == max_rows:
+        return hit[2]
+    result = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    _probed[key] = (weakref.ref(df), max_rows, result)
+    return result
+
+
+def bounded(df: DataFrame, max_rows: int, source: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if ``source`` (default ``df``) has at most ``max_rows`` rows,
+    else ``(df, False)``. ``source`` must be a table ``df`` is derived from by filters and
+    projections only."""
+    if has_at_most(source if source is not None else df, max_rows):
         return F.broadcast(df), True
     return df, False
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = CODE_TABLE_MAX_ROWS) -> DataFrame:
-    return bounded(df, max_rows)[0]
+def bounded_broadcast(df: DataFrame, max_rows: int = CODE_TABLE_MAX_ROWS, source: DataFrame | None = None) -> DataFrame:
+    return bounded(df, max_rows, source)[0]

@@ -38,7 +38,8 @@ def guardian_names(t: SisTables, students: DataFrame | None = None) -> DataFrame
     """
     t.require("studentcontactassoc", "studentcontactdetail", "person", "codeset")
     rel = bounded_broadcast(t.codeset.where(F.col("description").isin(codes.MOTHER, codes.FATHER))
-                            .select(F.col("codesetid").alias("relationshiptypecodesetid"), "description"))
+                            .select(F.col("codesetid").alias("relationshiptypecodesetid"), "description"),
+                            source=t.codeset)
     assoc = t.studentcontactassoc.select("studentcontactassocid", F.col("studentdcid").alias("dcid"), "personid")
     if students is not None:
         assoc = assoc.join(students.select("dcid"), "dcid", "left_semi")

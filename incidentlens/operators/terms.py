@@ -54,17 +54,19 @@ def year_terms(terms: DataFrame) -> DataFrame:
             .select("dcid", "abbreviation", "FirstDay", "LastDay", "schoolid"))
 
 
-def within_terms(df: DataFrame, ts_col: str, terms: DataFrame, max_terms: int = TERMS_MAX_ROWS) -> DataFrame:
+def within_terms(df: DataFrame, ts_col: str, terms: DataFrame, max_terms: int = TERMS_MAX_ROWS,
+                 source: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` whose ``ts_col`` lies between ``FirstDay`` and ``LastDay`` of some term.
 
     A left-semi join: a row inside two overlapping terms is kept once, and no term column is
     carried. With a bounded number of terms (the normal case: one per school year) this is a
     broadcast nested-loop semi join. Beyond the bound each term is expanded into its days and
-    joined on the incident's day with an equi-join plus the midnight upper bound.
+    joined on the incident's day with an equi-join plus the midnight upper bound. ``source`` is the
+    terms table ``terms`` was filtered from, if any (its size bounds ``terms``).
     """
     spans = (terms.where(F.col("FirstDay").isNotNull() & F.col("LastDay").isNotNull())
              .select(F.col("FirstDay").alias("_first"), F.col("LastDay").alias("_last")))
-    spans, small = bounded(spans, max_terms)
+    spans, small = bounded(spans, max_terms, source)
     ts = F.col(ts_col)
     if small:
         return df.join(spans, ts.between(F.col("_first"), F.col("_last")), "left_semi")

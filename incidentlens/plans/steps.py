@@ -35,7 +35,8 @@ def incident_date_range(t: SisTables, window: DateWindow) -> DataFrame:
 
 def incident_in_term(t: SisTables) -> DataFrame:
     """All incidents inside at least one full-year district term (range semi join)."""
-    return within_terms(t.incident.select("incident_id", "incident_ts"), "incident_ts", year_terms(t.terms))
+    return within_terms(t.incident.select("incident_id", "incident_ts"), "incident_ts", year_terms(t.terms),
+                        source=t.terms)
 
 
 def scope_students(t: SisTables, scope: Scope) -> DataFrame:
@@ -56,9 +57,10 @@ def incident_category(t: SisTables) -> DataFrame:
 def incident_location(t: SisTables) -> DataFrame:
     """Retired field: location description of each location detail of an incident (composite-key lookup)."""
     loc_codes = bounded_broadcast(t.incident_lu_code.where(F.col("code_type") == codes.LOCATION_CODE)
-                                  .select("lu_code_id"))
+                                  .select("lu_code_id"), source=t.incident_lu_code)
     sub = bounded_broadcast(t.incident_lu_sub_code.select("lu_code_id", "lu_sub_code_id",
-                                                          F.col("long_desc").alias("location_description")))
+                                                          F.col("long_desc").alias("location_description")),
+                             source=t.incident_lu_sub_code)
     return (t.incident.select("incident_id")
             .join(t.incident_detail.select("incident_id", "lu_code_id", "lu_sub_code_id"), "incident_id")
             .join(loc_codes, "lu_code_id")
@@ -73,7 +75,7 @@ def action_resolution(t: SisTables) -> DataFrame:
 
 def action_code(t: SisTables) -> DataFrame:
     """Every action with a detail, and its sub code's short description (lookup by sub code only)."""
-    sub = bounded_broadcast(t.incident_lu_sub_code.select("lu_sub_code_id", "short_desc"))
+    sub = bounded_broadcast(t.incident_lu_sub_code.select("lu_sub_code_id", "short_desc"), source=t.incident_lu_sub_code)
     act = t.incident_action.select("incident_id", F.col("action_incident_detail_id").alias("incident_detail_id"))
     return (act.join(t.incident_detail.select("incident_detail_id", "lu_sub_code_id"), "incident_detail_id")
             .join(sub, "lu_sub_code_id", "left")
