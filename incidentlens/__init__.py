@@ -1,0 +1 @@
+"""Student-incident reporting on Spark: scope, reduce, choose, format, sort."""

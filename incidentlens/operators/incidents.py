@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, exprs
 from ..sources.tables import SisTables
-from .sizing import SCHOOLS_MAX_ROWS, bounded_broadcast
+from .sizing import SCHOOLS_MAX_ROWS, STAFF_MAX_ROWS, bounded_broadcast
 from .terms import DateWindow, within_terms, year_terms
 
 PLAN_FIELDS = ("action_plan_begin_dt", "action_plan_end_dt", "duration_assigned", "duration_actual")
@@ -90,10 +90,12 @@ def staff_names(t: SisTables) -> DataFrame:
 def with_staff(df: DataFrame, t: SisTables) -> DataFrame:
     """Creator and last modifier names (two left joins to the same staff table).
 
-    No broadcast hint: the staff table has no proven bound, so Spark decides from its size
-    statistics (and AQE from runtime sizes); a hot creator id is split by AQE's skew join.
+    A staff table within ``STAFF_MAX_ROWS`` is broadcast, so the incident side is not shuffled
+    twice by staff id and keeps its ``incident_id`` partitioning. Beyond the bound both joins
+    are shuffle joins; a creator id holding a third of all incidents is then split by AQE's
+    skew-join handling (the incident side is the left side of a left outer join).
     """
-    staff = staff_names(t)
+    staff = bounded_broadcast(staff_names(t), STAFF_MAX_ROWS, source=t.teachers)
     creator = staff.select(F.col("id").alias("created_by"), F.col("lastfirst").alias("created_by_name"))
     modifier = staff.select(F.col("id").alias("last_modified_by"), F.col("lastfirst").alias("last_modified_by_name"))
     return df.join(creator, "created_by", "left").join(modifier, "last_modified_by", "left")

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 CODE_TABLE_MAX_ROWS = 100_000   # incident_lu_code, incident_lu_sub_code, codeset
 TERMS_MAX_ROWS = 100_000        # terms: a few rows per school and year
 SCHOOLS_MAX_ROWS = 100_000
+STAFF_MAX_ROWS = 500_000        # teachers: (id, name) pairs, about 20 MB at the bound
 
 _probed: dict[int, tuple[weakref.ref, int, bool]] = {}
 

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The source reports are batch queries over relational tables: no event streams, watermarks,
+event-time windows or state occur in them, so this package has nothing to re-express here.
+"""
