@@ -1,0 +1,63 @@
+"""Equi-join that salts only its hot keys.
+
+AQE splits a skewed shuffle partition only when both join inputs are shuffle stages. A side
+that is already partitioned on the key (e.g. the incident facts, which come out of
+``groupBy(incident_id)``) is not one, so a key holding a third of the other side would land
+in one task. ``join_salting_hot_keys`` handles that case explicitly, in one pass:
+
+1. find the hot keys: at most ``max_hot_keys`` keys with more than ``threshold`` rows in
+   ``weights`` (a frame whose rows per key bound the big side's, by default the big side).
+   It is a bounded top-K, so the broadcasts below have a proven size;
+2. rows of the big side whose key is hot get a salt ``hash(spread) mod salts``; all other
+   rows get salt 0;
+3. the small side (unique per key) is replicated ``salts`` times for hot keys only — at most
+   ``max_hot_keys * salts`` extra rows — and joined on (key, salt).
+
+A hot key is thereby spread over ``salts`` shuffle partitions. Every row of the big side
+meets exactly the small-side rows it would meet in the plain join; nothing is dropped or capped.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEY_ROWS = 1_000_000   # rows per key above which a key is salted
+MAX_HOT_KEYS = 1_000       # at most this many keys are salted (the heaviest ones)
+SALTS = 64                 # partitions a hot key is spread over
+
+
+def hot_keys(weights: DataFrame, key: str, threshold: int | None = None,
+             max_hot_keys: int | None = None) -> DataFrame:
+    """The heaviest keys above ``threshold`` rows, at most ``max_hot_keys`` of them."""
+    threshold = HOT_KEY_ROWS if threshold is None else threshold
+    max_hot_keys = MAX_HOT_KEYS if max_hot_keys is None else max_hot_keys
+    return (weights.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+            .where(F.col("_rows") > F.lit(threshold))
+            .orderBy(F.col("_rows").desc(), F.col(key))
+            .limit(max_hot_keys)
+            .select(key, F.lit(True).alias("_hot")))
+
+
+def join_salting_hot_keys(big: DataFrame, small: DataFrame, key: str, spread: Sequence[str], how: str = "inner",
+                          weights: DataFrame | None = None, threshold: int | None = None,
+                          max_hot_keys: int | None = None, salts: int | None = None) -> DataFrame:
+    """``big.join(small, key, how)`` for ``how`` in inner/left, with ``small`` unique on ``key``.
+
+    ``spread`` names columns of ``big`` that vary within a key; their hash picks the salt.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
+    salts = SALTS if salts is None else salts
+    hot = F.broadcast(hot_keys(weights if weights is not None else big.select(key), key, threshold, max_hot_keys))
+    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    salted_big = (big.join(hot, key, "left")
+                  .withColumn("_salt", F.when(is_hot, F.pmod(F.hash(*spread), F.lit(salts))).otherwise(F.lit(0)))
+                  .drop("_hot"))
+    replicas = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_small = (small.join(hot, key, "left")
+                    .withColumn("_salt", F.explode(replicas))
+                    .drop("_hot"))
+    return salted_big.join(salted_small, [key, "_salt"], how).drop("_salt")

@@ -7,7 +7,7 @@ Plan shape (all lazy; Catalyst and AQE choose the physical joins):
 3. incident facts               -> joins on incident_id (co-partitioned by the reductions)
 4. student facts in scope       -> program codes (+ profile, guardians)
 5. participations + roles       -> one min(struct) per (incident_id, student_number)
-6. join facts, format, sort     -> range-partitioned global sort on the six report keys
+6. join facts (hot incidents salted over many partitions), format, sort on the six report keys
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, exprs
 from ..operators import incidents, participants, students
 from ..operators.scope import District, School, Scope, Selection
+from ..operators.skew import join_salting_hot_keys
 from ..operators.terms import DateWindow
 from ..sources.tables import SisTables
 
@@ -65,7 +66,8 @@ def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool =
     in_window = incidents.incidents_in_window(t, window).select("incident_id")
     parts = participants.participations(t, in_window)
     chosen = participants.choose_per_student_number(parts, stu, payload)
-    rows = chosen.join(facts, "incident_id")
+    weights = t.incident_person_role.select("incident_id")
+    rows = join_salting_hot_keys(chosen, facts, "incident_id", ["student_number", "dcid"], weights=weights)
     student_cols = [exprs.student_link("dcid", "student_number").alias("student_link"), F.col("state_id")]
     if detailed:
         student_cols += [F.col(c) for c in students.PROFILE_FIELDS]
