@@ -30,7 +30,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="incidentlens-bench-")
-    spark = build_session(master=f"local[{cpus}]", app="incidentlens-bench", shuffle_partitions=2 * cpus,
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
+    spark = build_session(master=f"local[{cpus}]", app="incidentlens-bench", shuffle_partitions=partitions,
                           extra={"spark.ui.showConsoleProgress": "false",
                                  "spark.eventLog.enabled": "false",
                                  "spark.local.dir": scratch})

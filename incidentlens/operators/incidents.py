@@ -17,12 +17,12 @@ reduced sides come out hash-partitioned on ``incident_id``, ready for the joins
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes, exprs
 from ..sources.tables import SisTables
-from .sizing import SCHOOLS_MAX_ROWS, STAFF_MAX_ROWS, bounded_broadcast
+from .sizing import CODE_TABLE_MAX_ROWS, SCHOOLS_MAX_ROWS, STAFF_MAX_ROWS, bounded_broadcast, has_at_most
 from .terms import DateWindow, within_terms, year_terms
 
 PLAN_FIELDS = ("action_plan_begin_dt", "action_plan_end_dt", "duration_assigned", "duration_actual")
@@ -34,39 +34,79 @@ def incidents_in_window(t: SisTables, window: DateWindow) -> DataFrame:
     return within_terms(inc, "incident_ts", year_terms(t.terms), source=t.terms)
 
 
+def _type_codes(t: SisTables) -> DataFrame:
+    return (t.incident_lu_code.where(F.col("code_type") == codes.INCIDENT_TYPE_CODE)
+            .select("lu_code_id", "incident_category"))
+
+
 def type_codes(t: SisTables) -> DataFrame:
-    return bounded_broadcast(t.incident_lu_code.where(F.col("code_type") == codes.INCIDENT_TYPE_CODE)
-                             .select("lu_code_id", "incident_category"), source=t.incident_lu_code)
+    return bounded_broadcast(_type_codes(t), source=t.incident_lu_code)
+
+
+def code_ranks(code_table: DataFrame, value: str) -> DataFrame:
+    """``(value, _rank)`` for the distinct non-null values of a code table, ranked ascending.
+
+    Only called on a code table that passed its size check: the window has no partition key,
+    so it runs in one task over at most ``CODE_TABLE_MAX_ROWS`` values.
+    """
+    values = code_table.where(F.col(value).isNotNull()).select(value).distinct()
+    return values.select(value, F.dense_rank().over(Window.orderBy(value)).alias("_rank"))
 
 
 def incident_categories(t: SisTables) -> DataFrame:
-    """One row per incident that has at least one type detail: its smallest category."""
-    return (t.incident_detail.select("incident_id", "lu_code_id")
-            .join(type_codes(t), "lu_code_id")
-            .groupBy("incident_id")
-            .agg(F.min("incident_category").alias("incident_category")))
+    """One row per incident that has at least one type detail: its smallest category.
 
+    With a bounded code table the detail rows carry the category's integer rank, so the
+    aggregation over the (large) detail table is a hash aggregation on an int, and the rank is
+    turned back into text with a broadcast lookup. Otherwise the text itself is aggregated.
+    """
+    detail = t.incident_detail.select("incident_id", "lu_code_id")
+    if not has_at_most(t.incident_lu_code, CODE_TABLE_MAX_ROWS):
+        return (detail.join(_type_codes(t), "lu_code_id").groupBy("incident_id")
+                .agg(F.min("incident_category").alias("incident_category")))
+    ranks = F.broadcast(code_ranks(_type_codes(t), "incident_category"))
+    ranked_codes = F.broadcast(_type_codes(t).join(ranks, "incident_category", "left").select("lu_code_id", "_rank"))
+    smallest = detail.join(ranked_codes, "lu_code_id").groupBy("incident_id").agg(F.min("_rank").alias("_rank"))
+    return smallest.join(ranks, "_rank", "left").select("incident_id", "incident_category")
 
-def action_detail_codes(t: SisTables) -> DataFrame:
-    """Detail id -> action short description, for details that carry a described sub code.
+
+def _described_sub_codes(t: SisTables) -> DataFrame:
+    return t.incident_lu_sub_code.where(F.col("short_desc").isNotNull()).select("lu_sub_code_id", "short_desc")
+
+
+def _described_details(t: SisTables, sub: DataFrame, value: str) -> DataFrame:
+    """Detail id -> ``value`` of its sub code, for details whose sub code has a description.
 
     The sub-code lookup is by sub code only (as in the source). Details without a sub code, or
     whose description is NULL, cannot win a ``max`` and are dropped before the shuffle.
     """
-    sub = bounded_broadcast(t.incident_lu_sub_code.where(F.col("short_desc").isNotNull())
-                            .select("lu_sub_code_id", "short_desc"), source=t.incident_lu_sub_code)
     return (t.incident_detail.where(F.col("lu_sub_code_id").isNotNull())
             .select("incident_detail_id", "lu_sub_code_id")
             .join(sub, "lu_sub_code_id")
-            .select("incident_detail_id", "short_desc"))
+            .select("incident_detail_id", value))
+
+
+def action_detail_codes(t: SisTables) -> DataFrame:
+    """Detail id -> action short description (see ``_described_details``)."""
+    sub = bounded_broadcast(_described_sub_codes(t), source=t.incident_lu_sub_code)
+    return _described_details(t, sub, "short_desc")
 
 
 def action_codes(t: SisTables) -> DataFrame:
-    """One row per incident with a described action code: the greatest one."""
+    """One row per incident with a described action code: the greatest one.
+
+    As for categories, a bounded sub-code table lets the action rows carry an integer rank
+    (hash aggregation); the rank is mapped back to its text by a broadcast lookup.
+    """
     act = t.incident_action.select("incident_id", F.col("action_incident_detail_id").alias("incident_detail_id"))
-    return (act.join(action_detail_codes(t), "incident_detail_id")
-            .groupBy("incident_id")
-            .agg(F.max("short_desc").alias("action_short_desc")))
+    if not has_at_most(t.incident_lu_sub_code, CODE_TABLE_MAX_ROWS):
+        return (act.join(action_detail_codes(t), "incident_detail_id").groupBy("incident_id")
+                .agg(F.max("short_desc").alias("action_short_desc")))
+    ranks = F.broadcast(code_ranks(_described_sub_codes(t), "short_desc"))
+    ranked_sub = F.broadcast(_described_sub_codes(t).join(ranks, "short_desc").select("lu_sub_code_id", "_rank"))
+    greatest = (act.join(_described_details(t, ranked_sub, "_rank"), "incident_detail_id")
+                .groupBy("incident_id").agg(F.max("_rank").alias("_rank")))
+    return greatest.join(ranks, "_rank").select("incident_id", F.col("short_desc").alias("action_short_desc"))
 
 
 def action_summary(t: SisTables) -> DataFrame:

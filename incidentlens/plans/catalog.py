@@ -24,12 +24,22 @@ WINDOW = DateWindow(dt.date.fromisoformat(REPORT_START), dt.date.fromisoformat(R
 SCOPES = {"selection": lambda: Selection(), "school": lambda: School(REPORT_SCHOOL), "district": lambda: District()}
 
 
+_BUNDLES: dict[tuple[int, str], SisTables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> SisTables:
     """SIS tables derived from the test data under ``sf_dir``, stored once as Parquet in the
-    session's checkpoint folder and read from there (see ``fixtures.materialize``)."""
+    session's checkpoint folder and read from there (see ``fixtures.materialize``).
+
+    The stored snapshot never changes (its folder name is a fingerprint of the sources), so one
+    bundle is kept per session and snapshot, and its lookup-table size probes are done once.
+    """
     apply_report_conf(spark)
     stored = materialize(spark, sf_dir, f"{checkpoint_dir(spark).rstrip('/')}/fixtures")
-    return SisTables.from_parquet_dir(spark, stored)
+    key = (id(spark), stored)
+    if key not in _BUNDLES:
+        _BUNDLES[key] = SisTables.from_parquet_dir(spark, stored)
+    return _BUNDLES[key]
 
 
 def _report(scope: str, detailed: bool) -> Callable[[SparkSession, str], DataFrame]:

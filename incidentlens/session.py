@@ -7,10 +7,10 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session running the reports should carry. The time zone matters because
-# incident timestamps have no zone (timestamp_ntz) and date parameters are compared with them.
+# Settings every session running the reports should carry (all Spark 4 defaults, stated so a
+# session that turned them off gets them back): AQE with skew-join splitting, and ANSI mode so an
+# unparseable date parameter raises instead of silently selecting nothing.
 REPORT_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -24,6 +24,7 @@ def build_session(master: str = "local[*]", app: str = "incidentlens", shuffle_p
     only make sure ``REPORT_CONF`` is applied (``apply_report_conf``)."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for key, value in {**REPORT_CONF, **(extra or {})}.items():

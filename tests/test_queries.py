@@ -105,3 +105,13 @@ def test_labelled_export(spark, tmp_path):
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert back.columns[:3] == ["Student Number", "State ID", "SPED"]
     assert back.count() == df.count()
+
+
+def test_code_rank_path_equals_text_aggregation(spark, monkeypatch):
+    from incidentlens.operators import incidents
+
+    t = catalog.tables(spark, SF_SMALL)
+    ranked = (_bag(incidents.incident_categories(t)), _bag(incidents.action_codes(t)))
+    monkeypatch.setattr(incidents, "CODE_TABLE_MAX_ROWS", 0)   # code tables now count as unbounded
+    text = (_bag(incidents.incident_categories(t)), _bag(incidents.action_codes(t)))
+    assert ranked == text and ranked[0] and ranked[1]
