@@ -33,15 +33,19 @@ def role_lookup(t: SisTables) -> DataFrame:
             .select("role_incident_detail_id", "person_role"))
 
 
-def participations(t: SisTables, incident_keys: DataFrame | None = None) -> DataFrame:
+def participations(t: SisTables, incident_keys: DataFrame | None = None,
+                   student_keys: DataFrame | None = None) -> DataFrame:
     """Participation rows with their role (NULL when the role detail or code is missing).
 
-    With ``incident_keys`` only participations of those incidents are read (a left-semi join,
-    done before the role lookup so the shuffle to the detail table carries only them).
+    With ``incident_keys`` / ``student_keys`` (a ``student_id`` column) only participations of
+    those incidents / students are read: left-semi joins done before the role lookup, so the
+    shuffle to the detail table carries only rows that can reach the report.
     """
     ipr = t.incident_person_role
     if incident_keys is not None:
         ipr = ipr.join(incident_keys.select("incident_id"), "incident_id", "left_semi")
+    if student_keys is not None:
+        ipr = ipr.join(student_keys.select(F.col("student_id").alias("studentid")), "studentid", "left_semi")
     return (ipr.join(role_lookup(t), "role_incident_detail_id", "left")
             .select("incident_id", F.col("studentid").alias("student_id"), "person_role"))
 

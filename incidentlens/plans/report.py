@@ -64,7 +64,9 @@ def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool =
     stu = students.student_facts(t, scope, detailed)
     payload = ["state_id"] + (list(students.PROFILE_FIELDS) if detailed else [])
     in_window = incidents.incidents_in_window(t, window).select("incident_id")
-    parts = participants.participations(t, in_window)
+    # a school or selection scope keeps few students: drop other participations before the role lookup
+    scoped = None if isinstance(scope, District) else stu.select("student_id")
+    parts = participants.participations(t, in_window, scoped)
     chosen = participants.choose_per_student_number(parts, stu, payload)
     weights = t.incident_person_role.select("incident_id")
     rows = join_salting_hot_keys(chosen, facts, "incident_id", ["student_number", "dcid"], weights=weights)
