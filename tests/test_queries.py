@@ -115,3 +115,15 @@ def test_code_rank_path_equals_text_aggregation(spark, monkeypatch):
     monkeypatch.setattr(incidents, "CODE_TABLE_MAX_ROWS", 0)   # code tables now count as unbounded
     text = (_bag(incidents.incident_categories(t)), _bag(incidents.action_codes(t)))
     assert ranked == text and ranked[0] and ranked[1]
+
+
+def test_command_line_job(spark, tmp_path):
+    from incidentlens.__main__ import main
+
+    t = catalog.tables(spark, SF_SMALL)
+    t.write_parquet(str(tmp_path / "sis"))
+    out = tmp_path / "out"
+    main(["--tables", str(tmp_path / "sis"), "--scope", "school:7", "--start", "01/01/1996", "--end", "12/31/2000",
+          "--date-format", "MM/dd/yyyy", "--out", str(out)], spark=spark)
+    back = spark.read.option("header", True).csv(str(out))
+    assert back.count() == QUERIES["report_school"](spark, SF_SMALL).count() > 0

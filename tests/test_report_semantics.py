@@ -157,7 +157,7 @@ def test_link_sorts_as_text(make_tables):
     assert [r["incident_link"][-6:-4] for r in got] == ["10", ">9"]
 
 
-def test_newest_date_first_and_null_title_last(make_tables):
+def test_newest_date_first_then_link_order(make_tables):
     t = make_tables(incident=[(1, None, TS(2020, 10, 5, 9), 3, 100, 101), (2, "z", TS(2020, 10, 5, 9), 3, 100, 101),
                               (3, "a", TS(2020, 11, 5, 9), 3, 100, 101)],
                     incident_detail=[(11, 1, 10, None), (21, 2, 10, None), (31, 3, 10, None)],
@@ -191,3 +191,21 @@ def test_detailed_base_columns_equal_base_report(make_tables):
     base = rows(t)
     detailed = rows(t, detailed=True)
     assert [{k: r[k] for k in base[0]} for r in detailed] == base
+
+
+def test_duplicate_term_rows_change_nothing(make_tables):
+    # the source joins terms twice (inner); duplicates only repeat rows that ROW_NUMBER collapses
+    t = make_tables(incident_person_role=[(1, 7, 12), (1, 8, 12)])
+    doubled = make_tables(incident_person_role=[(1, 7, 12), (1, 8, 12)], terms=lambda r: r + r)
+    assert rows(doubled) == rows(t)
+
+
+def test_input_row_order_changes_nothing(make_tables):
+    from pyspark.sql import functions as F
+
+    base = make_tables(incident_person_role=[(1, 7, 12), (1, 8, 12), (1, 7, 15)],
+                       incident_detail=lambda r: r + [(15, 1, 21, None), (16, 1, 30, 501)],
+                       incident_action=lambda r: r + [(1, 16, "Open", None, None, 1, 1)])
+    shuffled = type(base)(**{f: (df.orderBy(F.rand(7)) if df is not None else None)
+                             for f, df in base.__dict__.items()})
+    assert rows(shuffled) == rows(base)
