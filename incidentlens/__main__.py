@@ -1,6 +1,6 @@
 """Run one report as a Spark job and write it under its display labels.
 
-    spark-submit -m incidentlens --tables /data/sis --scope school:7 \\
+    spark-submit --py-files incidentlens.zip run_report.py --tables /data/sis --scope school:7 \\
         --start 09/01/2024 --end 06/30/2025 --date-format MM/dd/yyyy --detailed --out /reports/school7
 
 ``--tables`` is a folder with one Parquet dataset per SIS table, or ``catalog:<db>[:<ps_db>]``

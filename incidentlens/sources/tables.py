@@ -45,6 +45,9 @@ SCHEMAS: dict[str, T.StructType] = {
     "s_ma_stu_sped_x": _schema(("studentsdcid", L), ("levelofneed", S), ("primarydisability", S)),
 }
 
+REQUIRED_TABLES = ("terms", "incident", "incident_detail", "incident_lu_code", "incident_lu_sub_code", "incident_action",
+                   "incident_person_role", "students", "u_def_ext_students", "schools", "teachers")
+
 # Tables kept in the vendor's ``ps`` schema in the source database.
 PS_SCHEMA_TABLES = ("incident_action", "s_ma_stu_sped_x")
 
@@ -91,9 +94,19 @@ class SisTables:
 
     @classmethod
     def from_parquet_dir(cls, spark: SparkSession, path: str, names: list[str] | None = None) -> "SisTables":
-        """One Parquet dataset per table under ``path`` (``path/incident``, ``path/students``, ...)."""
-        names = names or list(SCHEMAS)
-        return cls.from_frames({n: spark.read.schema(SCHEMAS[n]).parquet(f"{path}/{n}") for n in names})
+        """One Parquet dataset per table under ``path`` (``path/incident``, ``path/students``, ...).
+
+        Optional tables (selection, contacts, state SPED) may be absent; only the reports that
+        need them fail, naming what is missing.
+        """
+        frames = {}
+        for n in names or list(SCHEMAS):
+            try:
+                frames[n] = spark.read.schema(SCHEMAS[n]).parquet(f"{path}/{n}")
+            except Exception:  # noqa: BLE001 - a missing folder
+                if n in REQUIRED_TABLES:
+                    raise
+        return cls.from_frames(frames)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None, ps_database: str = "ps",

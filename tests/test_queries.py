@@ -127,3 +127,16 @@ def test_command_line_job(spark, tmp_path):
           "--date-format", "MM/dd/yyyy", "--out", str(out)], spark=spark)
     back = spark.read.option("header", True).csv(str(out))
     assert back.count() == QUERIES["report_school"](spark, SF_SMALL).count() > 0
+
+
+def test_optional_tables_may_be_missing(spark, tmp_path):
+    from incidentlens.sources.tables import REQUIRED_TABLES, SisTables
+
+    t = catalog.tables(spark, SF_SMALL)
+    for name in REQUIRED_TABLES:
+        getattr(t, name).write.parquet(str(tmp_path / name))
+    partial = SisTables.from_parquet_dir(spark, str(tmp_path))
+    assert partial.person is None
+    assert report.incident_report(partial, District(), catalog.WINDOW).count() > 0
+    with pytest.raises(ValueError, match="studentcontactassoc"):
+        report.incident_report(partial, District(), catalog.WINDOW, detailed=True)
