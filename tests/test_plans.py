@@ -1,0 +1,71 @@
+"""Physical-plan properties of the reports (static plan, automatic broadcasts off = the at-scale shape)."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+
+from incidentlens.operators.scope import District, School
+from incidentlens.plans import catalog, report
+
+from .conftest import SF_SMALL
+
+
+@pytest.fixture()
+def at_scale(spark):
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    for k, v in saved.items():
+        spark.conf.set(k, v)
+
+
+def plan_of(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def _scan_blocks(plan: str) -> list[str]:
+    return [b for b in plan.split("\n\n") if b.lstrip().startswith("(") and "Scan parquet" in b.split("\n")[0]]
+
+
+def test_report_plan_shape(spark, at_scale):
+    t = catalog.tables(spark, SF_SMALL)
+    plan = plan_of(report.incident_report(t, School(7), catalog.WINDOW))
+    assert "PythonUDF" not in plan and "EvalPython" not in plan and "ArrowEvalPython" not in plan
+    scans = _scan_blocks(plan)
+    # the date range reaches the incident scan, the school filter reaches the students scan
+    assert any("PushedFilters" in b and "incident_ts" in b.split("PushedFilters")[1].split("\n")[0] for b in scans)
+    assert any("EqualTo(schoolid,7)" in b for b in scans)
+    # no scan reads a column the report does not use
+    for b in scans:
+        read = re.search(r"ReadSchema: struct<(.*)>", b).group(1)
+        assert "long_desc" not in read and "c_acctbal" not in read
+    # the big code-valued reductions are hash aggregations on an integer rank
+    assert plan.count("HashAggregate") >= 4
+    exchanges = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning)", plan.split("===== Subqueries")[0]))
+    assert exchanges <= 30
+
+
+def test_every_broadcast_is_bounded(spark, at_scale):
+    """With automatic broadcasts off, the only broadcasts are the checked lookups and the bounded hot-key set."""
+    t = catalog.tables(spark, SF_SMALL)
+    plan = plan_of(report.incident_report(t, District(), catalog.WINDOW, detailed=True))
+    broadcast_columns = set()
+    for block in plan.split("\n\n"):
+        lines = block.strip().split("\n")
+        if "BroadcastExchange" in lines[0]:
+            inputs = re.search(r"Input \[\d+\]: \[(.*)\]", block)
+            broadcast_columns.update(re.findall(r"([A-Za-z_]+)#", inputs.group(1)))
+    # the checked lookups are broadcast ...
+    assert {"lu_code_id", "lu_sub_code_id", "school_abbreviation", "_first", "_hot"} <= broadcast_columns
+    # ... and nothing from the tables that grow with the data
+    big_columns = {"incident_detail_id", "studentid", "role_incident_detail_id", "action_incident_detail_id",
+                   "state_studentnumber", "studentcontactassocid", "personid", "incident_title"}
+    assert not (broadcast_columns & big_columns), broadcast_columns & big_columns
