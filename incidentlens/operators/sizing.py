@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 # Row bounds for explicit broadcasts.
 CODE_TABLE_MAX_ROWS = 100_000   # incident_lu_code, incident_lu_sub_code, codeset
-TERMS_MAX_ROWS = 100_000        # terms: a few rows per school and year
 SCHOOLS_MAX_ROWS = 100_000
 STAFF_MAX_ROWS = 500_000        # teachers: (id, name) pairs, about 20 MB at the bound
 
@@ -34,6 +33,9 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     if hit is not None and hit[0]() is df and hit[1] == max_rows:
         return hit[2]
     result = len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    if len(_probed) > 4096:   # forget probes of frames that no longer exist
+        for k in [k for k, v in _probed.items() if v[0]() is None]:
+            del _probed[k]
     _probed[key] = (weakref.ref(df), max_rows, result)
     return result
 

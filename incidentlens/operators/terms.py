@@ -14,7 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import TERMS_MAX_ROWS, bounded
+from .sizing import bounded_broadcast, has_at_most
+
+# A nested-loop range join compares every incident with every term: only for a few terms.
+NESTED_LOOP_MAX_TERMS = 64
+# One row per calendar day spanned by some term: 200,000 days is over 500 years.
+TERM_DAYS_MAX_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -54,23 +59,30 @@ def year_terms(terms: DataFrame) -> DataFrame:
             .select("dcid", "abbreviation", "FirstDay", "LastDay", "schoolid"))
 
 
-def within_terms(df: DataFrame, ts_col: str, terms: DataFrame, max_terms: int = TERMS_MAX_ROWS,
+def within_terms(df: DataFrame, ts_col: str, terms: DataFrame, max_terms: int = NESTED_LOOP_MAX_TERMS,
                  source: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` whose ``ts_col`` lies between ``FirstDay`` and ``LastDay`` of some term.
 
     A left-semi join: a row inside two overlapping terms is kept once, and no term column is
-    carried. With a bounded number of terms (the normal case: one per school year) this is a
-    broadcast nested-loop semi join. Beyond the bound each term is expanded into its days and
-    joined on the incident's day with an equi-join plus the midnight upper bound. ``source`` is the
-    terms table ``terms`` was filtered from, if any (its size bounds ``terms``).
+    carried. ``source`` is the terms table ``terms`` was filtered from, if any (its size bounds
+    ``terms``).
+
+    * At most ``max_terms`` terms (the normal case: one per school year): a broadcast
+      nested-loop semi join, a handful of comparisons per incident.
+    * More terms: each term is expanded into its days and, per day, only the latest last day of
+      the terms covering it is kept. An incident on day ``d`` is inside some term exactly when
+      ``ts <= that latest last day`` (midnight), so the test becomes a unique-key lookup on the
+      incident's day. That table has one row per distinct day (about 11,000 for 30 years),
+      whatever the number of terms, and is broadcast when within ``TERM_DAYS_MAX_ROWS``.
     """
     spans = (terms.where(F.col("FirstDay").isNotNull() & F.col("LastDay").isNotNull())
              .select(F.col("FirstDay").alias("_first"), F.col("LastDay").alias("_last")))
-    spans, small = bounded(spans, max_terms, source)
     ts = F.col(ts_col)
-    if small:
-        return df.join(spans, ts.between(F.col("_first"), F.col("_last")), "left_semi")
+    if has_at_most(source if source is not None else spans, max_terms):
+        return df.join(F.broadcast(spans), ts.between(F.col("_first"), F.col("_last")), "left_semi")
     days = (spans.where(F.col("_first") <= F.col("_last"))
-            .select(F.explode(F.sequence("_first", "_last")).alias("_day"), "_last"))
+            .select(F.explode(F.sequence("_first", "_last")).alias("_day"), "_last")
+            .groupBy("_day").agg(F.max("_last").alias("_last")))
+    days = bounded_broadcast(days, TERM_DAYS_MAX_ROWS)
     cond = (F.to_date(ts) == F.col("_day")) & (ts <= F.col("_last"))
     return df.join(days, cond, "left_semi")

@@ -209,3 +209,16 @@ def test_input_row_order_changes_nothing(make_tables):
     shuffled = type(base)(**{f: (df.orderBy(F.rand(7)) if df is not None else None)
                              for f, df in base.__dict__.items()})
     assert rows(shuffled) == rows(base)
+
+
+@pytest.mark.parametrize("max_terms", [64, 0])   # nested loop, and the per-day lookup used for many terms
+def test_term_join_paths_agree_on_midnight_and_overlap(spark, max_terms):
+    from incidentlens.operators.terms import within_terms
+
+    terms = spark.createDataFrame([(D(2020, 9, 1), D(2020, 10, 5)), (D(2020, 10, 5), D(2020, 12, 1)),
+                                   (D(2021, 1, 1), D(2021, 1, 2))], "FirstDay date, LastDay date")
+    inc = spark.createDataFrame([(1, TS(2020, 10, 5, 10)), (2, TS(2020, 8, 31, 23)), (3, TS(2021, 1, 2, 0)),
+                                 (4, TS(2021, 1, 2, 0, 0, 1)), (5, TS(2020, 12, 31, 23))],
+                                "incident_id long, incident_ts timestamp_ntz")
+    got = sorted(r[0] for r in within_terms(inc, "incident_ts", terms, max_terms=max_terms).collect())
+    assert got == [1, 3]
