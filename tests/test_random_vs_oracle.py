@@ -110,3 +110,27 @@ def test_random_tables_match_fanout_oracle(spark, seed, scope, detailed):
                             first="DATE '2020-09-01'", last="DATE '2021-06-30'")
     want = Counter(tuple(_norm(v) for v in row) for row in con.execute(sql).fetchall())
     assert got == want, (seed, scope, detailed, got - want, want - got)
+
+
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "20")) // 2, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**9), scope=st.sampled_from(["district", "school", "selection"]), detailed=st.booleans())
+def test_random_tables_match_oracle_on_the_large_data_paths(spark, seed, scope, detailed):
+    """Same check with every size-dependent choice taken the way it is taken on huge tables: no
+    explicit or automatic broadcast, text aggregation instead of code ranks, the per-day term
+    lookup instead of the nested loop, and every incident salted in the final join."""
+    import pytest
+
+    from incidentlens.operators import incidents, sizing, skew, terms
+
+    never = lambda df, n: False
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.MonkeyPatch.context() as mp:
+        for module in (sizing, incidents, terms):
+            mp.setattr(module, "has_at_most", never)
+        mp.setattr(skew, "HOT_KEY_ROWS", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            test_random_tables_match_fanout_oracle.hypothesis.inner_test(spark, seed, scope, detailed)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
