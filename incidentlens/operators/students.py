@@ -7,7 +7,7 @@ on; the three are never interchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, exprs
@@ -52,7 +52,7 @@ def guardian_names(t: SisTables, students: DataFrame | None = None) -> DataFrame
         F.max(F.when(F.col("description") == codes.FATHER, F.col("name"))).alias("father_name"))
 
 
-def _listed(name: str) -> F.Column:
+def _listed(name: str) -> Column:
     return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(codes.GUARDIAN_NOT_LISTED)).alias(name)
 
 
