@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from .operators.scope import District, School, Scope, Selection
 from .operators.terms import DateWindow
 from .plans.report import export, incident_report
-from .session import apply_report_conf
+from .session import apply_large_input_conf, apply_report_conf
 from .sources.tables import SisTables
 
 
@@ -50,9 +50,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     p.add_argument("--out", required=True)
     p.add_argument("--format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--mode", default="errorifexists")
+    p.add_argument("--large", action="store_true", help="partition sizing for very large inputs (see session.py)")
     args = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName("incidentlens").getOrCreate()
     apply_report_conf(spark)
+    if args.large:
+        apply_large_input_conf(spark)
     t = load_tables(spark, args.tables)
     scope = parse_scope(spark, args.scope)
     report = incident_report(t, scope, DateWindow(args.start, args.end, args.date_format), detailed=args.detailed)

@@ -18,6 +18,24 @@ REPORT_CONF = {
 }
 
 
+# Partition sizing for very large inputs (tens to hundreds of TB). AQE starts every shuffle
+# with many partitions and coalesces them toward 256 MB, so no task holds more than it can
+# sort without heavy spilling and small reports do not end up with thousands of tiny tasks;
+# file splits match that size; a partition counts as skewed from 1 GB.
+LARGE_INPUT_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
+def apply_large_input_conf(spark: SparkSession) -> None:
+    for key, value in LARGE_INPUT_CONF.items():
+        spark.conf.set(key, value)
+
+
 def build_session(master: str = "local[*]", app: str = "incidentlens", shuffle_partitions: int = 8,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A session for tests and local benchmarks. On a cluster, use the cluster's session and

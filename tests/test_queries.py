@@ -140,3 +140,19 @@ def test_optional_tables_may_be_missing(spark, tmp_path):
     assert report.incident_report(partial, District(), catalog.WINDOW).count() > 0
     with pytest.raises(ValueError, match="studentcontactassoc"):
         report.incident_report(partial, District(), catalog.WINDOW, detailed=True)
+
+
+def test_large_input_settings_keep_results(spark):
+    from incidentlens.session import LARGE_INPUT_CONF, apply_large_input_conf
+
+    base = _bag(QUERIES["report_school"](spark, SF_SMALL))
+    saved = {k: spark.conf.get(k, None) for k in LARGE_INPUT_CONF}
+    try:
+        apply_large_input_conf(spark)
+        assert _bag(QUERIES["report_school"](spark, SF_SMALL)) == base
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
