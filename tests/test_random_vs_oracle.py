@@ -134,3 +134,30 @@ def test_random_tables_match_oracle_on_the_large_data_paths(spark, seed, scope,
             test_random_tables_match_fanout_oracle.hypothesis.inner_test(spark, seed, scope, detailed)
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "20")) // 2, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10**9))
+def test_random_tables_sort_positions_match(spark, seed):
+    """Row positions of the report order (NULL placement, link as text, date descending)."""
+    from incidentlens.functions.codes import BASE_COLUMNS
+    from incidentlens.operators.position import with_sort_position
+    from incidentlens.plans.report import report_order, report_rows
+
+    rows = random_tables(seed)
+    t = SisTables.from_frames({n: spark.createDataFrame(v, SCHEMAS[n]) for n, v in rows.items()})
+    placed = with_sort_position(report_rows(t, District(), WINDOW), report_order(), "pos")
+    got = sorted(tuple(_norm(v) for v in r) for r in placed.select(*BASE_COLUMNS, "pos").collect())
+
+    con = duckdb.connect()
+    for name, values in rows.items():
+        con.register(name, _arrow(values, SCHEMAS[name]))
+    body = oracle.report_sql("district", False, fixtures=False, school=SCHOOL,
+                             first="DATE '2020-09-01'", last="DATE '2021-06-30'")
+    ranked = body.replace(f"SELECT {oracle.BASE_SELECT} FROM fanout WHERE row_num = 1 ORDER BY {oracle.ORDER_BY}",
+                          f"SELECT {oracle.BASE_SELECT}, row_number() OVER (ORDER BY {oracle.ORDER_BY}) AS pos "
+                          f"FROM fanout WHERE row_num = 1")
+    assert ranked != body
+    want = sorted(tuple(_norm(v) for v in r) for r in con.execute(ranked).fetchall())
+    assert got == want, seed
