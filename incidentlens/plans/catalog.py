@@ -24,7 +24,7 @@ WINDOW = DateWindow(dt.date.fromisoformat(REPORT_START), dt.date.fromisoformat(R
 SCOPES = {"selection": lambda: Selection(), "school": lambda: School(REPORT_SCHOOL), "district": lambda: District()}
 
 
-_BUNDLES: dict[tuple[int, str], SisTables] = {}
+_BUNDLES: dict[tuple[str, str], SisTables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> SisTables:
@@ -36,7 +36,7 @@ def tables(spark: SparkSession, sf_dir: str) -> SisTables:
     """
     apply_report_conf(spark)
     stored = materialize(spark, sf_dir, f"{checkpoint_dir(spark).rstrip('/')}/fixtures")
-    key = (id(spark), stored)
+    key = (spark.sparkContext.applicationId, stored)
     if key not in _BUNDLES:
         _BUNDLES[key] = SisTables.from_parquet_dir(spark, stored)
     return _BUNDLES[key]
