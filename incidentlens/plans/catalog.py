@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..checks import oracle
 from ..operators.scope import District, School, Selection
 from ..operators.terms import DateWindow
-from ..session import apply_report_conf, checkpoint_dir
+from ..session import application_id, apply_report_conf, checkpoint_dir
 from ..sources.fixtures import REPORT_END, REPORT_SCHOOL, REPORT_START, materialize
 from ..sources.tables import SisTables
 from . import report, steps
@@ -36,7 +36,7 @@ def tables(spark: SparkSession, sf_dir: str) -> SisTables:
     """
     apply_report_conf(spark)
     stored = materialize(spark, sf_dir, f"{checkpoint_dir(spark).rstrip('/')}/fixtures")
-    key = (spark.sparkContext.applicationId, stored)
+    key = (application_id(spark), stored)
     if key not in _BUNDLES:
         _BUNDLES[key] = SisTables.from_parquet_dir(spark, stored)
     return _BUNDLES[key]

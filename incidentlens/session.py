@@ -48,7 +48,8 @@ def build_session(master: str = "local[*]", app: str = "incidentlens", shuffle_p
     for key, value in {**REPORT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        _context(spark).setLogLevel("ERROR")
     apply_report_conf(spark)
     return spark
 
@@ -58,23 +59,32 @@ def apply_report_conf(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach; it is read, never
     replaced. Only when it is unset (local tests) is a fresh scratch folder created and set.
     """
+    sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    local = tempfile.mkdtemp(prefix="incidentlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+        configured = tempfile.mkdtemp(prefix="incidentlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
+    return configured
+
+
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
