@@ -53,7 +53,10 @@ def guardian_names(t: SisTables, students: DataFrame | None = None) -> DataFrame
 
 
 def _listed(name: str) -> Column:
-    return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(codes.GUARDIAN_NOT_LISTED)).alias(name)
+    """The guardian name, or 'Guardian not listed'. A student without a ``dcid`` has no contact
+    row at all in the source (its join key is NULL), so the name stays NULL there."""
+    listed = F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(codes.GUARDIAN_NOT_LISTED))
+    return F.when(F.col("dcid").isNotNull(), listed).alias(name)
 
 
 def student_facts(t: SisTables, scope: Scope, detailed: bool = False) -> DataFrame:

@@ -73,6 +73,8 @@ def random_tables(seed: int) -> dict[str, list[tuple]]:
     numbers = [r.choice([5000, 5001, 5002, None]) for _ in students]
     stu = [(s, 1000 + s, numbers[k], _maybe(r, f"S{s}"), f"Name{s}", r.choice([3, 4]), _maybe(r, D(2010, 1, s)),
             _maybe(r, f"{s} Main"), _maybe(r, "Town"), "MA", _maybe(r, "01000")) for k, s in enumerate(students)]
+    if r.random() < 0.2:   # one student without a dcid (no extension, selection or contact row can match)
+        stu[-1] = stu[-1][:1] + (None,) + stu[-1][2:]
     ext = [(1000 + s, _maybe(r, r.choice(["yes", "NO", "Ref", "x"])),
             _maybe(r, r.choice(["FRMR", "former", "no-p", "YES-P", "ref", "zz"])))
            for s in students for _ in range(r.randint(0, 2))]

@@ -222,3 +222,12 @@ def test_term_join_paths_agree_on_midnight_and_overlap(spark, max_terms):
                                 "incident_id long, incident_ts timestamp_ntz")
     got = sorted(r[0] for r in within_terms(inc, "incident_ts", terms, max_terms=max_terms).collect())
     assert got == [1, 3]
+
+
+def test_student_without_dcid_has_no_guardian_row(make_tables):
+    # the source joins contacts on dcid: a NULL dcid matches nothing, so the names stay NULL
+    t = make_tables(students=lambda r: [(7, None) + r[0][2:], r[1]])
+    (r,) = rows(t, detailed=True)
+    assert (r["mother_name"], r["father_name"]) == (None, None)
+    assert (r["sped_code"], r["english_learner_code"]) == ("Unknown", "Unknown")
+    assert r["student_link"] == "<a href=/admin/students/home.html?frn=001 target=_blank>5007</a>"
