@@ -119,12 +119,15 @@ def action_summary(t: SisTables) -> DataFrame:
 
 
 def school_names(t: SisTables) -> DataFrame:
-    return bounded_broadcast(t.schools.select("school_number", F.col("abbreviation").alias("school_abbreviation")),
-                             SCHOOLS_MAX_ROWS, source=t.schools)
+    """School number -> abbreviation; a number listed twice keeps its smallest abbreviation, so
+    an incident never gets two report rows (the source would keep an arbitrary one)."""
+    names = t.schools.groupBy("school_number").agg(F.min("abbreviation").alias("school_abbreviation"))
+    return bounded_broadcast(names, SCHOOLS_MAX_ROWS, source=t.schools)
 
 
 def staff_names(t: SisTables) -> DataFrame:
-    return t.teachers.select("id", "lastfirst")
+    """Staff id -> name, one per id (the smallest when an id is listed twice)."""
+    return t.teachers.groupBy("id").agg(F.min("lastfirst").alias("lastfirst"))
 
 
 def with_staff(df: DataFrame, t: SisTables) -> DataFrame:

@@ -1,8 +1,8 @@
 """Randomised SIS tables, small and dense in corner cases, run through the Spark report and through
 the DuckDB fan-out oracle (no reduction, ROW_NUMBER with the tie-break). They must agree.
 
-Primary keys the reports assume stay unique (students.id and dcid, incident_id, school_number,
-teachers.id); everything else may repeat or be NULL: several extension rows per student,
+Primary keys the reports assume stay unique (students.id and dcid, incident_id); everything else
+may repeat or be NULL: a school number or staff id listed twice, several extension rows per student,
 shared student numbers, NULL categories, sub codes shared by two code types, actions pointing
 at missing details, roles pointing at another incident's detail, duplicate selections.
 """
@@ -85,8 +85,9 @@ def random_tables(seed: int) -> dict[str, list[tuple]]:
     return {
         "terms": terms, "incident": incident, "incident_detail": detail, "incident_lu_code": codes,
         "incident_lu_sub_code": subs, "incident_action": action, "incident_person_role": ipr, "students": stu,
-        "u_def_ext_students": ext, "schools": [(3, "NORTH"), (4, "SOUTH")],
-        "teachers": [(100, "Smith, Ann"), (101, "Jones, Bob")], "current_selection": selection,
+        "u_def_ext_students": ext, "schools": [(3, "NORTH"), (4, "SOUTH")] + [(3, "EAST")] * (r.random() < 0.2),
+        "teachers": [(100, "Smith, Ann"), (101, "Jones, Bob")] + [(100, "Adams, Al")] * (r.random() < 0.2),
+        "current_selection": selection,
         "studentcontactassoc": assoc, "studentcontactdetail": cdetail, "person": person,
         "codeset": [(1, "Mother"), (2, "Father"), (3, "father")], "s_ma_stu_sped_x": [],
     }
