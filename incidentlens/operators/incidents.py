@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, exprs
 from ..sources.tables import SisTables
 from .sizing import CODE_TABLE_MAX_ROWS, SCHOOLS_MAX_ROWS, STAFF_MAX_ROWS, bounded_broadcast, has_at_most
+from .skew import join_salting_hot_keys
 from .terms import DateWindow, within_terms, year_terms
 
 PLAN_FIELDS = ("action_plan_begin_dt", "action_plan_end_dt", "duration_assigned", "duration_actual")
@@ -134,14 +135,21 @@ def with_staff(df: DataFrame, t: SisTables) -> DataFrame:
     """Creator and last modifier names (two left joins to the same staff table).
 
     A staff table within ``STAFF_MAX_ROWS`` is broadcast, so the incident side is not shuffled
-    twice by staff id and keeps its ``incident_id`` partitioning. Beyond the bound both joins
-    are shuffle joins; a creator id holding a third of all incidents is then split by AQE's
-    skew-join handling (the incident side is the left side of a left outer join).
+    by staff id and keeps its ``incident_id`` partitioning. Beyond the bound both joins are
+    shuffle joins whose staff side comes out of the one-name-per-id aggregation already
+    partitioned, which AQE cannot split; a staff id behind a third of all incidents is
+    therefore salted explicitly (hot ids found by a one-column count over ``incident``).
     """
-    staff = bounded_broadcast(staff_names(t), STAFF_MAX_ROWS, source=t.teachers)
+    staff = staff_names(t)
     creator = staff.select(F.col("id").alias("created_by"), F.col("lastfirst").alias("created_by_name"))
     modifier = staff.select(F.col("id").alias("last_modified_by"), F.col("lastfirst").alias("last_modified_by_name"))
-    return df.join(creator, "created_by", "left").join(modifier, "last_modified_by", "left")
+    if has_at_most(t.teachers, STAFF_MAX_ROWS):
+        return (df.join(F.broadcast(creator), "created_by", "left")
+                .join(F.broadcast(modifier), "last_modified_by", "left"))
+    out = join_salting_hot_keys(df, creator, "created_by", ["incident_id"], how="left",
+                                weights=t.incident.select("created_by"))
+    return join_salting_hot_keys(out, modifier, "last_modified_by", ["incident_id"], how="left",
+                                 weights=t.incident.select("last_modified_by"))
 
 
 def incident_facts(t: SisTables, window: DateWindow) -> DataFrame:

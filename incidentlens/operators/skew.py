@@ -44,9 +44,11 @@ def hot_keys(weights: DataFrame, key: str, threshold: int | None = None,
 def join_salting_hot_keys(big: DataFrame, small: DataFrame, key: str, spread: Sequence[str], how: str = "inner",
                           weights: DataFrame | None = None, threshold: int | None = None,
                           max_hot_keys: int | None = None, salts: int | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` for ``how`` in inner/left, with ``small`` unique on ``key``.
+    """``big.join(small, key, how)`` for ``how`` in inner/left.
 
-    ``spread`` names columns of ``big`` that vary within a key; their hash picks the salt.
+    ``small`` should hold few rows per key (a dimension): its rows of hot keys are replicated
+    ``salts`` times. ``spread`` names columns of ``big`` that vary within a key; their hash
+    picks the salt.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
