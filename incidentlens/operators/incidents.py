@@ -126,6 +126,17 @@ def school_names(t: SisTables) -> DataFrame:
     return bounded_broadcast(names, SCHOOLS_MAX_ROWS, source=t.schools)
 
 
+def with_school(df: DataFrame, t: SisTables) -> DataFrame:
+    """Inner join to the incident's school. A bounded school table is broadcast; beyond the bound
+    a school behind a third of all incidents is salted (the aggregated school side is already
+    partitioned, which AQE cannot split)."""
+    names = school_names(t)
+    if has_at_most(t.schools, SCHOOLS_MAX_ROWS):
+        return df.join(names, "school_number")
+    return join_salting_hot_keys(df, names, "school_number", ["incident_id"],
+                                 weights=t.incident.select("school_number"))
+
+
 def staff_names(t: SisTables) -> DataFrame:
     """Staff id -> name, one per id (the smallest when an id is listed twice)."""
     return t.teachers.groupBy("id").agg(F.min("lastfirst").alias("lastfirst"))
@@ -160,8 +171,7 @@ def incident_facts(t: SisTables, window: DateWindow) -> DataFrame:
     """
     inc = incidents_in_window(t, window).select(
         "incident_id", "incident_title", "incident_ts", "school_number", "created_by", "last_modified_by")
-    facts = (inc.join(incident_categories(t), "incident_id")
-             .join(school_names(t), "school_number")
+    facts = (with_school(inc.join(incident_categories(t), "incident_id"), t)
              .join(action_codes(t), "incident_id", "left")
              .join(action_summary(t), "incident_id", "left"))
     return with_staff(facts, t)
