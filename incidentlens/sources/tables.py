@@ -109,14 +109,19 @@ class SisTables:
         return cls.from_frames(frames)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, database: str | None = None, ps_database: str = "ps",
+    def from_catalog(cls, spark: SparkSession, database: str | None = None, ps_database: str | None = "ps",
                      names: list[str] | None = None) -> "SisTables":
-        """Catalog tables; ``incident_action`` and ``s_ma_stu_sped_x`` live in ``ps_database``."""
-        names = names or list(SCHEMAS)
+        """Catalog tables; ``incident_action`` and ``s_ma_stu_sped_x`` live in ``ps_database``.
+
+        With ``database``/``ps_database`` None the plain names are used (e.g. temporary views).
+        Optional tables that do not exist are left out.
+        """
         frames = {}
-        for n in names:
+        for n in names or list(SCHEMAS):
             db = ps_database if n in PS_SCHEMA_TABLES else database
-            frames[n] = spark.table(f"{db}.{n}" if db else n)
+            name = f"{db}.{n}" if db else n
+            if n in REQUIRED_TABLES or spark.catalog.tableExists(name):
+                frames[n] = spark.table(name)
         return cls.from_frames(frames)
 
     @classmethod

@@ -156,3 +156,19 @@ def test_large_input_settings_keep_results(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_catalog_loader_reads_views(spark):
+    from incidentlens.sources.tables import REQUIRED_TABLES, SisTables
+
+    t = catalog.tables(spark, SF_SMALL)
+    for name in REQUIRED_TABLES:
+        getattr(t, name).createOrReplaceTempView(name)
+    try:
+        from_views = SisTables.from_catalog(spark, database=None, ps_database=None)
+        assert from_views.person is None
+        assert _bag(report.incident_report(from_views, District(), catalog.WINDOW)) == \
+            _bag(report.incident_report(t, District(), catalog.WINDOW))
+    finally:
+        for name in REQUIRED_TABLES:
+            spark.catalog.dropTempView(name)
