@@ -98,7 +98,7 @@ def _arrow(rows: list[tuple], schema: T.StructType) -> pa.Table:
     return pa.Table.from_pylist([dict(zip(schema.fieldNames(), row)) for row in rows], schema=pa.schema(fields))
 
 
-@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "20")), deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "12")), deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10**9), scope=st.sampled_from(["district", "school", "selection"]), detailed=st.booleans())
 def test_random_tables_match_fanout_oracle(spark, seed, scope, detailed):
     rows = random_tables(seed)
@@ -115,7 +115,7 @@ def test_random_tables_match_fanout_oracle(spark, seed, scope, detailed):
     assert got == want, (seed, scope, detailed, got - want, want - got)
 
 
-@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "20")) // 2, deadline=None,
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "12")) // 2, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10**9), scope=st.sampled_from(["district", "school", "selection"]), detailed=st.booleans())
 def test_random_tables_match_oracle_on_the_large_data_paths(spark, seed, scope, detailed):
@@ -139,7 +139,7 @@ def test_random_tables_match_oracle_on_the_large_data_paths(spark, seed, scope,
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "20")) // 2, deadline=None,
+@settings(max_examples=int(os.environ.get("RANDOM_EXAMPLES", "12")) // 2, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(seed=st.integers(0, 10**9))
 def test_random_tables_sort_positions_match(spark, seed):
