@@ -172,3 +172,15 @@ def test_catalog_loader_reads_views(spark):
     finally:
         for name in REQUIRED_TABLES:
             spark.catalog.dropTempView(name)
+
+
+@pytest.mark.parametrize("n,parts", [(0, 3), (1, 1), (997, 7)])
+def test_sort_position_is_dense_and_ordered(spark, n, parts):
+    from incidentlens.operators.position import with_sort_position
+
+    df = spark.range(n).repartition(parts).select((F.col("id") * 7 % 1000).alias("k"), F.col("id"))
+    got = [(r["k"], r["id"], r["pos"]) for r in with_sort_position(df, [F.col("k").desc(), F.col("id")], "pos")
+           .orderBy("pos").collect()]
+    want = sorted(((r["k"], r["id"]) for r in df.collect()), key=lambda x: (-x[0], x[1]))
+    assert [(k, i) for k, i, _ in got] == want
+    assert [p for _, _, p in got] == list(range(1, n + 1))
