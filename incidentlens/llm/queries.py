@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from .mixing import op8_mixing
+from .personal import op5_personal_data
 from .pieces import op1_sentencepiece
 from .quality import op9_quality_rules
 from .sharding import op10_sharding
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op8_mixing, op9_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op5_personal_data, op8_mixing, op9_quality_rules, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
