@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from .webpages import op2_html_extraction
+from .jaccard import op6_ngram_jaccard_join
 from .mixing import op8_mixing
 from .personal import op5_personal_data
 from .pieces import op1_sentencepiece
 from .quality import op9_quality_rules
 from .sharding import op10_sharding
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op5_personal_data, op8_mixing, op9_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op5_personal_data, op6_ngram_jaccard_join, op8_mixing, op9_quality_rules, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
