@@ -53,7 +53,9 @@ class Words:
     def __init__(self, texts: pa.Array, lower: bool = True):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        # copied: the string kernels below want arrays that start where their buffers do
+        texts = pa.concat_arrays([texts.cast(pa.large_string()), pa.array([], pa.large_string())])
+        texts = pc.fill_null(texts, "")
         if lower:
             texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(texts)
