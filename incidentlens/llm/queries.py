@@ -8,7 +8,8 @@ from .mixing import op8_mixing
 from .personal import op5_personal_data
 from .pieces import op1_sentencepiece
 from .quality import op9_quality_rules
+from .repeats import op7_substring_dedup
 from .sharding import op10_sharding
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op5_personal_data, op6_ngram_jaccard_join, op8_mixing, op9_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op5_personal_data, op6_ngram_jaccard_join, op7_substring_dedup, op8_mixing, op9_quality_rules, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
