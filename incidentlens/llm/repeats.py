@@ -30,7 +30,7 @@ from .jaccard import _groups
 N_GRAM = 5
 SIMILARITY = 0.75
 MIN_LINE = 20
-MIN_RUN = 32
+MIN_RUN = 38
 #: Half width of the window in which a segment border's hash is the smallest.
 REACH = 4
 LONGEST = 24
@@ -86,6 +86,9 @@ class Lines:
         for k in range(1, REACH + 1):
             low[k:] &= pair[k:] < pair[:-k]
             low[:-k] &= pair[:-k] <= pair[k:]
+        into = np.arange(n) - np.repeat(self.starts, self.ends - self.starts)
+        rest = np.repeat(self.ends, self.ends - self.starts) - np.arange(n)
+        low &= (into >= SHORTEST) & (rest >= SHORTEST)
         low[self.starts] = True
         found = np.flatnonzero(low)
         size = np.diff(np.concatenate([found, [n]]))
