@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pandas.util import hash_array
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """An object of bounded size for all tasks. It is broadcast with its class's code, so that
+    executors need no copy of this package; ``get`` is called once per task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.broadcast = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self):
+        return cloudpickle.loads(self.broadcast.value)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns that an operator is about to add (compared as Spark compares names)."""
     taken = {n.lower() for n in names}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, scramble, shingles, slices, stored, table, without
+from .common import Shared, Words, scramble, shingles, slices, stored, table, without
 from .graph import components
 
 N_GRAM = 5
@@ -83,10 +83,11 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     """(doc_id, n_shingles, hi, lo, level, prefix) per row; hi, lo: digest of the set (NULL if empty).
 
     The prefix is given once per set and batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    shared = Shared(docs.sparkSession, sketch)
 
     def run(batches):
-        usual = float(np.median(shared.value)) * 1.2 + 4.0
+        cells = shared.get()
+        usual = float(np.median(cells)) * 1.2 + 4.0
         for batch in slices(batches):
             h, starts = shingles(Words(batch.column(1)), N_GRAM)
             rows, known = [], set()
@@ -100,7 +101,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                     rows.append((len(own), hi, lo, 0, None))
                     continue
                 known.add((hi, lo))
-                tokens, level = prefix(own, shared.value[_cells(own)], usual)
+                tokens, level = prefix(own, cells[_cells(own)], usual)
                 rows.append((len(own), hi, lo, level, tokens.view(np.int64)))
             n, his, los, levels, prefixes = zip(*rows)
             yield pa.RecordBatch.from_arrays(

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, table, without
+from .common import Shared, slices, table, without
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -417,13 +417,13 @@ def load(path: str = MODEL_PATH) -> Vocabulary:
 def encode(docs: DataFrame, model_path: str = MODEL_PATH, column: str = "text") -> DataFrame:
     """``docs`` plus ``ids`` (array of int) and ``n_tokens``."""
     docs = without(docs, "ids", "n_tokens")
-    shared = docs.sparkSession.sparkContext.broadcast(load(model_path))
+    shared = Shared(docs.sparkSession, load(model_path))
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
                            T.StructField("n_tokens", T.LongType(), False)])
 
     def run(batches):
-        vocab = shared.value
-        for batch in slices(batches, max_bytes=8_000_000):
+        vocab = shared.get()
+        for batch in slices(batches, max_bytes=6_000_000):
             ids, bounds = encode_texts(vocab, batch.column(column).to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(np.diff(bounds), pa.int64())],
@@ -435,12 +435,12 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, column: str = "text")
 def decode(rows: DataFrame, model_path: str = MODEL_PATH, column: str = "ids") -> DataFrame:
     """``rows`` plus ``decoded``, the text of ``column`` (NULL ids: NULL)."""
     rows = without(rows, "decoded")
-    shared = rows.sparkSession.sparkContext.broadcast(load(model_path))
+    shared = Shared(rows.sparkSession, load(model_path))
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches):
-        vocab = shared.value
-        for batch in slices(batches, max_bytes=16_000_000):
+        vocab = shared.get()
+        for batch in slices(batches, max_bytes=8_000_000):
             lists = batch.column(column)
             flat = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
             sizes = pc.fill_null(pc.list_value_length(lists), -1).to_numpy(zero_copy_only=False)
