@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .webpages import op2_html_extraction
 from .jaccard import op6_ngram_jaccard_join
+from .language_model import op3_lm_scoring
 from .mixing import op8_mixing
 from .neighbours import op4_nearest_neighbours
 from .personal import op5_personal_data
@@ -12,5 +13,5 @@ from .quality import op9_quality_rules
 from .repeats import op7_substring_dedup
 from .sharding import op10_sharding
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op4_nearest_neighbours, op5_personal_data, op6_ngram_jaccard_join, op7_substring_dedup, op8_mixing, op9_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op3_lm_scoring, op4_nearest_neighbours, op5_personal_data, op6_ngram_jaccard_join, op7_substring_dedup, op8_mixing, op9_quality_rules, op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
