@@ -12,7 +12,7 @@ whose sets are still in different components. So a group of n near copies costs
 and no link between different texts is lost for the components.
 
 Defined results: a NULL, empty or white-space text has no shingles and is a component of its
-own; rows that repeat a doc_id are one document; an empty table gives an empty result; input
+own; rows that repeat a doc_id are one document; a NULL doc_id links with nothing; an empty table gives an empty result; input
 columns named like an output are replaced.
 """
 
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, ...)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sigs = stored(signatures(docs, frequency_sketch(docs)), "jaccard-sets")
-    classes = stored(sigs.where("lo is not null").groupBy("hi", "lo")
+    classes = stored(sigs.where("lo is not null and doc_id is not null").groupBy("hi", "lo")
                      .agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("level").alias("level")),
                      "jaccard-classes")
     postings = stored(shared_postings(sigs), "jaccard-postings")
@@ -277,13 +277,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     whole = stored(classes.select("hi", "lo", "doc").join(parts, "doc", "left")
                    .select("hi", "lo", F.coalesce("component", "doc").alias("component_id")), "jaccard-result")
     return (sigs.select("doc_id", "n_shingles", "hi", "lo").join(whole, ["hi", "lo"], "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component (all columns kept)."""
-    heads = near_duplicates(docs).where("component_id = doc_id").select("doc_id").distinct()
-    return docs.join(heads, "doc_id", "left_semi").select(*docs.columns)
+    """One row of ``docs`` per component, that of the smallest doc_id (all columns kept).
+
+    Rows without a doc_id cannot be named as anyone's copy and stay."""
+    heads = stored(near_duplicates(docs).where("component_id = doc_id").select("doc_id").distinct(), "jaccard-heads")
+    kept = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
