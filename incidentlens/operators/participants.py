@@ -4,7 +4,7 @@ The source keeps, per (incident_id, student_number), the first row of a window o
 action code. After the per-incident reductions every candidate row of such a group carries
 the same incident values, so the only choice left is *which participating student and role*
 — it matters when two students share a ``student_number`` or a student has several roles.
-That choice is one ``min`` over a struct ordered like our tie-break (role, SPED, EL, dcid;
+That choice is one ``min`` over a struct ordered like our tie-break (role, SPED, EL, dcid, id;
 ascending, nulls last): a hash-partitioned aggregation with map-side partial aggregation,
 so an incident with a third of all participants is spread over ``student_number`` and
 reduced per task; no group is ever collected.
@@ -19,20 +19,25 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..sources.tables import SisTables
-from .sizing import bounded_broadcast
 
-TIE_BREAK = ("person_role", "sped_code", "english_learner_code", "dcid")
+TIE_BREAK = ("person_role", "sped_code", "english_learner_code", "dcid", "student_id")
 
 
 def role_lookup(t: SisTables) -> DataFrame:
     """Role detail id -> role name (any code type, as in the source)."""
-    names = bounded_broadcast(t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role")),
-                              source=t.incident_lu_code)
+    names = t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role"))
     return (t.incident_detail.select(F.col("incident_detail_id").alias("role_incident_detail_id"), "lu_code_id")
             .join(names, "lu_code_id")
             .select("role_incident_detail_id", "person_role"))
 
 
+def taking_part(t: SisTables, incident_keys: DataFrame, student_keys: DataFrame) -> DataFrame:
+    """The given incidents in which one of the given students (a ``student_id`` column) takes part."""
+    ipr = t.incident_person_role.select("incident_id", F.col("studentid").alias("student_id"))
+    ipr = ipr.join(student_keys.select("student_id"), "student_id", "left_semi")
+    return incident_keys.join(ipr.select("incident_id"), "incident_id", "left_semi").select("incident_id")
+
+
 def participations(t: SisTables, incident_keys: DataFrame | None = None,
                    student_keys: DataFrame | None = None) -> DataFrame:
     """Participation rows with their role (NULL when the role detail or code is missing).

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions import codes, exprs
 from ..sources.tables import SisTables
 from .scope import Scope
-from .sizing import bounded_broadcast
 
 PROFILE_FIELDS = ("dob", "student_lastfirst", "mother_name", "father_name", "street", "city", "state", "zip",
                   "address_full")
@@ -37,9 +36,8 @@ def guardian_names(t: SisTables, students: DataFrame | None = None) -> DataFrame
     fills in 'Guardian not listed'.
     """
     t.require("studentcontactassoc", "studentcontactdetail", "person", "codeset")
-    rel = bounded_broadcast(t.codeset.where(F.col("description").isin(codes.MOTHER, codes.FATHER))
-                            .select(F.col("codesetid").alias("relationshiptypecodesetid"), "description"),
-                            source=t.codeset)
+    rel = (t.codeset.where(F.col("description").isin(codes.MOTHER, codes.FATHER))
+           .select(F.col("codesetid").alias("relationshiptypecodesetid"), "description"))
     assoc = t.studentcontactassoc.select("studentcontactassocid", F.col("studentdcid").alias("dcid"), "personid")
     if students is not None:
         assoc = assoc.join(students.select("dcid"), "dcid", "left_semi")

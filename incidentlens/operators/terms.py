@@ -11,15 +11,11 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast, has_at_most
-
-# A nested-loop range join compares every incident with every term: only for a few terms.
-NESTED_LOOP_MAX_TERMS = 64
-# One row per calendar day spanned by some term: 200,000 days is over 500 years.
-TERM_DAYS_MAX_ROWS = 200_000
+# A day's incidents are dealt over this many join keys, so one busy day is not one task.
+DAY_PARTS = 16
 
 
 @dataclass(frozen=True)
@@ -27,7 +23,8 @@ class DateWindow:
     """Inclusive date range of a report run.
 
     ``start``/``end`` are ``datetime.date`` values, or text parsed with ``fmt`` (a Spark
-    datetime pattern such as ``yyyy-MM-dd`` or ``MM/dd/yyyy``); unparseable text raises.
+    datetime pattern such as ``yyyy-MM-dd`` or ``MM/dd/yyyy``). Text is parsed once, when the
+    window is first used; text that does not parse raises, whatever the session's ANSI setting.
     """
 
     start: dt.date | str
@@ -35,11 +32,20 @@ class DateWindow:
     fmt: str = "yyyy-MM-dd"
 
     def _bound(self, value: dt.date | str) -> Column:
+        return F.lit(self.date(value))
+
+    def date(self, value: dt.date | str) -> dt.date:
         if isinstance(value, dt.datetime):
-            value = value.date()
+            return value.date()
         if isinstance(value, dt.date):
-            return F.lit(value)
-        return F.to_date(F.lit(value), self.fmt)
+            return value
+        spark = SparkSession.getActiveSession()
+        if spark is None:
+            raise ValueError("text dates need an active Spark session")
+        parsed = spark.range(1).select(F.try_to_timestamp(F.lit(value), F.lit(self.fmt)).cast("date").alias("d")).first()["d"]
+        if parsed is None:
+            raise ValueError(f"{value!r} is not a date of the form {self.fmt!r}")
+        return parsed
 
     @property
     def start_col(self) -> Column:
@@ -59,30 +65,28 @@ def year_terms(terms: DataFrame) -> DataFrame:
             .select("dcid", "abbreviation", "FirstDay", "LastDay", "schoolid"))
 
 
-def within_terms(df: DataFrame, ts_col: str, terms: DataFrame, max_terms: int = NESTED_LOOP_MAX_TERMS,
-                 source: DataFrame | None = None) -> DataFrame:
+def within_terms(df: DataFrame, ts_col: str, terms: DataFrame, spread: str, window: DateWindow | None = None) -> DataFrame:
     """Rows of ``df`` whose ``ts_col`` lies between ``FirstDay`` and ``LastDay`` of some term.
 
     A left-semi join: a row inside two overlapping terms is kept once, and no term column is
-    carried. ``source`` is the terms table ``terms`` was filtered from, if any (its size bounds
-    ``terms``).
-
-    * At most ``max_terms`` terms (the normal case: one per school year): a broadcast
-      nested-loop semi join, a handful of comparisons per incident.
-    * More terms: each term is expanded into its days and, per day, only the latest last day of
-      the terms covering it is kept. An incident on day ``d`` is inside some term exactly when
-      ``ts <= that latest last day`` (midnight), so the test becomes a unique-key lookup on the
-      incident's day. That table has one row per distinct day (about 11,000 for 30 years),
-      whatever the number of terms, and is broadcast when within ``TERM_DAYS_MAX_ROWS``.
+    carried. Each term is expanded into its days and, per day, only the latest last day of the
+    terms covering it is kept: an incident on day ``d`` is inside some term exactly when
+    ``ts <= that latest last day`` (midnight). The expansion is clipped to ``window`` or, without
+    one, to the days ``df`` has, so an open-ended term adds no more days than the run can meet;
+    the last day compared with stays the term's own. ``spread`` names a column whose hash deals
+    one day's rows over ``DAY_PARTS`` keys.
     """
-    spans = (terms.where(F.col("FirstDay").isNotNull() & F.col("LastDay").isNotNull())
-             .select(F.col("FirstDay").alias("_first"), F.col("LastDay").alias("_last")))
-    ts = F.col(ts_col)
-    if has_at_most(source if source is not None else spans, max_terms):
-        return df.join(F.broadcast(spans), ts.between(F.col("_first"), F.col("_last")), "left_semi")
-    days = (spans.where(F.col("_first") <= F.col("_last"))
-            .select(F.explode(F.sequence("_first", "_last")).alias("_day"), "_last")
-            .groupBy("_day").agg(F.max("_last").alias("_last")))
-    days = bounded_broadcast(days, TERM_DAYS_MAX_ROWS)
-    cond = (F.to_date(ts) == F.col("_day")) & (ts <= F.col("_last"))
+    if window is None:
+        span = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi"))
+        low, high = (F.to_date(span.select(c).scalar()) for c in ("lo", "hi"))
+    else:
+        low, high = window.start_col, window.end_col
+    spans = (terms.select(F.greatest("FirstDay", low).alias("_first"), F.least("LastDay", high).alias("_until"),
+                          F.col("FirstDay").alias("_from"), F.col("LastDay").alias("_last"))
+             .where(F.col("_from").isNotNull() & F.col("_last").isNotNull() & (F.col("_first") <= F.col("_until"))))
+    days = (spans.select(F.explode(F.sequence("_first", "_until")).alias("_day"), "_last")
+            .groupBy("_day").agg(F.max("_last").alias("_last"))
+            .select("*", F.explode(F.sequence(F.lit(0), F.lit(DAY_PARTS - 1))).alias("_part")))
+    cond = ((F.to_date(F.col(ts_col)) == F.col("_day")) & (F.pmod(F.hash(spread), F.lit(DAY_PARTS)) == F.col("_part"))
+            & (F.col(ts_col) <= F.col("_last")))
     return df.join(days, cond, "left_semi")

@@ -15,31 +15,32 @@ from pyspark.sql import DataFrame, SparkSession
 from ..checks import oracle
 from ..operators.scope import District, School, Selection
 from ..operators.terms import DateWindow
-from ..session import application_id, apply_report_conf, checkpoint_dir
+from ..session import checkpoint_dir
 from ..sources.fixtures import REPORT_END, REPORT_SCHOOL, REPORT_START, materialize
-from ..sources.tables import SisTables
+from ..sources.tables import SCHEMAS, SisTables
 from . import report, steps
 
 WINDOW = DateWindow(dt.date.fromisoformat(REPORT_START), dt.date.fromisoformat(REPORT_END))
 SCOPES = {"selection": lambda: Selection(), "school": lambda: School(REPORT_SCHOOL), "district": lambda: District()}
 
 
-_BUNDLES: dict[tuple[str, str], SisTables] = {}
+class StoredTables(SisTables):
+    """SIS tables derived from the test data, each stored once as Parquet in the session's
+    checkpoint folder (see ``fixtures.materialize``) when a query first asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        object.__setattr__(self, "_source", (spark, sf_dir, f"{checkpoint_dir(spark).rstrip('/')}/fixtures"))
+
+    def __getattribute__(self, name: str):
+        if name not in SCHEMAS:
+            return object.__getattribute__(self, name)
+        spark, sf_dir, root = self._source
+        stored = materialize(spark, sf_dir, root, [name])
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{stored}/{name}")
 
 
 def tables(spark: SparkSession, sf_dir: str) -> SisTables:
-    """SIS tables derived from the test data under ``sf_dir``, stored once as Parquet in the
-    session's checkpoint folder and read from there (see ``fixtures.materialize``).
-
-    The stored snapshot never changes (its folder name is a fingerprint of the sources), so one
-    bundle is kept per session and snapshot, and its lookup-table size probes are done once.
-    """
-    apply_report_conf(spark)
-    stored = materialize(spark, sf_dir, f"{checkpoint_dir(spark).rstrip('/')}/fixtures")
-    key = (application_id(spark), stored)
-    if key not in _BUNDLES:
-        _BUNDLES[key] = SisTables.from_parquet_dir(spark, stored)
-    return _BUNDLES[key]
+    return StoredTables(spark, sf_dir)
 
 
 def _report(scope: str, detailed: bool) -> Callable[[SparkSession, str], DataFrame]:

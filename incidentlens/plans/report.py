@@ -2,12 +2,12 @@
 
 Plan shape (all lazy; Catalyst and AQE choose the physical joins):
 
-1. incidents in range and term  -> semi filter for participations (cheap scan with pushed filters)
-2. per-incident reductions      -> category, action code, resolution + plan (partial aggregates)
+1. incidents in range and term, with a participant in scope -> the keys of the report
+2. details and actions of these -> category, action code, resolution + plan (partial aggregates)
 3. incident facts               -> joins on incident_id (co-partitioned by the reductions)
 4. student facts in scope       -> program codes (+ profile, guardians)
 5. participations + roles       -> one min(struct) per (incident_id, student_number)
-6. join facts (hot incidents salted over many partitions), format, sort on the six report keys
+6. join facts (a join that AQE can split), format, sort on the six report keys
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, exprs
 from ..operators import incidents, participants, students
 from ..operators.scope import District, School, Scope, Selection
-from ..operators.skew import join_salting_hot_keys
+from ..operators.joins import join_splittable
 from ..operators.terms import DateWindow
 from ..sources.tables import SisTables
 
@@ -60,16 +60,17 @@ def incident_display(facts: DataFrame) -> list[Column]:
 
 def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool = False) -> DataFrame:
     """Unsorted report rows with every output column plus ``incident_id``, ``student_number`` and ``dcid``."""
-    facts = incidents.incident_facts(t, window)
     stu = students.student_facts(t, scope, detailed)
-    payload = ["state_id"] + (list(students.PROFILE_FIELDS) if detailed else [])
     in_window = incidents.incidents_in_window(t, window).select("incident_id")
+    payload = ["state_id"] + (list(students.PROFILE_FIELDS) if detailed else [])
     # a school or selection scope keeps few students: drop other participations before the role lookup
-    scoped = None if isinstance(scope, District) else stu.select("student_id")
+    scoped = None if isinstance(scope, District) else scope.students(t).select(F.col("id").alias("student_id"))
     parts = participants.participations(t, in_window, scoped)
     chosen = participants.choose_per_student_number(parts, stu, payload)
-    weights = t.incident_person_role.select("incident_id")
-    rows = join_salting_hot_keys(chosen, facts, "incident_id", ["student_number", "dcid"], weights=weights)
+    # the incidents the report can show: details and actions of all others are left unread by the reductions
+    keys = in_window if scoped is None else participants.taking_part(t, in_window, scoped)
+    facts = incidents.incident_facts(t, window, keys)
+    rows = join_splittable(chosen, facts, "incident_id", ["student_number"])
     student_cols = [exprs.student_link("dcid", "student_number").alias("student_link"), F.col("state_id")]
     if detailed:
         student_cols += [F.col(c) for c in students.PROFILE_FIELDS]

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, exprs
 from ..operators import incidents, participants, students
+from ..operators.joins import join_splittable
 from ..operators.position import with_sort_position
 from ..operators.scope import District, Scope
-from ..operators.sizing import bounded_broadcast
 from ..operators.terms import DateWindow, within_terms, year_terms
 from ..sources.tables import SisTables
 from . import report
@@ -35,8 +35,7 @@ def incident_date_range(t: SisTables, window: DateWindow) -> DataFrame:
 
 def incident_in_term(t: SisTables) -> DataFrame:
     """All incidents inside at least one full-year district term (range semi join)."""
-    return within_terms(t.incident.select("incident_id", "incident_ts"), "incident_ts", year_terms(t.terms),
-                        source=t.terms)
+    return within_terms(t.incident.select("incident_id", "incident_ts"), "incident_ts", year_terms(t.terms), "incident_id")
 
 
 def scope_students(t: SisTables, scope: Scope) -> DataFrame:
@@ -56,11 +55,8 @@ def incident_category(t: SisTables) -> DataFrame:
 
 def incident_location(t: SisTables) -> DataFrame:
     """Retired field: location description of each location detail of an incident (composite-key lookup)."""
-    loc_codes = bounded_broadcast(t.incident_lu_code.where(F.col("code_type") == codes.LOCATION_CODE)
-                                  .select("lu_code_id"), source=t.incident_lu_code)
-    sub = bounded_broadcast(t.incident_lu_sub_code.select("lu_code_id", "lu_sub_code_id",
-                                                          F.col("long_desc").alias("location_description")),
-                             source=t.incident_lu_sub_code)
+    loc_codes = t.incident_lu_code.where(F.col("code_type") == codes.LOCATION_CODE).select("lu_code_id")
+    sub = t.incident_lu_sub_code.select("lu_code_id", "lu_sub_code_id", F.col("long_desc").alias("location_description"))
     return (t.incident.select("incident_id")
             .join(t.incident_detail.select("incident_id", "lu_code_id", "lu_sub_code_id"), "incident_id")
             .join(loc_codes, "lu_code_id")
@@ -75,7 +71,7 @@ def action_resolution(t: SisTables) -> DataFrame:
 
 def action_code(t: SisTables) -> DataFrame:
     """Every action with a detail, and its sub code's short description (lookup by sub code only)."""
-    sub = bounded_broadcast(t.incident_lu_sub_code.select("lu_sub_code_id", "short_desc"), source=t.incident_lu_sub_code)
+    sub = t.incident_lu_sub_code.select("lu_sub_code_id", "short_desc")
     act = t.incident_action.select("incident_id", F.col("action_incident_detail_id").alias("incident_detail_id"))
     return (act.join(t.incident_detail.select("incident_detail_id", "lu_sub_code_id"), "incident_detail_id")
             .join(sub, "lu_sub_code_id", "left")
@@ -99,8 +95,10 @@ def action_plan_choice(t: SisTables) -> DataFrame:
 def incident_base(t: SisTables, window: DateWindow) -> DataFrame:
     """One row per incident in range, in a term and with a type detail (reduced category/resolution)."""
     inc = incidents.incidents_in_window(t, window)
-    res = t.incident_action.groupBy("incident_id").agg(F.min("action_resolved_desc").alias("action_resolved_desc"))
-    return (inc.join(incidents.incident_categories(t), "incident_id")
+    keys = inc.select("incident_id")
+    res = (t.incident_action.join(keys, "incident_id", "left_semi")
+           .groupBy("incident_id").agg(F.min("action_resolved_desc").alias("action_resolved_desc")))
+    return (inc.join(incidents.incident_categories(t, keys), "incident_id")
             .join(res, "incident_id", "left")
             .select("incident_id", "incident_title",
                     exprs.date_text("incident_ts", codes.INCIDENT_DATE_MASK).alias("incident_ts"),
@@ -111,7 +109,7 @@ def incident_base(t: SisTables, window: DateWindow) -> DataFrame:
 def action_plan_display(t: SisTables, window: DateWindow) -> DataFrame:
     """Per reportable incident: the chosen plan as shown (text, 'N/A' when missing)."""
     base = incident_base(t, window).select("incident_id")
-    plan = incidents.action_summary(t)
+    plan = incidents.action_summary(t, incidents.incidents_in_window(t, window).select("incident_id"))
     return base.join(plan, "incident_id", "left").select(
         "incident_id",
         exprs.or_na(exprs.date_text("action_plan_begin_dt", codes.PLAN_DATE_MASK)).alias("action_plan_begin_dt"),
@@ -125,18 +123,26 @@ def action_resolution_display(t: SisTables, window: DateWindow) -> DataFrame:
 
 
 def incident_school(t: SisTables) -> DataFrame:
-    """Incident -> the incident's school abbreviation (inner: unknown school drops the incident)."""
-    return t.incident.select("incident_id", "school_number").join(incidents.school_names(t), "school_number") \
+    """Incident -> the incident's school abbreviation (inner: unknown school drops the incident; a
+    number listed twice gives two rows)."""
+    names = t.schools.select("school_number", F.col("abbreviation").alias("school_abbreviation"))
+    return t.incident.select("incident_id", "school_number").join(names, "school_number") \
         .select("incident_id", "school_abbreviation")
 
 
 def incident_staff(t: SisTables) -> DataFrame:
+    """Incident -> creator and last modifier (left joins, one row per combination of listed names)."""
     inc = t.incident.select("incident_id", "created_by", "last_modified_by")
-    return incidents.with_staff(inc, t).select("incident_id", "created_by_name", "last_modified_by_name")
+    creator = t.teachers.select(F.col("id").alias("created_by"), F.col("lastfirst").alias("created_by_name"))
+    modifier = t.teachers.select(F.col("id").alias("last_modified_by"), F.col("lastfirst").alias("last_modified_by_name"))
+    out = join_splittable(inc, creator, "created_by", ["incident_id"], "left")
+    return (join_splittable(out, modifier, "last_modified_by", ["incident_id"], "left")
+            .select("incident_id", "created_by_name", "last_modified_by_name"))
 
 
 def staff_names(t: SisTables) -> DataFrame:
-    return incidents.staff_names(t)
+    """Every staff row: id and name."""
+    return t.teachers.select("id", "lastfirst")
 
 
 def incident_link(t: SisTables) -> DataFrame:

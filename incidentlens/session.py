@@ -7,14 +7,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session running the reports should carry (all Spark 4 defaults, stated so a
-# session that turned them off gets them back): AQE with skew-join splitting, and ANSI mode so an
-# unparseable date parameter raises instead of silently selecting nothing.
+# Settings a session running the reports should carry (all Spark 4 defaults): AQE with skew-join
+# splitting. The job and the benchmark set them; library calls leave the session as it is.
 REPORT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -71,20 +69,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach; it is read, never
-    replaced. Only when it is unset (local tests) is a fresh scratch folder created and set.
+    replaced. Unset, it raises, except on a local master (tests), where driver and executors
+    are one process: there a fresh scratch folder is created and set.
     """
     sc = _context(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="incidentlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
-
-
-def application_id(spark: SparkSession) -> str:
-    sc = _context(spark)
-    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")

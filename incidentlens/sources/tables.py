@@ -8,8 +8,10 @@ schema so the reports never depend on inferred types.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,40 @@ REQUIRED_TABLES = ("terms", "incident", "incident_detail", "incident_lu_code", "
 PS_SCHEMA_TABLES = ("incident_action", "s_ma_stu_sped_x")
 
 
+# Numeric keys that partitioned database reads are cut on; the other tables are small code tables.
+PARTITION_KEYS = {
+    "incident": "incident_id", "incident_detail": "incident_detail_id", "incident_action": "incident_id",
+    "incident_person_role": "incident_id", "students": "id", "u_def_ext_students": "studentsdcid",
+    "studentcontactassoc": "studentcontactassocid", "studentcontactdetail": "studentcontactassocid", "person": "id",
+    "s_ma_stu_sped_x": "studentsdcid",
+}
+
+# A table of the database session only: a selection is given to the report, not loaded.
+SESSION_TABLES = ("current_selection",)
+
+
+def jdbc_table(name: str, ps_schema: str | None = "PS") -> str:
+    """A table's name in the database, qualified where it lives in the vendor's schema."""
+    return f"{ps_schema}.{name.upper()}" if ps_schema and name in PS_SCHEMA_TABLES else name.upper()
+
+
+def jdbc_options(name: str, ps_schema: str | None = "PS", partitions: int = 1,
+                 bounds: tuple[int, int] | None = None) -> dict[str, str]:
+    """Reader options of one table: with ``bounds`` (smallest and largest key) its rows come over
+    ``partitions`` connections, each with its own key range."""
+    options = {"dbtable": jdbc_table(name, ps_schema)}
+    if bounds is not None and partitions > 1 and name in PARTITION_KEYS:
+        options |= {"partitionColumn": PARTITION_KEYS[name], "lowerBound": str(bounds[0]), "upperBound": str(bounds[1]),
+                    "numPartitions": str(partitions)}
+    return options
+
+
+def _absent(error: Exception) -> bool:
+    """Whether a database says that a table or view does not exist (by SQLSTATE or its own code)."""
+    text = str(error)
+    return any(mark in text for mark in ("ORA-00942", "42S02", "42P01", "TABLE_OR_VIEW_NOT_FOUND"))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the declared columns (matched case-insensitively) and cast them to the declared types."""
     by_lower = {c.lower(): c for c in df.columns}
@@ -103,8 +139,8 @@ class SisTables:
         for n in names or list(SCHEMAS):
             try:
                 frames[n] = spark.read.schema(SCHEMAS[n]).parquet(f"{path}/{n}")
-            except Exception:  # noqa: BLE001 - a missing folder
-                if n in REQUIRED_TABLES:
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND" or n in REQUIRED_TABLES:
                     raise
         return cls.from_frames(frames)
 
@@ -125,14 +161,29 @@ class SisTables:
         return cls.from_frames(frames)
 
     @classmethod
-    def from_jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str], ps_schema: str = "PS",
-                  names: list[str] | None = None) -> "SisTables":
-        """Read straight from the school information system's database over JDBC."""
-        names = names or list(SCHEMAS)
+    def from_jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str], ps_schema: str | None = "PS",
+                  names: list[str] | None = None, partitions: int = 1,
+                  read: Callable[[dict[str, str]], DataFrame] | None = None) -> "SisTables":
+        """Read straight from the school information system's database over JDBC.
+
+        Optional tables that the database does not have are left out; the selection table is one of
+        the database session and never loaded. With ``partitions`` > 1 large tables are read in key
+        ranges (one query for each table's smallest and largest key). ``read`` takes reader options
+        and returns a DataFrame; by default Spark's JDBC source."""
+        if read is None:
+            read = lambda options: spark.read.format("jdbc").options(url=url, **properties, **options).load()
         frames = {}
-        for n in names:
-            table = f"{ps_schema}.{n.upper()}" if n in PS_SCHEMA_TABLES else n.upper()
-            frames[n] = spark.read.jdbc(url, table, properties=properties)
+        for n in names or [n for n in SCHEMAS if n not in SESSION_TABLES]:
+            try:
+                bounds = None
+                if partitions > 1 and n in PARTITION_KEYS:
+                    key = PARTITION_KEYS[n]
+                    row = read({"query": f"SELECT min({key}) AS lo, max({key}) AS hi FROM {jdbc_table(n, ps_schema)}"}).first()
+                    bounds = None if row[0] is None else (int(row[0]), int(row[1]) + 1)
+                frames[n] = read(jdbc_options(n, ps_schema, partitions, bounds))
+            except Exception as e:  # noqa: BLE001 - the driver's own error type
+                if n in REQUIRED_TABLES or not _absent(e):
+                    raise
         return cls.from_frames(frames)
 
     def write_parquet(self, path: str, mode: str = "errorifexists") -> None:
