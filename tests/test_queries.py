@@ -5,19 +5,15 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from incidentlens.checks.compare import compare, duck_connect
-from incidentlens.operators import sizing
 from incidentlens.operators.scope import District
-from incidentlens.operators.terms import within_terms, year_terms
 from incidentlens.plans import catalog, report
 
 from .conftest import SF_SMALL
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +24,18 @@ def con():
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
     assert len(QUERIES) >= 40
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
+
+
+def test_fixtures_tell_right_from_wrong(spark):
+    """Shared student numbers, schools and staff listed twice, duplicate selections, students without dcid."""
+    t = catalog.tables(spark, SF_SMALL)
+    twice = lambda df, c: df.groupBy(c).count().where("count > 1").count() > 0
+    assert twice(t.students, "student_number") and twice(t.schools, "school_number") and twice(t.teachers, "id")
+    assert twice(t.current_selection, "dcid") and t.students.where("dcid is null").count() > 0
+    sf = "/root/testdata/sf0.01"
+    ranked = QUERIES["ranked_results"](spark, sf)
+    assert ranked.where("row_num > 1").count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -83,22 +91,6 @@ def test_report_is_sorted_and_position_matches(spark):
     assert [tuple(r)[:-1] for r in placed] == ordered
 
 
-def test_range_join_fallback_matches_broadcast(spark):
-    t = catalog.tables(spark, SF_SMALL)
-    inc = t.incident.select("incident_id", "incident_ts")
-    fast = _bag(within_terms(inc, "incident_ts", year_terms(t.terms)))
-    slow = _bag(within_terms(inc, "incident_ts", year_terms(t.terms), max_terms=0))
-    assert fast == slow and fast
-
-
-def test_size_probe(spark):
-    df = spark.range(10)
-    assert sizing.has_at_most(df, 10)
-    assert not sizing.has_at_most(spark.range(11), 10)
-    hinted, small = sizing.bounded(spark.range(5).withColumn("x", F.lit(1)), 3)
-    assert not small
-
-
 def test_labelled_export(spark, tmp_path):
     df = QUERIES["report_school"](spark, SF_SMALL)
     report.export(df, str(tmp_path / "csv"), "csv")
@@ -107,16 +99,6 @@ def test_labelled_export(spark, tmp_path):
     assert back.count() == df.count()
 
 
-def test_code_rank_path_equals_text_aggregation(spark, monkeypatch):
-    from incidentlens.operators import incidents
-
-    t = catalog.tables(spark, SF_SMALL)
-    ranked = (_bag(incidents.incident_categories(t)), _bag(incidents.action_codes(t)))
-    monkeypatch.setattr(incidents, "CODE_TABLE_MAX_ROWS", 0)   # code tables now count as unbounded
-    text = (_bag(incidents.incident_categories(t)), _bag(incidents.action_codes(t)))
-    assert ranked == text and ranked[0] and ranked[1]
-
-
 def test_command_line_job(spark, tmp_path):
     from incidentlens.__main__ import main
 

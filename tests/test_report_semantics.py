@@ -8,6 +8,8 @@ import pytest
 
 from incidentlens.operators.scope import District, School, Selection
 from incidentlens.operators.terms import DateWindow
+from pyspark.sql import functions as F
+
 from incidentlens.plans.report import incident_report
 
 D, TS = dt.date, dt.datetime
@@ -211,8 +213,8 @@ def test_input_row_order_changes_nothing(make_tables):
     assert rows(shuffled) == rows(base)
 
 
-@pytest.mark.parametrize("max_terms", [64, 0])   # nested loop, and the per-day lookup used for many terms
-def test_term_join_paths_agree_on_midnight_and_overlap(spark, max_terms):
+@pytest.mark.parametrize("window", [None, DateWindow(D(2020, 9, 1), D(2021, 6, 30)), DateWindow(D(2020, 10, 5), D(2021, 1, 2))])
+def test_term_join_on_midnight_and_overlap(spark, window):
     from incidentlens.operators.terms import within_terms
 
     terms = spark.createDataFrame([(D(2020, 9, 1), D(2020, 10, 5)), (D(2020, 10, 5), D(2020, 12, 1)),
@@ -220,7 +222,7 @@ def test_term_join_paths_agree_on_midnight_and_overlap(spark, max_terms):
     inc = spark.createDataFrame([(1, TS(2020, 10, 5, 10)), (2, TS(2020, 8, 31, 23)), (3, TS(2021, 1, 2, 0)),
                                  (4, TS(2021, 1, 2, 0, 0, 1)), (5, TS(2020, 12, 31, 23))],
                                 "incident_id long, incident_ts timestamp_ntz")
-    got = sorted(r[0] for r in within_terms(inc, "incident_ts", terms, max_terms=max_terms).collect())
+    got = sorted(r[0] for r in within_terms(inc, "incident_ts", terms, "incident_id", window).collect())
     assert got == [1, 3]
 
 
@@ -231,3 +233,43 @@ def test_student_without_dcid_has_no_guardian_row(make_tables):
     assert (r["mother_name"], r["father_name"]) == (None, None)
     assert (r["sped_code"], r["english_learner_code"]) == ("Unknown", "Unknown")
     assert r["student_link"] == "<a href=/admin/students/home.html?frn=001 target=_blank>5007</a>"
+
+
+def test_many_terms_an_open_end_and_a_busy_day(spark):
+    from incidentlens.operators.terms import within_terms
+
+    many = [(D(2000 + i % 30, 1, 1), D(2000 + i % 30, 3, 1)) for i in range(3000)] + [(D(2022, 5, 1), D(9999, 12, 31))]
+    terms = spark.createDataFrame(many, "FirstDay date, LastDay date")
+    inc = spark.range(5000).select("id", F.when(F.col("id") < 4000, F.lit(TS(2022, 6, 1, 9))).when(
+        F.col("id") < 4500, F.lit(TS(2021, 2, 1, 0))).otherwise(F.lit(TS(2021, 7, 1, 9))).cast("timestamp_ntz").alias("ts"))
+    assert within_terms(inc, "ts", terms, "id").count() == 4500
+    assert within_terms(inc, "ts", terms, "id", DateWindow(D(2021, 1, 1), D(2022, 12, 31))).count() == 4500
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_date_text_raises_whatever_the_session(spark, make_tables, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(ValueError, match="garbage"):
+            incident_report(make_tables(), District(), "garbage", "2021-06-30")
+        assert incident_report(make_tables(), District(), "09/01/2020", "06/30/2021", "MM/dd/yyyy").count() == 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_code_listed_under_several_types_does_not_multiply(make_tables):
+    t = make_tables(incident_lu_sub_code=lambda r: r + [(31, 500, "ZZZ", "other type")])
+    (r,) = rows(t)
+    assert r["action_short_desc"] == "ZZZ"
+
+
+def test_duplicate_staff_and_schools(make_tables):
+    from incidentlens.plans import steps
+
+    t = make_tables(teachers=lambda r: r + [(100, "Adams, Al")], schools=lambda r: r + [(3, "EAST")])
+    assert steps.staff_names(t).count() == 3
+    assert steps.incident_school(t).count() == 2
+    assert steps.incident_staff(t).count() == 2
+    (r,) = rows(t)
+    assert (r["created_by_name"], r["school_abbreviation"]) == ("Adams, Al", "EAST")

@@ -1,6 +1,6 @@
 """Hot keys: one incident with a third of all participations, one student in every incident,
-one creator behind a third of all incidents. Results must not change when the hot keys are
-salted (explicit) or split (AQE), and both mechanisms must actually engage."""
+one creator behind a third of all incidents. Results must not change when AQE splits the hot keys,
+and the splitting must actually engage."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from incidentlens.operators import skew
+from incidentlens.operators.joins import join_splittable
 from incidentlens.operators.scope import District
 from incidentlens.operators.terms import DateWindow
 from incidentlens.plans.report import incident_report
@@ -80,14 +80,39 @@ def conf(spark):
             spark.conf.set(k, v)
 
 
-def test_hot_keys_are_found_and_bounded(spark):
-    t = skewed_tables(spark)
-    hot = skew.hot_keys(t.incident_person_role.select("incident_id"), "incident_id", threshold=100, max_hot_keys=5)
-    assert [r["incident_id"] for r in hot.collect()] == [0]
-    assert skew.hot_keys(t.incident_person_role.select("incident_id"), "incident_id", 0, 5).count() == 5
+SPLITTING = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def test_null_keys_are_spread_and_kept(spark, conf):
+    conf(**{"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"})
+    big = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 7).cast("long").alias("key"))
+    small = spark.range(7).select(F.col("id").alias("key"), F.lit("x").alias("name")).groupBy("key").agg(F.min("name").alias("name"))
+    out = join_splittable(big, small, "key", ["id"], "left")
+    assert out.count() == 9000 and out.where("name is not null").count() == 3000
+    nulls = [r["count"] for r in out.where("key is null").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(nulls) < 0.5 * sum(nulls)
+
+
+def test_a_hot_key_beside_an_aggregated_side_is_split(spark, conf, tmp_path):
+    conf(**SPLITTING)
+    spark.range(20000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("long").alias("key")) \
+        .write.parquet(str(tmp_path / "big"))
+    big = spark.read.parquet(str(tmp_path / "big"))
+    small = big.groupBy("key").agg(F.count("*").alias("n"))
+    df = join_splittable(big, small, "key", ["id"])
+    assert df.agg(F.count("*"), F.sum("key")).first()[0] == 20000
+    df = join_splittable(big, small, "key", ["id"])
+    df.collect()
+    assert "skew=true" in _plan(df).split("== Initial Plan ==")[0]
 
 
-def test_salted_and_aqe_split_results_equal_plain_plan(spark, conf, monkeypatch, tmp_path):
+def test_split_results_equal_plain_plan(spark, conf, tmp_path):
     t = skewed_tables(spark)
     # participations stored as one table, as in a deployment (a union of frames would be split apart by the optimizer)
     t.incident_person_role.write.parquet(str(tmp_path / "ipr"))
@@ -99,18 +124,11 @@ def test_salted_and_aqe_split_results_equal_plain_plan(spark, conf, monkeypatch,
     # one other, except incident 1007 whose other student (6007) also has number 7
     assert len(plain) == 1501 + 2 * (N - 1) - 1
 
-    monkeypatch.setattr(skew, "HOT_KEY_ROWS", 100)
-    conf(**{"spark.sql.adaptive.enabled": "true",
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-            "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
+    conf(**SPLITTING)
     df = incident_report(t, District(), WINDOW)
     assert sorted(map(tuple, df.collect())) == plain
     plan = _plan(df)
     assert "isFinalPlan=true" in plan
     final = plan.split("== Initial Plan ==")[0]
-    # AQE split the hot incident (semi join), the hot role detail and the hot student
+    # AQE split the hot incident (semi join and final join), the hot role detail and the hot student
     assert final.count("SortMergeJoin(skew=true)") >= 3
-    assert "_salt" in final             # and the final join ran on (incident_id, salt)
