@@ -68,7 +68,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
 
     The goal is ``share`` of all sizes; sources in order get ``weights``, repeating. Texts never
     move: only per-source sums and the rows of one bucket per source are shuffled."""
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    # a hash that every SQL engine has: the first 60 bits of an MD5
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 15), 16, 10).cast("long")
     if "size" not in docs.columns or "text" in docs.columns:
         docs = without(docs, "size").withColumn("size", n_words("text"))
     rows = (without(docs, "source_size", "target", "times", "taken")
@@ -118,6 +119,37 @@ def repeated(mixed: DataFrame) -> DataFrame:
     return mixed.where("times > 0").withColumn("_copy", copies).drop("_copy")
 
 
+ORACLE_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('17:' || doc_id), 1, 15))::BIGINT AS h
+  FROM documents),
+src AS (
+  SELECT *, 2.0::DOUBLE * source_size AS cap, [5.0::DOUBLE, 2.0, 1.0][1 + pos % 3] AS weight FROM (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS pos
+    FROM sized GROUP BY source)),
+levels AS (  -- the level if exactly the sources with the smallest cap by weight are clamped
+  SELECT (1.5::DOUBLE * (SELECT sum(source_size)::BIGINT FROM src) - coalesce(sum(b.cap) FILTER (b.cap / b.weight < a.cap / a.weight), 0))
+      / sum(b.weight) FILTER (b.cap / b.weight >= a.cap / a.weight) AS level, any_value(a.cap / a.weight) AS upto
+  FROM src a, src b GROUP BY a.source, a.pos),
+fit AS (SELECT arg_min(level, upto) AS level FROM levels WHERE level < upto),
+aims AS (SELECT s.*, least(cap, coalesce(level, 'infinity'::DOUBLE) * weight) AS target FROM src s, fit),
+rates AS (SELECT *, floor(target / greatest(source_size, 1))::BIGINT AS whole,
+    target - floor(target / greatest(source_size, 1)) * source_size AS rest FROM aims),
+rows_ AS (
+  SELECT d.*, r.source_size, r.target, r.whole, r.rest, d.h % {BUCKETS} AS bucket,
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h % {BUCKETS}) AS upto_bucket,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h % {BUCKETS}, d.h, d.doc_id, d.size
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+marked AS (
+  SELECT *, min(bucket) FILTER (upto_bucket > rest) OVER (PARTITION BY source) AS edge FROM rows_),
+told AS (
+  SELECT *, whole + CASE WHEN bucket = edge THEN (before + size / 2.0 < rest)::BIGINT
+    ELSE (rest > 0 AND upto_bucket <= rest)::BIGINT END AS times FROM marked)
+SELECT doc_id, size, source_size, target, (times * size)::BIGINT AS taken, times FROM told"""
+
+
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words("text").alias("size"))
     mixed = mix(stored(docs, "mix-sizes"))
