@@ -64,14 +64,14 @@ def action_detail_codes(t: SisTables) -> DataFrame:
            .groupBy("lu_sub_code_id").agg(F.max("short_desc").alias("short_desc")))
     return (t.incident_detail.where(F.col("lu_sub_code_id").isNotNull())
             .select("incident_detail_id", "lu_sub_code_id").join(sub, "lu_sub_code_id")
-            .groupBy("incident_detail_id").agg(F.max("short_desc").alias("short_desc")))
+            .select("incident_detail_id", "short_desc"))
 
 
 def action_facts(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
     """One row per incident with actions, from one pass over them: greatest action code, smallest
     resolution and smallest plan tuple (typed)."""
     act = _of(t.incident_action, keys).withColumnRenamed("action_incident_detail_id", "incident_detail_id")
-    act = join_splittable(act, action_detail_codes(t), "incident_detail_id", ["incident_id"], "left")
+    act = act.join(action_detail_codes(t), "incident_detail_id", "left")
     agg = act.groupBy("incident_id").agg(F.max("short_desc").alias("action_short_desc"),
                                          F.min("action_resolved_desc").alias("action_resolved_desc"),
                                          F.min(exprs.nulls_last_key(*PLAN_FIELDS)).alias("_plan"))

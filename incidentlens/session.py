@@ -7,12 +7,16 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings a session running the reports should carry (all Spark 4 defaults): AQE with skew-join
-# splitting. The job and the benchmark set them; library calls leave the session as it is.
+# Settings a session running the reports should carry: AQE with skew-join splitting, and runtime
+# filters. The job and the benchmark set them; library calls leave the session as it is.
 REPORT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the keys of a report (one month, one school) reach the scans of details and participations as
+    # a bloom filter, so rows of other incidents are not shuffled; by default only scans over 10 GB
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
 }
 
 
