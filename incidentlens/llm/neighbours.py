@@ -28,8 +28,9 @@ from .common import Shared, stored, table
 #: Documented bound of the sample that the split planes are fitted on (smallest hash first).
 MAX_SAMPLE = 20_000
 TREES = 8
-#: Vectors of one leaf aimed at, over the whole table.
-LEAF = 256
+#: Vectors of one leaf aimed at, over the whole table; where the search covers a share of the table,
+#: a tree has at most WIDE leaves, so that a query meets a fixed number of them.
+LEAF, WIDE = 256, 64
 #: A query's search ends when its leaves hold this share of all vectors (each counted once per
 #: tree). Vectors without structure, as in the test data, need this much for a recall of 0.9;
 #: for embeddings with structure give ``nearest`` a fixed ``search`` instead.
@@ -44,11 +45,11 @@ TRIES = 4
 class Forest:
     """Split planes of all trees in flat arrays; children below zero are leaves (-1 - leaf number)."""
 
-    def __init__(self, sample: np.ndarray, n_total: int, trees: int = TREES, seed: int = 11):
+    def __init__(self, sample: np.ndarray, n_total: int, leaf: int = LEAF, trees: int = TREES, seed: int = 11):
         rng = np.random.default_rng(seed)
         self.normal, self.cut, self.child, self.roots = [], [], [], []
         self.leaves = 0
-        small = max(4, int(LEAF * len(sample) / max(n_total, 1)))
+        small = max(4, int(leaf * len(sample) / max(n_total, 1)))
         for _ in range(trees):
             self.roots.append(self._split(sample, np.arange(len(sample)), small, rng))
         d = sample.shape[1]
@@ -146,7 +147,8 @@ def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, search: int
     longest = float(np.sqrt(stats["m"]))
     enough = search or max(MIN_SEARCH, int(SEARCH_SHARE * stats["n"]))
     sample = points.orderBy(F.xxhash64("point")).limit(MAX_SAMPLE).select("v").toArrow().column(0).combine_chunks()
-    forest = Forest(_lifted(_matrix(sample), longest).astype(np.float64), stats["n"])
+    leaf = LEAF if search else max(LEAF, stats["n"] // WIDE + 1)
+    forest = Forest(_lifted(_matrix(sample), longest).astype(np.float64), stats["n"], leaf)
     shared = Shared(spark, (forest, longest))
 
     def index(batches):
