@@ -32,6 +32,9 @@ from pyspark.sql import functions as F
 from .common import Shared, Words, slices, stored, table
 
 HEAD, PER_CLASS, HIDDEN = 1024, 32, 16
+#: So many most frequent words (the head among them) have their counts travel with the model; the
+#: counts of all others, of which no word is frequent, meet the documents in a join.
+CARRIED = 40_000
 #: Tail classes: ending letters (hashed) by the mark that follows them.
 ENDINGS, MARKS = 24, 4
 N_HEAD = HEAD // PER_CLASS
@@ -39,7 +42,7 @@ END_CLASS = N_HEAD
 N_CLASSES = N_HEAD + 1 + ENDINGS * MARKS
 #: Training: rounds of averaging, and every round's share of the training documents (one in so many).
 ROUNDS, ONE_IN = 2, 8
-STEPS, LANES = 24, 32
+STEPS, LANES = 24, 64
 SCORE_LANES, SCORE_STEPS = 192, 32
 LN10 = np.log(10.0)
 
@@ -59,8 +62,11 @@ def looks(vocab: pa.Array) -> np.ndarray:
 class Model:
     """Weights (one flat vector), head words and class totals."""
 
-    def __init__(self, head: list[tuple[str, int]], tail: np.ndarray, n_end: int, seed: int = 3):
+    def __init__(self, common: list[tuple[str, int]], tail: np.ndarray, n_end: int, seed: int = 3):
+        head = common[:HEAD]
         self.words = [w for w, _ in head]
+        self.common = pa.array([w for w, _ in common], pa.large_string())
+        self.common_counts = np.array([c for _, c in common], float)
         self.counts = np.array([c for _, c in head] + [0] * (HEAD - len(head)), float)
         self.n_end = n_end
         self.tail_mass = tail  # per tail class: sum of count + 0.5 over its words, plus 0.5
@@ -87,9 +93,14 @@ class Model:
         """Class and place in the class (-1 outside the head) of each word of ``words.vocab``."""
         if not len(words.vocab):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = pc.index_in(words.vocab, value_set=pa.array(self.words, words.vocab.type))
-        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        return np.where(at >= 0, at // PER_CLASS, N_HEAD + 1 + looks(words.vocab)), np.where(at >= 0, at % PER_CLASS, -1)
+        at = self.rank(words)
+        head = (at >= 0) & (at < HEAD)
+        return np.where(head, at // PER_CLASS, N_HEAD + 1 + looks(words.vocab)), np.where(head, at % PER_CLASS, -1)
+
+    def rank(self, words: Words) -> np.ndarray:
+        """Place among the carried words (-1: none of them) of each word of ``words.vocab``."""
+        at = pc.index_in(words.vocab, value_set=self.common)
+        return pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def sequences(model: Model, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,17 +233,22 @@ def loss_and_gradient(model: Model, theta, c_in, c_out, p_out, first, h0):
     g_states = np.zeros_like(states)
     g_states[keep] = g_s
     g_h = np.zeros((n, HIDDEN), theta.dtype)
+    g_in = np.empty((steps, n, 3 * HIDDEN), theta.dtype)
     for t in range(steps - 1, -1, -1):
         before, b_n, z, r, new = kept[t]
         g_h = g_h + g_states[t]
         g_new = g_h * (1 - z) * (1 - new ** 2)
         g_z = g_h * (before - new) * z * (1 - z)
         g_r = g_new * b_n * r * (1 - r)
-        g_a = np.concatenate([g_z, g_r, g_new], axis=1)
-        g_b = np.concatenate([g_z, g_r, g_new * r], axis=1)
-        np.add.at(g_wx, c_in[t], g_a)
+        g_in[t, :, :HIDDEN], g_in[t, :, HIDDEN:2 * HIDDEN], g_in[t, :, 2 * HIDDEN:] = g_z, g_r, g_new
+        g_b = g_in[t].copy()
+        g_b[:, 2 * HIDDEN:] *= r
         g_u += before.T @ g_b
         g_h = (g_h * z + g_b @ u.T) * ~first[t][:, None]
+    flat = c_in.ravel()
+    by = np.argsort(flat, kind="stable")
+    kinds, begin, _ = _spans(flat[by])
+    g_wx[kinds] += np.add.reduceat(g_in.reshape(-1, 3 * HIDDEN)[by], begin)
     return loss / count, grad, h
 
 
@@ -291,7 +307,7 @@ def train(docs: DataFrame, model: Model) -> Model:
     for round_ in range(ROUNDS):
         shared = Shared(spark, model)
         part = docs.where("not held_out").where(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(ONE_IN)) == round_).select("text")
-        rate = 0.01 / (1 + round_)
+        rate = 0.015 / (1 + round_)
 
         def run(batches):
             here = shared.get()
@@ -316,7 +332,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     docs = with_keys(docs)
     counts = stored(count_words(docs), "lm-counts")
     n_end = docs.where("not held_out").count()
-    head = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
+    common = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(CARRIED).collect()]
+    head = common[:HEAD]
     words_, v, mass = 0, 0, np.full(ENDINGS * MARKS, 0.5)
     for r in counts.groupBy("look").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():  # one row per tail class
         mass[r["look"]] += r["c"] + 0.5 * r["v"]
@@ -326,7 +343,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             mass[look] -= c + 0.5
     train_tokens = words_ + n_end
     base_total = float(np.log10(train_tokens + 0.5 * (v + (n_end > 0) + 1)))
-    model = train(docs, Model(head, mass, n_end))
+    model = train(docs, Model(common, mass, n_end))
     shared = Shared(spark, model)
 
     def tails(batches):
@@ -335,8 +352,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             words = Words(batch.column(1))
             if not len(words.vocab):
                 continue
-            _, place = here.tokens(words)
-            rest = np.flatnonzero(place[words.codes] < 0)
+            rest = np.flatnonzero(here.rank(words)[words.codes] < 0)
             doc = np.repeat(np.arange(batch.num_rows), words.counts)[rest]
             pair, n = np.unique(doc * len(words.vocab) + words.codes[rest], return_counts=True)
             k = batch.column(0).to_numpy(zero_copy_only=False)[pair // len(words.vocab)]
@@ -361,12 +377,16 @@ def score_documents(docs: DataFrame) -> DataFrame:
             logp = score_tokens(here, c, p, lengths) / LN10
             in_tail = c > END_CLASS
             logp[in_tail] -= log_mass[c[in_tail] - END_CLASS - 1]
-            is_head = p >= 0
-            base = np.zeros(len(c))
-            base[is_head] = np.log10(here.counts[c[is_head] * PER_CLASS + p[is_head]] + 0.5)
-            base[c == END_CLASS] = np.log10(here.n_end + 0.5)
+            # log10(count + 0.5) of the end and of all carried words; those of tail classes weigh by it
+            own = np.concatenate([np.log10(here.common_counts + 0.5), [0.0]])
+            rank = here.rank(words) if len(words.vocab) else np.zeros(0, np.int64)
+            base, carried = np.full(len(c), np.log10(here.n_end + 0.5)), c == END_CLASS
+            base[~carried] = own[rank][words.codes]
+            carried[~carried] = (rank >= 0)[words.codes]
+            logp += np.where(in_tail, base, 0.0)
+            in_tail = ~carried
             add = lambda w: np.bincount(doc, weights=w, minlength=batch.num_rows)
-            known_ = is_head | ((c == END_CLASS) & (here.n_end > 0))
+            known_ = carried & ((c != END_CLASS) | (here.n_end > 0))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(lengths, pa.int64()),
                  pa.array(add(in_tail).astype(np.int64)), pa.array(add(known_).astype(np.int64)),
