@@ -301,6 +301,21 @@ def count_words(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word", "look").agg(F.sum("n").alias("c"))
 
 
+def frequent_words(counts: DataFrame, most: int = CARRIED) -> list[tuple[str, int]]:
+    """At most ``most`` words, the most frequent first: all that reach the lowest count level (eight
+    levels for each doubling) above which there are no more. No task hands on more than these."""
+    level = F.floor(F.log2("c") * 8)
+    cut, total = None, 0
+    for r in sorted(counts.groupBy(level.alias("b")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["b"]):
+        if total + r["n"] > most:
+            break
+        cut, total = r["b"], total + r["n"]
+    if cut is None:
+        return []
+    rows = counts.where(level >= F.lit(cut)).select("word", "c").collect()
+    return sorted(((r["word"], r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 def train(docs: DataFrame, model: Model) -> Model:
     """Rounds of local training on a share of the training documents and averaging of the weights."""
     spark = docs.sparkSession
@@ -332,7 +347,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     docs = with_keys(docs)
     counts = stored(count_words(docs), "lm-counts")
     n_end = docs.where("not held_out").count()
-    common = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(CARRIED).collect()]
+    common = frequent_words(counts)
     head = common[:HEAD]
     words_, v, mass = 0, 0, np.full(ENDINGS * MARKS, 0.5)
     for r in counts.groupBy("look").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():  # one row per tail class

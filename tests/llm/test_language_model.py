@@ -67,3 +67,13 @@ def test_base_scores_follow_brute_force_and_the_model_learns(spark):
 
 def test_empty_table(spark, none):
     assert lm.score_documents(none.select("doc_id", "text")).count() == 0
+
+
+def test_frequent_words_are_bounded_and_the_most_frequent(spark):
+    rows = [(f"w{i}", 0, 1000 // (i + 1) + 1) for i in range(500)]
+    counts = spark.createDataFrame(rows, "word string, look int, c long")
+    for most in (0, 1, 10, 100, 1000):
+        got = lm.frequent_words(counts, most)
+        assert len(got) <= most
+        assert got == sorted(((w, c) for w, _, c in rows), key=lambda x: (-x[1], x[0]))[:len(got)]
+    assert len(lm.frequent_words(counts, 1000)) == 500
