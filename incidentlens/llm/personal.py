@@ -29,7 +29,7 @@ from .common import slices, table, without
 
 KINDS = ("email", "ip", "card", "phone")
 #: Training: at most this many documents with a mention (smallest hash of the id first).
-MAX_TRAINING_DOCS = 4000
+MAX_TRAINING_DOCS = 1000
 #: A mention becomes an added span from this marginal probability on.
 ADD_FROM = 0.5
 ROUNDS = 12
@@ -268,8 +268,9 @@ def written(spans) -> str:
 def training_texts(docs: DataFrame) -> list[str]:
     """Texts to learn from: a bounded number with an at sign or a long number, whole unless very long."""
     some = docs.where(F.col("text").rlike(r"@|[0-9][0-9 ().-]{5,}[0-9]") & (F.length("text") <= 20_000))
-    ids = some.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAINING_DOCS)
-    return [r["text"] for r in ids.collect()]
+    ids = some.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id")).limit(MAX_TRAINING_DOCS)
+    texts = some.join(F.broadcast(ids), "doc_id", "left_semi").orderBy("doc_id", "text").select("text").limit(2 * MAX_TRAINING_DOCS)
+    return [r["text"] for r in texts.collect()]
 
 
 def find_personal_data(docs: DataFrame, redact: bool = False) -> DataFrame:
