@@ -6,10 +6,10 @@ links shares at least ``l`` of the first ``|x| - ceil(0.75 |x|) + l`` shingles o
 for every l; so each document picks the l that its estimated candidates ask for, and a pair is
 verified only when it shares min(l, l') prefix shingles. Verification is exact.
 
-Copies (equal sets) are one node from the start. Candidates come in two rounds: first every set
-against one hub per shared shingle, which joins most of each group along a star; then only pairs
-whose sets are still in different components. So a group of n near copies costs about n checks,
-and no link between different texts is lost for the components.
+Copies (equal sets) are one node from the start. Candidates come in rounds: every set against the
+two hubs of another component with which it shares most prefix shingles, until a round finds no
+link; then all pairs whose sets are still in different components. So a group of n near copies
+costs about n checks a round, and no link is lost for the components.
 
 Defined results: a NULL, empty or white-space text has no shingles and is a component of its
 own; rows that repeat a doc_id are one document; a NULL doc_id links with nothing; an empty table gives an empty result; input
@@ -34,9 +34,14 @@ PERCENT = 75
 SKETCH = 1 << 17
 LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64])
 #: Assumed chance partners of a prefix shingle, and the cost of a candidate in shuffled shingles.
-CHANCE, CANDIDATE_COST = 0.05, 10.0
+CHANCE, CANDIDATE_COST = 0.05, 3.0
 #: Members of one hub that are verified in one place; beyond that the hub's set is copied.
 PER_HUB = 2000
+#: Documents to verify in one round whose ids and hubs are broadcast to the texts (each a few dozen
+#: bytes); with more, texts and ids are shuffled to each other.
+MAX_BROADCAST = 200_000
+#: Rounds end when one brings less than this share of the first one's links; the rest is found pair by pair.
+FEW = 0.02
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
@@ -133,34 +138,71 @@ def _groups(batches, column: str, limit: int = 1 << 20):
         yield {c: held.column(c).to_numpy() for c in held.column_names}, False
 
 
-_HUB_MASKS = scramble(np.arange(1, 5, dtype=np.uint64)).view(np.int64)
+HUBS = 16
+MAX_ROUNDS = 8
 
 
 def shared_postings(sigs: DataFrame) -> DataFrame:
-    """(token, lo, hub) of every prefix shingle that several sets have; hub is one of these sets,
-    the first by an order that differs among four kinds of shingles."""
+    """(token, lo) of every prefix shingle that several sets have, once per set."""
     def run(batches):
-        tail = None  # token and hub of a group that came in parts
+        last = None  # token and last set of a group that came in parts
         for cols, more in _groups(batches, "token"):
             token, lo = cols["token"], cols["lo"]
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (lo[1:] != lo[:-1])
+            goes_on = last is not None and token[0] == last[0]
+            new[0] = not (goes_on and lo[0] == last[1])
             token, lo = token[new], lo[new]
+            if not len(token):
+                continue
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             size = np.diff(np.concatenate([start, [len(token)]]))
-            mask = _HUB_MASKS[token & 3]
-            hub = np.repeat(np.minimum.reduceat(lo ^ mask, start), size) ^ mask
-            if tail is not None and token[0] == tail[0]:
-                hub[: size[0]] = tail[1]
-                size[0] += 1
-            tail = (token[-1], hub[-1]) if more else None
-            keep = np.repeat(size > 1, np.diff(np.concatenate([start, [len(token)]])))
-            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(lo[keep]), pa.array(hub[keep])],
-                                             names=["token", "lo", "hub"])
+            keep = size > 1
+            keep[0] |= goes_on
+            keep[-1] |= more
+            keep = np.repeat(keep, size)
+            last = (token[-1], lo[-1]) if more else None
+            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(lo[keep])], names=["token", "lo"])
 
     rows = sigs.where("prefix is not null").select("lo", F.explode("prefix").alias("token"))
     rows = rows.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo")
-    return rows.mapInArrow(run, "token long, lo long, hub long")
+    return rows.mapInArrow(run, "token long, lo long")
+
+
+def live_postings(postings: DataFrame, parts: DataFrame | None, round_: int) -> DataFrame:
+    """(token, lo, component, hub, hub_component) of the shingles whose sets lie in several components.
+
+    The hub is the first set by one of HUBS orders, picked by shingle and round; in a group larger
+    than one part, the first of each part and those before it."""
+    masks = scramble(np.arange(1, HUBS + 1, dtype=np.uint64) + np.uint64(1000 * (round_ + 1))).view(np.int64)
+
+    def run(batches):
+        before = None  # token, hub, its component of a group that came in parts
+        for cols, more in _groups(batches, "token"):
+            token, lo, comp = cols["token"], cols["lo"], cols["component"]
+            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            size = np.diff(np.concatenate([start, [len(token)]]))
+            lowest, highest = np.minimum.reduceat(comp, start), np.maximum.reduceat(comp, start)
+            rank = lo ^ masks[token & (HUBS - 1)]
+            order = np.lexsort((rank, np.repeat(np.arange(len(start)), size)))
+            hub, hub_comp = lo[order[start]], comp[order[start]]
+            keep = lowest != highest
+            if before is not None and token[0] == before[0]:
+                hub[0], hub_comp[0], keep[0] = before[1], before[2], True
+            if more:
+                keep[-1] = True
+            before = (token[-1], hub[-1], hub_comp[-1]) if more else None
+            keep = np.repeat(keep, size)
+            cols = [token, lo, comp, np.repeat(hub, size), np.repeat(hub_comp, size)]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols],
+                                             names=["token", "lo", "component", "hub", "hub_component"])
+
+    if parts is None:
+        rows = postings.select("token", "lo", F.col("lo").alias("component"))
+    else:
+        rows = postings.select("token", "lo").join(parts, "lo")
+    rows = rows.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo", "component")
+    return rows.mapInArrow(run, "token long, lo long, component long, hub long, hub_component long")
 
 
 def cross_pairs(postings: DataFrame) -> DataFrame:
@@ -168,17 +210,19 @@ def cross_pairs(postings: DataFrame) -> DataFrame:
     def run(batches):
         for cols, _ in _groups(batches, "token"):
             token, lo, comp = cols["token"], cols["lo"], cols["component"]
-            start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            stop = np.concatenate([start[1:], [len(token)]])
-            for s, e in zip(start.tolist(), stop.tolist()):
-                if e - s < 2 or (comp[s:e] == comp[s]).all():
-                    continue
-                for k in range(s, e - 1):
-                    other = k + 1 + np.flatnonzero(comp[k + 1:e] != comp[k])
-                    if len(other):
-                        x, y = np.full(len(other), lo[k]), lo[other]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))],
-                                                         names=["x", "y"])
+            place = np.arange(len(token))
+            stop = np.searchsorted(token, token, "right")  # sorted by token
+            step = 1
+            while True:  # all pairs that lie ``step`` apart in their group
+                a = place[place + step < stop[place]]
+                if not len(a):
+                    break
+                b = a + step
+                other = comp[a] != comp[b]
+                x, y = lo[a[other]], lo[b[other]]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
+                place, step = a, step + 1
 
     rows = postings.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo", "component")
     return rows.mapInArrow(run, "x long, y long")
@@ -208,6 +252,9 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
            .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts").withColumn("is_member", F.lit(0)))
     jobs = (member.unionByName(hub).groupBy("doc", "lo")
             .agg(F.collect_list(F.struct("hub", "part", "is_member")).alias("jobs")))
+    jobs = stored(jobs, "jaccard-jobs")
+    if jobs.count() <= MAX_BROADCAST:
+        jobs = F.broadcast(jobs)
     texts = docs.select("doc_id", "text").join(jobs, F.col("doc_id") == F.col("doc")).select("doc", "lo", "text", "jobs")
 
     def sets(batches):
@@ -250,6 +297,12 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return placed.mapInArrow(check, "a long, b long")
 
 
+def _of_sets(classes: DataFrame, parts: DataFrame) -> DataFrame:
+    """(lo, component) of every set; a set without a link is its own component."""
+    own = classes.select("lo", "doc").join(parts.withColumnRenamed("id", "doc"), "doc", "left")
+    return own.groupBy("lo").agg(F.min(F.coalesce("component", "doc")).alias("component"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, ...)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -258,21 +311,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                      .agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("level").alias("level")),
                      "jaccard-classes")
     postings = stored(shared_postings(sigs), "jaccard-postings")
-    # round 1: each set against the hub with which it shares most prefix shingles
-    counted = postings.where("lo <> hub").groupBy(F.col("lo").alias("x"), F.col("hub").alias("y")).agg(F.count("*").alias("n"))
+    # rounds against hubs of other components, until none brings a link
+    parts, live, first = None, postings, 0
     best = Window.partitionBy("x").orderBy(F.desc("n"), "y")
-    first = _eligible(counted, classes).withColumn("_r", F.row_number().over(best)).where("_r <= 2")
-    pairs = stored(first.select("x", "x_doc", F.col("y").alias("hub"), F.col("y_doc").alias("hub_doc")), "jaccard-pairs")
-    links = stored(verified(docs, pairs), "jaccard-links")
-    parts = components(links)
-    # round 2: what is left between different components
-    of_set = classes.select("lo", "doc").join(parts.withColumnRenamed("id", "doc"), "doc", "left")
-    of_set = of_set.groupBy("lo").agg(F.min(F.coalesce("component", "doc")).alias("component"))
-    crossing = cross_pairs(postings.join(of_set, "lo")).groupBy("x", "y").agg(F.count("*").alias("n"))
+    for round_ in range(MAX_ROUNDS):
+        live = stored(live_postings(live, None if parts is None else _of_sets(classes, parts), round_), "jaccard-live")
+        counted = (live.where("component <> hub_component").groupBy(F.col("lo").alias("x"), F.col("hub").alias("y"))
+                   .agg(F.count("*").alias("n")))
+        near = _eligible(counted, classes).withColumn("_r", F.row_number().over(best)).where("_r <= 2")
+        pairs = stored(near.select("x", "x_doc", F.col("y").alias("hub"), F.col("y_doc").alias("hub_doc")), "jaccard-pairs")
+        links = stored(verified(docs, pairs), "jaccard-links")
+        found = links.count()
+        if not found:
+            break
+        if parts is not None:
+            links = links.unionByName(parts.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        parts = components(links)
+        first = first or found
+        if found < FEW * first:
+            break
+    # what is left between different components
+    if parts is not None:
+        live = stored(live_postings(live, _of_sets(classes, parts), MAX_ROUNDS), "jaccard-live")
+    crossing = cross_pairs(live).groupBy("x", "y").agg(F.count("*").alias("n"))
     rest = _eligible(crossing, classes).select("x", "x_doc", F.col("y").alias("hub"), F.col("y_doc").alias("hub_doc"))
-    rest = stored(rest.join(pairs.select("x", "hub"), ["x", "hub"], "left_anti")
-                  .join(pairs.select(F.col("hub").alias("x"), F.col("x").alias("hub")), ["x", "hub"], "left_anti"), "jaccard-rest")
-    links = links.unionByName(verified(docs, rest))
+    links = verified(docs, stored(rest, "jaccard-rest"))
+    if parts is not None:
+        links = links.unionByName(parts.select(F.col("id").alias("a"), F.col("component").alias("b")))
     parts = components(links).withColumnRenamed("id", "doc")
     whole = stored(classes.select("hi", "lo", "doc").join(parts, "doc", "left")
                    .select("hi", "lo", F.coalesce("component", "doc").alias("component_id")), "jaccard-result")
@@ -289,5 +354,24 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
 
 
+ORACLE_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * both_ >= 75 * (p.n + q.n - both_)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS seen FROM documents
+  UNION SELECT r.doc_id, y FROM reach r JOIN ways ON x = r.seen)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(seen) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reach r ON r.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+
 def op6_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(without(table(spark, sf_dir, "documents"), "n_shingles", "component_id"))
