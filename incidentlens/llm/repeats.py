@@ -4,7 +4,10 @@ Paragraphs come in two grains. Lines of ``MIN_LINE`` words or more get a MinHash
 shingles, cut into bands tuned for high recall at similarity 0.75. Each line is also cut into
 short segments at content-defined places (where the hash of a word pair is the smallest among
 its neighbours), which fall alike wherever a passage stands, so a passage inside other text is
-found too; a segment has one band, its digest. Colliding lines of different words are joined
+found too; a segment has one band, its digest. Borders near a passage's ends depend on the words
+around it, so passages are also compared word by word, line ends ignored: every ``EXACT`` words
+hold an anchor (the smallest hash of ``ANCHOR`` words), and wherever an anchor is shared all runs
+of ``EXACT`` words around it are compared over all documents. Colliding lines of different words are joined
 with a hub of their band and verified by exact Jaccard similarity; equal segments need no more.
 Similar lines are clustered by connected components; each class of paragraphs keeps its first
 place. Matched paragraphs that touch form a run, and only runs of ``MIN_RUN`` words or more count.
@@ -39,6 +42,8 @@ SHORTEST = 4
 ROWS = 3
 RECALL = 0.985
 PER_HUB = 2000
+#: Shared runs of that many words are found wherever they stand; an anchor has so many words (both sums of powers of 2).
+EXACT, ANCHOR = 50, 16
 _LINE_END = "\x1e"
 
 
@@ -108,6 +113,20 @@ class Lines:
             terms = scramble(self.hash ^ scramble(at + np.uint64(1)))
             return scramble(np.add.reduceat(terms, starts) + size.astype(np.uint64)).view(np.int64)
 
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every place: the hash of the ANCHOR words and of the EXACT words from there on, and whether
+        EXACT words of the document are left."""
+        n = len(self.hash)
+        left = np.searchsorted(self.doc, self.doc, "right") - np.arange(n)
+        short, long_ = _span_hash(self.hash, ANCHOR), _span_hash(self.hash, EXACT)
+        return short | np.uint64(1), long_, left >= EXACT
+
+    def anchors(self, short: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Places whose ANCHOR words have the smallest hash of some run of EXACT words (all of equal ones)."""
+        window = EXACT - ANCHOR + 1
+        least = np.where(whole, _ahead(short, window, np.minimum), np.uint64(0))
+        return _ahead(least[::-1], window, np.maximum)[::-1] == short
+
     def line_shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes of the given lines (all of N_GRAM words or more) and each line's start among them."""
         s, e = self.starts[lines], self.ends[lines]
@@ -121,6 +140,98 @@ class Lines:
         return scramble(out), begin
 
 
+def _shifted(x: np.ndarray, k: int) -> np.ndarray:
+    return np.concatenate([x[k:], x[len(x) - min(k, len(x)):]])  # the end is of no whole run
+
+
+def _span_hash(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` values from each place on, from spans of powers of 2."""
+    with np.errstate(over="ignore"):
+        join = lambda a, b: scramble(a * np.uint64(0x9E3779B97F4A7C15) + scramble(b))
+        out, done, span, width = None, 0, scramble(h + np.uint64(size)), 1
+        while width <= size:
+            if size & width:
+                part = _shifted(span, done)
+                out = part if out is None else join(out, part)
+                done += width
+            span, width = join(span, _shifted(span, width)), width * 2
+        return out
+
+
+def _ahead(x: np.ndarray, size: int, least) -> np.ndarray:
+    """``least`` (minimum or maximum) of the ``size`` values from each place on, as far as there are any."""
+    width, out = 1, x
+    while width * 2 <= size:
+        if width < len(x):
+            out = np.concatenate([least(out[:-width], out[width:]), out[-width:]])
+        width *= 2
+    k = size - width
+    return np.concatenate([least(out[:-k], out[k:]), out[-k:]]) if 0 < k < len(x) else out
+
+
+def shared_runs(docs: DataFrame) -> DataFrame:
+    """(doc, w0, w1, head): runs of EXACT words or more that other documents have too, with the first
+    place (doc, w0) of their words; a run ends where its first place changes."""
+    docs = docs.where("text is not null and doc_id is not null").select("doc_id", "text")
+
+    def anchor_rows(batches):
+        for batch in slices(batches, max_bytes=5_000_000):
+            x = Lines(batch.column(1))
+            short, _, whole = x.runs()
+            at = np.flatnonzero(x.anchors(short, whole))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            rows = np.unique(np.stack([short[at].view(np.int64), ids[x.doc[at]]]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], names=["key", "doc"])
+
+    def run_rows(batches):
+        for batch in slices(batches, max_bytes=5_000_000):
+            x = Lines(batch.column(1))
+            short, long_, whole = x.runs()
+            at = np.flatnonzero(x.anchors(short, whole))
+            keys = batch.column(2)
+            known = np.stack([np.repeat(np.arange(batch.num_rows), pc.list_value_length(keys).to_numpy(zero_copy_only=False)),
+                              keys.flatten().to_numpy(zero_copy_only=False)])
+            pairs = np.concatenate([known, np.stack([x.doc[at], short[at].view(np.int64)])], axis=1)
+            _, code = np.unique(pairs, axis=1, return_inverse=True)
+            at = at[np.isin(code[known.shape[1]:], code[: known.shape[1]])]
+            near = np.zeros(len(x.hash) + 1, np.int64)  # places whose run holds one of the anchors
+            np.add.at(near, np.maximum(at - (EXACT - ANCHOR), 0), 1)
+            np.add.at(near, at + 1, -1)
+            at = np.flatnonzero((np.cumsum(near)[:-1] > 0) & whole)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(long_[at].view(np.int64)), pa.array(ids[x.doc[at]], pa.int64()),
+                                              pa.array(x.place[at], pa.int32())], names=["key", "doc", "w0"])
+
+    def merge(batches):
+        for batch, _ in _parts(batches):
+            doc, w0, head_doc, head_w0 = (batch.column(k).to_numpy() for k in range(4))
+            cols = [doc, w0, head_doc, head_w0]
+            new = np.ones(len(doc), bool)  # equal rows of a repeated doc_id are one
+            new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+            doc, w0, head_doc, head_w0 = cols = [c[new] for c in cols]
+            start = np.ones(len(doc), bool)
+            start[1:] = ((doc[1:] != doc[:-1]) | (w0[1:] != w0[:-1] + 1) | (head_doc[1:] != head_doc[:-1])
+                         | (head_w0[1:] != head_w0[:-1] + 1))
+            first = np.flatnonzero(start)
+            last = np.concatenate([first[1:], [len(doc)]]) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[first], w0[first], w0[last] + np.int32(EXACT),
+                                                                    head_doc[first], head_w0[first])],
+                                             names=["doc", "w0", "w1", "head_doc", "head_w0"])
+
+    several = F.min("doc") < F.max("doc")
+    anchors = stored(docs.mapInArrow(anchor_rows, "key long, doc long"), "repeats-anchors")
+    met = anchors.groupBy("key").agg(several.alias("_met")).where("_met").select("key")
+    wanted = anchors.join(met, "key").groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    texts = docs.join(wanted, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "keys")
+    rows = stored(texts.mapInArrow(run_rows, "key long, doc long, w0 int"), "repeats-runs")
+    heads = (rows.groupBy("key").agg(several.alias("_met"), F.min(F.struct("doc", "w0")).alias("head")).where("_met")
+             .select("key", F.col("head.doc").alias("head_doc"), F.col("head.w0").alias("head_w0")))
+    placed = rows.join(heads, "key").select("doc", "w0", "head_doc", "head_w0")
+    placed = placed.repartition("doc").sortWithinPartitions("doc", "w0", "head_doc", "head_w0")
+    return (placed.mapInArrow(merge, "doc long, w0 int, w1 int, head_doc long, head_w0 int")
+            .select("doc", "w0", "w1", F.struct(F.col("head_doc").alias("doc"), F.col("head_w0").alias("w0")).alias("head")))
+
+
 def paragraph_bands(docs: DataFrame) -> DataFrame:
     """(key, doc, w0, w1, digest): one row per segment (digest NULL) and BANDS per long line."""
     def run(batches):
@@ -284,6 +395,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
              .unionByName(near.select("doc", "w0", "w1", "g").distinct())
              .unionByName(near.select(F.col("hub_doc").alias("doc"), F.col("hub_w0").alias("w0"), F.col("hub_w1").alias("w1"),
                                       "g").distinct()))
+    none = F.lit(None)
+    units = (units.withColumn("exact", none.cast("struct<doc: bigint, w0: int>"))
+             .unionByName(shared_runs(docs).select("doc", "w0", "w1", none.cast("struct<a: bigint, b: int>").alias("g"),
+                                                   F.col("head").alias("exact"))))
     # runs of touching paragraphs
     order = Window.partitionBy("doc").orderBy("w0", "w1")
     reach = F.max("w1").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -292,9 +407,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     whole = Window.partitionBy("doc", "_run")
     units = stored(units.withColumn("run_start", F.min("w0").over(whole)).withColumn("run_end", F.max("w1").over(whole))
                    .drop("_new", "_run"), "repeats-units")
-    heads = stored(units.groupBy("g").agg(F.min(F.struct("doc", "w0")).alias("head")), "repeats-heads")
+    heads = stored(units.where("g is not null").groupBy("g").agg(F.min(F.struct("doc", "w0")).alias("head")), "repeats-heads")
     long_ = units.where(F.col("run_end") - F.col("run_start") >= MIN_RUN)
-    spans = (long_.join(heads.withColumnRenamed("g", "hg"), F.col("g") == F.col("hg"))
+    spans = (long_.where("exact is null").join(heads.withColumnRenamed("g", "hg"), F.col("g") == F.col("hg"))
+             .select("doc", "w0", "w1", "run_start", "run_end", "head")
+             .unionByName(long_.where("exact is not null").select("doc", "w0", "w1", "run_start", "run_end", F.col("exact").alias("head")))
              .withColumn("removed", F.struct("doc", "w0") != F.col("head")))
     return (spans.groupBy(F.col("doc").alias("doc_id"), "run_start", "run_end", F.col("head.doc").alias("kept_doc"), "removed")
             .agg(F.min("w0").alias("word_start"), F.max("w1").alias("word_end"),
