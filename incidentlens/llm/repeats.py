@@ -8,7 +8,8 @@ found too; a segment has one band, its digest. Borders near a passage's ends dep
 around it, so passages are also compared word by word, line ends ignored: every ``EXACT`` words
 hold an anchor (the smallest hash of ``ANCHOR`` words), and wherever an anchor is shared all runs
 of ``EXACT`` words around it are compared over all documents. Colliding lines of different words are joined
-with a hub of their band and verified by exact Jaccard similarity; equal segments need no more.
+with hubs of their band, round by round, and all pairs of a band that are still in different components
+with each other; exact Jaccard similarity decides. Equal segments need no more.
 Similar lines are clustered by connected components; each class of paragraphs keeps its first
 place. Matched paragraphs that touch form a run, and only runs of ``MIN_RUN`` words or more count.
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, scramble, slices, stored, table
 from .graph import components
-from .jaccard import _groups
+from .jaccard import FEW, MAX_ROUNDS, live_postings
 
 N_GRAM = 5
 SIMILARITY = 0.75
@@ -42,6 +43,8 @@ SHORTEST = 4
 ROWS = 3
 RECALL = 0.985
 PER_HUB = 2000
+#: Lines of one key that are compared with as many others in one place.
+PER_BLOCK = 256
 #: Shared runs of that many words are found wherever they stand; an anchor has so many words (both sums of powers of 2).
 EXACT, ANCHOR = 50, 16
 _LINE_END = "\x1e"
@@ -322,23 +325,9 @@ def _parts(batches, limit: int = 1 << 20):
         yield held, False
 
 
-def verified_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """(digest, hub_digest) of line classes whose shingle sets have Jaccard similarity >= 0.75.
-
-    One line of each class is looked at; sets go to their hub, a hub with many members is checked
-    in several places."""
-    pairs = met.groupBy("digest", "hub_digest").agg(
-        F.min(F.struct("doc", "w0", "w1")).alias("m"), F.min(F.struct("hub_doc", "hub_w0", "hub_w1")).alias("h"))
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(1 << 30)))
-    size = pairs.groupBy("hub_digest").agg(F.count("*").alias("n"), F.min("h").alias("h"))
-    size = size.withColumn("parts", (F.floor(F.col("n") / PER_HUB) + 1).cast("int"))
-    member = (pairs.join(size.select("hub_digest", "parts"), "hub_digest")
-              .select("m.doc", "m.w0", "m.w1", "digest", "hub_digest", (F.col("salt") % F.col("parts")).cast("int").alias("part"),
-                      F.lit(1).alias("is_member")))
-    hub = (size.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-           .select(F.col("h.hub_doc").alias("doc"), F.col("h.hub_w0").alias("w0"), F.col("h.hub_w1").alias("w1"),
-                   F.col("hub_digest").alias("digest"), "hub_digest", "part", F.lit(0).alias("is_member")))
-    jobs = member.unionByName(hub).groupBy("doc").agg(F.collect_list(
+def line_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """(hub_digest, part, is_member, digest, items): the shingle sets of the lines at the given places."""
+    jobs = places.groupBy("doc").agg(F.collect_list(
         F.struct("w0", "w1", "digest", "hub_digest", "part", "is_member")).alias("jobs"))
     texts = docs.join(jobs, F.col("doc_id") == F.col("doc")).select("text", "jobs")
 
@@ -361,6 +350,25 @@ def verified_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
                                                  names=["hub_digest", "part", "is_member", "digest", "items"])
 
+    return texts.mapInArrow(sets, "hub_digest long, part int, is_member int, digest long, items binary")
+
+
+def verified_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
+    """(digest, hub_digest) of line classes whose shingle sets have Jaccard similarity >= 0.75.
+
+    One line of each class is looked at; sets go to their hub, a hub with many members is checked
+    in several places."""
+    pairs = met.groupBy("digest", "hub_digest").agg(
+        F.min(F.struct("doc", "w0", "w1")).alias("m"), F.min(F.struct("hub_doc", "hub_w0", "hub_w1")).alias("h"))
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(1 << 30)))
+    size = pairs.groupBy("hub_digest").agg(F.count("*").alias("n"), F.min("h").alias("h"))
+    size = size.withColumn("parts", (F.floor(F.col("n") / PER_HUB) + 1).cast("int"))
+    member = (pairs.join(size.select("hub_digest", "parts"), "hub_digest")
+              .select("m.doc", "m.w0", "m.w1", "digest", "hub_digest", (F.col("salt") % F.col("parts")).cast("int").alias("part"),
+                      F.lit(1).alias("is_member")))
+    hub = (size.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+           .select(F.col("h.hub_doc").alias("doc"), F.col("h.hub_w0").alias("w0"), F.col("h.hub_w1").alias("w1"),
+                   F.col("hub_digest").alias("digest"), "hub_digest", "part", F.lit(0).alias("is_member")))
     def check(batches):
         now, center = None, None
         for batch in batches:
@@ -376,25 +384,142 @@ def verified_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
                                               pa.array([o[1] for o in out], pa.int64())], names=["digest", "hub_digest"])
 
-    placed = texts.mapInArrow(sets, "hub_digest long, part int, is_member int, digest long, items binary")
-    placed = placed.repartition("hub_digest", "part").sortWithinPartitions("hub_digest", "part", "is_member")
+    placed = line_sets(docs, member.unionByName(hub)).repartition("hub_digest", "part").sortWithinPartitions("hub_digest", "part", "is_member")
     return placed.mapInArrow(check, "digest long, hub_digest long").distinct()
 
 
+def crossing_lines(docs: DataFrame, live: DataFrame, places: DataFrame) -> DataFrame:
+    """(digest, hub_digest) of all similar lines that share a key of ``live`` (token, lo, component) in
+    different components.
+
+    The lines of a key, but those of its largest component, are dealt over blocks, those of the
+    largest one over blocks of their own; every two blocks that can hold such a pair are one group of
+    rows, so a large key is checked in many places and no pair becomes a row unless it links."""
+    size = live.groupBy("token", "component").agg(F.count("*").alias("n"))
+    size = size.groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
+    blocks = lambda n: (F.floor(n / PER_BLOCK) + 1).cast("int")
+    size = size.where("top.n < n").select("token", F.col("top.component").alias("top"), blocks(F.col("n") - F.col("top.n")).alias("others"),
+                                          blocks(F.col("top.n")).alias("tops"))
+    dealt = live.join(size, "token").withColumn("salt", F.pmod(F.xxhash64("lo", "token"), F.lit(1 << 30)))
+    own = F.col("component") == F.col("top")
+    dealt = dealt.withColumn("block", F.when(own, F.col("others") + F.col("salt") % F.col("tops")).otherwise(F.col("salt") % F.col("others")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(own, F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1)))
+    dealt = dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "lo", "component")
+    wanted = places.join(live.select(F.col("lo").alias("digest")).distinct(), "digest", "left_semi")
+    items = line_sets(docs, wanted.select("doc", "w0", "w1", "digest", F.col("digest").alias("hub_digest"), F.lit(0).alias("part"),
+                                          F.lit(1).alias("is_member")))
+    items = stored(items.select(F.col("digest").alias("lo"), "items").dropDuplicates(["lo"]), "repeats-sets")
+
+    def check(batches):
+        for cell in _cells(batches):
+            block, digest, comp = (cell.column(c).to_numpy() for c in ("block", "lo", "component"))
+            sets = [np.frombuffer(x, np.uint64) for x in cell.column("items").to_pylist()]
+            a = np.flatnonzero(block == cell.column("i")[0].as_py())
+            b = np.flatnonzero(block == cell.column("j")[0].as_py())
+            if not len(a) or not len(b):
+                continue
+            both = _overlaps(sets, a, b)
+            n = np.array([len(x) for x in sets])
+            like = (both >= SIMILARITY * (n[a][:, None] + n[b][None, :] - both)) & (comp[a][:, None] != comp[b][None, :])
+            x, y = np.nonzero(like)
+            x, y = digest[a[x]], digest[b[y]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["digest", "hub_digest"])
+
+    rows = dealt.join(items, "lo").select("token", "i", "j", "block", "lo", "component", "items")
+    rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return rows.mapInArrow(check, "digest long, hub_digest long").distinct()
+
+
+def _cells(batches):
+    """The rows of each (token, i, j) of sorted batches, as one table (two blocks at most)."""
+    held = []
+    now = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)])
+        cut = np.flatnonzero(np.concatenate([[True], np.any(names[:, 1:] != names[:, :-1], axis=0)]))
+        for at, end in zip(cut, [*cut[1:], batch.num_rows]):
+            name = tuple(names[:, at])
+            if name != now and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = name
+            held.append(batch.slice(at, end - at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _overlaps(sets: list, a: np.ndarray, b: np.ndarray, width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of sets ``a`` with sets ``b``."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, code, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, code = row[n[code] > 1], code[n[code] > 1]
+    _, code = np.unique(code, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+        lo, hi = np.searchsorted(code, [at, at + width])
+        has = np.zeros((len(sets), width), np.float32)
+        has[row[lo:hi], code[lo:hi] - at] = 1
+        out += has[a] @ has[b].T
+    return out
+
+
+def similar_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
+    """(id, component) of every line class that is similar to another, by chains of similar lines.
+
+    First every line against the hub of its key, then against hubs of other components, until that
+    brings few links; then all pairs of a key that are still in different components."""
+    links = stored(verified_lines(docs, met), "repeats-lines")
+    sides = (met.select(F.col("key").alias("token"), F.col("digest").alias("lo"), "doc", "w0", "w1")
+             .unionByName(met.select(F.col("key").alias("token"), F.col("hub_digest").alias("lo"), F.col("hub_doc").alias("doc"),
+                                     F.col("hub_w0").alias("w0"), F.col("hub_w1").alias("w1"))))
+    places = stored(sides.groupBy(F.col("lo").alias("digest")).agg(F.min(F.struct("doc", "w0", "w1")).alias("p"))
+                    .select("digest", "p.doc", "p.w0", "p.w1"), "repeats-places")
+    live = sides.select("token", "lo").distinct()
+    parts = components(links, "digest", "hub_digest")
+    first = links.count()
+
+    def component():
+        return (places.select(F.col("digest").alias("lo")).join(parts.withColumnRenamed("id", "lo"), "lo", "left")
+                .select("lo", F.coalesce("component", "lo").alias("component")))
+
+    for round_ in range(MAX_ROUNDS):
+        live = stored(live_postings(live, component(), round_), "repeats-live")
+        pairs = live.where("component <> hub_component").select(F.col("lo").alias("digest"), F.col("hub").alias("hub_digest")).distinct()
+        hub = places.select(F.col("digest").alias("hub_digest"), F.col("doc").alias("hub_doc"), F.col("w0").alias("hub_w0"),
+                            F.col("w1").alias("hub_w1"))
+        links = stored(verified_lines(docs, pairs.join(places, "digest").join(hub, "hub_digest")), "repeats-lines")
+        found = links.count()
+        if found:
+            parts = components(links.unionByName(parts.select(F.col("id").alias("digest"), F.col("component").alias("hub_digest"))),
+                               "digest", "hub_digest")
+        if found <= FEW * first:
+            break
+    if found:
+        live = stored(live_postings(live, component(), MAX_ROUNDS), "repeats-live")
+    links = stored(crossing_lines(docs, live.select("token", "lo", "component"), places), "repeats-lines")
+    return components(links.unionByName(parts.select(F.col("id").alias("digest"), F.col("component").alias("hub_digest"))),
+                      "digest", "hub_digest")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, run_start, run_end, kept_doc, removed, word_start, word_end, n_paragraphs): for every
     long run its paragraphs by the document that keeps them (``removed``: this is not that place)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     met = stored(collisions(paragraph_bands(docs)), "repeats-met")
     lines = met.where("digest is not null")
-    links = stored(verified_lines(docs, lines), "repeats-lines")
-    parts = components(links, "digest", "hub_digest")
-    near = (lines.join(links, ["digest", "hub_digest"]).join(parts, F.col("hub_digest") == F.col("id"))
-            .withColumn("g", F.struct(F.col("component").alias("a"), F.lit(1).alias("b"))))
+    at = (lines.select("digest", "doc", "w0", "w1").unionByName(
+        lines.select(F.col("hub_digest").alias("digest"), F.col("hub_doc").alias("doc"), F.col("hub_w0").alias("w0"),
+                     F.col("hub_w1").alias("w1"))).distinct())
+    near = stored(at.join(similar_lines(docs, lines), F.col("digest") == F.col("id"))
+                  .select("doc", "w0", "w1", F.struct(F.col("component").alias("a"), F.lit(1).alias("b")).alias("g")), "repeats-near")
+    several = near.groupBy("g").agg((F.min("doc") < F.max("doc")).alias("_met")).where("_met").select("g")
+    near = near.join(several, "g").select("doc", "w0", "w1", "g")
     units = (met.where("digest is null").select("doc", "w0", "w1", F.struct(F.col("key").alias("a"), F.lit(0).alias("b")).alias("g"))
-             .unionByName(near.select("doc", "w0", "w1", "g").distinct())
-             .unionByName(near.select(F.col("hub_doc").alias("doc"), F.col("hub_w0").alias("w0"), F.col("hub_w1").alias("w1"),
-                                      "g").distinct()))
+             .unionByName(near))
     none = F.lit(None)
     units = (units.withColumn("exact", none.cast("struct<doc: bigint, w0: int>"))
              .unionByName(shared_runs(docs).select("doc", "w0", "w1", none.cast("struct<a: bigint, b: int>").alias("g"),

@@ -102,3 +102,29 @@ def test_shared_runs_equal_brute_force(spark):
         for i in range(r["w0"], r["w1"] - 49):
             got[r["doc"], i] = (r["head"]["doc"], r["head"]["w0"] + i - r["w0"])
     assert got == want and want
+
+
+def test_similar_lines_behind_an_earlier_line_are_linked(spark, monkeypatch):
+    """In every bucket an earlier line, similar to neither, is the hub; and keys in several blocks."""
+    rng = random.Random(14)
+    base = long_sentence(rng, 60).split()
+    rows = []
+    for k in range(12):  # pairs that share half of a template with all others
+        own = base[:35] + long_sentence(rng, 25).split()
+        near = list(own)
+        near[50] = "changed"
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(near))]
+    docs = spark.createDataFrame([(100, " ".join(base))] + [(d + 101, t) for d, t in rows], "doc_id long, text string")
+    digest = {}
+    for d, text in docs.collect():
+        x = repeats.Lines(repeats.pa.array([text]))
+        digest[d] = int(x.digests(x.starts)[0])
+    met = spark.createDataFrame([(7, d + 101, 0, 60, digest[d + 101], digest[100], 100, 0, 60) for d, _ in rows],
+                                "key long, doc long, w0 int, w1 int, digest long, hub_digest long, hub_doc long, hub_w0 int, hub_w1 int")
+    assert repeats.verified_lines(docs, met).count() == 0
+    monkeypatch.setattr(repeats, "MAX_ROUNDS", 1)  # one hub cannot link twelve pairs
+    monkeypatch.setattr(repeats, "PER_BLOCK", 4)
+    parts = {}
+    for r in repeats.similar_lines(docs, met).collect():
+        parts.setdefault(r["component"], set()).add(r["id"])
+    assert sorted(map(sorted, parts.values())) == sorted(sorted({digest[101 + 2 * k], digest[102 + 2 * k]}) for k in range(12))
