@@ -3,8 +3,9 @@
 A page becomes a row of tokens, words and tags. Words score by where they stand (the element
 and class around them), tags by their name; the weights are log odds learned from labelled
 pages, so words of articles score positive and tags negative. One linear scan finds the
-contiguous region with the largest sum. Inside it, elements that are never article text
-(scripts, forms, menus, side notes, adverts, comments and the like) are left out.
+contiguous region with the largest sum. Elements that are never article text (scripts, forms,
+menus, side notes, adverts, comments and the like) are left out of it; nothing in them is a token,
+so they neither end a region nor teach a weight.
 
 Labelled pages are those that mark their own content with an ``article`` or ``main`` element;
 the element itself gives the label and is no feature.
@@ -58,8 +59,8 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
 class Page:
-    """Tokens of a page: ``features`` (name, number of words: 0 for a tag) and, beside each, the
-    block it belongs to (or -1) and whether it lies in the page's own content element."""
+    """Tokens of a page outside the elements that are never text: ``features`` (name, number of words:
+    0 for a tag) and, beside each, the block it belongs to (or -1) and whether it lies in the page's own content element."""
 
     def __init__(self, source: str):
         self.features: list[tuple[str, int]] = []
@@ -76,13 +77,11 @@ class Page:
             token = m[0]
             if token[0] != "<" or token == "<":
                 if never:
-                    words = len(token.split())
-                    kept = -1
-                else:
-                    self.parts[-1].append(token)
-                    words, kept = len(token.split()), len(self.parts) - 1
+                    continue
+                self.parts[-1].append(token)
+                words = len(token.split())
                 if words:
-                    self._add("w:" + (stack[-1][2] if stack else ""), words, kept, content > 0)
+                    self._add("w:" + (stack[-1][2] if stack else ""), words, len(self.parts) - 1, content > 0)
                 continue
             if token.startswith("<!--") or token[1] in "!?":
                 continue
@@ -90,7 +89,8 @@ class Page:
             if token[1] == "/":
                 if name not in INLINE:
                     self._break()
-                self._add("t:/" + name, 0, -1, content > 0)
+                if not never:
+                    self._add("t:/" + name, 0, -1, content > 0)
                 if any(s[0] == name for s in stack):
                     while True:
                         gone = stack.pop()
@@ -102,12 +102,11 @@ class Page:
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, m.end())
                 skip_to = end.end() if end else len(source)
-                self._add("t:" + name, 0, -1, content > 0)
                 continue
             if name == "br":
                 if not never:
                     self.parts[-1].append(" ")
-                self._add("t:br", 0, -1, content > 0)
+                    self._add("t:br", 0, -1, content > 0)
                 continue
             if name not in INLINE:
                 self._break()
@@ -124,7 +123,7 @@ class Page:
             if name in CONTENT:
                 self.labelled = True
                 content += 1
-            else:
+            elif not (never or drop):
                 self._add("t:" + shown, 0, -1, content > 0)
             if name not in VOID and not token.endswith("/>"):
                 inner = stack[-1][2] if stack and name in INLINE and not bad else shown

@@ -36,3 +36,18 @@ def test_scan_finds_the_best_region():
     first, last = page.region(weights)
     assert sum(sums[first:last + 1]) == best[0]
     assert page.text(weights) == "d e f"
+
+
+def test_lists_and_adverts_inside_an_article_do_not_end_it(spark):
+    """Lists stand only in menus of the labelled pages; their words there say nothing of other lists."""
+    first, last = "<p>First part of the text with some words in it.</p>", "<p>Last part of the text with more words in it.</p>"
+    items = "".join(f"<li>item {k} of five words</li>" for k in range(3))
+    advert = "<div class='ad'><p>" + "buy this now " * 7 + "</p></div><script>x()</script><nav><ul><li>other pages to see</li></ul></nav>"
+    rows = [(i, "u", PAGE.format(ARTICLE), None) for i in range(30)]
+    rows += [(100, "u", PAGE.format(f"<div>{first}<ul>{items}</ul>{advert}{last}</div>"), None),
+             (101, "u", PAGE.format(f"<article>{first}<ul>{items}</ul>{advert}{last}</article>"), None)]
+    by = {r["page_id"]: r["text"] for r in webpages.extract(pages(spark, rows)).collect()}
+    want = ["First part of the text with some words in it.", *(f"item {k} of five words" for k in range(3)),
+            "Last part of the text with more words in it."]
+    assert by[0] == TEXT
+    assert by[100].split("\n") == by[101].split("\n") == want
