@@ -120,11 +120,13 @@ def likeness(mention: str) -> list[str]:
     return ["=" + digits, "~" + digits[-7:]]
 
 
-def graph(texts: list[str]):
+def graph(texts: list[str], hubs: bool = False):
     """Nodes (document, start, end), their features, base labels and edges of a batch.
 
     Edges join each mention with the next one (chain) and with the next one of equal likeness
-    (skip), so a document of n mentions has O(n) edges."""
+    (skip); with ``hubs`` also every mention without a base label with the first one of each label
+    and equal likeness. So a document of n mentions has O(n) edges, and evidence of a base span is
+    one edge away from every mention alike."""
     doc, start, end, feats, label, edges, kind = [], [], [], [], [], [], []
     bases = []
     for d, text in enumerate(texts):
@@ -132,6 +134,7 @@ def graph(texts: list[str]):
         bases.append(base)
         found = mentions(text) if text else []
         last: dict[str, int] = {}
+        at = len(edges)
         for k, (s, e) in enumerate(found):
             n = len(doc)
             doc.append(d)
@@ -147,6 +150,24 @@ def graph(texts: list[str]):
                     edges.append((last[key], n))
                     kind.append(1 if key[0] == "=" else 2)
                 last[key] = n
+        if hubs and base:
+            nodes = range(len(doc) - len(found), len(doc))
+            keys = [likeness(text[s:e]) for s, e in found]
+            known: dict[str, dict[int, int]] = {}
+            for n, own in zip(nodes, keys):
+                if label[n]:
+                    for key in own:
+                        known.setdefault(key, {}).setdefault(label[n], n)
+            next_to = set(zip(edges[at:], kind[at:])) if known else set()
+            for n, own in zip(nodes, keys):
+                if not label[n]:
+                    for key in own:
+                        k = 1 if key[0] == "=" else 2
+                        for hub in known.get(key, {}).values():
+                            edge = (min(hub, n), max(hub, n))
+                            if (edge, k) not in next_to:
+                                edges.append(edge)
+                                kind.append(k)
     x = np.zeros((len(doc), N_SHAPES))
     for i, fs in enumerate(feats):
         x[i, fs] = 1.0
@@ -172,7 +193,9 @@ def start_theta() -> np.ndarray:
 
 
 def marginals(theta, x, seen, edges, kind, rounds: int = ROUNDS) -> np.ndarray:
-    """Label probabilities of all nodes by loopy sum-product; ``seen``: base label or -1 where hidden or none."""
+    """Label probabilities of all nodes by loopy sum-product; ``seen``: base label or -1 where hidden or none.
+
+    A base label is certain to the neighbours, however many alike mentions by themselves say none."""
     w, evidence, agree = unpack(theta)
     unary = x @ w
     has = seen > 0
@@ -184,10 +207,14 @@ def marginals(theta, x, seen, edges, kind, rounds: int = ROUNDS) -> np.ndarray:
     strength = np.exp(agree[np.concatenate([kind, kind])])[:, None] - 1.0
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
     log_m = np.zeros((len(src), N_LABELS))
+    sure = np.flatnonzero(has[src])
+    known = np.eye(N_LABELS)[seen[src[sure]]]
+    log_m[sure] = (known - 1.0) * np.log(strength[sure] + 1.0)  # at full strength before mentions agree among themselves
     for _ in range(rounds):
         total = unary.copy()
         np.add.at(total, dst, log_m)
         p = _softmax(total[src] - log_m[back])
+        p[sure] = known
         m = p * strength + 1.0  # sum over source labels of p * exp(agree if equal)
         new = np.log(np.maximum(m, 1e-12))
         log_m = 0.5 * log_m + 0.5 * (new - new.max(axis=1, keepdims=True))
@@ -236,7 +263,7 @@ def train(texts: list[str], steps: int = 150, hide: float = 0.3, seed: int = 5)
 
 def annotate(texts: list[str], theta: np.ndarray) -> list[tuple[list, list]]:
     """Per text its base spans and all spans, each (start, kind number, end) in order."""
-    bases, doc, start, end, x, label, edges, kind = graph(texts)
+    bases, doc, start, end, x, label, edges, kind = graph(texts, hubs=True)
     out = [(b, b) for b in bases]
     open_ = np.flatnonzero(label == 0)
     if not len(open_) or not (label > 0).any():

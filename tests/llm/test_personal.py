@@ -58,3 +58,13 @@ def test_odd_rows(spark, odd, none):
     assert p.find_personal_data(none).count() == 0
     hidden = p.find_personal_data(docs, redact=True).where("doc_id = 5 and n_email = 1").first()["text"]
     assert "[EMAIL]" in hidden and "[PHONE]" in hidden and "@" not in hidden
+
+
+def test_evidence_reaches_every_alike_mention_of_a_long_document():
+    """Numbers of this shape alone say none; before, messages ended twelve edges from the base span."""
+    theta = p.train(texts() + [f"room 0{i % 90 + 10} {1234 + i * 7} {8765 - i * 3} is free" for i in range(8)])
+    for before, after in ((0, 1), (0, 30), (30, 0), (100, 100)):
+        text = "call 020 7946 0958 now. " * before + "call +44 20 7946 0958 now. " + "call 020 7946 0958 now. " * after
+        base, spans = p.annotate([text], theta)[0]
+        assert len(base) == 1 and len(spans) == 1 + before + after
+    assert p.annotate(["room 020 7946 0958 now. " * 40], theta)[0] == ([], [])
