@@ -37,6 +37,8 @@ LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64])
 CHANCE, CANDIDATE_COST = 0.05, 3.0
 #: Members of one hub that are verified in one place; beyond that the hub's set is copied.
 PER_HUB = 2000
+#: Sets of one shingle that are paired with as many others in one place.
+PER_BLOCK = 4096
 #: Documents to verify in one round whose ids and hubs are broadcast to the texts (each a few dozen
 #: bytes); with more, texts and ids are shuffled to each other.
 MAX_BROADCAST = 200_000
@@ -205,26 +207,49 @@ def live_postings(postings: DataFrame, parts: DataFrame | None, round_: int) ->
     return rows.mapInArrow(run, "token long, lo long, component long, hub long, hub_component long")
 
 
+def deal_blocks(live: DataFrame, per_block: int) -> DataFrame:
+    """Rows of ``live`` (token, lo, component) once per cell (token, i, j) they belong to, with their block.
+
+    A token of up to ``per_block`` rows is one block. Those of a larger one are dealt over blocks, the
+    rows of its largest component over blocks of their own; every two blocks that can hold a pair of
+    different components are one cell, so each such pair meets in exactly one, of bounded size."""
+    size = live.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > per_block)
+    size = live.join(size, "token").groupBy("token", "n", "component").agg(F.count("*").alias("k"))
+    size = size.groupBy("token", "n").agg(F.max(F.struct("k", "component")).alias("top"))
+    blocks = lambda n: (F.floor(n / per_block) + 1).cast("int")
+    size = size.select("token", F.col("top.component").alias("top"), blocks(F.col("n") - F.col("top.k")).alias("others"),
+                       blocks(F.col("top.k")).alias("tops"))
+    dealt = live.select("token", "lo", "component").join(size, "token", "left")
+    salt, others = F.pmod(F.xxhash64("lo", "token"), F.lit(1 << 30)), F.coalesce("others", F.lit(1))
+    own = F.coalesce(F.col("component") == F.col("top"), F.lit(False))
+    dealt = dealt.withColumn("block", F.when(own, others + salt % F.col("tops")).otherwise(salt % others).cast("int"))
+    last = F.when(own, others).otherwise(others + F.coalesce("tops", F.lit(0))) - 1
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "lo", "component")
+
+
 def cross_pairs(postings: DataFrame) -> DataFrame:
     """(x, y) for every shingle and two of its sets that lie in different components."""
     def run(batches):
-        for cols, _ in _groups(batches, "token"):
-            token, lo, comp = cols["token"], cols["lo"], cols["component"]
-            place = np.arange(len(token))
-            stop = np.searchsorted(token, token, "right")  # sorted by token
+        for cols, _ in _groups(batches, "cell", limit=1 << 40):  # no cell is large
+            cell, token, i, j, block, lo, comp = (cols[c] for c in ("cell", "token", "i", "j", "block", "lo", "component"))
+            place = np.arange(len(cell))
+            stop = np.searchsorted(cell, cell, "right")  # sorted by cell
             step = 1
-            while True:  # all pairs that lie ``step`` apart in their group
+            while True:  # all pairs that lie ``step`` apart in their cell
                 a = place[place + step < stop[place]]
                 if not len(a):
                     break
                 b = a + step
-                other = comp[a] != comp[b]
+                other = ((comp[a] != comp[b]) & (token[a] == token[b]) & (i[a] == i[b]) & (j[a] == j[b])
+                         & ((i[a] == j[a]) | (block[a] != block[b])))
                 x, y = lo[a[other]], lo[b[other]]
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
                 place, step = a, step + 1
 
-    rows = postings.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo", "component")
+    rows = deal_blocks(postings, PER_BLOCK).withColumn("cell", F.xxhash64("token", "i", "j"))
+    rows = rows.repartition("cell").sortWithinPartitions("cell", "lo")
     return rows.mapInArrow(run, "x long, y long")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, scramble, slices, stored, table
 from .graph import components
-from .jaccard import FEW, MAX_ROUNDS, live_postings
+from .jaccard import FEW, MAX_ROUNDS, deal_blocks, live_postings
 
 N_GRAM = 5
 SIMILARITY = 0.75
@@ -392,19 +392,8 @@ def crossing_lines(docs: DataFrame, live: DataFrame, places: DataFrame) -> DataF
     """(digest, hub_digest) of all similar lines that share a key of ``live`` (token, lo, component) in
     different components.
 
-    The lines of a key, but those of its largest component, are dealt over blocks, those of the
-    largest one over blocks of their own; every two blocks that can hold such a pair are one group of
-    rows, so a large key is checked in many places and no pair becomes a row unless it links."""
-    size = live.groupBy("token", "component").agg(F.count("*").alias("n"))
-    size = size.groupBy("token").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-    blocks = lambda n: (F.floor(n / PER_BLOCK) + 1).cast("int")
-    size = size.where("top.n < n").select("token", F.col("top.component").alias("top"), blocks(F.col("n") - F.col("top.n")).alias("others"),
-                                          blocks(F.col("top.n")).alias("tops"))
-    dealt = live.join(size, "token").withColumn("salt", F.pmod(F.xxhash64("lo", "token"), F.lit(1 << 30)))
-    own = F.col("component") == F.col("top")
-    dealt = dealt.withColumn("block", F.when(own, F.col("others") + F.col("salt") % F.col("tops")).otherwise(F.col("salt") % F.col("others")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(own, F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1)))
-    dealt = dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "lo", "component")
+    A large key is checked block with block in many places, and no pair becomes a row unless it links."""
+    dealt = deal_blocks(live, PER_BLOCK)
     wanted = places.join(live.select(F.col("lo").alias("digest")).distinct(), "digest", "left_semi")
     items = line_sets(docs, wanted.select("doc", "w0", "w1", "digest", F.col("digest").alias("hub_digest"), F.lit(0).alias("part"),
                                           F.lit(1).alias("is_member")))

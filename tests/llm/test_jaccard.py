@@ -70,3 +70,24 @@ def test_a_group_in_parts_loses_no_link(spark, monkeypatch):
     words = sentence(rng, 100).split()
     rows = [(k, " ".join(words[:95] + [f"z{k}"] + words[95:])) for k in range(30)]
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_every_pair_of_components_of_a_large_shingle_meets_once(spark, monkeypatch):
+    """Sets that no hub links, in parts of three rows and in blocks of four; before, parts never met."""
+    import functools
+    from collections import Counter
+
+    monkeypatch.setattr(jaccard, "_groups", functools.partial(jaccard._groups, limit=3))
+    monkeypatch.setattr(jaccard, "PER_BLOCK", 4, raising=False)
+    sets = {1: [(lo, lo % 7) for lo in range(30)], 2: [(lo, 0 if lo < 25 else lo) for lo in range(-3, 29)], 3: [(5, 1), (6, 2)],
+            4: [(lo, 9) for lo in range(12)]}
+    rows = [(token, lo, c) for token, members in sets.items() for lo, c in members]
+    postings = spark.createDataFrame(rows, "token long, lo long, component long").repartition(3)
+    per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(per_batch)
+    spark.conf.set(per_batch, "5")  # parts end with a batch
+    try:
+        got = Counter((r["x"], r["y"]) for r in jaccard.cross_pairs(postings).collect())
+    finally:
+        spark.conf.set(per_batch, before)
+    assert got == Counter((x, y) for members in sets.values() for x, c in members for y, d in members if x < y and c != d)
