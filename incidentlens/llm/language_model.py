@@ -40,8 +40,8 @@ ENDINGS, MARKS = 24, 4
 N_HEAD = HEAD // PER_CLASS
 END_CLASS = N_HEAD
 N_CLASSES = N_HEAD + 1 + ENDINGS * MARKS
-#: Training: rounds of averaging, and every round's share of the training documents (one in so many).
-ROUNDS, ONE_IN = 2, 8
+#: Training: rounds of averaging; each trains on its own share of the training documents, together on all.
+ROUNDS = 8
 STEPS, LANES = 24, 64
 SCORE_LANES, SCORE_STEPS = 192, 32
 LN10 = np.log(10.0)
@@ -316,12 +316,17 @@ def frequent_words(counts: DataFrame, most: int = CARRIED) -> list[tuple[str, in
     return sorted(((r["word"], r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
+def share(docs: DataFrame, round_: int) -> DataFrame:
+    """The training documents of a round; every one is in exactly one round."""
+    return docs.where("not held_out").where(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(ROUNDS)) == round_)
+
+
 def train(docs: DataFrame, model: Model) -> Model:
-    """Rounds of local training on a share of the training documents and averaging of the weights."""
+    """Rounds of local training, each on its share of the training documents, and averaging of the weights."""
     spark = docs.sparkSession
     for round_ in range(ROUNDS):
         shared = Shared(spark, model)
-        part = docs.where("not held_out").where(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(ONE_IN)) == round_).select("text")
+        part = share(docs, round_).select("text")
         rate = 0.015 / (1 + round_)
 
         def run(batches):

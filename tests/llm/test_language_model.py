@@ -77,3 +77,13 @@ def test_frequent_words_are_bounded_and_the_most_frequent(spark):
         assert len(got) <= most
         assert got == sorted(((w, c) for w, _, c in rows), key=lambda x: (-x[1], x[0]))[:len(got)]
     assert len(lm.frequent_words(counts, 1000)) == 500
+
+
+def test_the_rounds_train_on_every_training_document_once(spark, monkeypatch):
+    """Before, three quarters of the training documents reached no round."""
+    trained = []
+    real = lm.share
+    monkeypatch.setattr(lm, "share", lambda docs, k: (trained.extend(r["doc_id"] for r in real(docs, k).collect()), real(docs, k).limit(0))[1])
+    docs = lm.with_keys(spark.createDataFrame([(k, f"text number {k}") for k in range(300)], "doc_id long, text string"))
+    lm.train(docs, lm.Model([("text", 300)], lm.np.full(lm.ENDINGS * lm.MARKS, 0.5), 300))
+    assert sorted(trained) == sorted(r["doc_id"] for r in docs.where("not held_out").collect())
