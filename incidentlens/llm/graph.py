@@ -21,7 +21,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_steps: int = 50
     Large star: every node hands its larger neighbours to its smallest one. Small star: every
     node hands its smaller neighbours and itself to the smallest. Edges shrink to stars in about
     log steps; only per-node minima are aggregated, and no component meets in one place. Edges
-    with a NULL end and loops are ignored."""
+    with a NULL end and loops are ignored. Raises if the edges have not settled after ``max_steps``."""
     e = (edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
          .where("u is not null and v is not null and u <> v").distinct())
     e = stored(e, "edges")
@@ -37,6 +37,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_steps: int = 50
         if tuple(row) == mark:
             break
         mark = tuple(row)
+    else:
+        raise RuntimeError(f"the components have not settled after {max_steps} steps")
     own = e.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("id"), "component")
     roots = e.select(F.col("v").alias("id")).distinct().join(own.select("id"), "id", "left_anti")
     return stored(own.unionByName(roots.select("id", F.col("id").alias("component"))), "components")

@@ -91,3 +91,12 @@ def test_every_pair_of_components_of_a_large_shingle_meets_once(spark, monkeypat
     finally:
         spark.conf.set(per_batch, before)
     assert got == Counter((x, y) for members in sets.values() for x, c in members for y, d in members if x < y and c != d)
+
+
+def test_components_that_have_not_settled_raise(spark):
+    import pytest
+
+    path = spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long")
+    with pytest.raises(RuntimeError, match="settled"):
+        jaccard.components(path, max_steps=1)
+    assert {r["component"] for r in jaccard.components(path).collect()} == {0}
