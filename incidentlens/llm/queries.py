@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .webpages import op2_html_extraction
-from . import jaccard, mixing
+from . import copies, jaccard, mixing
+from .copies import op13_exact_dedup
 from .jaccard import op6_ngram_jaccard_join
 from .language_model import op3_lm_scoring
 from .mixing import op8_mixing
@@ -14,6 +15,8 @@ from .quality import op9_quality_rules
 from .repeats import op7_substring_dedup
 from .sharding import op10_sharding
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op3_lm_scoring, op4_nearest_neighbours, op5_personal_data, op6_ngram_jaccard_join, op7_substring_dedup, op8_mixing, op9_quality_rules, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_html_extraction, op3_lm_scoring, op4_nearest_neighbours, op5_personal_data, op6_ngram_jaccard_join, op7_substring_dedup, op8_mixing, op9_quality_rules, op10_sharding,
+                                    op13_exact_dedup)}
 #: Only what SQL can express over whole tables; all other queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard_join": jaccard.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_ngram_jaccard_join": jaccard.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL,
+                              "op13_exact_dedup": copies.ORACLE_SQL}
