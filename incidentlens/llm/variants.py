@@ -347,13 +347,14 @@ def near_words(vocabulary: DataFrame, most: int = MOST) -> DataFrame:
     rows, found = stored(groups(vocabulary), "variants-groups"), None
     while True:
         size = rows.groupBy("key").agg(F.count("*").alias("k"))
-        small = size.where(f"k between 2 and {most}").select("key")
-        large = size.where(F.col("k") > most).select("key")
+        divides = (F.col("k") > most) & F.expr("key.e - key.s > 1")
+        small = size.where((F.col("k") > 1) & ~divides).select("key")
+        large = size.where(divides).select("key")
         pairs = _pairs_of_groups(rows.join(small, "key"))
         found = pairs if found is None else found.unionByName(pairs)
         if large.isEmpty():
             return found
-        rows = stored(divided(rows.join(large, "key").where("key.e - key.s > 1")), "variants-groups")
+        rows = stored(divided(rows.join(large, "key")), "variants-groups")
 
 
 def variants(vocabulary: DataFrame, ratio: int = RATIO, most: int = MOST) -> DataFrame:

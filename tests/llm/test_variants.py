@@ -77,7 +77,7 @@ def test_query_equals_brute_force(spark):
     assert got == brute_variants(n) and any(r[1] for r in got)
 
 
-@pytest.mark.parametrize("most", [variants.MOST, 40])
+@pytest.mark.parametrize("most", [variants.MOST, 40, 3])
 def test_dense_vocabulary_in_groups_of_any_size(spark, most):
     """Few letters, so most words are near others; small limits divide the windows down to one place."""
     rng = random.Random(5)
