@@ -138,3 +138,4 @@ def slices(batches, rows: int = 2000, max_bytes: int = 12_000_000):
                 n //= 2
             yield batch.slice(at, n)
             at += n
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds no empty buffers

@@ -41,7 +41,7 @@ _TAIL = np.int64(1 << 62)
 SCORE = ("cast((cast(a as decimal(17, 0)) * cast(n as decimal(17, 0)) * cast(1000 as decimal(4, 0)))"
          " div (cast(l as decimal(17, 0)) * cast(r as decimal(17, 0))) as long)")
 #: Pairs a task counts at once, and distinct words it holds.
-HELD_PAIRS, HELD_WORDS = 3_000_000, 200_000
+HELD_PAIRS, HELD_WORDS = 1_000_000, 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,7 +76,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(lang, word, key, n) of all words of ``docs`` (text, lang, ...); key: their 64-bit hash."""
     def run(batches):
         held, rows = [], 0
-        for batch in slices(batches, max_bytes=5_000_000):
+        for batch in slices(batches, max_bytes=3_000_000):
             w = Pieces(batch.column(0))
             lang, names, lang_hash = _lang_codes(batch.column(1))
             real = w.codes != w.border
@@ -159,7 +159,7 @@ def encoded(docs: DataFrame, words: Ranks) -> DataFrame:
 
     def run(batches):
         ranks = shared.get()
-        for batch in slices(batches, max_bytes=5_000_000):
+        for batch in slices(batches, max_bytes=3_000_000):
             w = Pieces(batch.column(0))
             lang, _, lang_hash = _lang_codes(batch.column(1))
             doc = np.repeat(np.arange(batch.num_rows), w.counts)
@@ -231,7 +231,7 @@ def pair_counts(texts: DataFrame, levels: list[Ranks]) -> DataFrame:
                 part = slice(at, at + (1 << 17))
                 yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (l, r, key, n)], names=["l", "r", "key", "n"])
 
-        for batch in slices(batches, max_bytes=8_000_000):
+        for batch in slices(batches, max_bytes=4_000_000):
             x = batch.column(0).flatten().to_numpy(zero_copy_only=False)
             if len(x) <= k:
                 continue
