@@ -81,7 +81,7 @@ def test_stored_fixtures_follow_their_source(spark, tmp_path):
     sf = tmp_path / "sf"
     sf.mkdir()
     for n in ("nation", "customer", "supplier", "part", "orders", "lineitem", "region"):
-        shutil.copy(f"{SF_SMALL}/{n}.parquet", sf / f"{n}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{n}.parquet", sf / f"{n}.parquet")
     one = fixtures.materialize(spark, str(sf), str(tmp_path / "root"), ["schools"])
     assert fixtures.materialize(spark, str(sf), str(tmp_path / "root"), ["schools"]) == one
     assert sorted(p.name for p in (tmp_path / "root").joinpath(one.rsplit("/", 1)[1]).iterdir()) == ["schools"]
