@@ -216,7 +216,7 @@ def phrase_ids(x: np.ndarray, levels: list[Ranks]) -> np.ndarray:
 
 
 def pair_counts(texts: DataFrame, levels: list[Ranks]) -> DataFrame:
-    """(l, r, key, n) of phrases of k + 1 words, k = len(levels) + 1: id of the first k and of the last word."""
+    """(l, r, n) of phrases of k + 1 words, k = len(levels) + 1: id of the first k and of the last word."""
     shared = Shared(texts.sparkSession, levels)
     k = len(levels) + 1
 
@@ -226,10 +226,9 @@ def pair_counts(texts: DataFrame, levels: list[Ranks]) -> DataFrame:
 
         def counted():
             l, r, n = count_pairs(*(np.concatenate([h[j] for h in held]) for j in range(2)))
-            key = _pair_keys(l, r).view(np.int64)
             for at in range(0, len(l), 1 << 17):
                 part = slice(at, at + (1 << 17))
-                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (l, r, key, n)], names=["l", "r", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (l, r, n)], names=["l", "r", "n"])
 
         for batch in slices(batches, max_bytes=4_000_000):
             x = batch.column(0).flatten().to_numpy(zero_copy_only=False)
@@ -245,8 +244,18 @@ def pair_counts(texts: DataFrame, levels: list[Ranks]) -> DataFrame:
         if size:
             yield from counted()
 
-    rows = texts.mapInArrow(run, "l long, r long, key long, n long")
-    return rows.groupBy("l", "r", "key").agg(F.sum("n").alias("n"))
+    rows = texts.mapInArrow(run, "l long, r long, n long")
+    return rows.groupBy("l", "r").agg(F.sum("n").alias("n"))
+
+
+def with_keys(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (l, r, n) with their 64-bit hash."""
+    def run(batches):
+        for batch in batches:
+            key = _pair_keys(*(batch.column(k).to_numpy() for k in range(2))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], names=["l", "r", "n", "key"])
+
+    return pairs.select("l", "r", "n").mapInArrow(run, "l long, r long, n long, key long")
 
 
 def with_ids(frequent: DataFrame, ranks: Ranks) -> DataFrame:
@@ -276,7 +285,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
                     "phrases-of-1")
     last, all_, levels = single, single, []
     for k in range(2, longest + 1):
-        frequent = stored(pair_counts(texts, levels).where(F.col("n") >= min_count), "phrases-frequent")
+        frequent = stored(with_keys(pair_counts(texts, levels).where(F.col("n") >= min_count)), "phrases-frequent")
         ranks = ranked(frequent)
         if not len(ranks.keys):
             break
