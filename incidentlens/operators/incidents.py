@@ -49,7 +49,7 @@ def incident_categories(t: SisTables, keys: DataFrame | None = None) -> DataFram
 
     A code listed twice is reduced to its smallest category before it meets the details."""
     listed = type_codes(t).groupBy("lu_code_id").agg(F.min("incident_category").alias("incident_category"))
-    detail = _of(t.incident_detail.select("incident_id", "lu_code_id").join(listed, "lu_code_id"), keys)
+    detail = _of(t.details_of_incidents().select("incident_id", "lu_code_id").join(listed, "lu_code_id"), keys)
     return detail.groupBy("incident_id").agg(F.min("incident_category").alias("incident_category"))
 
 
@@ -62,7 +62,7 @@ def action_detail_codes(t: SisTables) -> DataFrame:
     by incident here."""
     sub = (t.incident_lu_sub_code.where(F.col("short_desc").isNotNull())
            .groupBy("lu_sub_code_id").agg(F.max("short_desc").alias("short_desc")))
-    return (t.incident_detail.where(F.col("lu_sub_code_id").isNotNull())
+    return (t.details_by_id().where(F.col("lu_sub_code_id").isNotNull())
             .select("incident_detail_id", "lu_sub_code_id").join(sub, "lu_sub_code_id")
             .select("incident_detail_id", "short_desc"))
 

@@ -26,7 +26,7 @@ TIE_BREAK = ("person_role", "sped_code", "english_learner_code", "dcid", "studen
 def role_lookup(t: SisTables) -> DataFrame:
     """Role detail id -> role name (any code type, as in the source)."""
     names = t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role"))
-    return (t.incident_detail.select(F.col("incident_detail_id").alias("role_incident_detail_id"), "lu_code_id")
+    return (t.details_by_id().select(F.col("incident_detail_id").alias("role_incident_detail_id"), "lu_code_id")
             .join(names, "lu_code_id")
             .select("role_incident_detail_id", "person_role"))
 

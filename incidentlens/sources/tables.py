@@ -62,6 +62,9 @@ PARTITION_KEYS = {
     "s_ma_stu_sped_x": "studentsdcid",
 }
 
+# Where PARTITION_KEYS is not unique, rows of one key are cut on a second column.
+SECOND_KEYS = {"incident_action": "action_incident_detail_id", "incident_person_role": "role_incident_detail_id"}
+
 # A table of the database session only: a selection is given to the report, not loaded.
 SESSION_TABLES = ("current_selection",)
 
@@ -82,6 +85,32 @@ def jdbc_options(name: str, ps_schema: str | None = "PS", partitions: int = 1,
     return options
 
 
+def split_query(name: str, ps_schema: str | None = "PS", partitions: int = 8) -> str:
+    """Query for the first key (k, s) of each of ``partitions`` slices of equally many rows (NULL keys apart)."""
+    key, second = PARTITION_KEYS[name], SECOND_KEYS.get(name)
+    s = f"COALESCE({second}, -1)" if second else "0"
+    rows = (f"SELECT {key} AS k, {s} AS s, NTILE({partitions}) OVER (ORDER BY {key}, {s}) AS b"
+            f" FROM {jdbc_table(name, ps_schema)} WHERE {key} IS NOT NULL")
+    return f"SELECT k, s FROM (SELECT k, s, ROW_NUMBER() OVER (PARTITION BY b ORDER BY k, s) AS r FROM ({rows}) x) y WHERE r = 1"
+
+
+def split_predicates(name: str, firsts: list[tuple[int, int]]) -> list[str]:
+    """One condition per slice; together they hold for every row once, those with a NULL key in the first."""
+    key, second = PARTITION_KEYS[name], SECOND_KEYS.get(name)
+
+    def from_(k: int, s: int) -> str:
+        return f"({key} > {k} OR ({key} = {k} AND COALESCE({second}, -1) >= {s}))" if second else f"{key} >= {k}"
+
+    def below(k: int, s: int) -> str:
+        return f"({key} < {k} OR ({key} = {k} AND COALESCE({second}, -1) < {s}))" if second else f"{key} < {k}"
+
+    cuts = sorted({(int(k), int(s)) for k, s in firsts})[1:]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{from_(*a)} AND {below(*b)}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{below(*cuts[0])} OR {key} IS NULL", *inner, from_(*cuts[-1])]
+
+
 def _absent(error: Exception) -> bool:
     """Whether a database says that a table or view does not exist (by SQLSTATE or its own code)."""
     text = str(error)
@@ -122,11 +151,22 @@ class SisTables:
     person: DataFrame | None = None
     codeset: DataFrame | None = None
     s_ma_stu_sped_x: DataFrame | None = None
+    # parts of incident_detail that a store laid out for the reports can give (see ``layout``)
+    own_detail: DataFrame | None = None
+    named_detail: DataFrame | None = None
+
+    def details_of_incidents(self) -> DataFrame:
+        """``incident_detail`` to be met by incident."""
+        return self.incident_detail if self.own_detail is None else self.own_detail
+
+    def details_by_id(self) -> DataFrame:
+        """``incident_detail`` to be met by the ids that roles and actions name."""
+        return self.incident_detail if self.named_detail is None else self.named_detail
 
     @classmethod
     def from_frames(cls, frames: dict[str, DataFrame]) -> "SisTables":
         wanted = {f.name for f in fields(cls)}
-        return cls(**{name: conform(df, SCHEMAS[name]) for name, df in frames.items() if name in wanted})
+        return cls(**{name: conform(df, SCHEMAS[name]) for name, df in frames.items() if name in wanted & set(SCHEMAS)})
 
     @classmethod
     def from_parquet_dir(cls, spark: SparkSession, path: str, names: list[str] | None = None) -> "SisTables":
@@ -162,21 +202,34 @@ class SisTables:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict[str, str], ps_schema: str | None = "PS",
-                  names: list[str] | None = None, partitions: int = 1,
-                  read: Callable[[dict[str, str]], DataFrame] | None = None) -> "SisTables":
+                  names: list[str] | None = None, partitions: int = 1, split: str = "depth",
+                  read: Callable[[dict], DataFrame] | None = None) -> "SisTables":
         """Read straight from the school information system's database over JDBC.
 
         Optional tables that the database does not have are left out; the selection table is one of
-        the database session and never loaded. With ``partitions`` > 1 large tables are read in key
-        ranges (one query for each table's smallest and largest key). ``read`` takes reader options
-        and returns a DataFrame; by default Spark's JDBC source."""
+        the database session and never loaded. With ``partitions`` > 1 large tables are read in slices:
+        by ``split="depth"`` of equally many rows (one query finds where to cut each table; rows with a NULL key come in
+        the first slice), by ``"width"`` of equally wide key ranges (one query for the smallest and largest key).
+        ``read`` takes reader options, and ``predicates`` for slices, and returns a DataFrame; by default Spark's JDBC source."""
+        if split not in ("depth", "width"):
+            raise ValueError(f"unknown split {split!r}")
         if read is None:
-            read = lambda options: spark.read.format("jdbc").options(url=url, **properties, **options).load()
+            def read(options: dict) -> DataFrame:
+                options = dict(options)
+                slices = options.pop("predicates", None)
+                if slices is not None:
+                    return spark.read.jdbc(url, options["dbtable"], predicates=slices, properties=properties)
+                return spark.read.format("jdbc").options(url=url, **properties, **options).load()
         frames = {}
         for n in names or [n for n in SCHEMAS if n not in SESSION_TABLES]:
             try:
+                cut = partitions > 1 and n in PARTITION_KEYS
+                if cut and split == "depth":
+                    firsts = [(r[0], r[1]) for r in read({"query": split_query(n, ps_schema, partitions)}).collect()]
+                    frames[n] = read({"dbtable": jdbc_table(n, ps_schema), "predicates": split_predicates(n, firsts)})
+                    continue
                 bounds = None
-                if partitions > 1 and n in PARTITION_KEYS:
+                if cut:
                     key = PARTITION_KEYS[n]
                     row = read({"query": f"SELECT min({key}) AS lo, max({key}) AS hi FROM {jdbc_table(n, ps_schema)}"}).first()
                     bounds = None if row[0] is None else (int(row[0]), int(row[1]) + 1)
@@ -187,10 +240,10 @@ class SisTables:
         return cls.from_frames(frames)
 
     def write_parquet(self, path: str, mode: str = "errorifexists") -> None:
-        for f in fields(self):
-            df = getattr(self, f.name)
+        for name in SCHEMAS:
+            df = getattr(self, name)
             if df is not None:
-                df.write.mode(mode).parquet(f"{path}/{f.name}")
+                df.write.mode(mode).parquet(f"{path}/{name}")
 
     def require(self, *names: str) -> None:
         missing = [n for n in names if getattr(self, n) is None]

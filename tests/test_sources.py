@@ -35,7 +35,7 @@ def test_jdbc_loader_skips_absent_optional_tables(spark):
             raise RuntimeError("java.sql.SQLSyntaxErrorException: ORA-00942: table or view does not exist")
         return frames[options["dbtable"]]
 
-    t = SisTables.from_jdbc(spark, "jdbc:x", {}, partitions=4, read=read, names=[n for n in SCHEMAS if n != "person"])
+    t = SisTables.from_jdbc(spark, "jdbc:x", {}, partitions=4, split="width", read=read, names=[n for n in SCHEMAS if n != "person"])
     assert t.person is None and t.incident.count() == 1
     t = SisTables.from_jdbc(spark, "jdbc:x", {}, read=read, names=["students", "incident", *[
         n for n in tables.REQUIRED_TABLES if n not in ("students", "incident")], "s_ma_stu_sped_x"])
@@ -111,3 +111,56 @@ def test_checkpoint_folder_must_be_named_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def _stand_in(spark, frames, asked):
+    """A reader of temporary views in place of a database; ``asked`` gets every predicate list."""
+    views = {tables.jdbc_table(n): f"stand_in_{n}" for n in frames}
+    for n, df in frames.items():
+        df.createOrReplaceTempView(f"stand_in_{n}")
+
+    def read(options):
+        if "query" in options:
+            text = options["query"]
+            for name, view in views.items():
+                text = text.replace(f" {name} ", f" {view} ")
+            return spark.sql(text)
+        if "predicates" not in options:
+            return spark.table(views[options["dbtable"]])
+        asked[options["dbtable"]] = options["predicates"]
+        parts = [spark.table(views[options["dbtable"]]).where(p) for p in options["predicates"]]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionAll(p)
+        return out
+
+    return read
+
+
+@pytest.mark.parametrize("partitions", [2, 7])
+def test_jdbc_slices_of_equal_depth(spark, partitions):
+    """Keys far apart, one key with a third of all rows, NULL keys: slices within 2x, every row once."""
+    rows = base_rows()
+    frames = {n: spark.createDataFrame(rows[n], SCHEMAS[n]) for n in rows}
+    frames["students"] = spark.createDataFrame(
+        [(k if k < 900 else k ** 5, *rows["students"][0][1:]) for k in range(1000)], SCHEMAS["students"])
+    roles = [(5 if k % 3 == 0 else 10 ** 9 + k, k, k if k % 7 else None) for k in range(900)] + [(None, 1, 1)] * 20
+    frames["incident_person_role"] = spark.createDataFrame(roles, SCHEMAS["incident_person_role"])
+    asked = {}
+    t = SisTables.from_jdbc(spark, "jdbc:x", {}, partitions=partitions, read=_stand_in(spark, frames, asked),
+                            names=[n for n in SCHEMAS if n in rows])
+    for n in ("students", "incident_person_role", "incident"):
+        assert sorted(map(str, getattr(t, n).collect())) == sorted(map(str, frames[n].collect()))
+    for n, spare in (("students", 0), ("incident_person_role", 20)):
+        sizes = [spark.table(f"stand_in_{n}").where(p).count() for p in asked[tables.jdbc_table(n)]]
+        assert len(sizes) == partitions and max(sizes) <= 2 * min(sizes) + spare
+    assert asked["INCIDENT"] == ["1 = 1"]
+
+
+def test_jdbc_slices_of_an_empty_table_and_bad_split(spark):
+    rows = base_rows() | {"incident_person_role": [], "incident_action": [(None, 13, None, None, None, None, None)]}
+    frames = {n: spark.createDataFrame(rows[n], SCHEMAS[n]) for n in rows}
+    t = SisTables.from_jdbc(spark, "jdbc:x", {}, partitions=4, read=_stand_in(spark, frames, {}), names=list(rows))
+    assert t.incident_person_role.count() == 0 and t.incident_action.count() == 1
+    with pytest.raises(ValueError, match="unknown split"):
+        SisTables.from_jdbc(spark, "jdbc:x", {}, split="odd")
