@@ -53,25 +53,22 @@ def incident_categories(t: SisTables, keys: DataFrame | None = None) -> DataFram
     return detail.groupBy("incident_id").agg(F.min("incident_category").alias("incident_category"))
 
 
-def action_detail_codes(t: SisTables) -> DataFrame:
-    """Detail id -> greatest description of its sub code (looked up by sub code only, as in the source).
-
-    Details without a sub code, or whose description is NULL, cannot win a ``max`` and are
-    dropped before the shuffle; a sub code listed under several codes is reduced first. A detail
-    may belong to another incident than the action that names it, so details are never filtered
-    by incident here."""
-    sub = (t.incident_lu_sub_code.where(F.col("short_desc").isNotNull())
-           .groupBy("lu_sub_code_id").agg(F.max("short_desc").alias("short_desc")))
-    return (t.details_by_id().where(F.col("lu_sub_code_id").isNotNull())
-            .select("incident_detail_id", "lu_sub_code_id").join(sub, "lu_sub_code_id")
-            .select("incident_detail_id", "short_desc"))
+def sub_code_names(t: SisTables) -> DataFrame:
+    """Sub code -> its greatest description (looked up by sub code only, as in the source); a NULL
+    description cannot win a ``max`` and is left out."""
+    return (t.incident_lu_sub_code.where(F.col("short_desc").isNotNull())
+            .groupBy("lu_sub_code_id").agg(F.max("short_desc").alias("short_desc")))
 
 
 def action_facts(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
     """One row per incident with actions, from one pass over them: greatest action code, smallest
     resolution and smallest plan tuple (typed)."""
     act = _of(t.incident_action, keys).withColumnRenamed("action_incident_detail_id", "incident_detail_id")
-    act = act.join(action_detail_codes(t), "incident_detail_id", "left")
+    # a detail may belong to another incident than the action that names it, so it is met by its id only;
+    # its sub code is looked up afterwards, for the report's actions
+    detail = t.details_by_id().where(F.col("lu_sub_code_id").isNotNull()).select("incident_detail_id", "lu_sub_code_id")
+    act = act.join(detail, "incident_detail_id", "left")
+    act = join_splittable(act, sub_code_names(t), "lu_sub_code_id", ["incident_id"], "left")
     agg = act.groupBy("incident_id").agg(F.max("short_desc").alias("action_short_desc"),
                                          F.min("action_resolved_desc").alias("action_resolved_desc"),
                                          F.min(exprs.nulls_last_key(*PLAN_FIELDS)).alias("_plan"))
@@ -90,11 +87,15 @@ def _plan_columns() -> list:
     return [F.col(f"_plan.v{i}").alias(name) for i, name in enumerate(PLAN_FIELDS)]
 
 
-def with_school(df: DataFrame, t: SisTables) -> DataFrame:
+def with_school(df: DataFrame, t: SisTables, watch=None) -> DataFrame:
     """Inner join to the incident's school; a number listed twice keeps its smallest abbreviation,
     so an incident never gets two report rows (the source would keep an arbitrary one)."""
     names = t.schools.groupBy("school_number").agg(F.min("abbreviation").alias("school_abbreviation"))
-    return join_splittable(df, names, "school_number", ["incident_id"])
+    if watch is None:
+        return join_splittable(df, names, "school_number", ["incident_id"])
+    names = names.withColumn("_found", F.lit(True))
+    met = join_splittable(watch.numbered(df, "incident_id"), names, "school_number", ["incident_id"], "left")
+    return watch.over_incidents(met.withColumn("_known", F.coalesce("_found", F.lit(False))).drop("_found"))
 
 
 def with_staff(df: DataFrame, t: SisTables) -> DataFrame:
@@ -107,7 +108,7 @@ def with_staff(df: DataFrame, t: SisTables) -> DataFrame:
     return join_splittable(out, modifier, "last_modified_by", ["incident_id"], "left")
 
 
-def incident_facts(t: SisTables, window: DateWindow, keys: DataFrame | None = None) -> DataFrame:
+def incident_facts(t: SisTables, window: DateWindow, keys: DataFrame | None = None, watch=None) -> DataFrame:
     """One row per reportable incident with every incident-level report value (typed).
 
     Reportable: in range, in a term, with a type detail, at a known school (the incident's
@@ -118,4 +119,4 @@ def incident_facts(t: SisTables, window: DateWindow, keys: DataFrame | None = No
     pruned = inc.select("incident_id") if keys is None else keys
     facts = (inc.join(incident_categories(t, pruned), "incident_id")
              .join(action_facts(t, pruned), "incident_id", "left"))
-    return with_staff(with_school(facts, t), t)
+    return with_staff(with_school(facts, t, watch), t)

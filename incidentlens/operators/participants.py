@@ -44,14 +44,18 @@ def participations(t: SisTables, incident_keys: DataFrame | None = None,
 
     With ``incident_keys`` / ``student_keys`` (a ``student_id`` column) only participations of
     those incidents / students are read: left-semi joins done before the role lookup, so the
-    shuffle to the detail table carries only rows that can reach the report.
+    shuffle to the detail table carries only rows that can reach the report. The detail is met by
+    its id before its code is looked up: details stored in buckets of the id are then not shuffled,
+    and codes are looked up for the report's rows only. A detail whose code is missing gives a NULL role.
     """
     ipr = t.incident_person_role
     if incident_keys is not None:
         ipr = ipr.join(incident_keys.select("incident_id"), "incident_id", "left_semi")
     if student_keys is not None:
         ipr = ipr.join(student_keys.select(F.col("student_id").alias("studentid")), "studentid", "left_semi")
-    return (ipr.join(role_lookup(t), "role_incident_detail_id", "left")
+    detail = t.details_by_id().select(F.col("incident_detail_id").alias("role_incident_detail_id"), "lu_code_id")
+    names = t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role"))
+    return (ipr.join(detail, "role_incident_detail_id", "left").join(names, "lu_code_id", "left")
             .select("incident_id", F.col("studentid").alias("student_id"), "person_role"))
 
 
@@ -60,13 +64,12 @@ def participant_roles(parts: DataFrame) -> DataFrame:
     return parts.groupBy("incident_id", "student_id").agg(F.min("person_role").alias("person_role"))
 
 
-def choose_per_student_number(parts: DataFrame, students: DataFrame, payload: Sequence[str]) -> DataFrame:
+def choose_per_student_number(joined: DataFrame, payload: Sequence[str]) -> DataFrame:
     """One row per (incident_id, student_number): the participant with the smallest tie-break key.
 
-    ``students`` must carry ``student_id``, ``student_number`` and the tie-break columns;
+    ``joined`` holds participations with their student: ``student_id``, ``student_number`` and the tie-break columns;
     ``payload`` lists further student columns to keep from the chosen row.
     """
-    joined = parts.join(students, "student_id")
     best = F.struct(exprs.nulls_last_key(*TIE_BREAK).alias("k"), F.struct(*payload).alias("p"))
     chosen = joined.groupBy("incident_id", "student_number").agg(F.min(best).alias("_best"))
     return chosen.select("incident_id", "student_number",

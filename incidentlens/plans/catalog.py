@@ -8,18 +8,23 @@ fixed run parameters of FIXTURES.md: range 1996-01-01..2000-12-31, school 7, sel
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..checks import oracle
 from ..operators import fanout
 from ..operators.scope import District, School, Selection
 from ..operators.terms import DateWindow
 from ..session import checkpoint_dir
-from ..sources.fixtures import REPORT_END, REPORT_SCHOOL, REPORT_START, materialize
+from ..sources import layout
+from ..sources.fixtures import REPORT_END, REPORT_SCHOOL, REPORT_START, materialize, publish
 from ..sources.tables import SCHEMAS, SisTables
-from . import report, sqlsteps, steps
+from . import manifest, report, sqlsteps, steps
+from .batch import ReportBatch
+from .watch import ReportWatch
 
 WINDOW = DateWindow(dt.date.fromisoformat(REPORT_START), dt.date.fromisoformat(REPORT_END))
 SCOPES = {"selection": lambda: Selection(), "school": lambda: School(REPORT_SCHOOL), "district": lambda: District()}
@@ -40,6 +45,12 @@ class StoredTables(SisTables):
         return spark.read.schema(SCHEMAS[name]).parquet(f"{stored}/{name}")
 
 
+    def root(self) -> str:
+        """The folder of this test data's stored tables."""
+        spark, sf_dir, root = self._source
+        return materialize(spark, sf_dir, root, [])
+
+
 def tables(spark: SparkSession, sf_dir: str) -> SisTables:
     return StoredTables(spark, sf_dir)
 
@@ -107,6 +118,58 @@ _STEPS: dict[str, Callable[[SisTables], DataFrame]] = {
 }
 
 
+MONTH = oracle.ONE_MONTH
+
+
+def report_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The district report of one month from a store by month (``layout.write_monthly``)."""
+    t = tables(spark, sf_dir)
+    path = publish(spark, f"{t.root()}/by-month", lambda at: layout.write_monthly(t, at, files_per_month=1))
+    window = DateWindow(*map(dt.date.fromisoformat, MONTH))
+    return report.incident_report(layout.monthly_tables(spark, path, window), District(), window)
+
+
+def report_school_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The school report from catalog tables in buckets of the detail id (``layout.write_bucketed``)."""
+    t = tables(spark, sf_dir)
+    root = t.root()
+    database = f"sis_buckets_{root.rsplit('-', 1)[1]}"
+    if not spark.catalog.databaseExists(database) or not all(spark.catalog.tableExists(f"{database}.{n}") for n in SCHEMAS):
+        path = f"{root}/buckets-{uuid.uuid4().hex}"  # a catalog of its own session, files of its own
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path}/db'")
+        layout.write_bucketed(t, database, path, buckets=8)
+    return report.incident_report(SisTables.from_catalog(spark, database, database), School(REPORT_SCHOOL), WINDOW)
+
+
+def report_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and incidents of all six reports, run from one batch whose files are gone afterwards."""
+    out = []
+    with ReportBatch(tables(spark, sf_dir), WINDOW) as batch:
+        for scope, make in SCOPES.items():
+            for detailed in (False, True):
+                df = batch.report(make(), detailed)
+                n = df.agg(F.count("*"), F.count_distinct("incident_link"), F.count_distinct("student_link")).first()
+                out.append((f"report_{scope}{'_detailed' if detailed else ''}", *n))
+    return spark.createDataFrame(out, "report string, n_rows long, n_incidents long, n_students long")
+
+
+def report_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The district report as exported, each row with the position that the export's manifest gives it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/exports/{uuid.uuid4().hex}"
+    report.export(report.incident_report(tables(spark, sf_dir), District(), WINDOW), path, "parquet", manifest=True)
+    return manifest.with_positions(spark, path, "parquet")
+
+
+def report_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the district report leaves out, counted while it is written."""
+    watch = ReportWatch()
+    report.incident_report(tables(spark, sf_dir), District(), WINDOW, watch=watch).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([watch.counts()], "unknown_school long, repeated_incidents long, unknown_students long, repeated_students long")
+
+
+QUERIES.update({f.__name__: f for f in (report_month, report_school_bucketed, report_batch, report_exported, report_watch)})
+
+
 def _step(name: str, fn: Callable[[SisTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(tables(spark, sf_dir))

@@ -23,6 +23,8 @@ from ..operators.scope import District, School, Scope, Selection
 from ..operators.joins import join_splittable
 from ..operators.terms import DateWindow
 from ..sources.tables import SisTables
+from .manifest import write_manifest
+from .watch import ReportWatch
 
 
 def _window(start, end, fmt) -> DateWindow:
@@ -58,18 +60,28 @@ def incident_display(facts: DataFrame) -> list[Column]:
     ]
 
 
-def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool = False) -> DataFrame:
+def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool = False,
+                watch: ReportWatch | None = None) -> DataFrame:
     """Unsorted report rows with every output column plus ``incident_id``, ``student_number`` and ``dcid``."""
     stu = students.student_facts(t, scope, detailed)
     in_window = incidents.incidents_in_window(t, window).select("incident_id")
-    payload = ["state_id"] + (list(students.PROFILE_FIELDS) if detailed else [])
     # a school or selection scope keeps few students: drop other participations before the role lookup
     scoped = None if isinstance(scope, District) else scope.students(t).select(F.col("id").alias("student_id"))
     parts = participants.participations(t, in_window, scoped)
-    chosen = participants.choose_per_student_number(parts, stu, payload)
     # the incidents the report can show: details and actions of all others are left unread by the reductions
     keys = in_window if scoped is None else participants.taking_part(t, in_window, scoped)
-    facts = incidents.incident_facts(t, window, keys)
+    facts = incidents.incident_facts(t, window, keys, watch)
+    if watch is not None:
+        stu = watch.over_students(stu)
+    return report_rows_of(parts, stu, facts, detailed, watch if scoped is None else None)
+
+
+def report_rows_of(parts: DataFrame, stu: DataFrame, facts: DataFrame, detailed: bool = False,
+                   watch: ReportWatch | None = None) -> DataFrame:
+    """Report rows of participations with roles, student facts and incident facts."""
+    payload = ["state_id"] + (list(students.PROFILE_FIELDS) if detailed else [])
+    joined = parts.join(stu, "student_id") if watch is None else watch.over_participations(parts, stu)
+    chosen = participants.choose_per_student_number(joined, payload)
     rows = join_splittable(chosen, facts, "incident_id", ["student_number"])
     student_cols = [exprs.student_link("dcid", "student_number").alias("student_link"), F.col("state_id")]
     if detailed:
@@ -79,10 +91,12 @@ def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool =
 
 
 def incident_report(t: SisTables, scope: Scope, start: dt.date | str | DateWindow, end: dt.date | str | None = None,
-                    fmt: str = "yyyy-MM-dd", detailed: bool = False) -> DataFrame:
-    """The report, sorted, with the source's columns in the source's order (all text)."""
+                    fmt: str = "yyyy-MM-dd", detailed: bool = False, watch: ReportWatch | None = None) -> DataFrame:
+    """The report, sorted, with the source's columns in the source's order (all text).
+
+    With ``watch``, what the report leaves out is counted while it runs."""
     columns = codes.DETAIL_COLUMNS if detailed else codes.BASE_COLUMNS
-    rows = report_rows(t, scope, _window(start, end, fmt), detailed)
+    rows = report_rows(t, scope, _window(start, end, fmt), detailed, watch)
     return rows.orderBy(*report_order()).select(*columns)
 
 
@@ -103,10 +117,11 @@ def labelled(report: DataFrame) -> DataFrame:
     return report.withColumnsRenamed({c: codes.COLUMN_LABELS[c] for c in report.columns if c in codes.COLUMN_LABELS})
 
 
-def export(report: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
+def export(report: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists", manifest: bool = False) -> None:
     """Write a report under its display labels: CSV with a header row, or Parquet.
 
-    Each task writes its own part file in sort order; no data passes through the driver.
+    Each task writes its own part file in sort order; no data passes through the driver. With ``manifest`` the
+    order of the files, their rows and keys are added (see ``manifest``).
     """
     out = labelled(report)
     writer = out.write.mode(mode)
@@ -116,3 +131,5 @@ def export(report: DataFrame, path: str, fmt: str = "csv", mode: str = "errorife
         writer.parquet(path)
     else:
         raise ValueError(f"unsupported export format {fmt!r}")
+    if manifest:
+        write_manifest(report.sparkSession, path, fmt)
