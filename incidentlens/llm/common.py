@@ -36,6 +36,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame | None) -> None:
+    """Remove tables that ``stored`` wrote, once nothing that is still to run reads them."""
+    for df in tables:
+        if df is None:
+            continue
+        spark = df.sparkSession
+        for at in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if "/llm/" in at:
+                path = spark._jvm.org.apache.hadoop.fs.Path(at)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Shared:
     """An object of bounded size for all tasks. It is broadcast with its class's code, so that
     executors need no copy of this package; ``get`` is called once per task."""

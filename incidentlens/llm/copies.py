@@ -60,7 +60,14 @@ def repeat_filter(rows: DataFrame, key: str, bits: int) -> DataFrame:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap")))
 
 
-def _with_verdict(rows: DataFrame, key: str, bits: int, repeats: DataFrame) -> DataFrame:
+def key_filter(rows: DataFrame, key: str, bits: int) -> DataFrame:
+    """(bucket, bitmap) of the cells of all keys of ``rows``."""
+    cells = rows.select(F.explode(F.array(*_cells(key, bits))).alias("cell")).distinct()
+    return (cells.groupBy(F.bitmap_bucket_number("cell").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bitmap")))
+
+
+def with_verdict(rows: DataFrame, key: str, bits: int, repeats: DataFrame) -> DataFrame:
     """``rows`` with ``_maybe``: all cells of the key are in the filter."""
     found = F.lit(True)
     for p, cell in enumerate(_cells(key, bits)):
@@ -82,7 +89,7 @@ def mark_repeats(rows: DataFrame, key: str, id_: str, row: str) -> DataFrame:
     total = rows.count()
     bits = filter_bits(total)
     repeats = stored(repeat_filter(rows, key, bits), "copies-filter")
-    told = _with_verdict(rows, key, bits, repeats)
+    told = with_verdict(rows, key, bits, repeats)
     single = (told.where("not _maybe").drop("_maybe")
               .withColumn("keep_id", F.col(id_)).withColumn("group_size", F.lit(1).cast("long")).withColumn("kept", F.lit(True)))
     groups = stored(told.where("_maybe").groupBy(key)
@@ -113,7 +120,7 @@ def without_copies(docs: DataFrame) -> DataFrame:
     rows = docs.withColumn("_key", text_digest("text"))
     bits = filter_bits(docs.count())
     repeats = stored(repeat_filter(rows.select("_key"), "_key", bits), "copies-filter")
-    told = _with_verdict(rows, "_key", bits, repeats)
+    told = with_verdict(rows, "_key", bits, repeats)
     # the largest id of each key first, in a narrow aggregation; then one row of it
     stays = stored(told.where("_maybe").groupBy("_key").agg(F.max("doc_id").alias("_id")), "copies-groups")
     kept = told.where("_maybe").join(stays.withColumnRenamed("_key", "_k"), (F.col("_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id")))

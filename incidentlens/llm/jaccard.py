@@ -7,9 +7,12 @@ for every l; so each document picks the l that its estimated candidates ask for,
 verified only when it shares min(l, l') prefix shingles. Verification is exact.
 
 Copies (equal sets) are one node from the start. Candidates come in rounds: every set against the
-two hubs of another component with which it shares most prefix shingles, until a round finds no
-link; then all pairs whose sets are still in different components. So a group of n near copies
-costs about n checks a round, and no link is lost for the components.
+hub of another component with which it shares most prefix shingles, until a round finds few links.
+So a group of n near copies costs about n checks a round. What is left is checked where it meets: the
+rarest shingle that a linking pair shares lies in the first ``|x| - ceil(0.75 |x|) + 1`` of both, so the sets of such a shingle
+that still lie in different components are compared there, after size and place in the order have ruled out most, and
+only links leave that place, at most one for each set and chain of links. No pair becomes a row, and no link is lost
+for the components.
 
 Defined results: a NULL, empty or white-space text has no shingles and is a component of its
 own; rows that repeat a doc_id are one document; a NULL doc_id links with nothing; an empty table gives an empty result; input
@@ -22,10 +25,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, scramble, shingles, slices, stored, table, without
+from .common import Shared, Words, discard, scramble, shingles, slices, stored, table, without
+from . import copies
 from .graph import components
 
 N_GRAM = 5
@@ -37,11 +41,8 @@ LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64])
 CHANCE, CANDIDATE_COST = 0.05, 3.0
 #: Members of one hub that are verified in one place; beyond that the hub's set is copied.
 PER_HUB = 2000
-#: Sets of one shingle that are paired with as many others in one place.
-PER_BLOCK = 4096
-#: Documents to verify in one round whose ids and hubs are broadcast to the texts (each a few dozen
-#: bytes); with more, texts and ids are shuffled to each other.
-MAX_BROADCAST = 200_000
+#: Sets of one shingle, and shingles of these sets, that are compared with as many others in one place.
+PER_BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 #: Rounds end when one brings less than this share of the first one's links; the rest is found pair by pair.
 FEW = 0.02
 
@@ -87,9 +88,9 @@ def digest(h: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, hi, lo, level, prefix) per row; hi, lo: digest of the set (NULL if empty).
+    """(doc_id, key, n_shingles, hi, lo, level, prefix) per row; key: hash of the text, hi, lo: digest of the set (NULL if empty).
 
-    The prefix is given once per set and batch."""
+    The prefix, rarest shingle first, is given once per set and batch."""
     shared = Shared(docs.sparkSession, sketch)
 
     def run(batches):
@@ -112,12 +113,17 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 rows.append((len(own), hi, lo, level, tokens.view(np.int64)))
             n, his, los, levels, prefixes = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()),
                  pa.array(levels, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "hi", "lo", "level", "prefix"])
+                names=["doc_id", "key", "n_shingles", "hi", "lo", "level", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, hi long, lo long, level int, prefix array<long>")
+    return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(
+        run, "doc_id long, key long, n_shingles long, hi long, lo long, level int, prefix array<long>")
+
+
+def text_key():
+    """Tells the texts of one doc_id apart (NULL and empty alike)."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _groups(batches, column: str, limit: int = 1 << 20):
@@ -145,7 +151,8 @@ MAX_ROUNDS = 8
 
 
 def shared_postings(sigs: DataFrame) -> DataFrame:
-    """(token, lo) of every prefix shingle that several sets have, once per set."""
+    """(token, lo, n, pos) of every prefix shingle that several sets have, once per set; n: the set's size, pos: the
+    shingle's place in its order."""
     def run(batches):
         last = None  # token and last set of a group that came in parts
         for cols, more in _groups(batches, "token"):
@@ -154,9 +161,9 @@ def shared_postings(sigs: DataFrame) -> DataFrame:
             new[1:] = (token[1:] != token[:-1]) | (lo[1:] != lo[:-1])
             goes_on = last is not None and token[0] == last[0]
             new[0] = not (goes_on and lo[0] == last[1])
-            token, lo = token[new], lo[new]
-            if not len(token):
+            if not new.any():
                 continue
+            token, lo, n, pos = (cols[c][new] for c in ("token", "lo", "n", "pos"))
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             size = np.diff(np.concatenate([start, [len(token)]]))
             keep = size > 1
@@ -164,22 +171,29 @@ def shared_postings(sigs: DataFrame) -> DataFrame:
             keep[-1] |= more
             keep = np.repeat(keep, size)
             last = (token[-1], lo[-1]) if more else None
-            yield pa.RecordBatch.from_arrays([pa.array(token[keep]), pa.array(lo[keep])], names=["token", "lo"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (token, lo, n, pos)], names=["token", "lo", "n", "pos"])
 
-    rows = sigs.where("prefix is not null").select("lo", F.explode("prefix").alias("token"))
-    rows = rows.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo")
-    return rows.mapInArrow(run, "token long, lo long")
+    rows = sigs.where("prefix is not null").select("lo", F.col("n_shingles").cast("int").alias("n"),
+                                                   F.posexplode("prefix").alias("pos", "token"))
+    rows = rows.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo", "n", "pos")
+    return rows.mapInArrow(run, "token long, lo long, n int, pos int")
 
 
 def live_postings(postings: DataFrame, parts: DataFrame | None, round_: int) -> DataFrame:
-    """(token, lo, component, hub, hub_component) of the shingles whose sets lie in several components.
+    """``postings`` (token, lo, ...) with (component, hub, hub_component), of the shingles whose sets lie in several components;
+    with places, also the hub's (hub_n, hub_pos).
 
     The hub is the first set by one of HUBS orders, picked by shingle and round; in a group larger
     than one part, the first of each part and those before it."""
     masks = scramble(np.arange(1, HUBS + 1, dtype=np.uint64) + np.uint64(1000 * (round_ + 1))).view(np.int64)
+    own = [f for f in postings.schema.fields if f.name in ("token", "lo", "n", "pos")]
+    of_hub = ["lo", "component", *[f.name for f in own if f.name in ("n", "pos")]]
+    names = [*[f.name for f in own], "component", "hub", *[f"hub_{c}" for c in of_hub[1:]]]
+    types = {f.name: f.dataType.simpleString() for f in own} | {"component": "long", "hub": "long", "hub_component": "long",
+                                                               "hub_n": "int", "hub_pos": "int"}
 
     def run(batches):
-        before = None  # token, hub, its component of a group that came in parts
+        before = None  # token and hub of a group that came in parts
         for cols, more in _groups(batches, "token"):
             token, lo, comp = cols["token"], cols["lo"], cols["component"]
             start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -187,196 +201,331 @@ def live_postings(postings: DataFrame, parts: DataFrame | None, round_: int) ->
             lowest, highest = np.minimum.reduceat(comp, start), np.maximum.reduceat(comp, start)
             rank = lo ^ masks[token & (HUBS - 1)]
             order = np.lexsort((rank, np.repeat(np.arange(len(start)), size)))
-            hub, hub_comp = lo[order[start]], comp[order[start]]
+            hub = [cols[c][order[start]] for c in of_hub]
             keep = lowest != highest
             if before is not None and token[0] == before[0]:
-                hub[0], hub_comp[0], keep[0] = before[1], before[2], True
+                for h, value in zip(hub, before[1]):
+                    h[0] = value
+                keep[0] = True
             if more:
                 keep[-1] = True
-            before = (token[-1], hub[-1], hub_comp[-1]) if more else None
+            before = (token[-1], [h[-1] for h in hub]) if more else None
             keep = np.repeat(keep, size)
-            cols = [token, lo, comp, np.repeat(hub, size), np.repeat(hub_comp, size)]
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols],
-                                             names=["token", "lo", "component", "hub", "hub_component"])
+            out = [cols[f.name] for f in own] + [comp] + [np.repeat(h, size) for h in hub]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in out], names=names)
 
+    rows = postings.select(*[f.name for f in own])
     if parts is None:
-        rows = postings.select("token", "lo", F.col("lo").alias("component"))
+        rows = rows.withColumn("component", F.col("lo"))
     else:
-        rows = postings.select("token", "lo").join(parts, "lo")
-    rows = rows.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo", "component")
-    return rows.mapInArrow(run, "token long, lo long, component long, hub long, hub_component long")
+        rows = rows.join(parts, "lo", "left").withColumn("component", F.coalesce("component", "lo"))
+    rows = rows.repartition("token").sortWithinPartitions("token", "lo").select(*[f.name for f in own], "component")
+    return rows.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in names))
 
 
 def deal_blocks(live: DataFrame, per_block: int) -> DataFrame:
-    """Rows of ``live`` (token, lo, component) once per cell (token, i, j) they belong to, with their block.
+    """Rows of ``live`` (token, lo, component, ...) once per cell (token, i, j) they belong to, with their block.
 
-    A token of up to ``per_block`` rows is one block. Those of a larger one are dealt over blocks, the
-    rows of its largest component over blocks of their own; every two blocks that can hold a pair of
+    A token of up to ``per_block`` rows (and, with sizes ``n``, BLOCK_SHINGLES shingles) is one block. Those of a larger one are
+    dealt over blocks, the rows of its largest component over blocks of their own; every two blocks that can hold a pair of
     different components are one cell, so each such pair meets in exactly one, of bounded size."""
-    size = live.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > per_block)
-    size = live.join(size, "token").groupBy("token", "n", "component").agg(F.count("*").alias("k"))
-    size = size.groupBy("token", "n").agg(F.max(F.struct("k", "component")).alias("top"))
-    blocks = lambda n: (F.floor(n / per_block) + 1).cast("int")
-    size = size.select("token", F.col("top.component").alias("top"), blocks(F.col("n") - F.col("top.k")).alias("others"),
-                       blocks(F.col("top.k")).alias("tops"))
-    dealt = live.select("token", "lo", "component").join(size, "token", "left")
+    weigh = "n" in live.columns
+    more = [c for c in ("n", "pos") if c in live.columns]
+    shingles_ = F.sum("n") if weigh else F.lit(0)
+    size = live.groupBy("token").agg(F.count("*").alias("k_all"), shingles_.alias("w_all"))
+    size = size.where((F.col("k_all") > per_block) | (F.col("w_all") > BLOCK_SHINGLES)).select("token")
+    size = live.join(size, "token").groupBy("token", "component").agg(F.count("*").alias("k"), shingles_.alias("w"))
+    size = size.groupBy("token").agg(F.sum("k").alias("k_all"), F.sum("w").alias("w_all"), F.max(F.struct("k", "w", "component")).alias("top"))
+
+    def blocks(k, w):
+        return (F.floor(F.greatest(k / per_block, w / BLOCK_SHINGLES)) + 1).cast("int")
+
+    size = size.select("token", F.col("top.component").alias("top"), blocks(F.col("k_all") - F.col("top.k"), F.col("w_all") - F.col("top.w")).alias("others"),
+                       blocks(F.col("top.k"), F.col("top.w")).alias("tops"))
+    dealt = live.select("token", "lo", "component", *more).join(size, "token", "left")
     salt, others = F.pmod(F.xxhash64("lo", "token"), F.lit(1 << 30)), F.coalesce("others", F.lit(1))
     own = F.coalesce(F.col("component") == F.col("top"), F.lit(False))
     dealt = dealt.withColumn("block", F.when(own, others + salt % F.col("tops")).otherwise(salt % others).cast("int"))
     last = F.when(own, others).otherwise(others + F.coalesce("tops", F.lit(0))) - 1
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
-    return dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "lo", "component")
+    return dealt.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "lo", "component", *more)
+
 
+def _needed(n, m):
+    """Fewest shared shingles of two sets that link: 100 * both >= 75 * (n + m - both)."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
+
+
+def _cells_of(batches, key: int = 3):
+    """The rows of each cell of sorted batches, as columns; the first ``key`` columns name the cell."""
+    held, now = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(key)])
+        cut = np.flatnonzero(np.concatenate([[True], np.any(place[:, 1:] != place[:, :-1], axis=0)]))
+        for at, end in zip(cut, [*cut[1:], batch.num_rows]):
+            name = tuple(place[:, at])
+            if name != now and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            now = name
+            held.append(batch.slice(at, end - at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def worth_checking(live: DataFrame) -> DataFrame:
+    """(token, i, j, block, lo, component) of the sets that have a partner in their cell: of another component, and not
+    ruled out by sizes and places.
+
+    ``live`` holds first prefixes only, so a linking pair meets in the cell of the rarest shingle it shares, where nothing
+    before the shingle's place is shared."""
+    def run(batches):
+        for cell in _cells_of(batches):
+            i, j, block, comp, n, pos = (cell.column(c).to_numpy() for c in ("i", "j", "block", "component", "n", "pos"))
+            n, pos = n.astype(np.int64), pos.astype(np.int64)
+            a, b = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
+            if len(a) * len(b) < 2:
+                continue
+            left, right = np.zeros(len(a), bool), np.zeros(len(b), bool)
+            for at in range(0, len(a), 256):
+                x = a[at:at + 256, None]
+                bound = np.minimum(n[x] - pos[x], n[b] - pos[b])
+                ok = (bound >= _needed(n[x], n[b])) & (comp[x] != comp[b])
+                left[at:at + 256] = ok.any(axis=1)
+                right |= ok.any(axis=0)
+            keep = np.unique(np.concatenate([a[left], b[right]]))
+            if len(keep):
+                yield from cell.select(["token", "i", "j", "block", "lo", "component"]).take(pa.array(keep)).combine_chunks().to_batches()
+
+    rows = deal_blocks(live, PER_BLOCK).select("token", "i", "j", "block", "lo", "component", "n", "pos")
+    rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return rows.mapInArrow(run, "token long, i int, j int, block int, lo long, component long")
+
+
+def links_in_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) that join the sets of each cell as its links do; ``sets`` (lo, items) has every set of ``cells``.
+
+    A link between sets that links of the cell already join is left out, so a cell gives fewer rows than it has sets."""
+    def check(batches):
+        for cell in _cells_of(batches):
+            i, j, block, lo, comp = (cell.column(c).to_numpy() for c in ("i", "j", "block", "lo", "component"))
+            items = [np.frombuffer(x, np.uint64) for x in cell.column("items").to_pylist()]
+            a, b = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
+            x, y = linked_pairs(items, a, b, comp)
+            if len(x):
+                keep = _forest(comp[x], comp[y])
+                yield pa.RecordBatch.from_arrays([pa.array(lo[x[keep]]), pa.array(lo[y[keep]])], names=["a", "b"])
+
+    rows = cells.join(sets, "lo").select("token", "i", "j", "block", "lo", "component", "items")
+    rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    return rows.mapInArrow(check, "a long, b long")
+
+
+def linked_pairs(sets: list, a: np.ndarray, b: np.ndarray, comp: np.ndarray, width: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a set of ``a`` and one of ``b``, of different components, that link."""
+    n = np.array([len(x) for x in sets])
+    if len(a) * len(b) <= 16:
+        found = [(x, y) for x in a for y in b if x != y and comp[x] != comp[y] and min(n[x], n[y]) >= _needed(n[x], n[y])
+                 and len(np.intersect1d(sets[x], sets[y], assume_unique=True)) >= _needed(n[x], n[y])]
+        return tuple(np.array([f[k] for f in found], np.int64) for k in range(2))
+    row = np.repeat(np.arange(len(sets)), n)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, code = row[times[code] > 1], code[times[code] > 1]
+    _, code = np.unique(code, return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    row, code = row[order], code[order]
+    at_a, at_b = np.full(len(sets), -1), np.full(len(sets), -1)
+    at_a[a], at_b[b] = np.arange(len(a)), np.arange(len(b))
+    both = np.zeros((len(a), len(b)), np.float32)
+    for at in range(0, int(code[-1]) + 1 if len(code) else 0, width):
+        lo, hi = np.searchsorted(code, [at, at + width])
+        sides = []
+        for place, size in ((at_a, len(a)), (at_b, len(b))):
+            has = np.zeros((size, width), np.float32)
+            r = place[row[lo:hi]]
+            has[r[r >= 0], code[lo:hi][r >= 0] - at] = 1
+            sides.append(has)
+        both += sides[0] @ sides[1].T
+    ok = (both >= _needed(n[a][:, None], n[b][None, :])) & (comp[a][:, None] != comp[b][None, :])
+    x, y = np.nonzero(ok)
+    return a[x], b[y]
+
+
+def _forest(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places of edges (x, y) that join what the edges before them do not."""
+    up: dict[int, int] = {}
+
+    def find(v):
+        while (w := up.get(v, v)) != v:
+            up[v] = up.get(w, w)
+            v = w
+        return v
+
+    keep = []
+    for k, (p, q) in enumerate(zip(x.tolist(), y.tolist())):
+        p, q = find(p), find(q)
+        if p != q:
+            up[p] = q
+            keep.append(k)
+    return np.array(keep, np.int64)
+
+
+def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may be among ``ids`` (doc): a filter of bounded size rules out most others, before
+    any text is shuffled."""
+    bits = copies.MIN_BITS * 8
+    known = copies.key_filter(ids, "doc", bits)
+    return copies.with_verdict(docs.withColumnRenamed("doc_id", "doc"), "doc", bits, known).where("_maybe").drop("_maybe")
+
+
+def set_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(lo, items) of the sets ``wanted`` (lo, doc): the sorted shingle hashes of the document's text with that set."""
+    texts = _of_ids(docs.select("doc_id", "text"), wanted).join(wanted, "doc").select("lo", "text")
 
-def cross_pairs(postings: DataFrame) -> DataFrame:
-    """(x, y) for every shingle and two of its sets that lie in different components."""
     def run(batches):
-        for cols, _ in _groups(batches, "cell", limit=1 << 40):  # no cell is large
-            cell, token, i, j, block, lo, comp = (cols[c] for c in ("cell", "token", "i", "j", "block", "lo", "component"))
-            place = np.arange(len(cell))
-            stop = np.searchsorted(cell, cell, "right")  # sorted by cell
-            step = 1
-            while True:  # all pairs that lie ``step`` apart in their cell
-                a = place[place + step < stop[place]]
-                if not len(a):
-                    break
-                b = a + step
-                other = ((comp[a] != comp[b]) & (token[a] == token[b]) & (i[a] == i[b]) & (j[a] == j[b])
-                         & ((i[a] == j[a]) | (block[a] != block[b])))
-                x, y = lo[a[other]], lo[b[other]]
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["x", "y"])
-                place, step = a, step + 1
-
-    rows = deal_blocks(postings, PER_BLOCK).withColumn("cell", F.xxhash64("token", "i", "j"))
-    rows = rows.repartition("cell").sortWithinPartitions("cell", "lo")
-    return rows.mapInArrow(run, "x long, y long")
-
-
-def _eligible(counted: DataFrame, classes: DataFrame) -> DataFrame:
-    """Counted pairs (x, y, n) that share enough prefix shingles and fit in size, as documents."""
-    side = lambda p: classes.select(F.col("lo").alias(p), F.col("doc").alias(f"{p}_doc"),
-                                    F.col("n_shingles").alias(f"{p}_n"), F.col("level").alias(f"{p}_level"))
-    both = counted.join(side("x"), "x").join(side("y"), "y")
-    return both.where((F.col("n") >= F.least("x_level", "y_level"))
-                      & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * PERCENT))
-
-
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs (x, x_doc, hub, hub_doc) whose sets link, checked on the texts.
-
-    Each candidate's text meets its pairs by doc_id, and its set goes to its hubs; a hub with many
-    members is checked in several places, each with its own copy of the hub's set."""
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(1 << 30)))
-    size = pairs.groupBy("hub", "hub_doc").agg(F.count("*").alias("members"))
-    size = size.withColumn("parts", (F.floor(F.col("members") / PER_HUB) + 1).cast("int"))
-    member = (pairs.join(size.select("hub", "hub_doc", "parts"), ["hub", "hub_doc"])
-              .select(F.col("x_doc").alias("doc"), F.col("x").alias("lo"), "hub",
-                      (F.col("salt") % F.col("parts")).cast("int").alias("part"), F.lit(1).alias("is_member")))
-    hub = (size.select(F.col("hub_doc").alias("doc"), F.col("hub").alias("lo"), "hub", "parts")
-           .withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).drop("parts").withColumn("is_member", F.lit(0)))
-    jobs = (member.unionByName(hub).groupBy("doc", "lo")
-            .agg(F.collect_list(F.struct("hub", "part", "is_member")).alias("jobs")))
-    jobs = stored(jobs, "jaccard-jobs")
-    if jobs.count() <= MAX_BROADCAST:
-        jobs = F.broadcast(jobs)
-    texts = docs.select("doc_id", "text").join(jobs, F.col("doc_id") == F.col("doc")).select("doc", "lo", "text", "jobs")
-
-    def sets(batches):
         for batch in slices(batches):
-            h, starts = shingles(Words(batch.column(2)), N_GRAM)
-            docs_, los, jobs_ = (batch.column(k).to_pylist() for k in (0, 1, 3))
-            rows = []
-            for i in range(batch.num_rows):
+            h, starts = shingles(Words(batch.column(1)), N_GRAM)
+            out = []
+            for i, lo in enumerate(batch.column(0).to_pylist()):
                 own = np.unique(h[starts[i]:starts[i + 1]])
-                if not len(own) or digest(own)[1] != los[i]:  # another row of this doc_id
-                    continue
-                rows += [(j["hub"], j["part"], j["is_member"], los[i], docs_[i], own.tobytes()) for j in jobs_[i]]
-            if rows:
-                cols = list(zip(*rows))
-                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                                 names=["hub", "part", "is_member", "lo", "doc", "items"])
+                if len(own) and digest(own)[1] == lo:  # else another row of this doc_id
+                    out.append((lo, own.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
+                                             names=["lo", "items"])
+
+    return texts.mapInArrow(run, "lo long, items binary")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b) of the ``pairs`` (x, hub) of sets that link, checked on the texts.
+
+    Sets go to their hub; a hub with many members is checked in several places, each with its own copy of the hub's set."""
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(1 << 30)))
+    size = pairs.groupBy("hub").agg(F.count("*").alias("members"))
+    size = size.withColumn("parts", (F.floor(F.col("members") / PER_HUB) + 1).cast("int"))
+    member = (pairs.join(size.select("hub", "parts"), "hub")
+              .select(F.col("x").alias("lo"), "hub", (F.col("salt") % F.col("parts")).cast("int").alias("part"), F.lit(1).alias("is_member")))
+    hub = (size.select(F.col("hub").alias("lo"), "hub", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
+           .withColumn("is_member", F.lit(0)))
+    jobs = stored(member.unionByName(hub), "jaccard-jobs")
+    wanted = jobs.select("lo").distinct().join(classes.select("lo", "doc"), "lo")
+    # equal rows of a doc_id give one set twice: a member then links twice, which changes nothing
+    placed = set_items(docs, wanted).join(jobs, "lo").select("hub", "part", "is_member", "lo", "items")
 
     def check(batches):
-        now, center, center_doc = None, None, None
+        now, center = None, None
         for batch in batches:
             out = []
-            cols = [batch.column(k).to_pylist() for k in range(6)]
-            for hub_, part, is_member, lo, doc, items in zip(*cols):
+            cols = [batch.column(k).to_pylist() for k in range(5)]
+            for hub_, part, is_member, lo, items in zip(*cols):
                 own = np.frombuffer(items, np.uint64)
                 if not is_member:
-                    if (hub_, part) != now:
-                        now, center, center_doc = (hub_, part), own, doc
+                    now, center = (hub_, part), own
                     continue
                 if (hub_, part) != now:
                     raise ValueError("a hub's set is missing")
                 both = len(np.intersect1d(center, own, assume_unique=True))
                 if 100 * both >= PERCENT * (len(center) + len(own) - both):
-                    out.append((doc, center_doc))
+                    out.append((lo, hub_))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
                                               pa.array([o[1] for o in out], pa.int64())], names=["a", "b"])
 
-    placed = texts.mapInArrow(sets, "hub long, part int, is_member int, lo long, doc long, items binary")
     placed = placed.repartition("hub", "part").sortWithinPartitions("hub", "part", "is_member")
-    return placed.mapInArrow(check, "a long, b long")
-
-
-def _of_sets(classes: DataFrame, parts: DataFrame) -> DataFrame:
-    """(lo, component) of every set; a set without a link is its own component."""
-    own = classes.select("lo", "doc").join(parts.withColumnRenamed("id", "doc"), "doc", "left")
-    return own.groupBy("lo").agg(F.min(F.coalesce("component", "doc")).alias("component"))
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, ...)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    links = stored(placed.mapInArrow(check, "a long, b long"), "jaccard-links")
+    discard(jobs)
+    return links
+
+
+def hub_pairs(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, hub): every set with the hub of another component that it shares most prefix shingles with, if they are
+    enough for both levels and sizes and places do not rule the pair out."""
+    counted = (live.where("component <> hub_component").groupBy(F.col("lo").alias("x"), F.col("hub").alias("y"))
+               .agg(F.count("*").alias("k"), F.first("n").alias("x_n"), F.first("hub_n").alias("y_n"), F.min("pos").alias("x_pos"),
+                    F.min("hub_pos").alias("y_pos")))
+    bound = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+    counted = counted.where((F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * PERCENT)
+                            & (bound * (100 + PERCENT) >= (F.col("x_n") + F.col("y_n")) * PERCENT))
+    level = lambda p: classes.select(F.col("lo").alias(p), F.col("level").alias(f"{p}_level"))
+    near = counted.join(level("x"), "x").join(level("y"), "y").where(F.col("k") >= F.least("x_level", "y_level"))
+    return near.groupBy("x").agg(F.min(F.struct((-F.col("k")).alias("minus"), F.col("y").alias("hub"))).alias("best")).select("x", "best.hub")
+
+
+def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, sets (hi, lo, doc, ...) and (lo, component) of the sets that link to others."""
     sigs = stored(signatures(docs, frequency_sketch(docs)), "jaccard-sets")
     classes = stored(sigs.where("lo is not null and doc_id is not null").groupBy("hi", "lo")
                      .agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("level").alias("level")),
                      "jaccard-classes")
-    postings = stored(shared_postings(sigs), "jaccard-postings")
-    # rounds against hubs of other components, until none brings a link
-    parts, live, first = None, postings, 0
-    best = Window.partitionBy("x").orderBy(F.desc("n"), "y")
+    live = stored(shared_postings(sigs.where("doc_id is not null")), "jaccard-postings")
+    parts, first = None, 0
+
+    def joined(links: DataFrame, parts: DataFrame | None) -> DataFrame:
+        both = links if parts is None else links.unionByName(parts.select(F.col("lo").alias("a"), F.col("component").alias("b")))
+        out = components(both).withColumnRenamed("id", "lo")
+        discard(parts, links)
+        return out
+
+    # rounds against hubs of other components, while they bring links
     for round_ in range(MAX_ROUNDS):
-        live = stored(live_postings(live, None if parts is None else _of_sets(classes, parts), round_), "jaccard-live")
-        counted = (live.where("component <> hub_component").groupBy(F.col("lo").alias("x"), F.col("hub").alias("y"))
-                   .agg(F.count("*").alias("n")))
-        near = _eligible(counted, classes).withColumn("_r", F.row_number().over(best)).where("_r <= 2")
-        pairs = stored(near.select("x", "x_doc", F.col("y").alias("hub"), F.col("y_doc").alias("hub_doc")), "jaccard-pairs")
-        links = stored(verified(docs, pairs), "jaccard-links")
+        before, live = live, stored(live_postings(live, parts, round_), "jaccard-live")
+        discard(before)
+        pairs = stored(hub_pairs(live, classes), "jaccard-pairs")
+        links = verified(docs, pairs, classes)
+        discard(pairs)
         found = links.count()
-        if not found:
-            break
-        if parts is not None:
-            links = links.unionByName(parts.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        parts = components(links)
+        parts = joined(links, parts)
         first = first or found
-        if found < FEW * first:
+        if found <= FEW * first:
             break
-    # what is left between different components
-    if parts is not None:
-        live = stored(live_postings(live, _of_sets(classes, parts), MAX_ROUNDS), "jaccard-live")
-    crossing = cross_pairs(live).groupBy("x", "y").agg(F.count("*").alias("n"))
-    rest = _eligible(crossing, classes).select("x", "x_doc", F.col("y").alias("hub"), F.col("y_doc").alias("hub_doc"))
-    links = verified(docs, stored(rest, "jaccard-rest"))
-    if parts is not None:
-        links = links.unionByName(parts.select(F.col("id").alias("a"), F.col("component").alias("b")))
-    parts = components(links).withColumnRenamed("id", "doc")
-    whole = stored(classes.select("hi", "lo", "doc").join(parts, "doc", "left")
-                   .select("hi", "lo", F.coalesce("component", "doc").alias("component_id")), "jaccard-result")
-    return (sigs.select("doc_id", "n_shingles", "hi", "lo").join(whole, ["hi", "lo"], "left")
-            .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    # what is left in different components, where it meets
+    before, live = live, stored(live_postings(live.where(f"pos <= n - ceil({PERCENT} * n / 100)"), parts, MAX_ROUNDS), "jaccard-live")
+    discard(before)
+    cells = stored(worth_checking(live), "jaccard-cells")
+    wanted = cells.select("lo").distinct().join(classes.select("lo", "doc"), "lo")
+    sets = stored(set_items(docs, wanted).dropDuplicates(["lo"]), "jaccard-items")
+    links = stored(links_in_cells(cells, sets), "jaccard-links")
+    parts = joined(links, parts)
+    discard(live, cells, sets)
+    return sigs, classes, parts
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text, ...)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    sigs, classes, parts = set_components(docs)
+    # rows of one doc_id are one document, whatever their sets
+    own = sigs.where("lo is not null and doc_id is not null").select("doc_id", "lo")
+    several = own.groupBy("doc_id").agg(F.min("lo").alias("a"), F.max("lo").alias("z")).where("a < z").select("doc_id", "a")
+    if not several.isEmpty():
+        links = own.join(several, "doc_id").where("lo <> a").select("a", F.col("lo").alias("b"))
+        parts = components(links.unionByName(parts.select(F.col("lo").alias("a"), F.col("component").alias("b")))).withColumnRenamed("id", "lo")
+    of_set = classes.join(parts, "lo", "left").select("hi", "lo", "doc", F.coalesce("component", "lo").alias("component"))
+    smallest = of_set.groupBy("component").agg(F.min("doc").alias("component_id"))
+    whole = stored(of_set.join(smallest, "component").select("hi", "lo", "component_id"), "jaccard-result")
+    # a document whose rows have words in some and none in others has its component from the former
+    by_doc = sigs.select("doc_id", "n_shingles", "hi", "lo").join(whole, ["hi", "lo"], "left")
+    discard(classes, parts)
+    return by_doc.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per component, that of the smallest doc_id (all columns kept).
 
-    Rows without a doc_id cannot be named as anyone's copy and stay."""
-    heads = stored(near_duplicates(docs).where("component_id = doc_id").select("doc_id").distinct(), "jaccard-heads")
-    kept = docs.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    Rows with different texts under one doc_id are told apart: each stays unless it is the near copy of another row. Rows without
+    a doc_id cannot be named as anyone's copy and stay, and so does one row of each doc_id without words."""
+    sigs, classes, parts = set_components(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    rows = sigs.where("doc_id is not null").select("doc_id", "key", "lo").join(parts, "lo", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "lo"))
+    heads = (rows.where("lo is not null").groupBy("component").agg(F.min(F.struct("doc_id", "key")).alias("h")).select("h.doc_id", "h.key")
+             .unionByName(rows.where("lo is null").groupBy("doc_id").agg(F.min("key").alias("key"))))
+    heads = stored(heads.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct(), "jaccard-heads")
+    discard(classes, parts, sigs)
+    named = docs.where("doc_id is not null").withColumn("_text", text_key())
+    kept = named.join(heads, (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left_semi")
+    kept = kept.dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 ORACLE_SQL = """

@@ -70,7 +70,7 @@ def test_single_rows_pass_without_a_shuffle(spark):
     rows = [(i, f"text {i}") for i in range(20000)] + [(20000, "text 7")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", copies.text_digest("text"))
     bits = copies.filter_bits(len(rows))
-    told = copies._with_verdict(df, "key", bits, copies.repeat_filter(df, "key", bits))
+    told = copies.with_verdict(df, "key", bits, copies.repeat_filter(df, "key", bits))
     maybe = {r["doc_id"] for r in told.where("_maybe").collect()}
     assert {7, 20000} <= maybe and len(maybe) < 400
 

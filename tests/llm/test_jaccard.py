@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 from incidentlens.llm import jaccard
 
 from .conftest import sentence
@@ -72,30 +75,44 @@ def test_a_group_in_parts_loses_no_link(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-def test_every_pair_of_components_of_a_large_shingle_meets_once(spark, monkeypatch):
-    """Sets that no hub links, in parts of three rows and in blocks of four; before, parts never met."""
-    import functools
-    from collections import Counter
-
-    monkeypatch.setattr(jaccard, "_groups", functools.partial(jaccard._groups, limit=3))
-    monkeypatch.setattr(jaccard, "PER_BLOCK", 4, raising=False)
-    sets = {1: [(lo, lo % 7) for lo in range(30)], 2: [(lo, 0 if lo < 25 else lo) for lo in range(-3, 29)], 3: [(5, 1), (6, 2)],
-            4: [(lo, 9) for lo in range(12)]}
-    rows = [(token, lo, c) for token, members in sets.items() for lo, c in members]
-    postings = spark.createDataFrame(rows, "token long, lo long, component long").repartition(3)
-    per_batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(per_batch)
-    spark.conf.set(per_batch, "5")  # parts end with a batch
-    try:
-        got = Counter((r["x"], r["y"]) for r in jaccard.cross_pairs(postings).collect())
-    finally:
-        spark.conf.set(per_batch, before)
-    assert got == Counter((x, y) for members in sets.values() for x, c in members for y, d in members if x < y and c != d)
+@pytest.mark.parametrize("per_block", [4, 2048])
+def test_a_family_below_the_threshold(spark, monkeypatch, per_block):
+    """Sets that share 50 to 74 %, which no hub links, with some pairs that do; in blocks of four sets, too."""
+    monkeypatch.setattr(jaccard, "PER_BLOCK", per_block)
+    monkeypatch.setattr(jaccard, "MAX_ROUNDS", 1)
+    rng = random.Random(3)
+    passage = sentence(rng, 50)
+    rows = [(k, sentence(rng, 10 + k % 9) + " " + passage) for k in range(60)]
+    rows += [(100 + k, rows[3 * k][1] + f" end{k}") for k in range(12)]
+    rng.shuffle(rows)
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
+def test_every_linking_pair_of_a_cell_is_joined():
+    rng = np.random.default_rng(4)
+    for n in (2, 5, 60):
+        base = rng.integers(0, 1 << 60, 40).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[: rng.integers(20, 41)], rng.integers(0, 1 << 60, 3).astype(np.uint64)])) for _ in range(n)]
+        comp = np.arange(n) // 2
+        a, b = np.arange(0, n // 2 + 1), np.arange(n // 2, n)
+        x, y = jaccard.linked_pairs(sets, a, b, comp, width=16)
+        want = {(p, q) for p in a for q in b if comp[p] != comp[q]
+                and 100 * len(np.intersect1d(sets[p], sets[q])) >= 75 * len(np.union1d(sets[p], sets[q]))}
+        assert set(zip(x.tolist(), y.tolist())) == want and len(x) == len(want)
+        keep = jaccard._forest(comp[x], comp[y])
+        assert len(keep) <= n - 1
+
+
+def test_no_text_is_lost_for_a_repeated_id(spark):
+    rng = random.Random(5)
+    one, two, three = sentence(rng, 50), sentence(rng, 60), sentence(rng, 70)
+    rows = [(1, one), (1, two), (2, three), (2, two + " x"), (3, one), (3, ""), (1, one), (4, ""), (4, None)]
+    kept = jaccard.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r["doc_id"], r["text"] or "") for r in kept.collect())
+    assert got == sorted([(1, one), (1, two), (2, three), (3, ""), (4, "")])
 
 
 def test_components_that_have_not_settled_raise(spark):
-    import pytest
-
     path = spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long")
     with pytest.raises(RuntimeError, match="settled"):
         jaccard.components(path, max_steps=1)
