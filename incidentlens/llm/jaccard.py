@@ -8,11 +8,12 @@ verified only when it shares min(l, l') prefix shingles. Verification is exact.
 
 Copies (equal sets) are one node from the start. Candidates come in rounds: every set against the
 hub of another component with which it shares most prefix shingles, until a round finds few links.
-So a group of n near copies costs about n checks a round. What is left is checked where it meets: the
-rarest shingle that a linking pair shares lies in the first ``|x| - ceil(0.75 |x|) + 1`` of both, so the sets of such a shingle
-that still lie in different components are compared there, after size and place in the order have ruled out most, and
-only links leave that place, at most one for each set and chain of links. No pair becomes a row, and no link is lost
-for the components.
+So a group of n near copies costs about n checks a round. What is left in different components is finished
+in two ways. Shingles of at most ``SMALL`` sets give their pairs, a bounded number for each set; these are counted, and those
+with enough shared prefix shingles verified. Sets of any other shingle are checked where they meet: the rarest shingle that a
+linking pair shares lies in the first ``|x| - ceil(0.75 |x|) + 1`` of both, so such sets are compared there, after
+size and place in the order have ruled out most, and only links leave that place, at most one for each set. So rows
+grow with the sets, not with their pairs, and no link is lost for the components.
 
 Defined results: a NULL, empty or white-space text has no shingles and is a component of its
 own; rows that repeat a doc_id are one document; a NULL doc_id links with nothing; an empty table gives an empty result; input
@@ -25,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Shared, Words, discard, scramble, shingles, slices, stored, table, without
@@ -43,6 +44,8 @@ CHANCE, CANDIDATE_COST = 0.05, 3.0
 PER_HUB = 2000
 #: Sets of one shingle, and shingles of these sets, that are compared with as many others in one place.
 PER_BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+#: Sets of a shingle whose pairs are counted one by one: at most (SMALL - 1) / 2 rows for each set.
+SMALL = 32
 #: Rounds end when one brings less than this share of the first one's links; the rest is found pair by pair.
 FEW = 0.02
 
@@ -275,6 +278,58 @@ def _cells_of(batches, key: int = 3):
         yield pa.Table.from_batches(held)
 
 
+def pairs_of_small(live: DataFrame) -> DataFrame:
+    """(x, y, x_n, y_n, x_pos, y_pos) of every two sets of a shingle that lie in different components and fit in size; no
+    shingle of ``live`` has more than SMALL sets."""
+    def run(batches):
+        for cols, _ in _groups(batches, "token", limit=1 << 40):
+            token, lo, comp = (cols[c] for c in ("token", "lo", "component"))
+            n, pos = cols["n"].astype(np.int64), cols["pos"]
+            place = np.arange(len(token))
+            for step in range(1, SMALL):  # pairs that lie ``step`` apart, sorted by shingle and set
+                place = place[place + step < len(token)]
+                place = place[token[place] == token[place + step]]
+                if not len(place):
+                    break
+                a, b = place, place + step
+                ok = (comp[a] != comp[b]) & (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b]))
+                a, b = a[ok], b[ok]
+                for at in range(0, len(a), 1 << 17):
+                    x, y = a[at:at + (1 << 17)], b[at:at + (1 << 17)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (lo[x], lo[y], n[x].astype(np.int32), n[y].astype(np.int32), pos[x], pos[y])],
+                                                     names=["x", "y", "x_n", "y_n", "x_pos", "y_pos"])
+
+    rows = live.repartition("token").sortWithinPartitions("token", "lo").select("token", "lo", "component", "n", "pos")
+    return rows.mapInArrow(run, "x long, y long, x_n int, y_n int, x_pos int, y_pos int")
+
+
+def rest_of_small(live: DataFrame, large: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, hub) of the pairs to verify whose rarest shared shingle is not ``large`` (token).
+
+    Pairs are counted over the small shingles; those of the large ones count as shared, as far as both sets have any."""
+    counted = (pairs_of_small(live.join(large, "token", "left_anti")).groupBy("x", "y")
+               .agg(F.count("*").alias("k"), F.first("x_n").alias("x_n"), F.first("y_n").alias("y_n"), F.min("x_pos").alias("x_pos"),
+                    F.min("y_pos").alias("y_pos")))
+    in_large = live.join(large, "token", "left_semi").groupBy("lo").agg(F.count("*").alias("more"))
+    side = classes.select("lo", "level").join(in_large, "lo", "left").select("lo", "level", F.coalesce("more", F.lit(0)).alias("more"))
+    of = lambda p: side.select(F.col("lo").alias(p), F.col("level").alias(f"{p}_level"), F.col("more").alias(f"{p}_more"))
+    near = counted.where(_can_link()).join(of("x"), "x").join(of("y"), "y")
+    near = near.where(F.col("k") + F.least("x_more", "y_more") >= F.least("x_level", "y_level"))
+    return near.select("x", F.col("y").alias("hub"))
+
+
+def first_meetings(live: DataFrame, large: DataFrame) -> DataFrame:
+    """Rows of ``live`` in first prefixes and of ``large`` shingles, without shingles all whose sets have met before.
+
+    If the sets of a shingle all have one and the same shingle as their last one before it, they all meet there."""
+    rows = live.where(f"pos <= n - ceil({PERCENT} * n / 100)").join(large, "token", "left_semi")
+    last = F.lag("token").over(Window.partitionBy("lo").orderBy("pos"))
+    again = (rows.withColumn("_last", last).groupBy("token").agg(F.min("_last").alias("a"), F.max("_last").alias("z"),
+                                                                 F.count("_last").alias("k"), F.count("*").alias("all"))
+             .where("a = z and k = all").select("token"))
+    return rows.join(again, "token", "left_anti")
+
+
 def worth_checking(live: DataFrame) -> DataFrame:
     """(token, i, j, block, lo, component) of the sets that have a partner in their cell: of another component, and not
     ruled out by sizes and places.
@@ -438,15 +493,20 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame
     return links
 
 
+def _can_link():
+    """Whether sizes (x_n, y_n) and the places of the first shared shingle (x_pos, y_pos) leave room for a link."""
+    bound = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
+    return ((F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * PERCENT)
+            & (bound * (100 + PERCENT) >= (F.col("x_n") + F.col("y_n")) * PERCENT))
+
+
 def hub_pairs(live: DataFrame, classes: DataFrame) -> DataFrame:
     """(x, hub): every set with the hub of another component that it shares most prefix shingles with, if they are
     enough for both levels and sizes and places do not rule the pair out."""
     counted = (live.where("component <> hub_component").groupBy(F.col("lo").alias("x"), F.col("hub").alias("y"))
                .agg(F.count("*").alias("k"), F.first("n").alias("x_n"), F.first("hub_n").alias("y_n"), F.min("pos").alias("x_pos"),
                     F.min("hub_pos").alias("y_pos")))
-    bound = F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos"))
-    counted = counted.where((F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * PERCENT)
-                            & (bound * (100 + PERCENT) >= (F.col("x_n") + F.col("y_n")) * PERCENT))
+    counted = counted.where(_can_link())
     level = lambda p: classes.select(F.col("lo").alias(p), F.col("level").alias(f"{p}_level"))
     near = counted.join(level("x"), "x").join(level("y"), "y").where(F.col("k") >= F.least("x_level", "y_level"))
     return near.groupBy("x").agg(F.min(F.struct((-F.col("k")).alias("minus"), F.col("y").alias("hub"))).alias("best")).select("x", "best.hub")
@@ -479,15 +539,18 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         first = first or found
         if found <= FEW * first:
             break
-    # what is left in different components, where it meets
-    before, live = live, stored(live_postings(live.where(f"pos <= n - ceil({PERCENT} * n / 100)"), parts, MAX_ROUNDS), "jaccard-live")
+    # what is left in different components: pairs of small shingles, and large ones where their sets meet
+    before, live = live, stored(live_postings(live, parts, MAX_ROUNDS), "jaccard-live")
     discard(before)
-    cells = stored(worth_checking(live), "jaccard-cells")
+    large = stored(live.groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > SMALL).select("token"), "jaccard-large")
+    pairs = stored(rest_of_small(live, large, classes), "jaccard-pairs")
+    links = verified(docs, pairs, classes)
+    discard(pairs)
+    cells = stored(worth_checking(first_meetings(live, large)), "jaccard-cells")
     wanted = cells.select("lo").distinct().join(classes.select("lo", "doc"), "lo")
     sets = stored(set_items(docs, wanted).dropDuplicates(["lo"]), "jaccard-items")
-    links = stored(links_in_cells(cells, sets), "jaccard-links")
-    parts = joined(links, parts)
-    discard(live, cells, sets)
+    parts = joined(stored(links.unionByName(links_in_cells(cells, sets)), "jaccard-links"), parts)
+    discard(live, large, cells, sets, links)
     return sigs, classes, parts
 
 

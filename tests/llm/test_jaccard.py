@@ -75,10 +75,11 @@ def test_a_group_in_parts_loses_no_link(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-@pytest.mark.parametrize("per_block", [4, 2048])
-def test_a_family_below_the_threshold(spark, monkeypatch, per_block):
+@pytest.mark.parametrize("per_block,small", [(4, 3), (2048, 3), (4, 20), (2048, 32)])
+def test_a_family_below_the_threshold(spark, monkeypatch, per_block, small):
     """Sets that share 50 to 74 %, which no hub links, with some pairs that do; in blocks of four sets, too."""
     monkeypatch.setattr(jaccard, "PER_BLOCK", per_block)
+    monkeypatch.setattr(jaccard, "SMALL", small)
     monkeypatch.setattr(jaccard, "MAX_ROUNDS", 1)
     rng = random.Random(3)
     passage = sentence(rng, 50)
