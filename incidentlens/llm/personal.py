@@ -38,10 +38,12 @@ AGREEMENT = (0.0, 4.0, 3.0)
 OUTPUT = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_MENTION = re.compile(r"[^\x20\x09-\x0D]*@[^\x20\x09-\x0D]*|\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])*")
+_RUN = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])*")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_SPACES = frozenset(" \t\n\x0b\x0c\r")
 _DIGITS = re.compile("[^0-9]+")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -56,6 +58,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _at_most_255(number: str) -> bool:
+    number = number.lstrip("0")
+    return len(number) < 3 or (len(number) == 3 and number <= "255")
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all base matches, leftmost and non-overlapping per kind, in order."""
     found = []
@@ -69,9 +76,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             found.append((start, 0, m.end()))
             done = m.end()
         at = text.find("@", max(at + 1, done))
-    for m in _IP.finditer(text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
-            found.append((m.start(), 1, m.end()))
+    # four numbers of a chain at a time, from its start: a chain of n numbers has n // 4 matches
+    for m in _NUMBERS.finditer(text):
+        if m[0].count(".") < 3:
+            continue
+        start, parts = m.start(), m[0].split(".")
+        for k in range(0, len(parts) - 3, 4):
+            own = parts[k:k + 4]
+            end = start + sum(map(len, own)) + 3
+            if all(_at_most_255(p) for p in own):
+                found.append((start, 1, end))
+            start = end + 1
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 14:
             digits = _DIGITS.sub("", m[0])
@@ -85,9 +100,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def mentions(text: str) -> list[tuple[int, int]]:
-    """Places of everything that might be personal data: at-sign words and runs of 7 digits or more."""
-    return [(m.start(), m.end()) for m in _MENTION.finditer(text)
-            if "@" in m[0] or len(_DIGITS.sub("", m[0])) >= 7]
+    """Places of everything that might be personal data: at-sign words and runs of 7 digits or more.
+
+    Taken from left to right without overlap, in one pass: the next word with an at sign is found from the sign."""
+    out, done = [], 0
+    word = at = end = -1  # the next at-sign word: its start, its (first) sign from ``done`` on, its end
+    while True:
+        if at < done and at != len(text):
+            at = text.find("@", done)
+            if at < 0:
+                at = word = len(text)
+            elif at >= end:  # another word
+                word = at
+                while word > done and text[word - 1] not in _SPACES:
+                    word -= 1
+                stop = _SPACE.search(text, at)
+                end = stop.start() if stop else len(text)
+        run = _RUN.search(text, done, max(word, done) + 1 if at < len(text) else len(text))
+        run = _RUN.match(text, run.start()) if run and run.start() < max(word, done) else None if at < len(text) else run
+        if run is not None:
+            if len(_DIGITS.sub("", run[0])) >= 7:
+                out.append(run.span())
+            done = run.end()
+        elif at < len(text):
+            out.append((max(word, done), end))
+            done = end
+        else:
+            return out
 
 
 N_SHAPES = 14

@@ -68,3 +68,27 @@ def test_evidence_reaches_every_alike_mention_of_a_long_document():
         base, spans = p.annotate([text], theta)[0]
         assert len(base) == 1 and len(spans) == 1 + before + after
     assert p.annotate(["room 020 7946 0958 now. " * 40], theta)[0] == ([], [])
+
+
+def test_one_pass_scans_equal_the_patterns_they_stand_for():
+    mention = re.compile(r"[^\x20\x09-\x0D]*@[^\x20\x09-\x0D]*|\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])*")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(1)
+    for _ in range(20000):
+        t = "".join(rng.choice("0123456 .-()+@a\n") for _ in range(rng.randint(0, 40)))
+        assert p.mentions(t) == [m.span() for m in mention.finditer(t)
+                                        if "@" in m[0] or len(re.sub("[^0-9]", "", m[0])) >= 7]
+        assert [x for x in p.base_spans(t) if x[1] == 1] == [
+            (m.start(), 1, m.end()) for m in ip.finditer(t) if all(int(x) <= 255 for x in m[0].split("."))]
+
+
+def test_long_unbroken_texts():
+    import time
+
+    for text in ("a" * 10 ** 6, "1" * 10 ** 6, "日" * 10 ** 6, "1." * 500_000, "a@" * 500_000):
+        start = time.perf_counter()
+        p.mentions(text)
+        p.base_spans(text)
+        assert time.perf_counter() - start < 5  # a fraction of a second on an idle machine
+    assert p.base_spans("1.1.1." + "9" * 5000) == []
+    assert p.base_spans("0.0.0." + "0" * 5000) == [(0, 1, 5006)]
