@@ -127,6 +127,31 @@ def _lifted(x: np.ndarray, longest: float) -> np.ndarray:
     return (np.column_stack([x, rest]) / longest).astype(np.float32)
 
 
+def best_of(q: np.ndarray, matrix: np.ndarray, ids: np.ndarray, k: int, at_once: int = 200_000):
+    """(query, row, score) arrays of the ``k`` best rows of ``matrix`` for each query, ties to the smaller of ``ids``.
+
+    A matrix product finds the rows that may reach the k-th score; sums in one order then give scores that are the same wherever a
+    pair meets, and only these decide."""
+    rough = q @ matrix.T
+    kth = min(k, rough.shape[1]) - 1
+    slack = 1e-9 * np.linalg.norm(q, axis=1) * np.linalg.norm(matrix, axis=1).max()
+    reach = -np.partition(-rough, kth, axis=1)[:, kth] - slack
+    near = rough >= reach[:, None]
+    n = near.sum(axis=1)
+    at = 0
+    while at < len(q):  # as many queries as give so many pairs
+        end = max(at + 1, int(np.searchsorted(np.cumsum(n[at:]), at_once, "right")) + at)
+        of, row = np.nonzero(near[at:end])
+        exact = np.concatenate([np.einsum("ij,ij->i", q[of[i:i + at_once] + at], matrix[row[i:i + at_once]])
+                                for i in range(0, len(of), at_once)])
+        order = np.lexsort((ids[row], -exact, of))
+        of, row, exact = of[order], row[order], exact[order]
+        first = np.searchsorted(of, of)
+        keep = np.arange(len(of)) - first < k
+        yield of[keep] + at, row[keep], exact[keep]
+        at = end
+
+
 def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, search: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every vector whose id is
     divisible by ``query_every`` among all others."""
@@ -217,13 +242,10 @@ def nearest(vectors: DataFrame, k: int = 20, query_every: int = 20, search: int
                     matrix, own = np.concatenate(held), np.concatenate(ids)
                 for at in range(s, e, 512):
                     q, qid = x[at:min(at + 512, e)], point[at:min(at + 512, e)]
-                    score = q @ matrix.T
-                    top = np.argpartition(-score, min(k, score.shape[1] - 1), axis=1)[:, : k + 1]
-                    rows_ = np.repeat(np.arange(len(q)), top.shape[1])
-                    exact = np.einsum("ij,ij->i", q[rows_], matrix[top.ravel()])  # the same sum wherever a pair meets
-                    out[0].append(qid[rows_])
-                    out[1].append(own[top.ravel()])
-                    out[2].append(exact)
+                    for part_, place, exact in best_of(q, matrix, own, k + 1):
+                        out[0].append(qid[part_])
+                        out[1].append(own[place])
+                        out[2].append(exact)
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["q", "point", "score"])
 

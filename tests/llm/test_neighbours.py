@@ -55,3 +55,36 @@ def test_large_leaves_are_dealt_over_chunks(spark, monkeypatch):
     for r in neighbours.nearest(spark.createDataFrame(rows, SCHEMA)).collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert all(set(got[q]) == {i for i, _ in found} for q, found in brute(rows).items())
+
+
+def test_ties_of_different_vectors_go_to_the_smaller_id(spark):
+    """475 distinct vectors with one inner product to the query, in any order: the smallest ids are the answer."""
+    import random
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(0, [1.0] + [0.0] * 7)]
+    for i in range(1, 476):
+        v = rng.normal(size=7)
+        rows.append((i, [1.0, *(v / np.linalg.norm(v) * 0.5).tolist()]))
+    rows += [(500 + i, [0.3, *rng.normal(size=7).tolist()]) for i in range(50)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = neighbours.nearest(df).where("query_id = 0").orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1, 21)) and {r["score"] for r in got} == {1.0}
+
+
+def test_best_rows_equal_a_full_sort():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    matrix, q = rng.integers(-2, 3, (300, 4)).astype(float), rng.integers(-2, 3, (40, 4)).astype(float)
+    ids = rng.permutation(300) * 7
+    got = [[] for _ in q]
+    for of, row, score in neighbours.best_of(q, matrix, ids, 21, at_once=97):
+        for i, r, x in zip(of, row, score):
+            got[i].append((-x, ids[r]))
+    for i, found in enumerate(got):
+        assert found == sorted((-float(q[i] @ m), x) for m, x in zip(matrix, ids))[:21]
+    assert sum(len(o) for o, _, _ in neighbours.best_of(q, matrix[:3], ids[:3], 21)) == 120
