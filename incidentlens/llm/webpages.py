@@ -20,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +50,8 @@ NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 CONTENT = frozenset(("article", "main"))
+#: A class name that begins so speaks of the page around it (has-sidebar, no-ads), not of the element itself.
+ABOUT = frozenset("has have no not with without is js show hide".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>
     |</?[a-zA-Z](?:"[^"]*"|'[^']*'|[^'">])*>|</?[a-zA-Z][^>]*>|[^<]+|<""", re.S | re.X)
@@ -56,6 +59,36 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"""\s(?:hidden(?=[\s>/=])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_CONTENT_START = re.compile(r"<(?:article|main)\b", re.I)
+
+
+def _tokens(source: str):
+    """(token, end) of a page, in one pass. Behind the last ``>`` no tag can end, so all there is text, up to an open comment."""
+    last = source.rfind(">") + 1
+    token, end = "", 0
+    for m in _TOKEN.finditer(source, 0, last):
+        token, end = m[0], m.end()
+        yield token, end
+    if (token.startswith("<!--") and not token.endswith("-->")) or (token.startswith("<![CDATA[") and not token.endswith("]]>")):
+        return
+    rest = source[last:]
+    for mark in ("<!--", "<![CDATA["):
+        rest = rest.partition(mark)[0]
+    if rest:
+        yield "<" if rest == "<" else " " + rest if rest[0] == "<" else rest, len(source)
+
+
+def _marks(name: str, token: str) -> tuple[str | None, bool]:
+    """What speaks against an element (a word of its class, id or role), and whether it is a class or id."""
+    found = []
+    for kind, a, b, c in _MARKS.findall(token):
+        for whole in (a or b or c).lower().split():
+            words = [w for w in _SPLIT.split(whole) if w]
+            if kind.lower() == "role":
+                found += [w for w in words if w in NEVER_ROLE or w in NEVER_CLASS]
+            elif words and words[0] not in ABOUT and not (words[-1] == "header" and words[0] in ("entry", "article", "post")):
+                found += [w for w in words if w in NEVER_CLASS]
+    return (min(found), True) if found else (None, False)
 
 
 class Page:
@@ -68,13 +101,25 @@ class Page:
         self.inside: list[bool] = []
         self.parts: list[list[str]] = [[]]
         self.labelled = False
-        stack: list[tuple[str, bool, str]] = []  # element, never text, name for features
-        never = content = 0
+        # element, never text, name for features, and the number of dropped elements around it that its start set aside
+        stack: list[tuple[str, bool, str, int]] = []
+        open_: Counter = Counter()
+        never = content = by_class = 0  # by_class: elements around that are dropped for a class only
+        only = len(_CONTENT_START.findall(source)) == 1
         skip_to = 0
-        for m in _TOKEN.finditer(source):
-            if m.start() < skip_to:
+
+        def leave() -> str:
+            nonlocal never, content, by_class
+            gone, dropped, _, aside = stack.pop()
+            open_[gone] -= 1
+            never += aside - bool(dropped)
+            by_class += aside - (dropped == 2)
+            content -= gone in CONTENT
+            return gone
+
+        for token, token_end in _tokens(source):
+            if token_end <= skip_to:
                 continue
-            token = m[0]
             if token[0] != "<" or token == "<":
                 if never:
                     continue
@@ -91,16 +136,12 @@ class Page:
                     self._break()
                 if not never:
                     self._add("t:/" + name, 0, -1, content > 0)
-                if any(s[0] == name for s in stack):
-                    while True:
-                        gone = stack.pop()
-                        never -= gone[1]
-                        content -= gone[0] in CONTENT
-                        if gone[0] == name:
-                            break
+                if open_[name]:
+                    while leave() != name:
+                        pass
                 continue
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, m.end())
+                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, token_end)
                 skip_to = end.end() if end else len(source)
                 continue
             if name == "br":
@@ -112,23 +153,30 @@ class Page:
                 self._break()
             if name in CLOSES_P or name == "li":  # an open paragraph or item ends where the next begins
                 while stack and (stack[-1][0] in INLINE or stack[-1][0] == ("li" if name == "li" else "p")):
-                    gone = stack.pop()
-                    never -= gone[1]
-                    if gone[0] in ("p", "li"):
+                    if leave() in ("p", "li"):
                         break
-            marks = {w for _, a, b, c in _MARKS.findall(token) for w in _SPLIT.split((a or b or c).lower()) if w}
-            bad = marks & NEVER_CLASS or (marks & NEVER_ROLE if "role" in token else None)
-            drop = name in NEVER or (bool(bad) and name not in CONTENT and name != "body") or bool(_HIDDEN.search(token))
-            shown = name + ("." + min(bad) if bad else "")
+            bad, _ = _marks(name, token)
+            # 1: by name or hidden, 2: for a class; a header inside the article holds its headline
+            hard = (name in NEVER and not (name == "header" and content)) or bool(_HIDDEN.search(token))
+            drop = 1 if hard else 2 if bad and name not in CONTENT and name != "body" else 0
+            shown = name + ("." + bad if bad else "")
+            aside = 0
             if name in CONTENT:
+                if only and not bad and never == by_class:  # a wrapper's class does not drop the page's one article
+                    aside, never, by_class = by_class, 0, 0
                 self.labelled = True
                 content += 1
             elif not (never or drop):
                 self._add("t:" + shown, 0, -1, content > 0)
             if name not in VOID and not token.endswith("/>"):
                 inner = stack[-1][2] if stack and name in INLINE and not bad else shown
-                stack.append((name, drop, inner))
-                never += drop
+                stack.append((name, drop, inner, aside))
+                open_[name] += 1
+                never += bool(drop)
+                by_class += drop == 2
+            elif name in CONTENT:
+                content -= 1
+                never, by_class = never + aside, by_class + aside
 
     def _add(self, feature: str, words: int, block: int, inside: bool) -> None:
         self.features.append((feature, words))

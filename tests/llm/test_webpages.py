@@ -51,3 +51,37 @@ def test_lists_and_adverts_inside_an_article_do_not_end_it(spark):
             "Last part of the text with more words in it."]
     assert by[0] == TEXT
     assert by[100].split("\n") == by[101].split("\n") == want
+
+
+WEIGHTS = {"w:": 1.0, "t:": -0.5}
+
+
+def text_of(source):
+    return webpages.Page(source).text(WEIGHTS)
+
+
+def test_a_wrappers_class_does_not_drop_the_article():
+    body = "<article><h1>Head line</h1><p>First words of the text.</p></article>"
+    for wrapper in ("layout has-sidebar", "page no-ads", "sidebar", "content-with-comments js-menu"):
+        page = f"<body><div class='nav'>Home</div><div class='{wrapper}'>{body}<div class='sidebar'>Side</div></div></body>"
+        assert text_of(page) == "Head line\nFirst words of the text.", wrapper
+    # comments are articles of their own in some pages, and a dropped element's names stay dropped
+    assert "bad" not in text_of(f"<body>{body}<div class='comments'><article>bad words</article></div></body>")
+    assert "bad" not in text_of("<body><nav><article>bad</article></nav><p>good words here</p></body>")
+
+
+def test_the_articles_own_headline_stays():
+    assert text_of("<article><header class='entry-header'><h1>Head line</h1></header><p>Some text.</p></article>") == "Head line\nSome text."
+    assert text_of("<div class='article-header'><h1>Head line</h1></div><article><p>Some text.</p></article>") == "Head line\nSome text."
+    assert text_of("<header><h1>Site</h1></header><article><p>Some text.</p></article>") == "Some text."
+
+
+def test_long_malformed_pages_take_one_pass():
+    import time
+
+    for page in ("<a " * 300_000, "<!" * 300_000, "<div>" * 100_000 + "</p>" * 100_000, "a" * 10 ** 6, "<script " * 200_000, "<" * 10 ** 6):
+        start = time.perf_counter()
+        text_of(page)
+        assert time.perf_counter() - start < 10  # about a second on an idle machine
+    assert text_of("<p>some words</p> and a < b <!-- open > comment") == "some words\nand a < b"
+    assert text_of("<p>some words</p><!-- open") == "some words"
