@@ -47,7 +47,7 @@ PER_BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 #: Sets of a shingle whose pairs are counted one by one: at most (SMALL - 1) / 2 rows for each set.
 SMALL = 32
 #: Rounds end when one brings less than this share of the first one's links; the rest is found pair by pair.
-FEW = 0.02
+FEW = 0.1
 
 
 def _cells(h: np.ndarray) -> np.ndarray:
@@ -150,7 +150,7 @@ def _groups(batches, column: str, limit: int = 1 << 20):
 
 
 HUBS = 16
-MAX_ROUNDS = 8
+MAX_ROUNDS = 3
 
 
 def shared_postings(sigs: DataFrame) -> DataFrame:
@@ -437,7 +437,8 @@ def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def set_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(lo, items) of the sets ``wanted`` (lo, doc): the sorted shingle hashes of the document's text with that set."""
-    texts = _of_ids(docs.select("doc_id", "text"), wanted).join(wanted, "doc").select("lo", "text")
+    # joined by shuffle at every size: the ids of the wanted sets have no bound
+    texts = _of_ids(docs.select("doc_id", "text"), wanted).join(wanted.hint("merge"), "doc").select("lo", "text")
 
     def run(batches):
         for batch in slices(batches):
