@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import Words, scramble, slices, stored, table
 from .graph import components
-from .jaccard import FEW, MAX_ROUNDS, deal_blocks, live_postings
+from .jaccard import deal_blocks, live_postings
 
 N_GRAM = 5
 SIMILARITY = 0.75
@@ -47,6 +47,8 @@ PER_HUB = 2000
 PER_BLOCK = 256
 #: Shared runs of that many words are found wherever they stand; an anchor has so many words (both sums of powers of 2).
 EXACT, ANCHOR = 50, 16
+#: Rounds against hubs end after so many, or when one brings less than this share of the first one's links.
+MAX_ROUNDS, FEW = 8, 0.02
 _LINE_END = "\x1e"
 
 
