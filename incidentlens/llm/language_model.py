@@ -42,9 +42,13 @@ END_CLASS = N_HEAD
 N_CLASSES = N_HEAD + 1 + ENDINGS * MARKS
 #: Training: rounds of averaging; each trains on its own share of the training documents, together on all.
 ROUNDS = 8
-STEPS, LANES = 24, 64
+STEPS, LANES = 24, 192
 SCORE_LANES, SCORE_STEPS = 192, 32
 LN10 = np.log(10.0)
+#: Least probability of a class, or of a word in its class (float32).
+TINY = 1e-37
+#: So many softmax rows at once, which stay in a core's cache.
+ROWS = 1024
 
 
 def looks(vocab: pa.Array) -> np.ndarray:
@@ -141,6 +145,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
 
+def softmax(logits: np.ndarray, bias: np.ndarray | float = 0.0) -> np.ndarray:
+    """Softmax of each row plus ``bias``, in place."""
+    logits += bias
+    logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
+
+
 def score_tokens(model: Model, c: np.ndarray, p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log of P(class) times, for head words, P(word | class) of every token."""
     wx, u, wc, bc, ww, bw = model.parts(model.theta)
@@ -153,28 +166,26 @@ def score_tokens(model: Model, c: np.ndarray, p: np.ndarray, lengths: np.ndarray
         tok = lanes.index[at:at + SCORE_STEPS, :live]
         h = h[:live]
         states = np.empty((len(tok), live, HIDDEN), np.float32)
-        for t, row in enumerate(tok):
-            safe = np.maximum(row, 0)
-            h = h * ~lanes.first[safe][:, None]
-            a, b = wx[previous[safe]], h @ u
-            gates = sigmoid(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
-            z = gates[:, :HIDDEN]
-            new = np.tanh(a[:, 2 * HIDDEN:] + gates[:, HIDDEN:] * b[:, 2 * HIDDEN:])
-            h = new + z * (h - new)
-            states[t] = h
+        safe = np.maximum(tok, 0)
+        of_input, on = wx[previous[safe]], (~lanes.first[safe])[:, :, None].astype(np.float32)
+        for t in range(len(tok)):
+            h = h * on[t]
+            b = h @ u
+            gates = sigmoid(of_input[t, :, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
+            new = np.tanh(of_input[t, :, 2 * HIDDEN:] + gates[:, HIDDEN:] * b[:, 2 * HIDDEN:])
+            h = states[t] = new + gates[:, :HIDDEN] * (h - new)
         keep = tok >= 0
         s, own = states[keep], tok[keep]
-        logits = s @ wc + bc
-        logits -= logits.max(axis=1, keepdims=True)
-        out[own] = logits[np.arange(len(own)), c[own]] - np.log(np.exp(logits).sum(axis=1))
+        kinds = c[own]
+        for i in range(0, len(own), ROWS):
+            want = kinds[i:i + ROWS]
+            out[own[i:i + ROWS]] = np.log(softmax(s[i:i + ROWS] @ wc, bc)[np.arange(len(want)), want] + TINY)
         head = np.flatnonzero(p[own] >= 0)
-        head = head[np.argsort(c[own[head]], kind="stable")]
-        kinds = c[own[head]]
-        for k, b, e in zip(*_spans(kinds)):
-            i = head[b:e]
-            inner = s[i] @ ww[k] + bw[k]
-            inner -= inner.max(axis=1, keepdims=True)
-            out[own[i]] += inner[np.arange(e - b), p[own[i]]] - np.log(np.exp(inner).sum(axis=1))
+        head = head[np.argsort(kinds[head], kind="stable")]
+        s_head, inner = s[head], bw[kinds[head]]
+        for k, b, e in zip(*_spans(kinds[head])):
+            inner[b:e] += s_head[b:e] @ ww[k]
+        out[own[head]] += np.log(softmax(inner)[np.arange(len(head)), p[own[head]]] + TINY)
     return out
 
 
@@ -193,58 +204,64 @@ def loss_and_gradient(model: Model, theta, c_in, c_out, p_out, first, h0):
     grad = np.zeros_like(theta)
     g_wx, g_u, g_wc, g_bc, g_ww, g_bw = model.parts(grad)
     steps, n = c_in.shape
-    h, kept, states = h0, [], np.empty((steps, n, HIDDEN), theta.dtype)
+    of_input, on = wx[c_in], (~first)[:, :, None].astype(theta.dtype)
+    gates, recurrent = np.empty((steps, n, 2 * HIDDEN), theta.dtype), np.empty((steps, n, HIDDEN), theta.dtype)
+    before, new, states = np.empty_like(recurrent), np.empty_like(recurrent), np.empty_like(recurrent)
+    h = h0
     for t in range(steps):
-        before = h * ~first[t][:, None]
-        a, b = wx[c_in[t]], before @ u
-        gates = sigmoid(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(a[:, 2 * HIDDEN:] + r * b[:, 2 * HIDDEN:])
-        h = new + z * (before - new)
-        kept.append((before, b[:, 2 * HIDDEN:], z, r, new))
-        states[t] = h
+        np.multiply(h, on[t], out=before[t])
+        b = before[t] @ u
+        g = gates[t] = sigmoid(of_input[t, :, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
+        recurrent[t] = b[:, 2 * HIDDEN:]
+        np.tanh(of_input[t, :, 2 * HIDDEN:] + g[:, HIDDEN:] * recurrent[t], out=new[t])
+        h = states[t] = new[t] + g[:, :HIDDEN] * (before[t] - new[t])
     keep = c_out >= 0
     count = max(1, int(keep.sum()))
     s, co, po = states[keep], c_out[keep], p_out[keep]
-    logits = s @ wc + bc
-    logits -= logits.max(axis=1, keepdims=True)
-    prob = np.exp(logits)
-    prob /= prob.sum(axis=1, keepdims=True)
-    rows = np.arange(len(co))
-    loss = -np.log(prob[rows, co] + 1e-30).sum()
-    prob[rows, co] -= 1.0
-    prob /= count
-    g_wc += s.T @ prob
-    g_bc += prob.sum(axis=0)
-    g_s = prob @ wc.T
+    loss, g_s = 0.0, np.empty_like(s)
+    for at in range(0, len(co), ROWS):
+        part, want = s[at:at + ROWS], co[at:at + ROWS]
+        prob = softmax(part @ wc, bc)
+        rows = np.arange(len(want))
+        loss -= np.log(prob[rows, want] + TINY).sum()
+        prob[rows, want] -= 1.0
+        prob /= count
+        g_wc += part.T @ prob
+        g_bc += prob.sum(axis=0)
+        np.matmul(prob, wc.T, out=g_s[at:at + ROWS])
     head = np.flatnonzero(po >= 0)
     head = head[np.argsort(co[head], kind="stable")]
-    for k, b, e in zip(*_spans(co[head])):
-        i = head[b:e]
-        inner = s[i] @ ww[k] + bw[k]
-        inner = np.exp(inner - inner.max(axis=1, keepdims=True))
-        inner /= inner.sum(axis=1, keepdims=True)
-        loss -= np.log(inner[np.arange(e - b), po[i]] + 1e-30).sum()
-        inner[np.arange(e - b), po[i]] -= 1.0
+    if len(head):
+        kinds, begin, end = _spans(co[head])
+        s_head, g_head, inner = s[head], np.empty((len(head), HIDDEN), theta.dtype), bw[co[head]]
+        for k, b, e in zip(kinds, begin, end):
+            inner[b:e] += s_head[b:e] @ ww[k]
+        inner = softmax(inner)
+        rows, own = np.arange(len(head)), po[head]
+        loss -= np.log(inner[rows, own] + TINY).sum()
+        inner[rows, own] -= 1.0
         inner /= count
-        g_ww[k] += s[i].T @ inner
-        g_bw[k] += inner.sum(axis=0)
-        g_s[i] += inner @ ww[k].T
+        g_bw[kinds] += np.add.reduceat(inner, begin)
+        for k, b, e in zip(kinds, begin, end):
+            g_ww[k] += s_head[b:e].T @ inner[b:e]
+            np.matmul(inner[b:e], ww[k].T, out=g_head[b:e])
+        g_s[head] += g_head
     g_states = np.zeros_like(states)
     g_states[keep] = g_s
+    # what a unit of gradient at a state is at each gate's input
+    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+    of_new = (1 - z) * (1 - new ** 2)
+    factor = np.concatenate([(before - new) * z * (1 - z), of_new * recurrent * r * (1 - r), of_new], axis=2).reshape(steps, n, 3, HIDDEN)
+    g_in, g_b = np.empty_like(factor), np.empty_like(factor)
     g_h = np.zeros((n, HIDDEN), theta.dtype)
-    g_in = np.empty((steps, n, 3 * HIDDEN), theta.dtype)
+    back = np.ascontiguousarray(u.T)
     for t in range(steps - 1, -1, -1):
-        before, b_n, z, r, new = kept[t]
-        g_h = g_h + g_states[t]
-        g_new = g_h * (1 - z) * (1 - new ** 2)
-        g_z = g_h * (before - new) * z * (1 - z)
-        g_r = g_new * b_n * r * (1 - r)
-        g_in[t, :, :HIDDEN], g_in[t, :, HIDDEN:2 * HIDDEN], g_in[t, :, 2 * HIDDEN:] = g_z, g_r, g_new
-        g_b = g_in[t].copy()
-        g_b[:, 2 * HIDDEN:] *= r
-        g_u += before.T @ g_b
-        g_h = (g_h * z + g_b @ u.T) * ~first[t][:, None]
+        g_h += g_states[t]
+        np.multiply(factor[t], g_h[:, None, :], out=g_in[t])
+        g_b[t] = g_in[t]
+        g_b[t, :, 2] *= r[t]
+        g_h = (g_h * z[t] + g_b[t].reshape(n, -1) @ back) * on[t]
+    g_u += before.reshape(-1, HIDDEN).T @ g_b.reshape(-1, 3 * HIDDEN)
     flat = c_in.ravel()
     by = np.argsort(flat, kind="stable")
     kinds, begin, _ = _spans(flat[by])
@@ -252,6 +269,19 @@ def loss_and_gradient(model: Model, theta, c_in, c_out, p_out, first, h0):
     return loss / count, grad, h
 
 
+def stream(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Texts end to end, cut into equally long lanes, so that every training window is full however long
+    a text is: tokens as (step, lane), -1 behind the last, and whether a token is the first of its text.
+    What a lane begins within a text starts from a zero state."""
+    total = int(lengths.sum())
+    width = max(1, min(lanes, total // STEPS))
+    tokens = np.full(width * -(-total // width), -1, np.int64)
+    tokens[:total] = np.arange(total)
+    begins = np.zeros(total, bool)
+    begins[np.cumsum(lengths) - lengths] = True
+    return tokens.reshape(width, -1).T, begins
+
+
 def train_on(model: Model, theta: np.ndarray, batches, rate: float) -> tuple[np.ndarray, int]:
     """Adam over the windows of all batches of (classes, places, lengths); tokens trained on."""
     theta = theta.copy()
@@ -259,15 +289,14 @@ def train_on(model: Model, theta: np.ndarray, batches, rate: float) -> tuple[np.
     for c, p, lengths in batches:
         if not len(lengths):
             continue
-        lanes = Lanes(lengths, LANES)
+        tokens, begins = stream(lengths, LANES)
         previous = np.concatenate([[END_CLASS], c[:-1]])
-        h = np.zeros((lanes.index.shape[1], HIDDEN), np.float32)
-        for at in range(0, len(lanes.index), STEPS):
-            live = int((lanes.sizes > at).sum())
-            tok = lanes.index[at:at + STEPS, :live]
+        h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
+        for at in range(0, len(tokens), STEPS):
+            tok = tokens[at:at + STEPS]
             safe = np.maximum(tok, 0)
             _, grad, h = loss_and_gradient(model, theta, previous[safe], np.where(tok >= 0, c[safe], -1),
-                                           p[safe], lanes.first[safe], h[:live])
+                                           p[safe], begins[safe], h)
             norm = float(np.sqrt((grad ** 2).sum()))
             if norm > 1.0:
                 grad /= norm
@@ -327,7 +356,7 @@ def train(docs: DataFrame, model: Model) -> Model:
     for round_ in range(ROUNDS):
         shared = Shared(spark, model)
         part = share(docs, round_).select("text")
-        rate = 0.015 / (1 + round_)
+        rate = 0.03 / (1 + round_)
 
         def run(batches):
             here = shared.get()

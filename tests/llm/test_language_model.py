@@ -43,6 +43,17 @@ def test_windows_carry_the_state():
         assert np.allclose(alone, whole[s:e], atol=1e-4)
 
 
+def test_training_stream_has_every_token_once_in_full_windows():
+    rng = np.random.default_rng(5)
+    for lengths in ([1], [5, 1, 700], rng.integers(1, 90, 300), [40_000] + [1] * 50):
+        lengths = np.array(lengths)
+        tokens, begins = lm.stream(lengths, lm.LANES)
+        assert sorted(tokens[tokens >= 0].tolist()) == list(range(lengths.sum()))
+        assert begins.sum() == len(lengths) and begins[0]
+        assert np.all((np.diff(tokens, axis=0) == 1) | (tokens[1:] == -1))  # a lane reads on in order
+        assert tokens.shape[1] <= lm.LANES and (tokens < 0).sum() < tokens.shape[1]
+
+
 def test_base_scores_follow_brute_force_and_the_model_learns(spark):
     import random
 
