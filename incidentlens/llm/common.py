@@ -18,6 +18,7 @@ from ..session import checkpoint_dir
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 SPACE_RE = "[\\x20\\x09-\\x0D]+"
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +29,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts the lineage at storage every executor can reach, so a lost executor costs only its
-    own tasks; a fresh folder name for each call keeps concurrent runs apart.
+    own tasks; a fresh folder name for each call keeps concurrent runs apart. Nothing reads the
+    shuffle files of a finished write again, so Spark is told to remove them with it.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
