@@ -1,7 +1,8 @@
 """Substring deduplication: repeated passages found by paragraph MinHash banding.
 
 Paragraphs come in two grains. Lines of ``MIN_LINE`` words or more get a MinHash of their 5-word
-shingles, cut into bands tuned for high recall at similarity 0.75. Each line is also cut into
+shingles, cut into bands tuned for high recall at similarity 0.75. Shorter lines in a row, up to a blank or a long
+one, count as one line: such text is wrapped, and the same words may be wrapped elsewhere at other columns. Each line is also cut into
 short segments at content-defined places (where the hash of a word pair is the smallest among
 its neighbours), which fall alike wherever a passage stands, so a passage inside other text is
 found too; a segment has one band, its digest. Borders near a passage's ends depend on the words
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, scramble, slices, stored, table
+from .common import Words, discard, scramble, slices, stored, table
 from .graph import components
 from .jaccard import deal_blocks, live_postings
 
@@ -65,7 +66,9 @@ _KEYS = scramble(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 class Lines:
-    """Words of a batch of texts with their document, line and place in the document."""
+    """Words of a batch of texts with their document, line and place in the document.
+
+    Lines of fewer than MIN_LINE words that follow each other without a blank one are one line."""
 
     def __init__(self, texts: pa.Array):
         texts = pc.fill_null(pa.concat_arrays([texts.cast(pa.large_string()), pa.array([], pa.large_string())]), "")
@@ -78,11 +81,18 @@ class Lines:
         self.hash = words.hashes()[words.codes[keep]] if keep.any() else np.zeros(0, np.uint64)
         self.doc = doc[keep]
         line = line[keep]
-        self.starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
+        self.starts = self._joined(line) if len(line) else np.zeros(0, np.int64)
         self.ends = np.concatenate([self.starts[1:], [len(line)]]) if len(line) else self.starts
         first = np.searchsorted(self.doc, np.arange(len(words.counts)))
         self.place = np.arange(len(self.doc)) - first[self.doc] if len(self.doc) else self.doc
 
+    def _joined(self, line: np.ndarray) -> np.ndarray:
+        """Starts of the lines, given each word's line number; short neighbours joined."""
+        starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+        short = np.diff(np.concatenate([starts, [len(line)]])) < MIN_LINE
+        goes_on = short[1:] & short[:-1] & (line[starts[1:]] == line[starts[:-1]] + 1) & (self.doc[starts[1:]] == self.doc[starts[:-1]])
+        return starts[np.concatenate([[True], ~goes_on])]
+
     def segments(self) -> np.ndarray:
         """Starts of all segments: line starts, and places whose word pair hash is a local minimum."""
         n = len(self.hash)
@@ -226,15 +236,26 @@ def shared_runs(docs: DataFrame) -> DataFrame:
     several = F.min("doc") < F.max("doc")
     anchors = stored(docs.mapInArrow(anchor_rows, "key long, doc long"), "repeats-anchors")
     met = anchors.groupBy("key").agg(several.alias("_met")).where("_met").select("key")
-    wanted = anchors.join(met, "key").groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    wanted = stored(on_key(anchors, met).groupBy("doc").agg(F.collect_set("key").alias("keys")), "repeats-wanted")
     texts = docs.join(wanted, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "keys")
     rows = stored(texts.mapInArrow(run_rows, "key long, doc long, w0 int"), "repeats-runs")
+    discard(anchors, wanted)
     heads = (rows.groupBy("key").agg(several.alias("_met"), F.min(F.struct("doc", "w0")).alias("head")).where("_met")
              .select("key", F.col("head.doc").alias("head_doc"), F.col("head.w0").alias("head_w0")))
-    placed = rows.join(heads, "key").select("doc", "w0", "head_doc", "head_w0")
+    placed = on_key(rows, heads).select("doc", "w0", "head_doc", "head_w0")
     placed = placed.repartition("doc").sortWithinPartitions("doc", "w0", "head_doc", "head_w0")
-    return (placed.mapInArrow(merge, "doc long, w0 int, w1 int, head_doc long, head_w0 int")
-            .select("doc", "w0", "w1", F.struct(F.col("head_doc").alias("doc"), F.col("head_w0").alias("w0")).alias("head")))
+    runs = stored(placed.mapInArrow(merge, "doc long, w0 int, w1 int, head_doc long, head_w0 int"), "repeats-shared")
+    discard(rows)
+    return runs.select("doc", "w0", "w1", F.struct(F.col("head_doc").alias("doc"), F.col("head_w0").alias("w0")).alias("head"))
+
+
+def on_key(rows: DataFrame, per_key: DataFrame) -> DataFrame:
+    """``rows`` joined with ``per_key``, an aggregate of one row for each key.
+
+    The join is on key and a hash of it, so both sides are shuffled for it and adaptive execution can split the rows of a
+    key that very many documents have."""
+    deal = F.xxhash64("key")
+    return rows.withColumn("_deal", deal).join(per_key.withColumn("_deal", deal), ["key", "_deal"]).drop("_deal")
 
 
 def paragraph_bands(docs: DataFrame) -> DataFrame:
@@ -328,49 +349,45 @@ def _parts(batches, limit: int = 1 << 20):
 
 
 def line_sets(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """(hub_digest, part, is_member, digest, items): the shingle sets of the lines at the given places."""
-    jobs = places.groupBy("doc").agg(F.collect_list(
-        F.struct("w0", "w1", "digest", "hub_digest", "part", "is_member")).alias("jobs"))
+    """(digest, items): the sorted shingle hashes of the lines ``places`` (digest, doc, w0), one place for each digest."""
+    jobs = places.groupBy("doc").agg(F.collect_list(F.struct("w0", "digest")).alias("jobs"))
     texts = docs.join(jobs, F.col("doc_id") == F.col("doc")).select("text", "jobs")
 
     def sets(batches):
         for batch in slices(batches, max_bytes=5_000_000):
             x = Lines(batch.column(0))
             first = np.searchsorted(x.doc, np.arange(batch.num_rows))
-            starts = {int(s): k for k, s in enumerate(x.starts)}
             digest = x.digests(x.starts)
-            rows = []
-            for i, jobs_ in enumerate(batch.column(1).to_pylist()):
-                for j in jobs_:
-                    k = starts.get(int(first[i]) + j["w0"])
-                    if k is None or digest[k] != j["digest"]:  # another row of this doc_id
-                        continue
-                    h, _ = x.line_shingles(np.array([k]))
-                    rows.append((j["hub_digest"], j["part"], j["is_member"], j["digest"], np.unique(h).tobytes()))
-            if rows:
-                types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                 names=["hub_digest", "part", "is_member", "digest", "items"])
-
-    return texts.mapInArrow(sets, "hub_digest long, part int, is_member int, digest long, items binary")
-
-
-def verified_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """(digest, hub_digest) of line classes whose shingle sets have Jaccard similarity >= 0.75.
-
-    One line of each class is looked at; sets go to their hub, a hub with many members is checked
-    in several places."""
-    pairs = met.groupBy("digest", "hub_digest").agg(
-        F.min(F.struct("doc", "w0", "w1")).alias("m"), F.min(F.struct("hub_doc", "hub_w0", "hub_w1")).alias("h"))
-    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(1 << 30)))
-    size = pairs.groupBy("hub_digest").agg(F.count("*").alias("n"), F.min("h").alias("h"))
-    size = size.withColumn("parts", (F.floor(F.col("n") / PER_HUB) + 1).cast("int"))
-    member = (pairs.join(size.select("hub_digest", "parts"), "hub_digest")
-              .select("m.doc", "m.w0", "m.w1", "digest", "hub_digest", (F.col("salt") % F.col("parts")).cast("int").alias("part"),
-                      F.lit(1).alias("is_member")))
-    hub = (size.withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
-           .select(F.col("h.hub_doc").alias("doc"), F.col("h.hub_w0").alias("w0"), F.col("h.hub_w1").alias("w1"),
-                   F.col("hub_digest").alias("digest"), "hub_digest", "part", F.lit(0).alias("is_member")))
+            jobs_ = batch.column(1)
+            text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(jobs_).to_numpy(zero_copy_only=False))
+            w0, named = (pc.struct_field(jobs_.flatten(), k).to_numpy() for k in range(2))
+            at = first[text] + w0
+            line = np.minimum(np.searchsorted(x.starts, at), max(len(x.starts) - 1, 0))
+            if not len(x.starts):
+                continue
+            same = (x.starts[line] == at) & (digest[line] == named)  # else of another row of this doc_id
+            line, named = line[same], named[same]
+            for k in range(0, len(line), 2000):
+                h, begin = x.line_shingles(line[k:k + 2000])
+                items = [np.unique(h[s:e]).tobytes() for s, e in zip(begin[:-1], begin[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(named[k:k + 2000]), pa.array(items, pa.binary())], names=["digest", "items"])
+
+    return texts.mapInArrow(sets, "digest long, items binary").dropDuplicates(["digest"])
+
+
+def verified_lines(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(digest, hub_digest) of the ``pairs`` of line classes whose shingle ``sets`` have Jaccard similarity >= 0.75.
+
+    Sets go to their hub, a hub with many members is checked in several places."""
+    pairs = pairs.select("digest", "hub_digest").distinct()
+    size = pairs.groupBy("hub_digest").agg(F.count("*").alias("n"))
+    size = size.select("hub_digest", (F.floor(F.col("n") / PER_HUB) + 1).cast("int").alias("parts"))
+    salt = F.pmod(F.xxhash64("digest"), F.lit(1 << 30))
+    member = (pairs.join(size, "hub_digest")
+              .select("digest", "hub_digest", (salt % F.col("parts")).cast("int").alias("part"), F.lit(1).alias("is_member")))
+    hub = size.select(F.col("hub_digest").alias("digest"), "hub_digest", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"),
+                      F.lit(0).alias("is_member"))
+
     def check(batches):
         now, center = None, None
         for batch in batches:
@@ -386,37 +403,33 @@ def verified_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()),
                                               pa.array([o[1] for o in out], pa.int64())], names=["digest", "hub_digest"])
 
-    placed = line_sets(docs, member.unionByName(hub)).repartition("hub_digest", "part").sortWithinPartitions("hub_digest", "part", "is_member")
+    placed = member.unionByName(hub).join(sets, "digest").select("hub_digest", "part", "is_member", "digest", "items")
+    placed = placed.repartition("hub_digest", "part").sortWithinPartitions("hub_digest", "part", "is_member")
     return placed.mapInArrow(check, "digest long, hub_digest long").distinct()
 
 
-def crossing_lines(docs: DataFrame, live: DataFrame, places: DataFrame) -> DataFrame:
+def crossing_lines(live: DataFrame, sets: DataFrame) -> DataFrame:
     """(digest, hub_digest) of all similar lines that share a key of ``live`` (token, lo, component) in
     different components.
 
     A large key is checked block with block in many places, and no pair becomes a row unless it links."""
-    dealt = deal_blocks(live, PER_BLOCK)
-    wanted = places.join(live.select(F.col("lo").alias("digest")).distinct(), "digest", "left_semi")
-    items = line_sets(docs, wanted.select("doc", "w0", "w1", "digest", F.col("digest").alias("hub_digest"), F.lit(0).alias("part"),
-                                          F.lit(1).alias("is_member")))
-    items = stored(items.select(F.col("digest").alias("lo"), "items").dropDuplicates(["lo"]), "repeats-sets")
-
     def check(batches):
         for cell in _cells(batches):
             block, digest, comp = (cell.column(c).to_numpy() for c in ("block", "lo", "component"))
-            sets = [np.frombuffer(x, np.uint64) for x in cell.column("items").to_pylist()]
+            items = [np.frombuffer(x, np.uint64) for x in cell.column("items").to_pylist()]
             a = np.flatnonzero(block == cell.column("i")[0].as_py())
             b = np.flatnonzero(block == cell.column("j")[0].as_py())
             if not len(a) or not len(b):
                 continue
-            both = _overlaps(sets, a, b)
-            n = np.array([len(x) for x in sets])
+            both = _overlaps(items, a, b)
+            n = np.array([len(x) for x in items])
             like = (both >= SIMILARITY * (n[a][:, None] + n[b][None, :] - both)) & (comp[a][:, None] != comp[b][None, :])
             x, y = np.nonzero(like)
             x, y = digest[a[x]], digest[b[y]]
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["digest", "hub_digest"])
 
-    rows = dealt.join(items, "lo").select("token", "i", "j", "block", "lo", "component", "items")
+    dealt = deal_blocks(live, PER_BLOCK)
+    rows = dealt.join(sets.withColumnRenamed("digest", "lo"), "lo").select("token", "i", "j", "block", "lo", "component", "items")
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     return rows.mapInArrow(check, "digest long, hub_digest long").distinct()
 
@@ -462,38 +475,44 @@ def similar_lines(docs: DataFrame, met: DataFrame) -> DataFrame:
     """(id, component) of every line class that is similar to another, by chains of similar lines.
 
     First every line against the hub of its key, then against hubs of other components, until that
-    brings few links; then all pairs of a key that are still in different components."""
-    links = stored(verified_lines(docs, met), "repeats-lines")
-    sides = (met.select(F.col("key").alias("token"), F.col("digest").alias("lo"), "doc", "w0", "w1")
+    brings few links; then all pairs of a key that are still in different components. Texts are read
+    once: the shingle sets of all lines that met another are written, one for each class."""
+    sides = (met.select(F.col("key").alias("token"), F.col("digest").alias("lo"), "doc", "w0")
              .unionByName(met.select(F.col("key").alias("token"), F.col("hub_digest").alias("lo"), F.col("hub_doc").alias("doc"),
-                                     F.col("hub_w0").alias("w0"), F.col("hub_w1").alias("w1"))))
-    places = stored(sides.groupBy(F.col("lo").alias("digest")).agg(F.min(F.struct("doc", "w0", "w1")).alias("p"))
-                    .select("digest", "p.doc", "p.w0", "p.w1"), "repeats-places")
-    live = sides.select("token", "lo").distinct()
+                                     F.col("hub_w0").alias("w0"))))
+    places = sides.groupBy(F.col("lo").alias("digest")).agg(F.min(F.struct("doc", "w0")).alias("p")).select("digest", "p.doc", "p.w0")
+    sets = stored(line_sets(docs, places), "repeats-sets")
+    links = stored(verified_lines(met, sets), "repeats-lines")
+    live = stored(sides.select("token", "lo").distinct(), "repeats-live")
     parts = components(links, "digest", "hub_digest")
     first = links.count()
+    discard(links)
 
-    def component():
-        return (places.select(F.col("digest").alias("lo")).join(parts.withColumnRenamed("id", "lo"), "lo", "left")
-                .select("lo", F.coalesce("component", "lo").alias("component")))
+    def joined(links: DataFrame) -> DataFrame:
+        out = components(links.unionByName(parts.select(F.col("id").alias("digest"), F.col("component").alias("hub_digest"))),
+                         "digest", "hub_digest")
+        discard(parts, links)
+        return out
+
+    def still_apart(round_: int) -> DataFrame:
+        out = stored(live_postings(live, parts.withColumnRenamed("id", "lo"), round_), "repeats-live")
+        discard(live)
+        return out
 
     for round_ in range(MAX_ROUNDS):
-        live = stored(live_postings(live, component(), round_), "repeats-live")
-        pairs = live.where("component <> hub_component").select(F.col("lo").alias("digest"), F.col("hub").alias("hub_digest")).distinct()
-        hub = places.select(F.col("digest").alias("hub_digest"), F.col("doc").alias("hub_doc"), F.col("w0").alias("hub_w0"),
-                            F.col("w1").alias("hub_w1"))
-        links = stored(verified_lines(docs, pairs.join(places, "digest").join(hub, "hub_digest")), "repeats-lines")
+        live = still_apart(round_)
+        pairs = live.where("component <> hub_component").select(F.col("lo").alias("digest"), F.col("hub").alias("hub_digest"))
+        links = stored(verified_lines(pairs, sets), "repeats-lines")
         found = links.count()
         if found:
-            parts = components(links.unionByName(parts.select(F.col("id").alias("digest"), F.col("component").alias("hub_digest"))),
-                               "digest", "hub_digest")
+            parts = joined(links)
         if found <= FEW * first:
             break
     if found:
-        live = stored(live_postings(live, component(), MAX_ROUNDS), "repeats-live")
-    links = stored(crossing_lines(docs, live.select("token", "lo", "component"), places), "repeats-lines")
-    return components(links.unionByName(parts.select(F.col("id").alias("digest"), F.col("component").alias("hub_digest"))),
-                      "digest", "hub_digest")
+        live = still_apart(MAX_ROUNDS)
+    parts = joined(stored(crossing_lines(live.select("token", "lo", "component"), sets), "repeats-lines"))
+    discard(live, sets)
+    return parts
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -505,16 +524,17 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     at = (lines.select("digest", "doc", "w0", "w1").unionByName(
         lines.select(F.col("hub_digest").alias("digest"), F.col("hub_doc").alias("doc"), F.col("hub_w0").alias("w0"),
                      F.col("hub_w1").alias("w1"))).distinct())
-    near = stored(at.join(similar_lines(docs, lines), F.col("digest") == F.col("id"))
+    parts = similar_lines(docs, lines)
+    near = stored(at.join(parts, F.col("digest") == F.col("id"))
                   .select("doc", "w0", "w1", F.struct(F.col("component").alias("a"), F.lit(1).alias("b")).alias("g")), "repeats-near")
     several = near.groupBy("g").agg((F.min("doc") < F.max("doc")).alias("_met")).where("_met").select("g")
-    near = near.join(several, "g").select("doc", "w0", "w1", "g")
+    similar = near.join(several, "g").select("doc", "w0", "w1", "g")
     units = (met.where("digest is null").select("doc", "w0", "w1", F.struct(F.col("key").alias("a"), F.lit(0).alias("b")).alias("g"))
-             .unionByName(near))
+             .unionByName(similar))
     none = F.lit(None)
+    runs = shared_runs(docs)
     units = (units.withColumn("exact", none.cast("struct<doc: bigint, w0: int>"))
-             .unionByName(shared_runs(docs).select("doc", "w0", "w1", none.cast("struct<a: bigint, b: int>").alias("g"),
-                                                   F.col("head").alias("exact"))))
+             .unionByName(runs.select("doc", "w0", "w1", none.cast("struct<a: bigint, b: int>").alias("g"), F.col("head").alias("exact"))))
     # runs of touching paragraphs
     order = Window.partitionBy("doc").orderBy("w0", "w1")
     reach = F.max("w1").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -523,15 +543,18 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     whole = Window.partitionBy("doc", "_run")
     units = stored(units.withColumn("run_start", F.min("w0").over(whole)).withColumn("run_end", F.max("w1").over(whole))
                    .drop("_new", "_run"), "repeats-units")
+    discard(met, parts, near, runs)
     heads = stored(units.where("g is not null").groupBy("g").agg(F.min(F.struct("doc", "w0")).alias("head")), "repeats-heads")
     long_ = units.where(F.col("run_end") - F.col("run_start") >= MIN_RUN)
     spans = (long_.where("exact is null").join(heads.withColumnRenamed("g", "hg"), F.col("g") == F.col("hg"))
              .select("doc", "w0", "w1", "run_start", "run_end", "head")
              .unionByName(long_.where("exact is not null").select("doc", "w0", "w1", "run_start", "run_end", F.col("exact").alias("head")))
              .withColumn("removed", F.struct("doc", "w0") != F.col("head")))
-    return (spans.groupBy(F.col("doc").alias("doc_id"), "run_start", "run_end", F.col("head.doc").alias("kept_doc"), "removed")
-            .agg(F.min("w0").alias("word_start"), F.max("w1").alias("word_end"),
-                 F.count("*").alias("n_paragraphs")))
+    out = stored(spans.groupBy(F.col("doc").alias("doc_id"), "run_start", "run_end", F.col("head.doc").alias("kept_doc"), "removed")
+                 .agg(F.min("w0").alias("word_start"), F.max("w1").alias("word_end"),
+                      F.count("*").alias("n_paragraphs")), "repeats-result")
+    discard(units, heads)
+    return out
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:

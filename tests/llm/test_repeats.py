@@ -11,6 +11,11 @@ def long_sentence(rng, n):
     return " ".join(f"{rng.choice('abcdefghijklmnop')}{rng.randint(0, 3000)}" for _ in range(n))
 
 
+def sets_of(docs, met):
+    at = met.select("digest", "doc", "w0").union(met.select("hub_digest", "hub_doc", "hub_w0"))
+    return repeats.line_sets(docs, at.dropDuplicates(["digest"]))
+
+
 def test_passages_are_found_and_clean_documents_left_alone(spark):
     rng = random.Random(5)
     passage = long_sentence(rng, 60)
@@ -43,7 +48,7 @@ def test_near_lines_are_verified(spark):
     rows = [(1, " ".join(line)), (2, " ".join(near)), (3, " ".join(far)), (4, long_sentence(rng, 80))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     met = repeats.collisions(repeats.paragraph_bands(docs)).where("digest is not null")
-    assert repeats.verified_lines(docs, met).count() == 1
+    assert repeats.verified_lines(met, sets_of(docs, met)).count() == 1
     assert {r["doc_id"] for r in repeats.repeated_passages(docs).collect()} >= {1, 2}
 
 
@@ -121,10 +126,39 @@ def test_similar_lines_behind_an_earlier_line_are_linked(spark, monkeypatch):
         digest[d] = int(x.digests(x.starts)[0])
     met = spark.createDataFrame([(7, d + 101, 0, 60, digest[d + 101], digest[100], 100, 0, 60) for d, _ in rows],
                                 "key long, doc long, w0 int, w1 int, digest long, hub_digest long, hub_doc long, hub_w0 int, hub_w1 int")
-    assert repeats.verified_lines(docs, met).count() == 0
+    assert repeats.verified_lines(met, sets_of(docs, met)).count() == 0
     monkeypatch.setattr(repeats, "MAX_ROUNDS", 1)  # one hub cannot link twelve pairs
     monkeypatch.setattr(repeats, "PER_BLOCK", 4)
     parts = {}
     for r in repeats.similar_lines(docs, met).collect():
         parts.setdefault(r["component"], set()).add(r["id"])
     assert sorted(map(sorted, parts.values())) == sorted(sorted({digest[101 + 2 * k], digest[102 + 2 * k]}) for k in range(12))
+
+
+def test_edited_passages_are_found_however_wrapped(spark):
+    """Three words of 120 differ, so no shared run has 50 words; once on one line, else wrapped at 12 and at 15 words."""
+    rng = random.Random(21)
+    wrapped = lambda w, n: "\n".join(" ".join(w[i:i + n]) for i in range(0, len(w), n))
+    rows = []
+    for k in range(0, 60, 3):
+        words = long_sentence(rng, 120).split()
+        for d, (columns, between) in enumerate([(12, "\n\n"), (15, "\n"), (120, "\n")]):
+            own = list(words)
+            for at in (30, 60, 90):
+                own[at] = f"edit{d}{at}"
+            rows.append((k + d, long_sentence(rng, 40) + between + wrapped(own, columns) + between + long_sentence(rng, 40)))
+    rows += [(100 + k, "\n".join(long_sentence(rng, 12) for _ in range(10))) for k in range(5)]
+    got = {}
+    for r in repeats.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    assert set(got) == set(range(60))
+    for doc, found in got.items():
+        assert any(r["word_start"] == 40 and r["word_end"] == 160 and r["kept_doc"] == doc - doc % 3 and r["removed"] == (doc % 3 > 0)
+                   for r in found)
+
+
+def test_short_lines_join_up_to_a_blank_or_long_one():
+    words = lambda n: " ".join(["w"] * n)
+    texts = ["\n".join([words(5), words(19), words(20), words(3), "", words(4), "  ", words(6), words(1)]), words(2), words(3) + "\n"]
+    x = repeats.Lines(repeats.pa.array(texts))
+    assert list(x.ends - x.starts) == [24, 20, 3, 4, 7, 2, 3]
