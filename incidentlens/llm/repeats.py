@@ -7,8 +7,8 @@ short segments at content-defined places (where the hash of a word pair is the s
 its neighbours), which fall alike wherever a passage stands, so a passage inside other text is
 found too; a segment has one band, its digest. Borders near a passage's ends depend on the words
 around it, so passages are also compared word by word, line ends ignored: every ``EXACT`` words
-hold an anchor (the smallest hash of ``ANCHOR`` words), and wherever an anchor is shared all runs
-of ``EXACT`` words around it are compared over all documents. Colliding lines of different words are joined
+have an anchor (the smallest hash of ``ANCHOR`` words among them), and wherever an anchor is shared all runs
+of ``EXACT`` words that have it are compared over all documents. Colliding lines of different words are joined
 with hubs of their band, round by round, and all pairs of a band that are still in different components
 with each other; exact Jaccard similarity decides. Equal segments need no more.
 Similar lines are clustered by connected components; each class of paragraphs keeps its first
@@ -48,6 +48,8 @@ PER_HUB = 2000
 PER_BLOCK = 256
 #: Shared runs of that many words are found wherever they stand; an anchor has so many words (both sums of powers of 2).
 EXACT, ANCHOR = 50, 16
+#: Runs of one anchor that are compared in one place; those of a more frequent anchor become rows of their own.
+PER_ANCHOR = 1 << 14
 #: Rounds against hubs end after so many, or when one brings less than this share of the first one's links.
 MAX_ROUNDS, FEW = 8, 0.02
 _LINE_END = "\x1e"
@@ -128,19 +130,21 @@ class Lines:
             terms = scramble(self.hash ^ scramble(at + np.uint64(1)))
             return scramble(np.add.reduceat(terms, starts) + size.astype(np.uint64)).view(np.int64)
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every place: the hash of the ANCHOR words and of the EXACT words from there on, and whether
-        EXACT words of the document are left."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First place and number of every group of neighbouring runs of EXACT words with one anchor, the hash of the
+        anchor, and the hash of the run at every place."""
         n = len(self.hash)
-        left = np.searchsorted(self.doc, self.doc, "right") - np.arange(n)
+        if not n:
+            none = np.zeros(0, np.int64)
+            return none, none, none, none
+        whole = np.searchsorted(self.doc, self.doc, "right") - np.arange(n) >= EXACT
         short, long_ = _span_hash(self.hash, ANCHOR), _span_hash(self.hash, EXACT)
-        return short | np.uint64(1), long_, left >= EXACT
-
-    def anchors(self, short: np.ndarray, whole: np.ndarray) -> np.ndarray:
-        """Places whose ANCHOR words have the smallest hash of some run of EXACT words (all of equal ones)."""
-        window = EXACT - ANCHOR + 1
-        least = np.where(whole, _ahead(short, window, np.minimum), np.uint64(0))
-        return _ahead(least[::-1], window, np.maximum)[::-1] == short
+        # the run's words alone decide which place is its anchor: the first of the smallest
+        anchor = _ahead(np.arange(n), EXACT - ANCHOR + 1, lambda a, b: np.where(short[b] < short[a], b, a))
+        at = np.flatnonzero(whole)
+        first = np.flatnonzero(np.concatenate([[True], anchor[at[1:]] != anchor[at[:-1]]])) if len(at) else at
+        size = np.diff(np.concatenate([first, [len(at)]]))
+        return at[first], size, short[anchor[at[first]]].view(np.int64), long_.view(np.int64)
 
     def line_shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes of the given lines (all of N_GRAM words or more) and each line's start among them."""
@@ -186,69 +190,106 @@ def _ahead(x: np.ndarray, size: int, least) -> np.ndarray:
 
 def shared_runs(docs: DataFrame) -> DataFrame:
     """(doc, w0, w1, head): runs of EXACT words or more that other documents have too, with the first
-    place (doc, w0) of their words; a run ends where its first place changes."""
+    place (doc, w0) of their words; a run ends where its first place changes.
+
+    The runs of an anchor are one row for each place of the anchor and meet in one place; those of an anchor with more than
+    PER_ANCHOR runs become a row each, and their first places an aggregate, so that no place holds a group without bound."""
     docs = docs.where("text is not null and doc_id is not null").select("doc_id", "text")
 
     def anchor_rows(batches):
         for batch in slices(batches, max_bytes=5_000_000):
             x = Lines(batch.column(1))
-            short, _, whole = x.runs()
-            at = np.flatnonzero(x.anchors(short, whole))
+            at, size, key, _ = x.runs()
+            order = np.lexsort((key, x.doc[at]))
+            key, doc, size = key[order], x.doc[at][order], size[order]
+            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(key) else order
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = np.unique(np.stack([short[at].view(np.int64), ids[x.doc[at]]]), axis=1) if len(at) else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], names=["key", "doc"])
+            n = np.add.reduceat(size, new) if len(key) else size
+            yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(ids[doc[new]], pa.int64()), pa.array(n, pa.int32())],
+                                             names=["key", "doc", "n"])
 
     def run_rows(batches):
         for batch in slices(batches, max_bytes=5_000_000):
             x = Lines(batch.column(1))
-            short, long_, whole = x.runs()
-            at = np.flatnonzero(x.anchors(short, whole))
-            keys = batch.column(2)
-            known = np.stack([np.repeat(np.arange(batch.num_rows), pc.list_value_length(keys).to_numpy(zero_copy_only=False)),
-                              keys.flatten().to_numpy(zero_copy_only=False)])
-            pairs = np.concatenate([known, np.stack([x.doc[at], short[at].view(np.int64)])], axis=1)
-            _, code = np.unique(pairs, axis=1, return_inverse=True)
-            at = at[np.isin(code[known.shape[1]:], code[: known.shape[1]])]
-            near = np.zeros(len(x.hash) + 1, np.int64)  # places whose run holds one of the anchors
-            np.add.at(near, np.maximum(at - (EXACT - ANCHOR), 0), 1)
-            np.add.at(near, at + 1, -1)
-            at = np.flatnonzero((np.cumsum(near)[:-1] > 0) & whole)
+            at, size, key, long_ = x.runs()
+            listed = batch.column(2)
+            text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
+            known, many = (pc.struct_field(listed.flatten(), k).to_numpy(zero_copy_only=False) for k in range(2))
+            _, code = np.unique(np.stack([np.concatenate([text, x.doc[at]]), np.concatenate([known, key])]), axis=1, return_inverse=True)
+            state = np.zeros(code.max(initial=-1) + 1, np.int8)  # 1: the anchor is shared, 2: and frequent
+            state[code[: len(text)]] = 1 + many.astype(np.int8)
+            state = state[code[len(text):]]
+            keep = state > 0
+            at, size, key, state = at[keep], size[keep], key[keep], state[keep]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            place = np.arange(ends[-1]) + np.repeat(at - ends[:-1], size)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(long_[at].view(np.int64)), pa.array(ids[x.doc[at]], pa.int64()),
-                                              pa.array(x.place[at], pa.int32())], names=["key", "doc", "w0"])
+            runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(long_[place], pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(ids[x.doc[at]], pa.int64()), pa.array(x.place[at], pa.int32()),
+                                              runs, pa.array(state == 2)], names=["key", "doc", "w0", "runs", "many"])
+
+    def matched(batches):
+        for batch, _ in _parts(batches, limit=1 << 40):
+            key, doc, w0 = (batch.column(k).to_numpy() for k in range(3))
+            size = pc.list_value_length(batch.column(3)).to_numpy()
+            row = np.repeat(np.arange(len(key)), size)
+            into = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            run, key, doc, w0 = batch.column(3).flatten().to_numpy(), key[row], doc[row], w0[row] + into
+            order = np.lexsort((w0, doc, run, key))
+            new = np.concatenate([[True], (key[order[1:]] != key[order[:-1]]) | (run[order[1:]] != run[order[:-1]])]) if len(order) else order > 0
+            group = np.cumsum(new) - 1
+            start = np.flatnonzero(new)
+            last = np.concatenate([start[1:], [len(order)]]) - 1
+            several = doc[order[start]] != doc[order[last]] if len(order) else start > 0
+            head = np.empty(len(order), np.int64)
+            head[order] = order[start][group] if len(order) else head
+            met = np.empty(len(order), bool)
+            met[order] = several[group]
+            yield _merged(doc[met], w0[met], w0[met] + EXACT, doc[head[met]], w0[head[met]], row[met])
 
     def merge(batches):
         for batch, _ in _parts(batches):
-            doc, w0, head_doc, head_w0 = (batch.column(k).to_numpy() for k in range(4))
-            cols = [doc, w0, head_doc, head_w0]
-            new = np.ones(len(doc), bool)  # equal rows of a repeated doc_id are one
+            cols = [batch.column(k).to_numpy() for k in range(5)]
+            new = np.ones(len(cols[0]), bool)  # equal rows of a repeated doc_id are one
             new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
-            doc, w0, head_doc, head_w0 = cols = [c[new] for c in cols]
-            start = np.ones(len(doc), bool)
-            start[1:] = ((doc[1:] != doc[:-1]) | (w0[1:] != w0[:-1] + 1) | (head_doc[1:] != head_doc[:-1])
-                         | (head_w0[1:] != head_w0[:-1] + 1))
-            first = np.flatnonzero(start)
-            last = np.concatenate([first[1:], [len(doc)]]) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[first], w0[first], w0[last] + np.int32(EXACT),
-                                                                    head_doc[first], head_w0[first])],
-                                             names=["doc", "w0", "w1", "head_doc", "head_w0"])
+            yield _merged(*(c[new] for c in cols))
 
+    places = "doc long, w0 int, w1 int, head_doc long, head_w0 int"
     several = F.min("doc") < F.max("doc")
-    anchors = stored(docs.mapInArrow(anchor_rows, "key long, doc long"), "repeats-anchors")
-    met = anchors.groupBy("key").agg(several.alias("_met")).where("_met").select("key")
-    wanted = stored(on_key(anchors, met).groupBy("doc").agg(F.collect_set("key").alias("keys")), "repeats-wanted")
+    anchors = stored(docs.mapInArrow(anchor_rows, "key long, doc long, n int"), "repeats-anchors")
+    met = (anchors.groupBy("key").agg(several.alias("_met"), (F.sum("n") > PER_ANCHOR).alias("many")).where("_met").select("key", "many"))
+    wanted = stored(on_key(anchors, met).groupBy("doc").agg(F.collect_list(F.struct("key", "many")).alias("keys")), "repeats-wanted")
     texts = docs.join(wanted, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "keys")
-    rows = stored(texts.mapInArrow(run_rows, "key long, doc long, w0 int"), "repeats-runs")
+    rows = stored(texts.mapInArrow(run_rows, "key long, doc long, w0 int, runs array<long>, many boolean"), "repeats-runs")
     discard(anchors, wanted)
-    heads = (rows.groupBy("key").agg(several.alias("_met"), F.min(F.struct("doc", "w0")).alias("head")).where("_met")
+    few = rows.where("not many").select("key", "doc", "w0", "runs").repartition("key").sortWithinPartitions("key")
+    single = rows.where("many").select("doc", "w0", F.posexplode("runs").alias("into", "key"))
+    single = single.select("key", "doc", (F.col("w0") + F.col("into")).alias("w0"))
+    heads = (single.groupBy("key").agg(several.alias("_met"), F.min(F.struct("doc", "w0")).alias("head")).where("_met")
              .select("key", F.col("head.doc").alias("head_doc"), F.col("head.w0").alias("head_w0")))
-    placed = on_key(rows, heads).select("doc", "w0", "head_doc", "head_w0")
-    placed = placed.repartition("doc").sortWithinPartitions("doc", "w0", "head_doc", "head_w0")
-    runs = stored(placed.mapInArrow(merge, "doc long, w0 int, w1 int, head_doc long, head_w0 int"), "repeats-shared")
+    single = on_key(single, heads).select("doc", "w0", (F.col("w0") + EXACT).alias("w1"), "head_doc", "head_w0")
+    placed = stored(few.mapInArrow(matched, places).unionByName(single), "repeats-placed")
     discard(rows)
+    placed = placed.repartition("doc").sortWithinPartitions("doc", "w0", "w1", "head_doc", "head_w0")
+    runs = stored(placed.mapInArrow(merge, places), "repeats-shared")
+    discard(placed)
     return runs.select("doc", "w0", "w1", F.struct(F.col("head_doc").alias("doc"), F.col("head_w0").alias("w0")).alias("head"))
 
 
+def _merged(doc, w0, w1, head_doc, head_w0, *same) -> pa.RecordBatch:
+    """Sorted runs of EXACT words or more, those joined that go on one word later here and at their first place (and are the ``same``)."""
+    start = np.ones(len(doc), bool)
+    start[1:] = ((doc[1:] != doc[:-1]) | (w0[1:] != w1[:-1] - EXACT + 1) | (head_doc[1:] != head_doc[:-1])
+                 | (head_w0[1:] - w0[1:] != head_w0[:-1] - w0[:-1]))
+    for c in same:
+        start[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(start)
+    last = np.concatenate([first[1:], [len(doc)]]) - 1 if len(first) else first
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((doc[first], w0[first], w1[last], head_doc[first], head_w0[first]), types)],
+                                      names=["doc", "w0", "w1", "head_doc", "head_w0"])
+
+
 def on_key(rows: DataFrame, per_key: DataFrame) -> DataFrame:
     """``rows`` joined with ``per_key``, an aggregate of one row for each key.
 

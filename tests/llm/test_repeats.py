@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from incidentlens.llm import repeats
 
 from .conftest import sentence
@@ -82,7 +84,9 @@ def test_every_passage_of_over_50_words_is_found_inside_lines_and_however_wrappe
                    for r in got if r["doc_id"] == k)
 
 
-def test_shared_runs_equal_brute_force(spark):
+@pytest.mark.parametrize("per_anchor", [repeats.PER_ANCHOR, 20, 0])
+def test_shared_runs_equal_brute_force(spark, monkeypatch, per_anchor):
+    monkeypatch.setattr(repeats, "PER_ANCHOR", per_anchor)  # anchors as one group each, some, or all as single runs
     rng = random.Random(12)
     pool = [f"w{k}" for k in range(40)]
     passages = [[rng.choice(pool) for _ in range(rng.randint(45, 120))] for _ in range(6)]
@@ -94,6 +98,7 @@ def test_shared_runs_equal_brute_force(spark):
             a = rng.randint(0, 20)
             words += p[a:] + [rng.choice(pool) for _ in range(rng.randint(0, 30))]
         rows.append((k, " ".join(words)))
+    rows += [(30, "same " * 80), (31, "same " * 60 + "other"), (32, "only here " * 50)]
     first, docs_of = {}, {}
     for k, text in rows:
         w = text.split()
