@@ -60,19 +60,22 @@ def sub_code_names(t: SisTables) -> DataFrame:
             .groupBy("lu_sub_code_id").agg(F.max("short_desc").alias("short_desc")))
 
 
-def action_facts(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
-    """One row per incident with actions, from one pass over them: greatest action code, smallest
-    resolution and smallest plan tuple (typed)."""
-    act = _of(t.incident_action, keys).withColumnRenamed("action_incident_detail_id", "incident_detail_id")
+def action_codes(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
+    """One row per incident with a described action code: the greatest. Only ids meet the details."""
+    act = _of(t.incident_action.select("incident_id", F.col("action_incident_detail_id").alias("incident_detail_id")), keys)
     # a detail may belong to another incident than the action that names it, so it is met by its id only;
     # its sub code is looked up afterwards, for the report's actions
     detail = t.details_by_id().where(F.col("lu_sub_code_id").isNotNull()).select("incident_detail_id", "lu_sub_code_id")
-    act = act.join(detail, "incident_detail_id", "left")
-    act = join_splittable(act, sub_code_names(t), "lu_sub_code_id", ["incident_id"], "left")
-    agg = act.groupBy("incident_id").agg(F.max("short_desc").alias("action_short_desc"),
-                                         F.min("action_resolved_desc").alias("action_resolved_desc"),
-                                         F.min(exprs.nulls_last_key(*PLAN_FIELDS)).alias("_plan"))
-    return agg.select("incident_id", "action_short_desc", "action_resolved_desc", *_plan_columns())
+    act = join_splittable(act.join(detail, "incident_detail_id"), sub_code_names(t), "lu_sub_code_id", ["incident_id"])
+    return act.groupBy("incident_id").agg(F.max("short_desc").alias("action_short_desc"))
+
+
+def action_facts(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
+    """One row per incident with actions: greatest action code, smallest resolution and smallest plan tuple (typed).
+
+    Resolutions and plans are reduced where the actions of an incident are; only ids go to the details and back."""
+    met = action_summary(t, keys).join(action_codes(t, keys), "incident_id", "left")
+    return met.select("incident_id", "action_short_desc", "action_resolved_desc", *PLAN_FIELDS)
 
 
 def action_summary(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
