@@ -77,6 +77,20 @@ def choose_per_student_number(joined: DataFrame, payload: Sequence[str]) -> Data
                          *[F.col(f"_best.p.{c}").alias(c) for c in payload])
 
 
+def with_profile(chosen: DataFrame, stu: DataFrame, known: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """``chosen`` with further ``fields`` of each row's student, from ``stu`` (``student_facts``).
+
+    The student's row is met by all that the choice has of it (``known``: further columns chosen with it); of several
+    such rows, the one with the smallest fields. So the choice itself carries short columns only."""
+    keys = ["student_number", *[c for c in TIE_BREAK if c not in ("person_role", "student_id")], *known]
+    rows = (stu.groupBy(F.col("student_id").alias("_student"), *[F.col(c).alias(f"_{c}") for c in keys])
+            .agg(F.min(F.struct(*fields)).alias("_profile")))
+    same = F.col("student_id") == F.col("_student")
+    for c in keys:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return chosen.join(rows, same).select(*chosen.columns, *[F.col(f"_profile.{c}").alias(c) for c in fields])
+
+
 def rank_within_student_number(rows: DataFrame, order: Sequence) -> DataFrame:
     """The source's ``ROW_NUMBER() OVER (PARTITION BY incident_id, student_number ORDER BY ...)``.
 

@@ -38,7 +38,7 @@ class ReportBatch:
             raise
 
     def _store(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{self.path}/{name}")
+        df.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def rows(self, scope: Scope, detailed: bool = False) -> DataFrame:

@@ -71,17 +71,18 @@ def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool =
     # the incidents the report can show: details and actions of all others are left unread by the reductions
     keys = in_window if scoped is None else participants.taking_part(t, in_window, scoped)
     facts = incidents.incident_facts(t, window, keys, watch)
-    if watch is not None:
-        stu = watch.over_students(stu)
-    return report_rows_of(parts, stu, facts, detailed, watch if scoped is None else None)
+    counted = stu if watch is None else watch.over_students(stu)
+    return report_rows_of(parts, counted, facts, detailed, watch if scoped is None else None, stu)
 
 
 def report_rows_of(parts: DataFrame, stu: DataFrame, facts: DataFrame, detailed: bool = False,
-                   watch: ReportWatch | None = None) -> DataFrame:
-    """Report rows of participations with roles, student facts and incident facts."""
-    payload = ["state_id"] + (list(students.PROFILE_FIELDS) if detailed else [])
+                   watch: ReportWatch | None = None, profiles: DataFrame | None = None) -> DataFrame:
+    """Report rows of participations with roles, student facts and incident facts; ``profiles`` are the student facts
+    that details of students come from, where those of ``stu`` are counted as they run."""
     joined = parts.join(stu, "student_id") if watch is None else watch.over_participations(parts, stu)
-    chosen = participants.choose_per_student_number(joined, payload)
+    chosen = participants.choose_per_student_number(joined, ["state_id"])
+    if detailed:
+        chosen = participants.with_profile(chosen, stu if profiles is None else profiles, ["state_id"], students.PROFILE_FIELDS)
     rows = join_splittable(chosen, facts, "incident_id", ["student_number"])
     student_cols = [exprs.student_link("dcid", "student_number").alias("student_link"), F.col("state_id")]
     if detailed:
