@@ -457,7 +457,7 @@ def set_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b) of the ``pairs`` (x, hub) of sets that link, checked on the texts.
 
-    Sets go to their hub; a hub with many members is checked in several places, each with its own copy of the hub's set."""
+    Texts go to their hub; a hub with many members is checked in several places, each with its own copy of the hub's set."""
     pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("x"), F.lit(1 << 30)))
     size = pairs.groupBy("hub").agg(F.count("*").alias("members"))
     size = size.withColumn("parts", (F.floor(F.col("members") / PER_HUB) + 1).cast("int"))
@@ -465,23 +465,27 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame
               .select(F.col("x").alias("lo"), "hub", (F.col("salt") % F.col("parts")).cast("int").alias("part"), F.lit(1).alias("is_member")))
     hub = (size.select(F.col("hub").alias("lo"), "hub", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"))
            .withColumn("is_member", F.lit(0)))
-    jobs = stored(member.unionByName(hub), "jaccard-jobs")
-    wanted = jobs.select("lo").distinct().join(classes.select("lo", "doc"), "lo")
+    jobs = stored(member.unionByName(hub).join(classes.select("lo", "doc"), "lo"), "jaccard-jobs")
+    # texts are dealt, not their sets, which are twice as large and do not compress; joined by shuffle at every size
+    texts = _of_ids(docs.select("doc_id", "text"), jobs.select("doc").distinct())
     # equal rows of a doc_id give one set twice: a member then links twice, which changes nothing
-    placed = set_items(docs, wanted).join(jobs, "lo").select("hub", "part", "is_member", "lo", "items")
+    placed = texts.join(jobs.hint("merge"), "doc").select("hub", "part", "is_member", "lo", "text")
 
     def check(batches):
         now, center = None, None
-        for batch in batches:
+        for batch in slices(batches):
             out = []
-            cols = [batch.column(k).to_pylist() for k in range(5)]
-            for hub_, part, is_member, lo, items in zip(*cols):
-                own = np.frombuffer(items, np.uint64)
+            cols = [batch.column(k).to_pylist() for k in range(4)]
+            h, starts = shingles(Words(batch.column(4)), N_GRAM)
+            for i, (hub_, part, is_member, lo) in enumerate(zip(*cols)):
+                if is_member and (hub_, part) != now:
+                    raise ValueError("a hub's set is missing")
+                own = np.unique(h[starts[i]:starts[i + 1]])
+                if not len(own) or digest(own)[1] != lo:  # another row of this doc_id
+                    continue
                 if not is_member:
                     now, center = (hub_, part), own
                     continue
-                if (hub_, part) != now:
-                    raise ValueError("a hub's set is missing")
                 both = len(np.intersect1d(center, own, assume_unique=True))
                 if 100 * both >= PERCENT * (len(center) + len(own) - both):
                     out.append((lo, hub_))

@@ -118,3 +118,22 @@ def test_components_that_have_not_settled_raise(spark):
     with pytest.raises(RuntimeError, match="settled"):
         jaccard.components(path, max_steps=1)
     assert {r["component"] for r in jaccard.components(path).collect()} == {0}
+
+
+def test_hubs_are_checked_on_texts_not_on_sets(spark, monkeypatch):
+    def sent(*_):
+        raise AssertionError("sets of shingles are sent to their hubs")
+
+    monkeypatch.setattr(jaccard, "set_items", sent)
+    rng = random.Random(11)
+    words = sentence(rng, 80).split()
+    near, far = " ".join([*words[:-1], "x"]), sentence(rng, 80)
+    # row 2 repeats with another text, which is not the set asked for
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, far), (2, near), (3, far + " y"), (4, None)], "doc_id long, text string")
+    sigs = jaccard.signatures(docs, jaccard.frequency_sketch(docs))
+    of = {(r["doc_id"], r["n_shingles"], r["key"]): r["lo"] for r in sigs.collect()}
+    keys = {r["text"]: r["key"] for r in docs.select("text", jaccard.text_key().alias("key")).collect()}
+    a, b, c = of[1, 76, keys[" ".join(words)]], of[2, 76, keys[near]], of[3, 77, keys[far + " y"]]
+    classes = spark.createDataFrame([(a, 1), (b, 2), (c, 3)], "lo long, doc long")
+    pairs = spark.createDataFrame([(b, a), (c, a)], "x long, hub long")
+    assert [tuple(r) for r in jaccard.verified(docs, pairs, classes).collect()] == [(b, a)]
