@@ -25,8 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back, ``by`` its last column if given.
 
     Cuts the lineage at storage every executor can reach, so a lost executor costs only its
     own tasks; a fresh folder name for each call keeps concurrent runs apart. Nothing reads the
@@ -37,7 +37,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

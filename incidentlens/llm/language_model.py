@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Shared, Words, slices, stored, table
+from .common import Shared, Words, discard, slices, stored, table
 
 HEAD, PER_CLASS, HIDDEN = 1024, 32, 16
 #: So many most frequent words (the head among them) have their counts travel with the model; the
@@ -113,10 +113,10 @@ def sequences(model: Model, words: Words) -> tuple[np.ndarray, np.ndarray, np.nd
     cls, place = model.tokens(words)
     ends = words.starts[1:] + np.arange(n)
     total = len(words.codes) + n
-    c, p = np.full(total, END_CLASS, np.int64), np.full(total, -1, np.int64)
+    c, p = np.full(total, END_CLASS, np.int16), np.full(total, -1, np.int16)
     is_word = np.ones(total, bool)
     is_word[ends] = False
-    c[is_word], p[is_word] = cls[words.codes], place[words.codes]
+    c[is_word], p[is_word] = cls.astype(np.int16)[words.codes], place.astype(np.int16)[words.codes]
     return c, p, words.counts + 1
 
 
@@ -141,51 +141,93 @@ class Lanes:
         self.first[starts[:-1]] = True
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
+def squash(x: np.ndarray) -> None:
+    """The logistic function of ``x``, in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1.0
+    np.reciprocal(x, out=x)
 
 
-def softmax(logits: np.ndarray, bias: np.ndarray | float = 0.0) -> np.ndarray:
-    """Softmax of each row plus ``bias``, in place."""
-    logits += bias
-    logits -= logits.max(axis=1, keepdims=True)
+def gates_of(x: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gates and new states of a step from what the input (``x``, changed) and the state (``b``) give to them."""
+    gates, new = x[: 2 * HIDDEN], x[2 * HIDDEN:]
+    gates += b[: 2 * HIDDEN]
+    squash(gates)
+    new += gates[HIDDEN:] * b[2 * HIDDEN:]
+    np.tanh(new, out=new)
+    return gates, new
+
+
+def bounded(w: np.ndarray, b: np.ndarray) -> bool:
+    """Whether exp of no logit overflows, nor of all of a softmax vanishes, for any state (whose values are within -1 and 1)."""
+    reach = np.abs(w).sum(axis=-2)
+    return bool((b + reach).max() < 60 and (b - reach).max(axis=-1).min() > -60)
+
+
+def with_bias(w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Weights of a softmax, a row for each outcome, the bias as one more unit (whose state is 1)."""
+    return np.ascontiguousarray(np.concatenate([np.swapaxes(w, -1, -2), b[..., None]], axis=-1))
+
+
+def with_ones(states: np.ndarray) -> np.ndarray:
+    """(unit, step, lane) of (step, unit, lane) states, as (unit, token), and a last unit of ones."""
+    steps, units, n = states.shape
+    out = np.empty((units + 1, steps, n), states.dtype)
+    out[:units] = np.swapaxes(states, 0, 1)
+    out[units] = 1.0
+    return out.reshape(units + 1, -1)
+
+
+def exp_columns(logits: np.ndarray, safe: bool) -> np.ndarray:
+    """exp of logits, in place, one softmax in each column, not yet divided by its sum; returns one over the sums."""
+    if not safe:
+        logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+    return 1.0 / logits.sum(axis=0)
 
 
 def score_tokens(model: Model, c: np.ndarray, p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log of P(class) times, for head words, P(word | class) of every token."""
     wx, u, wc, bc, ww, bw = model.parts(model.theta)
+    # one row for each unit: numpy's loops then run along lanes, not along a few units
+    of_wx, of_u = (np.ascontiguousarray(x.T) for x in (wx, u))
+    of_class, of_head = with_bias(wc, bc), with_bias(ww, bw)
+    safe_class, safe_head = bounded(wc, bc), bounded(ww, bw)
     lanes = Lanes(lengths, SCORE_LANES)
     out = np.zeros(len(c), np.float64)
-    previous = np.concatenate([[END_CLASS], c[:-1]])
-    h = np.zeros((lanes.index.shape[1], HIDDEN), np.float32)
+    previous = np.concatenate([np.array([END_CLASS], c.dtype), c[:-1]])
+    h = np.zeros((HIDDEN, lanes.index.shape[1]), np.float32)
     for at in range(0, len(lanes.index), SCORE_STEPS):
         live = int((lanes.sizes > at).sum())
         tok = lanes.index[at:at + SCORE_STEPS, :live]
-        h = h[:live]
-        states = np.empty((len(tok), live, HIDDEN), np.float32)
+        h = h[:, :live]
+        states = np.empty((len(tok), HIDDEN, live), np.float32)
         safe = np.maximum(tok, 0)
-        of_input, on = wx[previous[safe]], (~lanes.first[safe])[:, :, None].astype(np.float32)
+        read, on = previous[safe], (~lanes.first[safe]).astype(np.float32)
         for t in range(len(tok)):
-            h = h * on[t]
-            b = h @ u
-            gates = sigmoid(of_input[t, :, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
-            new = np.tanh(of_input[t, :, 2 * HIDDEN:] + gates[:, HIDDEN:] * b[:, 2 * HIDDEN:])
-            h = states[t] = new + gates[:, :HIDDEN] * (h - new)
+            gates, new = gates_of(np.take(of_wx, read[t], axis=1), of_u @ np.multiply(h, on[t], out=states[t]))
+            h = states[t]
+            h -= new
+            h *= gates[:HIDDEN]
+            h += new
         keep = tok >= 0
-        s, own = states[keep], tok[keep]
+        s, own = with_ones(states), tok.ravel()
+        if not keep.all():
+            s, own = s[:, keep.ravel()], own[keep.ravel()]
         kinds = c[own]
         for i in range(0, len(own), ROWS):
             want = kinds[i:i + ROWS]
-            out[own[i:i + ROWS]] = np.log(softmax(s[i:i + ROWS] @ wc, bc)[np.arange(len(want)), want] + TINY)
+            prob = of_class @ s[:, i:i + ROWS]
+            share = exp_columns(prob, safe_class)
+            out[own[i:i + ROWS]] = np.log(prob[want, np.arange(len(want))] * share + TINY)
         head = np.flatnonzero(p[own] >= 0)
         head = head[np.argsort(kinds[head], kind="stable")]
-        s_head, inner = s[head], bw[kinds[head]]
+        s_head, inner = np.take(s, head, axis=1), np.empty((PER_CLASS, len(head)), np.float32)
         for k, b, e in zip(*_spans(kinds[head])):
-            inner[b:e] += s_head[b:e] @ ww[k]
-        out[own[head]] += np.log(softmax(inner)[np.arange(len(head)), p[own[head]]] + TINY)
+            inner[:, b:e] = of_head[k] @ s_head[:, b:e]
+        share = exp_columns(inner, safe_head)
+        out[own[head]] += np.log(inner[p[own[head]], np.arange(len(head))] * share + TINY)
     return out
 
 
@@ -204,69 +246,99 @@ def loss_and_gradient(model: Model, theta, c_in, c_out, p_out, first, h0):
     grad = np.zeros_like(theta)
     g_wx, g_u, g_wc, g_bc, g_ww, g_bw = model.parts(grad)
     steps, n = c_in.shape
-    of_input, on = wx[c_in], (~first)[:, :, None].astype(theta.dtype)
-    gates, recurrent = np.empty((steps, n, 2 * HIDDEN), theta.dtype), np.empty((steps, n, HIDDEN), theta.dtype)
-    before, new, states = np.empty_like(recurrent), np.empty_like(recurrent), np.empty_like(recurrent)
-    h = h0
+    # one row for each unit: numpy's loops then run along lanes, not along a few units
+    of_wx, of_u = (np.ascontiguousarray(x.T) for x in (wx, u))
+    of_class, of_head = with_bias(wc, bc), with_bias(ww, bw)
+    on = (~first).astype(theta.dtype)
+    inner_of, recurrent = np.empty((steps, 3 * HIDDEN, n), theta.dtype), np.empty((steps, HIDDEN, n), theta.dtype)
+    before, states = np.empty_like(recurrent), np.empty_like(recurrent)
+    h = h0.T
     for t in range(steps):
-        np.multiply(h, on[t], out=before[t])
-        b = before[t] @ u
-        g = gates[t] = sigmoid(of_input[t, :, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
-        recurrent[t] = b[:, 2 * HIDDEN:]
-        np.tanh(of_input[t, :, 2 * HIDDEN:] + g[:, HIDDEN:] * recurrent[t], out=new[t])
-        h = states[t] = new[t] + g[:, :HIDDEN] * (before[t] - new[t])
-    keep = c_out >= 0
+        was, now = np.multiply(h, on[t], out=before[t]), states[t]
+        b = of_u @ was
+        recurrent[t] = b[2 * HIDDEN:]
+        inner_of[t] = np.take(of_wx, c_in[t], axis=1)
+        g, new = gates_of(inner_of[t], b)
+        np.subtract(was, new, out=now)
+        now *= g[:HIDDEN]
+        now += new
+        h = now
+    keep = (c_out >= 0).ravel()
+    whole = bool(keep.all())
     count = max(1, int(keep.sum()))
-    s, co, po = states[keep], c_out[keep], p_out[keep]
-    loss, g_s = 0.0, np.empty_like(s)
+    s, co, po = with_ones(states), c_out.ravel(), p_out.ravel()
+    if not whole:
+        s, co, po = s[:, keep], co[keep], po[keep]
+    loss, g_s, safe = 0.0, np.empty((HIDDEN, len(co)), theta.dtype), bounded(wc, bc)
+    g_class = np.zeros((HIDDEN + 1, N_CLASSES), theta.dtype)
     for at in range(0, len(co), ROWS):
-        part, want = s[at:at + ROWS], co[at:at + ROWS]
-        prob = softmax(part @ wc, bc)
-        rows = np.arange(len(want))
-        loss -= np.log(prob[rows, want] + TINY).sum()
-        prob[rows, want] -= 1.0
-        prob /= count
-        g_wc += part.T @ prob
-        g_bc += prob.sum(axis=0)
-        np.matmul(prob, wc.T, out=g_s[at:at + ROWS])
+        part, want = s[:, at:at + ROWS], co[at:at + ROWS]
+        prob = of_class @ part
+        share = exp_columns(prob, safe)
+        cols = np.arange(len(want))
+        loss -= np.log(prob[want, cols] * share + TINY).sum()
+        prob[want, cols] -= 1.0 / share  # less the wanted class; each column still to be divided by its sum
+        share /= count
+        g_class += (part * share) @ prob.T
+        np.multiply(wc @ prob, share, out=g_s[:, at:at + ROWS])
+    g_wc += g_class[:HIDDEN]
+    g_bc += g_class[HIDDEN]
     head = np.flatnonzero(po >= 0)
-    head = head[np.argsort(co[head], kind="stable")]
+    head = head[np.argsort(co[head].astype(np.uint8 if N_CLASSES <= 256 else np.int64), kind="stable")]
     if len(head):
         kinds, begin, end = _spans(co[head])
-        s_head, g_head, inner = s[head], np.empty((len(head), HIDDEN), theta.dtype), bw[co[head]]
+        s_head, g_head, inner = np.take(s, head, axis=1), np.empty((HIDDEN, len(head)), theta.dtype), np.empty((PER_CLASS, len(head)), theta.dtype)
         for k, b, e in zip(kinds, begin, end):
-            inner[b:e] += s_head[b:e] @ ww[k]
-        inner = softmax(inner)
-        rows, own = np.arange(len(head)), po[head]
-        loss -= np.log(inner[rows, own] + TINY).sum()
-        inner[rows, own] -= 1.0
-        inner /= count
-        g_bw[kinds] += np.add.reduceat(inner, begin)
+            inner[:, b:e] = of_head[k] @ s_head[:, b:e]
+        share = exp_columns(inner, bounded(ww, bw))
+        cols, own = np.arange(len(head)), po[head]
+        loss -= np.log(inner[own, cols] * share + TINY).sum()
+        inner[own, cols] -= 1.0 / share
+        share /= count
+        s_head *= share
         for k, b, e in zip(kinds, begin, end):
-            g_ww[k] += s_head[b:e].T @ inner[b:e]
-            np.matmul(inner[b:e], ww[k].T, out=g_head[b:e])
-        g_s[head] += g_head
-    g_states = np.zeros_like(states)
-    g_states[keep] = g_s
-    # what a unit of gradient at a state is at each gate's input
-    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-    of_new = (1 - z) * (1 - new ** 2)
-    factor = np.concatenate([(before - new) * z * (1 - z), of_new * recurrent * r * (1 - r), of_new], axis=2).reshape(steps, n, 3, HIDDEN)
-    g_in, g_b = np.empty_like(factor), np.empty_like(factor)
-    g_h = np.zeros((n, HIDDEN), theta.dtype)
-    back = np.ascontiguousarray(u.T)
+            g_own = s_head[:, b:e] @ inner[:, b:e].T
+            g_ww[k] += g_own[:HIDDEN]
+            g_bw[k] += g_own[HIDDEN]
+            g_head[:, b:e] = ww[k] @ inner[:, b:e]
+        g_head *= share
+        g_s[:, head] += g_head
+    if not whole:
+        full = np.zeros((HIDDEN, steps * n), theta.dtype)
+        full[:, keep] = g_s
+        g_s = full
+    g_states = np.ascontiguousarray(np.swapaxes(g_s.reshape(HIDDEN, steps, n), 0, 1))
+    # what a unit of gradient at a state is at each gate's input; the last two: of the new state, by way of the old one and straight
+    z, r, new = (inner_of[:, k * HIDDEN:(k + 1) * HIDDEN] for k in range(3))
+    factor = np.empty((steps, 4, HIDDEN, n), theta.dtype)
+    to_z, to_r, to_b, to_new = (factor[:, k] for k in range(4))
+    np.subtract(1.0, z, out=to_z)
+    np.multiply(new, new, out=to_new)
+    np.subtract(1.0, to_new, out=to_new)
+    to_new *= to_z
+    np.multiply(to_new, r, out=to_b)
+    np.subtract(1.0, r, out=to_r)
+    to_r *= to_b
+    to_r *= recurrent
+    to_z *= z
+    to_z *= before - new
+    g_h = np.zeros((HIDDEN, n), theta.dtype)
     for t in range(steps - 1, -1, -1):
         g_h += g_states[t]
-        np.multiply(factor[t], g_h[:, None, :], out=g_in[t])
-        g_b[t] = g_in[t]
-        g_b[t, :, 2] *= r[t]
-        g_h = (g_h * z[t] + g_b[t].reshape(n, -1) @ back) * on[t]
-    g_u += before.reshape(-1, HIDDEN).T @ g_b.reshape(-1, 3 * HIDDEN)
+        here = factor[t]
+        here *= g_h  # from here on the gradient itself
+        to_state = here[:3].reshape(3 * HIDDEN, n)
+        g_u += before[t] @ to_state.T
+        g_h *= z[t]
+        g_h += u @ to_state
+        g_h *= on[t]
     flat = c_in.ravel()
-    by = np.argsort(flat, kind="stable")
+    by = np.argsort(flat.astype(np.uint8 if N_CLASSES <= 256 else np.int64), kind="stable")
     kinds, begin, _ = _spans(flat[by])
-    g_wx[kinds] += np.add.reduceat(g_in.reshape(-1, 3 * HIDDEN)[by], begin)
-    return loss / count, grad, h
+    to_b[:] = to_new
+    to_input = np.moveaxis(factor[:, :3], 0, 2).reshape(3 * HIDDEN, -1)
+    g_wx[kinds] += np.add.reduceat(np.take(to_input, by, axis=1), begin, axis=1).T
+    return loss / count, grad, np.ascontiguousarray(h.T)
 
 
 def stream(lengths: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -290,7 +362,7 @@ def train_on(model: Model, theta: np.ndarray, batches, rate: float) -> tuple[np.
         if not len(lengths):
             continue
         tokens, begins = stream(lengths, LANES)
-        previous = np.concatenate([[END_CLASS], c[:-1]])
+        previous = np.concatenate([np.array([END_CLASS], c.dtype), c[:-1]])
         h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
         for at in range(0, len(tokens), STEPS):
             tok = tokens[at:at + STEPS]
@@ -345,17 +417,24 @@ def frequent_words(counts: DataFrame, most: int = CARRIED) -> list[tuple[str, in
     return sorted(((r["word"], r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
 
 
-def share(docs: DataFrame, round_: int) -> DataFrame:
-    """The training documents of a round; every one is in exactly one round."""
-    return docs.where("not held_out").where(F.pmod(F.xxhash64("k", F.lit(7)), F.lit(ROUNDS)) == round_)
+def by_round(docs: DataFrame) -> DataFrame:
+    """The training documents with their round, stored by it, so that a round reads no others' texts."""
+    round_ = F.pmod(F.xxhash64("k", F.lit(7)), F.lit(ROUNDS)).cast("int").alias("round")
+    return stored(docs.where("not held_out").select("doc_id", "text", round_), "lm-rounds", by="round")
+
+
+def share(dealt: DataFrame, round_: int) -> DataFrame:
+    """The training documents of a round (of ``by_round``); every one is in exactly one round."""
+    return dealt.where(F.col("round") == round_)
 
 
 def train(docs: DataFrame, model: Model) -> Model:
     """Rounds of local training, each on its share of the training documents, and averaging of the weights."""
     spark = docs.sparkSession
+    dealt = by_round(docs)
     for round_ in range(ROUNDS):
         shared = Shared(spark, model)
-        part = share(docs, round_).select("text")
+        part = share(dealt, round_).select("text")
         rate = 0.03 / (1 + round_)
 
         def run(batches):
@@ -372,6 +451,7 @@ def train(docs: DataFrame, model: Model) -> Model:
         for r in mean.collect():  # one number per weight
             theta[r["i"]] = r["x"]
         model.theta = theta
+    discard(dealt)
     return model
 
 

@@ -43,6 +43,33 @@ def test_windows_carry_the_state():
         assert np.allclose(alone, whole[s:e], atol=1e-4)
 
 
+def test_scores_equal_a_plain_recurrence_whatever_the_weights():
+    """Logits that cannot overflow are not shifted before exp; those that can still are."""
+    for scale, safe in ((1.0, True), (60.0, False)):
+        m, rng = small_model(), np.random.default_rng(8)
+        m.theta = (m.theta + rng.normal(0, 0.3, len(m.theta)) * scale).astype(np.float32)
+        wx, u, wc, bc, ww, bw = (x.astype(float) for x in m.parts(m.theta))
+        assert (lm.bounded(wc, bc) and lm.bounded(ww, bw)) == safe
+        c, p, n = lm.sequences(m, Words(pa.array(["w1 w40 zz, w3 ab", "", "w9 " * 70])))
+        want, at = [], 0
+        for size in n:
+            h, before = np.zeros(lm.HIDDEN), lm.END_CLASS if at == 0 else c[at - 1]
+            for k in range(at, at + size):
+                b, x = h @ u, wx[before]
+                z, r = (1 / (1 + np.exp(-(x + b)[i * lm.HIDDEN:(i + 1) * lm.HIDDEN])) for i in range(2))
+                new = np.tanh(x[2 * lm.HIDDEN:] + r * b[2 * lm.HIDDEN:])
+                h = new + z * (h - new)
+                logs = lambda v: v - v.max() - np.log(np.exp(v - v.max()).sum())
+                value = np.log(np.exp(logs(h @ wc + bc)[c[k]]) + lm.TINY)
+                if p[k] >= 0:
+                    value += np.log(np.exp(logs(h @ ww[c[k]] + bw[c[k]])[p[k]]) + lm.TINY)
+                want.append(value)
+                before = c[k]
+            at += size
+        got = lm.score_tokens(m, c, p, n)
+        assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-3, atol=1e-3 * scale)
+
+
 def test_training_stream_has_every_token_once_in_full_windows():
     rng = np.random.default_rng(5)
     for lengths in ([1], [5, 1, 700], rng.integers(1, 90, 300), [40_000] + [1] * 50):
