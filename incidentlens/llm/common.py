@@ -108,7 +108,7 @@ class Words:
         """A 64-bit hash of each word of ``vocab`` (equal in every process)."""
         if not len(self.vocab):
             return np.zeros(0, np.uint64)
-        return hash_array(np.asarray(self.vocab.to_pylist(), dtype=object), categorize=False)
+        return hash_array(self.vocab.to_numpy(zero_copy_only=False), categorize=False)
 
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)

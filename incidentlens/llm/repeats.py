@@ -130,21 +130,25 @@ class Lines:
             terms = scramble(self.hash ^ scramble(at + np.uint64(1)))
             return scramble(np.add.reduceat(terms, starts) + size.astype(np.uint64)).view(np.int64)
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """First place and number of every group of neighbouring runs of EXACT words with one anchor, the hash of the
-        anchor, and the hash of the run at every place."""
+    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First place and number of every group of neighbouring runs of EXACT words with one anchor, and the hash of the
+        anchor."""
         n = len(self.hash)
         if not n:
             none = np.zeros(0, np.int64)
-            return none, none, none, none
+            return none, none, none
         whole = np.searchsorted(self.doc, self.doc, "right") - np.arange(n) >= EXACT
-        short, long_ = _span_hash(self.hash, ANCHOR), _span_hash(self.hash, EXACT)
+        short = _span_hash(self.hash, ANCHOR)
         # the run's words alone decide which place is its anchor: the first of the smallest
         anchor = _ahead(np.arange(n), EXACT - ANCHOR + 1, lambda a, b: np.where(short[b] < short[a], b, a))
         at = np.flatnonzero(whole)
         first = np.flatnonzero(np.concatenate([[True], anchor[at[1:]] != anchor[at[:-1]]])) if len(at) else at
         size = np.diff(np.concatenate([first, [len(at)]]))
-        return at[first], size, short[anchor[at[first]]].view(np.int64), long_.view(np.int64)
+        return at[first], size, short[anchor[at[first]]].view(np.int64)
+
+    def run_hashes(self) -> np.ndarray:
+        """The hash of the run of EXACT words at every place."""
+        return _span_hash(self.hash, EXACT).view(np.int64) if len(self.hash) else np.zeros(0, np.int64)
 
     def line_shingles(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingle hashes of the given lines (all of N_GRAM words or more) and each line's start among them."""
@@ -159,6 +163,16 @@ class Lines:
         return scramble(out), begin
 
 
+def pair_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number from 0 on for every place, the same where both values are."""
+    order = np.lexsort((b, a))
+    new = np.zeros(len(order), np.int64)
+    new[1:] = (a[order[1:]] != a[order[:-1]]) | (b[order[1:]] != b[order[:-1]])
+    code = np.empty(len(order), np.int64)
+    code[order] = np.cumsum(new)
+    return code
+
+
 def _shifted(x: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([x[k:], x[len(x) - min(k, len(x)):]])  # the end is of no whole run
 
@@ -199,7 +213,7 @@ def shared_runs(docs: DataFrame) -> DataFrame:
     def anchor_rows(batches):
         for batch in slices(batches, max_bytes=5_000_000):
             x = Lines(batch.column(1))
-            at, size, key, _ = x.runs()
+            at, size, key = x.runs()
             order = np.lexsort((key, x.doc[at]))
             key, doc, size = key[order], x.doc[at][order], size[order]
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(key) else order
@@ -211,11 +225,11 @@ def shared_runs(docs: DataFrame) -> DataFrame:
     def run_rows(batches):
         for batch in slices(batches, max_bytes=5_000_000):
             x = Lines(batch.column(1))
-            at, size, key, long_ = x.runs()
+            at, size, key = x.runs()
             listed = batch.column(2)
             text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(listed).to_numpy(zero_copy_only=False))
             known, many = (pc.struct_field(listed.flatten(), k).to_numpy(zero_copy_only=False) for k in range(2))
-            _, code = np.unique(np.stack([np.concatenate([text, x.doc[at]]), np.concatenate([known, key])]), axis=1, return_inverse=True)
+            code = pair_codes(np.concatenate([text, x.doc[at]]), np.concatenate([known, key]))
             state = np.zeros(code.max(initial=-1) + 1, np.int8)  # 1: the anchor is shared, 2: and frequent
             state[code[: len(text)]] = 1 + many.astype(np.int8)
             state = state[code[len(text):]]
@@ -224,7 +238,7 @@ def shared_runs(docs: DataFrame) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(size)])
             place = np.arange(ends[-1]) + np.repeat(at - ends[:-1], size)
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(long_[place], pa.int64()))
+            runs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x.run_hashes()[place], pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(ids[x.doc[at]], pa.int64()), pa.array(x.place[at], pa.int32()),
                                               runs, pa.array(state == 2)], names=["key", "doc", "w0", "runs", "many"])
 

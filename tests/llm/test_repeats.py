@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from incidentlens.llm import repeats
@@ -167,3 +169,23 @@ def test_short_lines_join_up_to_a_blank_or_long_one():
     texts = ["\n".join([words(5), words(19), words(20), words(3), "", words(4), "  ", words(6), words(1)]), words(2), words(3) + "\n"]
     x = repeats.Lines(repeats.pa.array(texts))
     assert list(x.ends - x.starts) == [24, 20, 3, 4, 7, 2, 3]
+
+
+def test_anchors_are_found_without_hashing_the_runs(monkeypatch):
+    """The pass that looks for shared anchors needs no hash of the runs; before, it made one of every place."""
+    sizes, real = [], repeats._span_hash
+    monkeypatch.setattr(repeats, "_span_hash", lambda h, size: (sizes.append(size), real(h, size))[1])
+    x = repeats.Lines(pa.array([" ".join(f"w{k * k % 37}" for k in range(120)), None, "few words"]))
+    at, size, key = x.runs()
+    assert sizes == [repeats.ANCHOR] and size.sum() == 120 - repeats.EXACT + 1 and len(at) == len(size) == len(key)
+    assert len(x.run_hashes()) == 122 and sizes == [repeats.ANCHOR, repeats.EXACT]
+
+
+def test_pairs_are_told_apart():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 500):
+        a, b = rng.integers(0, 9, n), rng.integers(-5, 5, n) * (1 << 58)
+        code = repeats.pair_codes(a, b).tolist()
+        pairs = list(zip(a.tolist(), b.tolist()))
+        assert len(set(zip(code, pairs))) == len(set(pairs)) == len(set(code))
+        assert sorted(set(code)) == list(range(len(set(code))))
