@@ -15,6 +15,10 @@ linking pair shares lies in the first ``|x| - ceil(0.75 |x|) + 1`` of both, so s
 size and place in the order have ruled out most, and only links leave that place, at most one for each set. So rows
 grow with the sets, not with their pairs, and no link is lost for the components.
 
+Every set has a parity: its shingles counted in cells, one bit a cell. Sets that differ in d shingles have parities that differ in
+at most d bits, so the parity, a small part of a text's size, rules out most pairs that do not link before any text is shuffled. Sets
+that meet over a large shingle are first linked to one set each, on texts; only those left in different components go to their places.
+
 Defined results: a NULL, empty or white-space text has no shingles and is a component of its
 own; rows that repeat a doc_id are one document; a NULL doc_id links with nothing; an empty table gives an empty result; input
 columns named like an output are replaced.
@@ -90,10 +94,32 @@ def digest(h: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
+def parity(h: np.ndarray) -> bytes:
+    """Whether each cell holds an odd number of the distinct hashes ``h``, one bit a cell, two to four cells for each hash.
+
+    A hash that only one of two sets has flips one bit: parities differ in no more bits than their sets in hashes."""
+    cells = max(64, 1 << (2 * len(h) - 1).bit_length())
+    return np.packbits((np.bincount((h & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(p: bytes, size: int) -> bytes:
+    """The parity ``p`` over fewer cells (``size`` bytes)."""
+    while len(p) > size:
+        half = len(p) // 2
+        p = (int.from_bytes(p[:half]) ^ int.from_bytes(p[half:])).to_bytes(half)
+    return p
+
+
+def parity_gap(p: bytes, q: bytes) -> int:
+    """Bits in which two parities differ."""
+    size = min(len(p), len(q))
+    return (int.from_bytes(_folded(p, size)) ^ int.from_bytes(_folded(q, size))).bit_count()
+
+
 def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """(doc_id, key, n_shingles, hi, lo, level, prefix) per row; key: hash of the text, hi, lo: digest of the set (NULL if empty).
+    """(doc_id, key, n_shingles, hi, lo, level, prefix, parity) per row; key: hash of the text, hi, lo: digest of the set (NULL if empty).
 
-    The prefix, rarest shingle first, is given once per set and batch."""
+    The prefix, rarest shingle first, and the parity are given once per set and batch."""
     shared = Shared(docs.sparkSession, sketch)
 
     def run(batches):
@@ -105,23 +131,23 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
             for i in range(batch.num_rows):
                 own = np.unique(h[starts[i]:starts[i + 1]])
                 if not len(own):
-                    rows.append((0, None, None, 0, None))
+                    rows.append((0, None, None, 0, None, None))
                     continue
                 hi, lo = digest(own)
                 if (hi, lo) in known:
-                    rows.append((len(own), hi, lo, 0, None))
+                    rows.append((len(own), hi, lo, 0, None, None))
                     continue
                 known.add((hi, lo))
                 tokens, level = prefix(own, cells[_cells(own)], usual)
-                rows.append((len(own), hi, lo, level, tokens.view(np.int64)))
-            n, his, los, levels, prefixes = zip(*rows)
+                rows.append((len(own), hi, lo, level, tokens.view(np.int64), parity(own)))
+            n, his, los, levels, prefixes, parities = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(his, pa.int64()), pa.array(los, pa.int64()),
-                 pa.array(levels, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "key", "n_shingles", "hi", "lo", "level", "prefix"])
+                 pa.array(levels, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.binary())],
+                names=["doc_id", "key", "n_shingles", "hi", "lo", "level", "prefix", "parity"])
 
     return docs.select("doc_id", "text", text_key().alias("key")).mapInArrow(
-        run, "doc_id long, key long, n_shingles long, hi long, lo long, level int, prefix array<long>")
+        run, "doc_id long, key long, n_shingles long, hi long, lo long, level int, prefix array<long>, parity binary")
 
 
 def text_key():
@@ -330,33 +356,111 @@ def first_meetings(live: DataFrame, large: DataFrame) -> DataFrame:
     return rows.join(again, "token", "left_anti")
 
 
+CELL = "token long, i int, j int, block int, lo long, component long, n int, pos int"
+
+
+def _gaps(parities: list, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which the parities of ``a`` and of ``b`` differ; 0 where one is more than twice as long (the sizes rule those out)."""
+    size = np.array([len(p) for p in parities])
+    out = np.zeros((len(a), len(b)), np.float32)
+
+    def bits(rows, to):
+        return np.unpackbits(np.frombuffer(b"".join(_folded(parities[r], to) for r in rows), np.uint8).reshape(len(rows), to), axis=1).astype(np.float32)
+
+    for s in np.unique(size[a]):
+        for t in np.unique(size[b]):
+            if max(s, t) <= 2 * min(s, t):
+                p, q = np.flatnonzero(size[a] == s), np.flatnonzero(size[b] == t)
+                x, y = bits(a[p], int(min(s, t))), bits(b[q], int(min(s, t)))
+                out[np.ix_(p, q)] = x.sum(axis=1)[:, None] + y.sum(axis=1) - 2 * (x @ y.T)
+    return out
+
+
+def _fitting(cell: pa.Table):
+    """(a, b, ok): some rows of a cell's one block, all of the other, and whether each pair is of different components and not
+    ruled out by sizes, places and, if given, parities."""
+    i, j, block, comp, n, pos = (cell.column(c).to_numpy() for c in ("i", "j", "block", "component", "n", "pos"))
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    parities = cell.column("parity").to_pylist() if "parity" in cell.column_names else None
+    a, b = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
+    if len(a) * len(b) < 2:
+        return
+    for at in range(0, len(a), 256):
+        x = a[at:at + 256, None]
+        needed = _needed(n[x], n[b])
+        ok = (np.minimum(n[x] - pos[x], n[b] - pos[b]) >= needed) & (comp[x] != comp[b])
+        if parities is not None and ok.any():
+            ok &= _gaps(parities, x[:, 0], b) <= n[x] + n[b] - 2 * needed
+        yield x[:, 0], b, ok
+
+
+def _with_partner(batches):
+    """The rows of cells that have a fitting partner."""
+    for cell in _cells_of(batches):
+        keep = np.zeros(cell.num_rows, bool)
+        for a, b, ok in _fitting(cell):
+            keep[a] |= ok.any(axis=1)
+            keep[b] |= ok.any(axis=0)
+        if keep.any():
+            names = [c.split()[0] for c in CELL.split(", ")]
+            yield from cell.select(names).take(pa.array(np.flatnonzero(keep))).combine_chunks().to_batches()
+
+
+def _by_cell(rows: DataFrame, *more: str) -> DataFrame:
+    rows = rows.select(*[c.split()[0] for c in CELL.split(", ")], *more)
+    return rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+
+
 def worth_checking(live: DataFrame) -> DataFrame:
-    """(token, i, j, block, lo, component) of the sets that have a partner in their cell: of another component, and not
+    """(token, i, j, block, lo, component, n, pos) of the sets that have a partner in their cell: of another component, and not
     ruled out by sizes and places.
 
     ``live`` holds first prefixes only, so a linking pair meets in the cell of the rarest shingle it shares, where nothing
     before the shingle's place is shared."""
+    return _by_cell(deal_blocks(live, PER_BLOCK)).mapInArrow(_with_partner, CELL)
+
+
+def _parities(classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(lo, n_shingles, parity) of the sets among ``ids`` (lo), and of few others."""
+    return _among(classes.select("lo", "n_shingles", "parity"), ids, "lo")
+
+
+def left_in_cells(cells: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``cells`` that have a partner of another component, parities considered too."""
+    return _by_cell(cells.join(_parities(classes, cells).select("lo", "parity"), "lo"), "parity").mapInArrow(_with_partner, CELL)
+
+
+def cell_hubs(cells: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, hub): each set of ``cells`` with the smallest one before it that it meets and may link to, so one row for each set."""
     def run(batches):
         for cell in _cells_of(batches):
-            i, j, block, comp, n, pos = (cell.column(c).to_numpy() for c in ("i", "j", "block", "component", "n", "pos"))
-            n, pos = n.astype(np.int64), pos.astype(np.int64)
-            a, b = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
-            if len(a) * len(b) < 2:
-                continue
-            left, right = np.zeros(len(a), bool), np.zeros(len(b), bool)
-            for at in range(0, len(a), 256):
-                x = a[at:at + 256, None]
-                bound = np.minimum(n[x] - pos[x], n[b] - pos[b])
-                ok = (bound >= _needed(n[x], n[b])) & (comp[x] != comp[b])
-                left[at:at + 256] = ok.any(axis=1)
-                right |= ok.any(axis=0)
-            keep = np.unique(np.concatenate([a[left], b[right]]))
-            if len(keep):
-                yield from cell.select(["token", "i", "j", "block", "lo", "component"]).take(pa.array(keep)).combine_chunks().to_batches()
-
-    rows = deal_blocks(live, PER_BLOCK).select("token", "i", "j", "block", "lo", "component", "n", "pos")
-    rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return rows.mapInArrow(run, "token long, i int, j int, block int, lo long, component long")
+            lo = cell.column("lo").to_numpy()
+            hub = lo.copy()
+            for a, b, ok in _fitting(cell):
+                x, y = lo[a][:, None], lo[b][None, :]
+                hub[a] = np.minimum(hub[a], np.where(ok, y, x).min(axis=1))
+                hub[b] = np.minimum(hub[b], np.where(ok, x, y).min(axis=0))
+            x = np.flatnonzero(hub < lo)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(lo[x]), pa.array(hub[x])], names=["x", "hub"])
+
+    rows = _by_cell(cells.join(_parities(classes, cells).select("lo", "parity"), "lo"), "parity")
+    return rows.mapInArrow(run, "x long, hub long").groupBy("x").agg(F.min("hub").alias("hub"))
+
+
+def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The ``pairs`` (x, hub) that sizes and parities do not rule out."""
+    def run(batches):
+        for batch in batches:
+            n, m, p, q = (batch.column(k).to_pylist() for k in range(2, 6))
+            keep = [parity_gap(p[k], q[k]) <= n[k] + m[k] - 2 * _needed(n[k], m[k]) for k in range(len(n))]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    ids = pairs.select(F.explode(F.array("x", "hub")).alias("lo"))
+    known = _parities(classes, ids)
+    of = lambda c: known.select(F.col("lo").alias(c), F.col("n_shingles").alias(f"{c}_n"), F.col("parity").alias(f"{c}_parity"))
+    rows = pairs.join(of("x"), "x").join(of("hub"), "hub").select("x", "hub", "x_n", "hub_n", "x_parity", "hub_parity")
+    return rows.mapInArrow(run, "x long, hub long")
 
 
 def links_in_cells(cells: DataFrame, sets: DataFrame) -> DataFrame:
@@ -427,12 +531,15 @@ def _forest(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array(keep, np.int64)
 
 
-def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may be among ``ids`` (doc): a filter of bounded size rules out most others, before
-    any text is shuffled."""
+def _among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` may be among that of ``ids``: a filter of bounded size rules out most others, before any is shuffled."""
     bits = copies.MIN_BITS * 8
-    known = copies.key_filter(ids, "doc", bits)
-    return copies.with_verdict(docs.withColumnRenamed("doc_id", "doc"), "doc", bits, known).where("_maybe").drop("_maybe")
+    return copies.with_verdict(rows, key, bits, copies.key_filter(ids, key, bits)).where("_maybe").drop("_maybe")
+
+
+def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may be among ``ids`` (doc)."""
+    return _among(docs.withColumnRenamed("doc_id", "doc"), ids, "doc")
 
 
 def set_items(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -519,11 +626,13 @@ def hub_pairs(live: DataFrame, classes: DataFrame) -> DataFrame:
 
 def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of all rows, sets (hi, lo, doc, ...) and (lo, component) of the sets that link to others."""
-    sigs = stored(signatures(docs, frequency_sketch(docs)), "jaccard-sets")
-    classes = stored(sigs.where("lo is not null and doc_id is not null").groupBy("hi", "lo")
-                     .agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("level").alias("level")),
-                     "jaccard-classes")
-    live = stored(shared_postings(sigs.where("doc_id is not null")), "jaccard-postings")
+    sets = stored(signatures(docs, frequency_sketch(docs)), "jaccard-sets")
+    live = stored(shared_postings(sets.where("doc_id is not null")), "jaccard-postings")
+    classes = stored(sets.where("lo is not null and doc_id is not null").groupBy("hi", "lo")
+                     .agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n_shingles"), F.max("level").alias("level"),
+                          F.max("parity").alias("parity")), "jaccard-classes")
+    sigs = stored(sets.drop("prefix", "parity"), "jaccard-rows")
+    discard(sets)
     parts, first = None, 0
 
     def joined(links: DataFrame, parts: DataFrame | None) -> DataFrame:
@@ -532,13 +641,19 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         discard(parts, links)
         return out
 
+    def checked(pairs: DataFrame, more: DataFrame | None = None) -> DataFrame:
+        pairs = stored(pairs, "jaccard-pairs")
+        some = likely(pairs, classes)
+        some = stored(some if more is None else some.unionByName(more).distinct(), "jaccard-likely")
+        links = verified(docs, some, classes)
+        discard(pairs, some)
+        return links
+
     # rounds against hubs of other components, while they bring links
     for round_ in range(MAX_ROUNDS):
         before, live = live, stored(live_postings(live, parts, round_), "jaccard-live")
         discard(before)
-        pairs = stored(hub_pairs(live, classes), "jaccard-pairs")
-        links = verified(docs, pairs, classes)
-        discard(pairs)
+        links = checked(hub_pairs(live, classes))
         found = links.count()
         parts = joined(links, parts)
         first = first or found
@@ -548,14 +663,18 @@ def set_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     before, live = live, stored(live_postings(live, parts, MAX_ROUNDS), "jaccard-live")
     discard(before)
     large = stored(live.groupBy("token").agg(F.count("*").alias("k")).where(F.col("k") > SMALL).select("token"), "jaccard-large")
-    pairs = stored(rest_of_small(live, large, classes), "jaccard-pairs")
-    links = verified(docs, pairs, classes)
-    discard(pairs)
     cells = stored(worth_checking(first_meetings(live, large)), "jaccard-cells")
-    wanted = cells.select("lo").distinct().join(classes.select("lo", "doc"), "lo")
-    sets = stored(set_items(docs, wanted).dropDuplicates(["lo"]), "jaccard-items")
-    parts = joined(stored(links.unionByName(links_in_cells(cells, sets)), "jaccard-links"), parts)
-    discard(live, large, cells, sets, links)
+    parts = joined(checked(rest_of_small(live, large, classes), cell_hubs(cells, classes)), parts)
+    discard(live, large)
+    # the sets of large shingles that this has not brought together
+    again = cells.drop("component").join(parts, "lo", "left").withColumn("component", F.coalesce("component", "lo"))
+    rest = stored(left_in_cells(again, classes), "jaccard-rest")
+    if not rest.isEmpty():
+        wanted = rest.select("lo").distinct().join(classes.select("lo", "doc"), "lo")
+        items = stored(set_items(docs, wanted).dropDuplicates(["lo"]), "jaccard-items")
+        parts = joined(stored(links_in_cells(rest, items), "jaccard-links"), parts)
+        discard(items)
+    discard(cells, rest)
     return sigs, classes, parts
 
 

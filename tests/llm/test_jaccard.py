@@ -137,3 +137,41 @@ def test_hubs_are_checked_on_texts_not_on_sets(spark, monkeypatch):
     classes = spark.createDataFrame([(a, 1), (b, 2), (c, 3)], "lo long, doc long")
     pairs = spark.createDataFrame([(b, a), (c, a)], "x long, hub long")
     assert [tuple(r) for r in jaccard.verified(docs, pairs, classes).collect()] == [(b, a)]
+
+
+def test_parities_rule_out_no_link():
+    rng = np.random.default_rng(8)
+    sets = []
+    for n in (1, 5, 40, 70, 300, 300, 390, 600):
+        base = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        sets += [base, np.unique(np.concatenate([base[n // 20:], rng.integers(0, 1 << 62, 1 + n // 20).astype(np.uint64)])), base[n // 5:]]
+    found = [jaccard.parity(s) for s in sets]
+    every = np.arange(len(sets))
+    gaps = jaccard._gaps(found, every, every)
+    for x, p in enumerate(sets):
+        for y, q in enumerate(sets):
+            differ = len(np.setxor1d(p, q))
+            assert jaccard.parity_gap(found[x], found[y]) <= differ
+            small, large = sorted((len(found[x]), len(found[y])))
+            assert gaps[x, y] == (jaccard.parity_gap(found[x], found[y]) if large <= 2 * small else 0)
+    # two strangers of 300 shingles are told apart
+    assert jaccard.parity_gap(found[12], found[15]) > 600 - 2 * jaccard._needed(300, 300)
+
+
+def test_no_text_is_sent_for_pairs_that_are_far_apart(spark, monkeypatch):
+    """A family that shares 63 %, with some near copies: of its pairs, hardly any but the links are checked on texts."""
+    sent, check = [], jaccard.verified
+
+    def watched(docs, pairs, classes):
+        doc = lambda c: classes.select(jaccard.F.col("lo").alias(c), jaccard.F.col("doc").alias(f"{c}_doc"))
+        sent.extend((r["x_doc"], r["hub_doc"]) for r in pairs.join(doc("x"), "x").join(doc("hub"), "hub").collect())
+        return check(docs, pairs, classes)
+
+    monkeypatch.setattr(jaccard, "verified", watched)
+    rng = random.Random(21)
+    passage = sentence(rng, 230)
+    rows = [(k, " ".join(f"w{rng.randrange(10**9)}" for _ in range(65)) + " " + passage) for k in range(24)]
+    rows += [(100 + k, rows[5 * k][1] + f" end{k}") for k in range(4)]
+    assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)) == brute(rows)
+    far = [p for p in sent if max(p) - 100 != min(p) / 5]
+    assert len(sent) >= 4 and len(far) <= 4
