@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, exprs
 from ..sources.tables import SisTables
-from .joins import join_splittable
+from .joins import growing, join_splittable
 from .terms import DateWindow, within_terms, year_terms
 
 PLAN_FIELDS = ("action_plan_begin_dt", "action_plan_end_dt", "duration_assigned", "duration_actual")
@@ -66,7 +66,7 @@ def action_codes(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
     # a detail may belong to another incident than the action that names it, so it is met by its id only;
     # its sub code is looked up afterwards, for the report's actions
     detail = t.details_by_id().where(F.col("lu_sub_code_id").isNotNull()).select("incident_detail_id", "lu_sub_code_id")
-    act = join_splittable(act.join(detail, "incident_detail_id"), sub_code_names(t), "lu_sub_code_id", ["incident_id"])
+    act = join_splittable(act.join(growing(detail), "incident_detail_id"), sub_code_names(t), "lu_sub_code_id", ["incident_id"])
     return act.groupBy("incident_id").agg(F.max("short_desc").alias("action_short_desc"))
 
 
@@ -74,7 +74,7 @@ def action_facts(t: SisTables, keys: DataFrame | None = None) -> DataFrame:
     """One row per incident with actions: greatest action code, smallest resolution and smallest plan tuple (typed).
 
     Resolutions and plans are reduced where the actions of an incident are; only ids go to the details and back."""
-    met = action_summary(t, keys).join(action_codes(t, keys), "incident_id", "left")
+    met = action_summary(t, keys).join(growing(action_codes(t, keys)), "incident_id", "left")
     return met.select("incident_id", "action_short_desc", "action_resolved_desc", *PLAN_FIELDS)
 
 
@@ -119,7 +119,7 @@ def incident_facts(t: SisTables, window: DateWindow, keys: DataFrame | None = No
     """
     inc = incidents_in_window(t, window).select(
         "incident_id", "incident_title", "incident_ts", "school_number", "created_by", "last_modified_by")
-    pruned = inc.select("incident_id") if keys is None else keys
-    facts = (inc.join(incident_categories(t, pruned), "incident_id")
-             .join(action_facts(t, pruned), "incident_id", "left"))
+    pruned = growing(inc.select("incident_id")) if keys is None else keys
+    facts = (growing(inc).join(incident_categories(t, pruned), "incident_id")
+             .join(growing(action_facts(t, pruned)), "incident_id", "left"))
     return with_staff(with_school(facts, t, watch), t)

@@ -7,6 +7,10 @@ partitioning satisfies, so both sides are shuffled for this join: AQE may then s
 heavy partitions of the big side, or broadcast the small side by its measured bytes. Rows
 whose key is NULL match nothing; their hash comes from ``spread`` columns, so they are dealt
 over all partitions. No key is looked for, counted or capped, and no size is assumed.
+
+``growing`` marks a side that grows with the data. Before a query runs, Spark knows no more of a table than the bytes of
+its files, and ids in a row take a byte or less of a compressed column: sides of millions of rows look small enough
+to broadcast, and each of them would be gathered in the driver's memory.
 """
 
 from __future__ import annotations
@@ -17,6 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """``df`` as a side of its next join, which is then a sort-merge join: neither side goes through the driver, and AQE
+    can split both."""
+    return df.hint("merge")
+
+
 def join_splittable(big: DataFrame, small: DataFrame, key: str, spread: Sequence[str], how: str = "inner") -> DataFrame:
     """``big.join(small, key, how)`` for ``how`` in inner/left."""
     if how not in ("inner", "left"):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..sources.tables import SisTables
+from .joins import growing
 
 TIE_BREAK = ("person_role", "sped_code", "english_learner_code", "dcid", "student_id")
 
@@ -35,7 +36,7 @@ def taking_part(t: SisTables, incident_keys: DataFrame, student_keys: DataFrame)
     """The given incidents in which one of the given students (a ``student_id`` column) takes part."""
     ipr = t.incident_person_role.select("incident_id", F.col("studentid").alias("student_id"))
     ipr = ipr.join(student_keys.select("student_id"), "student_id", "left_semi")
-    return incident_keys.join(ipr.select("incident_id"), "incident_id", "left_semi").select("incident_id")
+    return growing(incident_keys).join(ipr.select("incident_id"), "incident_id", "left_semi").select("incident_id")
 
 
 def participations(t: SisTables, incident_keys: DataFrame | None = None,
@@ -49,13 +50,13 @@ def participations(t: SisTables, incident_keys: DataFrame | None = None,
     and codes are looked up for the report's rows only. A detail whose code is missing gives a NULL role.
     """
     ipr = t.incident_person_role
-    if incident_keys is not None:
-        ipr = ipr.join(incident_keys.select("incident_id"), "incident_id", "left_semi")
-    if student_keys is not None:
+    if student_keys is not None:  # the fewer rows
         ipr = ipr.join(student_keys.select(F.col("student_id").alias("studentid")), "studentid", "left_semi")
+    if incident_keys is not None:
+        ipr = ipr.join(growing(incident_keys.select("incident_id")), "incident_id", "left_semi")
     detail = t.details_by_id().select(F.col("incident_detail_id").alias("role_incident_detail_id"), "lu_code_id")
     names = t.incident_lu_code.select("lu_code_id", F.col("incident_category").alias("person_role"))
-    return (ipr.join(detail, "role_incident_detail_id", "left").join(names, "lu_code_id", "left")
+    return (ipr.join(growing(detail), "role_incident_detail_id", "left").join(names, "lu_code_id", "left")
             .select("incident_id", F.col("studentid").alias("student_id"), "person_role"))
 
 
@@ -88,7 +89,7 @@ def with_profile(chosen: DataFrame, stu: DataFrame, known: Sequence[str], fields
     same = F.col("student_id") == F.col("_student")
     for c in keys:
         same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return chosen.join(rows, same).select(*chosen.columns, *[F.col(f"_profile.{c}").alias(c) for c in fields])
+    return chosen.join(growing(rows), same).select(*chosen.columns, *[F.col(f"_profile.{c}").alias(c) for c in fields])
 
 
 def rank_within_student_number(rows: DataFrame, order: Sequence) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import SisTables
+from .joins import growing
 
 
 class Scope:
@@ -56,4 +57,4 @@ class Selection(Scope):
         chosen = self.chosen if self.chosen is not None else t.current_selection
         if chosen is None:
             raise ValueError("a selection scope needs a DataFrame of chosen dcids")
-        return t.students.join(chosen.select("dcid"), "dcid", "left_semi")
+        return t.students.join(growing(chosen.select("dcid")), "dcid", "left_semi")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, exprs
 from ..sources.tables import SisTables
+from .joins import growing
 from .scope import Scope
 
 PROFILE_FIELDS = ("dob", "student_lastfirst", "mother_name", "father_name", "street", "city", "state", "zip",
@@ -40,10 +41,10 @@ def guardian_names(t: SisTables, students: DataFrame | None = None) -> DataFrame
            .select(F.col("codesetid").alias("relationshiptypecodesetid"), "description"))
     assoc = t.studentcontactassoc.select("studentcontactassocid", F.col("studentdcid").alias("dcid"), "personid")
     if students is not None:
-        assoc = assoc.join(students.select("dcid"), "dcid", "left_semi")
+        assoc = assoc.join(growing(students.select("dcid")), "dcid", "left_semi")
     person = t.person.select(F.col("id").alias("personid"), "lastname", "firstname")
-    named = (assoc.join(t.studentcontactdetail.join(rel, "relationshiptypecodesetid"), "studentcontactassocid")
-             .join(person, "personid", "left")
+    named = (assoc.join(growing(t.studentcontactdetail.join(rel, "relationshiptypecodesetid")), "studentcontactassocid")
+             .join(growing(person), "personid", "left")
              .select("dcid", "description", exprs.person_name("lastname", "firstname").alias("name")))
     return named.groupBy("dcid").agg(
         F.max(F.when(F.col("description") == codes.MOTHER, F.col("name"))).alias("mother_name"),
@@ -65,7 +66,7 @@ def student_facts(t: SisTables, scope: Scope, detailed: bool = False) -> DataFra
     shuffle stages and lets AQE split a student who appears in a third of all participations.
     """
     stu = scope.students(t)
-    base = (stu.join(program_codes(t), stu["dcid"] == F.col("studentsdcid"), "left")
+    base = (stu.join(growing(program_codes(t)), stu["dcid"] == F.col("studentsdcid"), "left")
             .select(F.col("id").alias("student_id"), "student_number", "dcid",
                     F.col("state_studentnumber").alias("state_id"),
                     F.col("lastfirst").alias("student_lastfirst"),
@@ -75,7 +76,7 @@ def student_facts(t: SisTables, scope: Scope, detailed: bool = False) -> DataFra
     if not detailed:
         return base.drop("dob", "street", "city", "state", "zip")
     guardians = guardian_names(t, stu)
-    return (base.join(guardians, "dcid", "left")
+    return (base.join(growing(guardians), "dcid", "left")
             .select("student_id", "student_number", "dcid", "state_id", "sped_code", "english_learner_code",
                     exprs.date_text("dob", codes.INCIDENT_DATE_MASK).alias("dob"), "student_lastfirst",
                     _listed("mother_name"), _listed("father_name"), "street", "city", "state", "zip",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..operators import incidents, participants, students
+from ..operators.joins import growing
 from ..operators.scope import District, Scope
 from ..operators.terms import DateWindow
 from ..session import checkpoint_dir
@@ -47,7 +48,7 @@ class ReportBatch:
             raise ValueError("the batch was made without the details of students")
         stu, parts = self.students, self.parts
         if not isinstance(scope, District):
-            stu = stu.join(scope.students(self.t).select(F.col("id").alias("student_id")), "student_id", "left_semi")
+            stu = stu.join(growing(scope.students(self.t).select(F.col("id").alias("student_id"))), "student_id", "left_semi")
         return report.report_rows_of(parts, stu, self.facts, detailed)
 
     def report(self, scope: Scope, detailed: bool = False) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, exprs
 from ..operators import incidents, participants, students
 from ..operators.scope import District, School, Scope, Selection
-from ..operators.joins import join_splittable
+from ..operators.joins import growing, join_splittable
 from ..operators.terms import DateWindow
 from ..sources.tables import SisTables
 from .manifest import write_manifest
@@ -69,7 +69,7 @@ def report_rows(t: SisTables, scope: Scope, window: DateWindow, detailed: bool =
     scoped = None if isinstance(scope, District) else scope.students(t).select(F.col("id").alias("student_id"))
     parts = participants.participations(t, in_window, scoped)
     # the incidents the report can show: details and actions of all others are left unread by the reductions
-    keys = in_window if scoped is None else participants.taking_part(t, in_window, scoped)
+    keys = growing(in_window) if scoped is None else participants.taking_part(t, in_window, scoped)
     facts = incidents.incident_facts(t, window, keys, watch)
     counted = stu if watch is None else watch.over_students(stu)
     return report_rows_of(parts, counted, facts, detailed, watch if scoped is None else None, stu)
@@ -79,11 +79,11 @@ def report_rows_of(parts: DataFrame, stu: DataFrame, facts: DataFrame, detailed:
                    watch: ReportWatch | None = None, profiles: DataFrame | None = None) -> DataFrame:
     """Report rows of participations with roles, student facts and incident facts; ``profiles`` are the student facts
     that details of students come from, where those of ``stu`` are counted as they run."""
-    joined = parts.join(stu, "student_id") if watch is None else watch.over_participations(parts, stu)
+    joined = parts.join(growing(stu), "student_id") if watch is None else watch.over_participations(parts, stu)
     chosen = participants.choose_per_student_number(joined, ["state_id"])
     if detailed:
         chosen = participants.with_profile(chosen, stu if profiles is None else profiles, ["state_id"], students.PROFILE_FIELDS)
-    rows = join_splittable(chosen, facts, "incident_id", ["student_number"])
+    rows = join_splittable(chosen, growing(facts), "incident_id", ["student_number"])
     student_cols = [exprs.student_link("dcid", "student_number").alias("student_link"), F.col("state_id")]
     if detailed:
         student_cols += [F.col(c) for c in students.PROFILE_FIELDS]

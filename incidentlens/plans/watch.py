@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import growing
+
 
 class ReportWatch:
     """Counts of one report run:
@@ -43,7 +45,7 @@ class ReportWatch:
     def over_participations(self, parts: DataFrame, students: DataFrame) -> DataFrame:
         """Participations joined to the district's students, those of unknown ones counted."""
         self._district = True
-        met = parts.join(students.withColumn("_known", F.lit(True)), "student_id", "left")
+        met = parts.join(growing(students.withColumn("_known", F.lit(True))), "student_id", "left")
         return met.observe(self.participations, F.count_if(F.col("_known").isNull()).alias("unknown_students")).where("_known").drop("_known")
 
     def counts(self) -> dict[str, int]:

@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import io
+import itertools
 import re
 
 import pytest
 
-from incidentlens.operators.scope import District, School
+from incidentlens.operators.scope import District, School, Selection
+from incidentlens.operators.terms import DateWindow
 from incidentlens.plans import catalog, report
+from incidentlens.plans.batch import ReportBatch
+from incidentlens.sources.tables import SisTables
 
 from .conftest import SF_SMALL
 
+WINDOW = DateWindow(dt.date(2020, 9, 1), dt.date(2021, 6, 30))
+
 
 @pytest.fixture()
 def at_scale(spark):
@@ -86,3 +93,51 @@ def test_nothing_is_broadcast_by_hand(spark, at_scale):
     t = catalog.tables(spark, SF_SMALL)
     plan = plan_of(report.incident_report(t, District(), catalog.WINDOW, detailed=True))
     assert "BroadcastExchange" not in plan
+
+
+#: Columns of tables that have as many rows as a district has incidents, roles, actions, students or contacts.
+OF_LARGE_TABLES = {"incident_id", "incident_detail_id", "action_incident_detail_id", "role_incident_detail_id", "studentid", "student_id", "student_number",
+                   "dcid", "studentsdcid", "studentdcid", "studentcontactassocid", "lastname"}
+
+
+def broadcast_scans(df) -> list[set[str]]:
+    """The columns of each scan below a broadcast."""
+    tree = _tree(df)
+    below = [x for at, (depth, line) in enumerate(tree) if "BroadcastExchange" in line
+             for _, x in itertools.takewhile(lambda y, depth=depth: y[0] > depth, tree[at + 1:])]
+    return [set(re.findall(r"(\w+)#", re.search(r"FileScan parquet [^\[]*\[([^\]]*)\]", x)[1])) for x in below if "FileScan parquet" in x]
+
+
+@pytest.fixture()
+def by_file_sizes(spark, make_tables, tmp_path):
+    """Stored tables, all of them small enough for a broadcast by the bytes of their files; plans are what these alone lead to."""
+    make_tables().write_parquet(str(tmp_path / "sis"))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield SisTables.from_parquet_dir(spark, str(tmp_path / "sis"))
+    for k, v in saved.items():
+        spark.conf.set(k, v)
+
+
+def test_a_batch_sends_no_large_table_through_the_driver(by_file_sizes, monkeypatch):
+    """Files of ids take a byte or less a row: their bytes say nothing about the memory a broadcast takes."""
+    made = []
+    monkeypatch.setattr(ReportBatch, "_store", lambda self, name, df, store=ReportBatch._store: (made.append(df), store(self, name, df))[1])
+    with ReportBatch(by_file_sizes, WINDOW) as batch:
+        assert len(made) == 3
+        made += [batch.report(scope, detailed) for scope in (District(), School(3), Selection()) for detailed in (False, True)]
+        scans = [broadcast_scans(df) for df in made]
+        assert all(len(batch.report(scope).collect()) == 1 for scope in (District(), School(3), Selection()))
+    assert any(scans)  # code tables are
+    for found in scans:
+        # a school and staff name is looked up by number and id, never by one of these
+        assert not [columns for columns in found if columns & OF_LARGE_TABLES]
+
+
+def test_a_district_report_sends_no_large_table_through_the_driver(by_file_sizes):
+    for detailed in (False, True):
+        df = report.incident_report(by_file_sizes, District(), WINDOW, detailed=detailed)
+        found = broadcast_scans(df)
+        assert found and not [columns for columns in found if columns & OF_LARGE_TABLES]
+        assert len(df.collect()) == 1
